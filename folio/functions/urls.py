@@ -17,7 +17,7 @@ import urllib.parse as _up
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from folio.functions.util import col_of, lit_or_col
+from folio.functions.util import col_of, let, lit_or_col
 
 # Scheme families, taken from the standard library so they cannot drift.
 USES_RELATIVE = list(_up.uses_relative)
@@ -44,14 +44,18 @@ def split_url(u, default_scheme=None) -> Column:
     ``bad`` is true where the standard parser raises (unbalanced ``[``/``]`` in
     the network location).
     """
-    raw = _clean_input(col_of(u))
+    return let(_clean_input(col_of(u)), lambda raw: _split(raw, default_scheme))
+
+
+def _split(raw: Column, default_scheme) -> Column:
     sch = F.regexp_extract(raw, _SPLIT_RE, 1)
     scheme = F.when(sch != "", F.lower(sch)).otherwise(
         F.lit("") if default_scheme is None else lit_or_col(default_scheme))
     has_net = F.regexp_extract(raw, _SPLIT_RE, 2) != ""
     netloc = F.regexp_extract(raw, _SPLIT_RE, 3)
     path0 = F.regexp_extract(raw, _SPLIT_RE, 4)
-    split_params = scheme.isin(USES_PARAMS)
+    split_params = (sch != "").__and__(F.lower(sch).isin(USES_PARAMS)) | (
+        (sch == "") & (F.lit("") if default_scheme is None else lit_or_col(default_scheme)).isin(USES_PARAMS))
     path = F.when(split_params, F.regexp_extract(path0, _PARAMS_RE, 1)).otherwise(path0)
     params = F.when(split_params, F.regexp_extract(path0, _PARAMS_RE, 2)).otherwise(F.lit(""))
     bad = has_net & (netloc.contains("[") != netloc.contains("]"))
@@ -81,19 +85,11 @@ def _remove_dots(segments: Column) -> Column:
         lambda acc, s: F.when(s == "..", F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0))))
         .when(s == ".", acc)
         .otherwise(F.concat(acc, F.array(s))))
-    last = F.element_at(segments, -1)
+    last = F.try_element_at(segments, F.lit(-1))
     return F.when(last.isin(".", ".."), F.concat(folded, F.array(F.lit("")))).otherwise(folded)
 
 
-def join_url(base, href) -> Column:
-    """``urljoin(base, href)`` for Column/str base and Column href.
-
-    Returns NULL where the standard library raises (see ``url_error``).
-    """
-    base_c = lit_or_col(base)
-    href_c = col_of(href)
-    b = split_url(base_c)
-    r = split_url(href_c, default_scheme=b["scheme"])
+def _join(b: Column, r: Column, href_c: Column, base_c: Column) -> Column:
     scheme = r["scheme"]
     foreign = (scheme != b["scheme"]) | ~scheme.isin(USES_RELATIVE)
     own_net = scheme.isin(USES_NETLOC) & (r["netloc"] != "")
@@ -103,21 +99,33 @@ def join_url(base, href) -> Column:
                             F.when(r["query"] != "", r["query"]).otherwise(b["query"]), r["fragment"])
     rel_parts = F.split(r["path"], "/", -1)
     base_parts = F.split(b["path"], "/", -1)
-    base_dir = F.when(F.element_at(base_parts, -1) != "",
+    base_dir = F.when(F.try_element_at(base_parts, F.lit(-1)) != "",
                       F.slice(base_parts, 1, F.size(base_parts) - 1)).otherwise(base_parts)
-    merged = F.concat(base_dir, rel_parts)
-    n = F.size(merged)
-    merged = F.filter(merged, lambda s, i: (i == 0) | (i == n - 1) | (s != ""))
+    merged = let(F.concat(base_dir, rel_parts),
+                 lambda m: F.filter(m, lambda s, i: (i == 0) | (i == F.size(m) - 1) | (s != "")))
     segments = F.when(F.startswith(r["path"], F.lit("/")), rel_parts).otherwise(merged)
-    resolved = F.array_join(_remove_dots(segments), "/")
-    resolved = F.when(resolved == "", F.lit("/")).otherwise(resolved)
+    resolved = let(F.array_join(let(segments, _remove_dots), "/"),
+                   lambda x: F.when(x == "", F.lit("/")).otherwise(x))
     general = unparse_url(scheme, netloc, resolved, r["params"], r["query"], r["fragment"])
-    out = (F.when(href_c == "", base_c)
-           .when(r["bad"] | b["bad"], F.lit(None).cast("string"))
-           .when(foreign, href_c)
-           .when(own_net, unparse_url(scheme, r["netloc"], r["path"], r["params"], r["query"], r["fragment"]))
-           .when(empty_path, keep_base)
-           .otherwise(general))
+    return (F.when(href_c == "", base_c)
+            .when(r["bad"] | b["bad"], F.lit(None).cast("string"))
+            .when(foreign, href_c)
+            .when(own_net, unparse_url(scheme, r["netloc"], r["path"], r["params"], r["query"], r["fragment"]))
+            .when(empty_path, keep_base)
+            .otherwise(general))
+
+
+def join_url(base, href) -> Column:
+    """``urljoin(base, href)`` for Column/str base and Column href.
+
+    Returns NULL where the standard library raises (see ``url_error``).
+    """
+    base_c = lit_or_col(base)
+    href_c = col_of(href)
+    out = let(F.struct(href_c.alias("h"), base_c.alias("base"), split_url(base_c).alias("b")),
+              lambda v: let(F.struct(v["h"].alias("h"), v["base"].alias("base"), v["b"].alias("b"),
+                                     split_url(v["h"], default_scheme=v["b"]["scheme"]).alias("r")),
+                            lambda w: _join(w["b"], w["r"], w["h"], w["base"])))
     return F.when(base_c == "", href_c).otherwise(out)
 
 
@@ -141,12 +149,11 @@ def file_ext(u, unknown: str = "Unkown") -> Column:
     Dots removed, lower-cased; empty gives ``unknown`` (the misspelling is the
     reference's literal and part of every fingerprint of such rows).
     """
-    path = url_path(u)
-    last = F.regexp_extract(path, r"[^/]*\z", 0)
-    ext = F.regexp_extract(last, r"(?s)^.*[^.].*(\.[^.]*)\z", 1)
-    raw = F.lower(F.replace(ext, F.lit("."), F.lit("")))
     from folio.functions.text import py_strip
-    return F.when(raw == "", F.lit(unknown)).otherwise(py_strip(raw))
+    last = F.regexp_extract(url_path(u), r"[^/]*\z", 0)
+    ext = F.regexp_extract(last, r"(?s)^.*[^.].*(\.[^.]*)\z", 1)
+    return let(F.lower(F.replace(ext, F.lit("."), F.lit(""))),
+               lambda raw: F.when(raw == "", F.lit(unknown)).otherwise(py_strip(raw)))
 
 
 def netloc(u) -> Column:

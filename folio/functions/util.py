@@ -12,3 +12,9 @@ def col_of(c) -> Column:
 def lit_or_col(c) -> Column:
     """Accept a Column or a Python literal."""
     return c if isinstance(c, Column) else F.lit(c)
+
+
+def let(value: Column, body) -> Column:
+    """Bind ``value`` once and evaluate ``body(bound)``; keeps large sub-expressions
+    from being copied into every place that refers to them."""
+    return F.element_at(F.transform(F.array(value), body), 1)
