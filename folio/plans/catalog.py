@@ -41,7 +41,8 @@ def records(spark, d):
 
 def crawl_store(spark, d):
     """Store after a crawl and a replayed crawl: first-writer-wins, insert only unseen ids."""
-    first = S.first_wins(S.with_store_keys(records(spark, d)), key="_id")
+    # the first crawl is materialised (reliable checkpoint in the shared folder), as a store would be
+    first = S.first_wins(S.with_store_keys(records(spark, d)), key="_id").checkpoint(eager=True)
     replay = S.first_wins(S.with_store_keys(records(spark, d)), key="_id")
     return first.unionByName(S.new_records(replay, first))
 
