@@ -60,7 +60,23 @@ for _b in range(128, 160):
         pass
 
 
+_MAPS: dict = {}
+
+
+def _memo(name, build):
+    """Build a literal map Column once per SparkContext (each literal is a JVM round trip)."""
+    from pyspark import SparkContext
+    key = (name, id(SparkContext._active_spark_context))
+    if key not in _MAPS:
+        _MAPS[key] = build()
+    return _MAPS[key]
+
+
 def _named_map() -> Column:
+    return _memo("named", _build_named_map)
+
+
+def _build_named_map() -> Column:
     items = []
     for k in sorted(_NAMED):
         items += [F.lit(k), F.lit(_NAMED[k])]
@@ -68,6 +84,10 @@ def _named_map() -> Column:
 
 
 def _cp1252_map() -> Column:
+    return _memo("cp1252", _build_cp1252_map)
+
+
+def _build_cp1252_map() -> Column:
     items = []
     for k in sorted(_CP1252):
         items += [F.lit(k), F.lit(_CP1252[k])]

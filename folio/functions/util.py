@@ -18,3 +18,23 @@ def let(value: Column, body) -> Column:
     """Bind ``value`` once and evaluate ``body(bound)``; keeps large sub-expressions
     from being copied into every place that refers to them."""
     return F.element_at(F.transform(F.array(value), body), 1)
+
+
+_COLUMN_CACHE: dict = {}
+
+
+def cached_columns(fn):
+    """Memoise a builder of Column expressions per SparkContext.
+
+    Expression trees over fixed column names do not depend on the data; building
+    them costs one JVM round trip per node, so large trees are built once.
+    """
+    def wrapper(*args):
+        from pyspark import SparkContext
+        key = (fn.__module__, fn.__qualname__, args, id(SparkContext._active_spark_context))
+        if key not in _COLUMN_CACHE:
+            _COLUMN_CACHE[key] = fn(*args)
+        return _COLUMN_CACHE[key]
+    wrapper.__name__ = fn.__name__
+    wrapper.__doc__ = fn.__doc__
+    return wrapper

@@ -41,8 +41,12 @@ def hash_embed(df: DataFrame, text_col: str, keys: list[str], dim: int = 64, out
                      F.pmod(F.conv(F.substr(h, F.lit(1), F.lit(8)), 16, 10).cast("bigint"), F.lit(dim)).alias("_b"),
                      F.when(F.col("_t").isNull(), F.lit(0))
                      .when(F.substr(h, F.lit(9), F.lit(1)) < "8", F.lit(1)).otherwise(F.lit(-1)).alias("_s"))
-    sums = [F.sum(F.when(F.col("_b") == i, F.col("_s")).otherwise(F.lit(0))).cast("double") for i in range(dim)]
-    v = tok.groupBy(*keys).agg(F.array(*sums).alias("_v"))
+    # partial aggregate per (row, bucket) runs map-side; then one bounded list per row
+    per_bucket = tok.groupBy(*keys, "_b").agg(F.sum("_s").cast("double").alias("_c"))
+    v = per_bucket.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("_b", "_c"))).alias("_m"))
+    v = v.select(*keys, F.transform(F.sequence(F.lit(0), F.lit(dim - 1)),
+                                    lambda i: F.coalesce(F.try_element_at(F.col("_m"), i.cast("bigint")),
+                                                         F.lit(0.0))).alias("_v"))
     norm = F.sqrt(F.aggregate("_v", F.lit(0.0), lambda a, x: a + x * x))
     return v.select(*keys, F.when(norm > 0, F.transform("_v", lambda x: x / norm)).otherwise(F.col("_v")).alias(out))
 

@@ -34,16 +34,23 @@ def _t(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d.rstrip('/')}/{name}.parquet")
 
 
-def records(spark, d):
-    return L.extract_records(render_listing_pages(_t(spark, d, "part").select(
-        "p_partkey", "p_brand", "p_type", "p_size")))
+def listing_source(spark, d):
+    """Listing pages rendered from ``part`` and materialised (reliable checkpoint in
+    the shared folder), so they behave like a scanned page table."""
+    return render_listing_pages(_t(spark, d, "part").select(
+        "p_partkey", "p_brand", "p_type", "p_size")).checkpoint(eager=True)
+
+
+def records(spark, d, pages=None):
+    return L.extract_records(pages if pages is not None else listing_source(spark, d))
 
 
 def crawl_store(spark, d):
     """Store after a crawl and a replayed crawl: first-writer-wins, insert only unseen ids."""
     # the first crawl is materialised (reliable checkpoint in the shared folder), as a store would be
-    first = S.first_wins(S.with_store_keys(records(spark, d)), key="_id").checkpoint(eager=True)
-    replay = S.first_wins(S.with_store_keys(records(spark, d)), key="_id")
+    pages = listing_source(spark, d)
+    first = S.first_wins(S.with_store_keys(records(spark, d, pages)), key="_id").checkpoint(eager=True)
+    replay = S.first_wins(S.with_store_keys(records(spark, d, pages)), key="_id")
     return first.unionByName(S.new_records(replay, first))
 
 
@@ -76,11 +83,11 @@ def q_extract_listing(spark, d):
 
 
 def q_listing_errors(spark, d):
-    return L.listing_errors(render_listing_pages(_t(spark, d, "part")))
+    return L.listing_errors(listing_source(spark, d))
 
 
 def q_header_position(spark, d):
-    return L.header_position(render_listing_pages(_t(spark, d, "part")), "OPR")
+    return L.header_position(listing_source(spark, d), "OPR")
 
 
 def q_first_wins(spark, d):
