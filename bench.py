@@ -26,8 +26,12 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     spark = build_session(f"local[{cpus}]", int(cpus) * 2)
     names = sys.argv[1:] or HEADLINE
-    # warm-up: JVM, codegen caches, Python workers
-    QUERIES["anti_join_store"](spark, sf_dir).write.format("noop").mode("overwrite").save()
+    # warm-up on the smallest scale: JVM JIT, codegen caches, Python workers and the
+    # per-session expression trees (a fixed driver cost, independent of data size)
+    warm_dir = os.environ.get("BENCH_WARM_DIR", "/root/testdata/sf0.001")
+    for name in names:
+        if os.path.isdir(warm_dir):
+            QUERIES[name](spark, warm_dir).write.format("noop").mode("overwrite").save()
     times = {}
     for name in names:
         t = time.time()
