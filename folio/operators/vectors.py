@@ -35,11 +35,14 @@ def tokens(text) -> Column:
 
 def hash_embed(df: DataFrame, text_col: str, keys: list[str], dim: int = 64, out: str = "embedding") -> DataFrame:
     """Feature-hashing embedding per row (keys identify the row)."""
-    tok = df.select(*keys, F.explode_outer(tokens(text_col)).alias("_t"))
-    h = F.md5(F.col("_t"))
+    # split without a per-row filter lambda: empty tokens stay in the codegen'd
+    # pipeline and carry weight 0, and a row without tokens still gets a vector
+    raw = F.split(F.lower(F.replace(F.col(text_col), F.lit("\n"), F.lit(" "))), " ", -1)
+    tok = df.select(*keys, F.explode_outer(raw).alias("_t")).select(*keys, "_t", F.md5(F.col("_t")).alias("_h"))
+    h = F.col("_h")
     tok = tok.select(*keys,
                      F.pmod(F.conv(F.substr(h, F.lit(1), F.lit(8)), 16, 10).cast("bigint"), F.lit(dim)).alias("_b"),
-                     F.when(F.col("_t").isNull(), F.lit(0))
+                     F.when(F.col("_t").isNull() | (F.col("_t") == ""), F.lit(0))
                      .when(F.substr(h, F.lit(9), F.lit(1)) < "8", F.lit(1)).otherwise(F.lit(-1)).alias("_s"))
     # partial aggregate per (row, bucket) runs map-side; then one bounded list per row
     per_bucket = tok.groupBy(*keys, "_b").agg(F.sum("_s").cast("double").alias("_c"))
