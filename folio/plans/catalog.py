@@ -206,6 +206,31 @@ def q_upsert_by_id(spark, d):
     return S.upsert_by_id(old, new, "id")
 
 
+ROBOTS_TXT = "User-agent: *\nDisallow: /the\nAllow: /the,\n"
+
+
+def q_robots_filter(spark, d):
+    links = K.extract_links(_t(spark, d, "pages"))
+    from folio.functions import urls as U
+    hosts = links.select(U.host(F.col("link")).alias("host")).distinct()
+    rules = K.parse_robots(hosts.withColumn("robots_txt", F.lit(ROBOTS_TXT)))
+    return K.robots_filter(links, rules)
+
+
+def q_run_stages(spark, d):
+    from folio.operators.stages import run_stages
+    docs = _t(spark, d, "documents").select("doc_id", "source", "n_chars")
+    return run_stages(docs, [(800, lambda df: df.join(_t(spark, d, "labels").select("doc_id"), "doc_id", "left_anti")),
+                             (300, lambda df: df.where(F.col("n_chars") > 0))])
+
+
+def q_export_utf8(spark, d):
+    from folio.session import scratch_path
+    from folio.sources.export import export_utf8
+    path = export_utf8(C.first_chunk(chunks(spark, d)), scratch_path(spark, "export"))
+    return spark.read.schema("doc_id bigint, chunk_pos int, chunk string").json(path)
+
+
 def q_ingest_stream(spark, d):
     from folio.streaming.ingest import ingest_pages_stream
     return ingest_pages_stream(spark, render_listing_pages(_t(spark, d, "part"))).select(
@@ -241,4 +266,7 @@ QUERIES = {
     "vector_entry": q_vector_entry,
     "upsert_by_id": q_upsert_by_id,
     "ingest_stream": q_ingest_stream,
+    "robots_filter": q_robots_filter,
+    "run_stages": q_run_stages,
+    "export_utf8": q_export_utf8,
 }

@@ -217,6 +217,13 @@ def oracle_sql() -> dict[str, str]:
         "upsert_by_id": "SELECT doc_id AS id, 'a good description' AS description FROM documents d WHERE NOT EXISTS "
                         "(SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id) UNION ALL "
                         "SELECT doc_id AS id, 'quality=' || quality::VARCHAR AS description FROM labels",
+        "robots_filter": "WITH " + _LINKS_CTE + ", pth AS (SELECT *, regexp_extract(link, "
+                         "'^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*([^#]*)', 1) AS path FROM links) "
+                         "SELECT page_id, link_pos, href, link FROM pth WHERE NOT (starts_with(path, '/the') "
+                         "AND NOT starts_with(path, '/the,'))",
+        "run_stages": "SELECT doc_id, source, n_chars FROM documents d WHERE n_chars > 0 AND NOT EXISTS "
+                      "(SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)",
+        "export_utf8": _with_chunks("SELECT doc_id, chunk_pos, chunk FROM chunks WHERE chunk_pos = 0"),
         "ingest_stream": _with_listing(
             "SELECT version_hash AS _id, true AS _needs_download, source_page_url, row_pos, doc_name, download_url "
             "FROM store"),
