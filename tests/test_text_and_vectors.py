@@ -84,3 +84,23 @@ def test_no_python_udf_in_listing_plan(spark):
                                   'page_id long, url string, html string')
     plan = L.extract_records(pages)._jdf.queryExecution().executedPlan().toString()
     assert 'BatchEvalPython' not in plan and 'ArrowEvalPython' not in plan
+
+
+def test_first_wins_limits_before_shuffle(spark):
+    recs = spark.createDataFrame([('h1', 'p', 1, 'a'), ('h1', 'p', 0, 'b'), ('h2', 'q', 1, 'c')],
+                                 'version_hash string, source_page_url string, row_pos int, doc_name string')
+    prev = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = S.first_wins(recs)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", prev)
+    partial = plan.index("Partial")
+    assert "WindowGroupLimit" in plan and plan.index("Exchange") < partial
+
+
+def test_run_stages_order(spark):
+    from folio.operators.stages import run_stages
+    df = spark.createDataFrame([(1,), (2,), (3,)], 'x int')
+    out = run_stages(df, [(800, lambda d: d.selectExpr("x * 10 AS x")), (300, lambda d: d.where("x > 1"))])
+    assert sorted(r.x for r in out.collect()) == [20, 30]
