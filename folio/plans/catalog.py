@@ -174,6 +174,15 @@ def q_knn_approx(spark, d):
     return V.knn_approx(qv, emb, k=2, id_col="vec_id")
 
 
+def q_knn_approx_recall(spark, d):
+    """Recall of the LSH top-k against exact top-k, over all benchmark queries."""
+    exact = q_knn_topk_batch(spark, d).select("query_id", "id")
+    approx = q_knn_approx(spark, d).select("query_id", "id", F.lit(1).alias("_hit"))
+    j = exact.join(approx, ["query_id", "id"], "left")
+    return j.agg(F.count(F.lit(1)).alias("n_exact"), F.sum(F.coalesce("_hit", F.lit(0))).alias("n_found"),
+                 (F.sum(F.coalesce("_hit", F.lit(0))) / F.count(F.lit(1))).alias("recall"))
+
+
 def q_ledger_state(spark, d):
     ev = _t(spark, d, "events")
     req = ev.where(F.col("event_type") == "signup").select(
@@ -261,6 +270,7 @@ QUERIES = {
     "knn_topk": q_knn_topk,
     "knn_topk_batch": q_knn_topk_batch,
     "knn_approx": q_knn_approx,
+    "knn_approx_recall": q_knn_approx_recall,
     "ledger_state": q_ledger_state,
     "corpus_profile": q_corpus_profile,
     "vector_entry": q_vector_entry,
