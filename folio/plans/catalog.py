@@ -218,6 +218,12 @@ def q_upsert_by_id(spark, d):
 ROBOTS_TXT = "User-agent: *\nDisallow: /the\nAllow: /the,\n"
 
 
+def q_embed_stream(spark, d):
+    from folio.streaming.ingest import embed_documents_stream
+    v = embed_documents_stream(spark, _t(spark, d, "documents"), CHUNK_SEP, CHUNK_SIZE, DIM)
+    return v.select("chunk_id", _round_vec(F.col("embedding")).alias("embedding"))
+
+
 def q_robots_filter(spark, d):
     links = K.extract_links(_t(spark, d, "pages"))
     from folio.functions import urls as U
@@ -277,6 +283,7 @@ QUERIES = {
     "upsert_by_id": q_upsert_by_id,
     "ingest_stream": q_ingest_stream,
     "robots_filter": q_robots_filter,
+    "embed_stream": q_embed_stream,
     "run_stages": q_run_stages,
     "export_utf8": q_export_utf8,
 }

@@ -221,6 +221,9 @@ def oracle_sql() -> dict[str, str]:
                          "'^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*([^#]*)', 1) AS path FROM links) "
                          "SELECT page_id, link_pos, href, link FROM pth WHERE NOT (starts_with(path, '/the') "
                          "AND NOT starts_with(path, '/the,'))",
+        "embed_stream": _with_chunks(", " + _embed_cte(
+            "(SELECT sha256(doc_id::VARCHAR || '|' || chunk_pos::VARCHAR || '|' || chunk) AS chunk_id, chunk FROM chunks)",
+            "chunk_id", "chunk", "cv") + "SELECT key AS chunk_id, list_transform(vec, lambda x: round(x, 6)) AS embedding FROM cv"),
         "run_stages": "SELECT doc_id, source, n_chars FROM documents d WHERE n_chars > 0 AND NOT EXISTS "
                       "(SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)",
         "export_utf8": _with_chunks("SELECT doc_id, chunk_pos, chunk FROM chunks WHERE chunk_pos = 0"),

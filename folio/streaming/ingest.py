@@ -47,3 +47,35 @@ def ingest_pages_stream(spark: SparkSession, pages: DataFrame) -> DataFrame:
     q = start_ingest(spark, pages_dir, store_path, ckpt, "page_id bigint, url string, html string")
     q.awaitTermination()
     return spark.read.parquet(store_path).drop("batch_id")
+
+
+def _embed_writer(store_path: str, separator: str, size: int, dim: int):
+    from folio.operators import chunking as C
+    from folio.operators import vectors as V
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        chunks = C.chunk_ids(C.chunk_text(batch, "text", "doc_id", separator, size, 0))
+        existing = S.read_store(spark, store_path)
+        if existing is not None and "batch_id" in existing.columns:
+            chunks = chunks.join(existing.where(F.col("batch_id") != batch_id).select("chunk_id"), "chunk_id",
+                                 "left_anti")
+        vecs = V.hash_embed(chunks, "chunk", ["chunk_id", "doc_id", "chunk_pos"], dim)
+        (vecs.withColumn("batch_id", F.lit(batch_id))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("batch_id").parquet(store_path))
+    return write
+
+
+def embed_documents_stream(spark: SparkSession, docs: DataFrame, separator: str = "\n", size: int = 1000,
+                           dim: int = 64) -> DataFrame:
+    """Land documents as files; a checkpointed stream chunks them and embeds only
+    chunks whose content id has no vector yet; returns the vector store."""
+    root = scratch_path(spark, "embed")
+    docs_dir, store_path, ckpt = f"{root}/docs", f"{root}/vectors", f"{root}/_checkpoint"
+    docs.select("doc_id", "text").write.mode("overwrite").parquet(docs_dir)
+    q = (spark.readStream.schema("doc_id bigint, text string").option("maxFilesPerTrigger", 64).parquet(docs_dir)
+         .writeStream.foreachBatch(_embed_writer(store_path, separator, size, dim))
+         .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.parquet(store_path).drop("batch_id")
