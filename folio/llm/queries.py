@@ -3,25 +3,60 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import exact_dedup, near_dedup
+from . import decontam, exact_dedup, langid, near_dedup, url_rules
 from .common import table
 
 
+def op5_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.assign(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.assign(table(spark, sf_dir, "documents"))
 
 
+def op8_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    out, names = langid.predict(docs.select("doc_id", "text"), langid.fit(docs))
+    return out.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), *names)
+
+
+def op9_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return url_rules.judge(pages, url_rules.labelled_urls(pages, table(spark, sf_dir, "labels")))
+
+
 def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.assign(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
+    "op5_decontam": op5_decontam,
     "op6_exact_dedup": op6_exact_dedup,
+    "op8_langid": op8_langid,
+    "op9_url_rules": op9_url_rules,
     "op10_near_dedup": op10_near_dedup,
 }
 
 ORACLE_SQL = {
+    "op5_decontam": r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                  '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+     b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                  '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+     bw AS (SELECT DISTINCT item_id, n, array_to_string(w[p:p + n - 1], ' ') AS x
+            FROM (SELECT item_id, w, least(10, len(w)) AS n, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS p FROM b WHERE len(w) > 0)),
+     dw AS (SELECT doc_id, p, n, array_to_string(w[p:p + n - 1], ' ') AS x
+            FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS p FROM d, (SELECT DISTINCT n FROM bw) WHERE len(w) >= n)),
+     h AS (SELECT doc_id, p, dw.n, item_id FROM dw JOIN bw ON dw.n = bw.n AND dw.x = bw.x),
+     hit AS (SELECT doc_id, count(DISTINCT q) AS n_hit FROM (SELECT doc_id, unnest(range(p, p + n)) AS q FROM h) GROUP BY doc_id),
+     it AS (SELECT doc_id, count(DISTINCT item_id) AS n_items,
+                   sha256(string_agg(DISTINCT CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR))) AS s FROM h GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       coalesce(s, sha256('')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN it USING (doc_id)""",
     "op6_exact_dedup": """
 WITH t AS (SELECT doc_id, coalesce(text, '') AS x FROM documents),
      g AS (SELECT x, max(doc_id) AS keep_id, count(*) AS group_size FROM t GROUP BY x)
