@@ -5,10 +5,36 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, exact_dedup, langid, near_dedup, url_rules
+from . import bpe, chat, decontam, exact_dedup, html_main, langid, near_dedup, token_files, url_rules, warc
 from .common import table
 
 
+def vocabulary() -> str:
+    """Place of the tokenizer file that the contract names."""
+    import public_tokenizers
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    text = "</s>[INST] ok [/INST]"
+    own = spark.createDataFrame([(-1, 0, "user", text), (-1, 1, "assistant", text)], rows.schema)
+    return chat.digests(chat.render(rows.unionByName(own)))
+
+
+def op2_html_main(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_main.extract(table(spark, sf_dir, "pages"))
+
+
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
+def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return bpe.digests(bpe.encode(docs, vocabulary()), vocabulary())
+
+
 def op5_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.assign(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -17,6 +43,10 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.assign(table(spark, sf_dir, "documents"))
 
 
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.round_trip(table(spark, sf_dir, "documents"), vocabulary())
+
+
 def op8_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     out, names = langid.predict(docs.select("doc_id", "text"), langid.fit(docs))
@@ -33,14 +63,37 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_chat_format": op1_chat_format,
+    "op2_html_main": op2_html_main,
+    "op3_warc": op3_warc,
+    "op4_bpe": op4_bpe,
     "op5_decontam": op5_decontam,
     "op6_exact_dedup": op6_exact_dedup,
+    "op7_token_files": op7_token_files,
     "op8_langid": op8_langid,
     "op9_url_rules": op9_url_rules,
     "op10_near_dedup": op10_near_dedup,
 }
 
 ORACLE_SQL = {
+    "op1_chat_format": r"""
+WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+           UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+     e AS (SELECT *, length(text) + len(regexp_extract_all(text, '<\\*/?(s|role)>|\[\\*/?INST\]')) AS n,
+                  length(role) + len(regexp_extract_all(role, '<\\*/?(s|role)>|\[\\*/?INST\]')) AS r FROM c)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(CASE role WHEN 'user' THEN n + 18 WHEN 'assistant' THEN n + 5 ELSE n + r + 17 END) AS BIGINT) AS formatted_chars
+FROM e GROUP BY conv_id""",
+    "op3_warc": """
+WITH t AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+     p AS (SELECT page_id, CAST(strlen(h) AS BIGINT) AS payload_bytes, sha1(h) AS payload_digest FROM t),
+     k AS (SELECT *, CASE WHEN payload_bytes >= 1000 THEN max(page_id) OVER (PARTITION BY payload_digest) ELSE page_id END AS keep FROM p)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN keep = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN keep = page_id THEN NULL ELSE keep END AS refers_to
+FROM k""",
     "op5_decontam": r"""
 WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
                   '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
