@@ -34,9 +34,9 @@ from .bpe import WordCoder, text_slices
 from .common import shared_path, stored
 from .warc import DamagedArchive, _storage
 
-BLOCK = 2048  # ids
-LANES = 1024  # blocks coded side by side
-SLOTS = 1 << 13  # contexts of one order
+BLOCK = 1024  # ids
+LANES = 2048  # blocks coded side by side
+SLOTS = 1 << 12  # contexts of one order
 FRAME = BLOCK * LANES  # ids after which a frame ends with its document
 FILE_BYTES = 64 << 20
 MOST_READERS = 10_000
@@ -52,65 +52,63 @@ class _Model:
     """The models of ``n`` lanes; ``bit`` predicts, ``learn`` updates.  A slot is probability (22 bits) and count."""
 
     def __init__(self, n: int):
-        self.lanes = np.arange(n, dtype=np.int64)
-        self.slots = np.full((3, n, SLOTS), 1 << 31, np.uint32)
+        self.flat = np.full(3 * n * SLOTS, 1 << 31, np.uint32)
         self.weights = np.full((16, 3, n), (1 << 16) * 2 // 5, np.int64)
         self.past = np.zeros((2, n), np.int64)
-        self.base = (np.arange(3)[:, None] * n + self.lanes) * SLOTS
-        self.flat = self.slots.reshape(-1)
+        self.base = (np.arange(3)[:, None] * n + np.arange(n)) * SLOTS
         self.start()
 
     def start(self):
         """The contexts of the next id."""
         one = (self.past[0] + 1) * 0x9E3779B1
         self.context = np.stack([np.zeros_like(one), one, one * 0x85EBCA6B + (self.past[1] + 1) * 0xC2B2AE35]) & 0xFFFFFFFF
-        self.node = np.ones(len(self.lanes), np.int64)
-
-    def bit(self, k: int, live: np.ndarray) -> np.ndarray:
-        """Probability (of 4096) of a one as bit ``k`` of the lanes in ``live``."""
-        h = (self.context[:, live] + self.node[live] * 0x2545F491) & 0xFFFFFFFF
-        h = (h ^ (h >> 15)) * 0x2C1B3C6D & 0xFFFFFFFF
-        self.at = self.base[:, live] + ((h ^ (h >> 13)) & (SLOTS - 1))
-        self.state = self.flat[self.at].astype(np.int64)
-        self.said = _STRETCH[self.state >> 20]
-        self.k, self.live = k, live
-        self.own = self.weights[k][:, live]
+        self.node = np.ones(len(one), np.int64)
+
+    def bit(self, k: int) -> np.ndarray:
+        """Probability (of 4096) of a one as bit ``k`` of each lane."""
+        h = (self.context + self.node * 0x2545F491) & 0xFFFFFFFF
+        h ^= h >> 15
+        h *= 0x2C1B3C6D
+        self.at = (h >> 13 & SLOTS - 1) + self.base
+        self.state = self.flat.take(self.at).astype(np.int64)
+        self.said = _STRETCH.take(self.state >> 20)
+        self.own = self.weights[k]
         dot = (self.own * self.said).sum(axis=0) >> 16
-        self.p = _SQUASH[np.clip(dot, -2047, 2047) + 2047]
+        self.p = _SQUASH.take(dot + 2047, mode="clip")
         return self.p
 
     def learn(self, y: np.ndarray):
         p, count = self.state >> 10, self.state & 1023
-        p += ((y << 22) - y - p) * _PACE[count] >> 16
-        self.flat[self.at] = (p << 10 | np.minimum(count + 1, _LIMIT)).astype(np.uint32)
-        self.weights[self.k][:, self.live] = self.own + (self.said * (((y << 12) - self.p) * 6) + 0x2000 >> 14)
-        self.node[self.live] = self.node[self.live] * 2 + y
+        p += ((y << 22) - y - p) * _PACE.take(count) >> 16
+        self.flat[self.at] = p << 10 | np.minimum(count + 1, _LIMIT)
+        self.own += self.said * (((y << 12) - self.p) * 6) + 0x2000 >> 14
+        self.node += self.node + y
 
     def end(self, ids: np.ndarray):
         self.past[1], self.past[0] = self.past[0], ids
         self.start()
 
 
-def encode_blocks(ids: np.ndarray, block: int = BLOCK) -> list[bytes]:
-    """The coded blocks of a run of ids; at most ``LANES`` blocks."""
+def encode_blocks(ids: np.ndarray) -> list[bytes]:
+    """The coded blocks of a run of ids; the last one is filled up with zeros."""
+    if not len(ids):
+        return []
+    block = min(BLOCK, len(ids))
     n = -(-len(ids) // block)
     grid = np.zeros(n * block, np.int64)
     grid[:len(ids)] = ids
-    grid = grid.reshape(n, block)
-    sizes = np.full(n, block)
-    sizes[-1] = len(ids) - (n - 1) * block
+    grid = np.ascontiguousarray(grid.reshape(n, block).T)
     model, low, high = _Model(n), np.zeros(n, np.int64), np.full(n, 0xFFFFFFFF, np.int64)
     out, used = np.zeros((n, 4 * block + 64), np.uint8), np.zeros(n, np.int64)
-    for i in range(int(sizes.max())):
-        live = np.flatnonzero(sizes > i)
-        now = grid[:, i]
+    for now in grid:
         for k in range(15, -1, -1):
-            y = now[live] >> k & 1
-            mid = low[live] + ((high[live] - low[live]) >> 12) * model.bit(k, live)
-            high[live] = np.where(y == 1, mid, high[live])
-            low[live] = np.where(y == 1, low[live], mid + 1)
+            y = now >> k & 1
+            one = y == 1
+            mid = low + ((high - low) >> 12) * model.bit(k)
+            high = np.where(one, mid, high)
+            low = np.where(one, low, mid + 1)
             model.learn(y)
-            full = live[(low[live] ^ high[live]) >> 24 == 0]
+            full = np.flatnonzero((low ^ high) < 1 << 24)
             while len(full):
                 if used.max() + 8 > out.shape[1]:
                     out = np.concatenate([out, np.zeros_like(out)], axis=1)
@@ -118,39 +116,40 @@ def encode_blocks(ids: np.ndarray, block: int = BLOCK) -> list[bytes]:
                 used[full] += 1
                 low[full] = low[full] << 8 & 0xFFFFFFFF
                 high[full] = high[full] << 8 & 0xFFFFFFFF | 255
-                full = full[(low[full] ^ high[full]) >> 24 == 0]
+                full = full[(low[full] ^ high[full]) < 1 << 24]
         model.end(now)
     return [out[j, :used[j]].tobytes() + int(low[j]).to_bytes(4, "big") for j in range(n)]
 
 
-def decode_blocks(coded: list[bytes], sizes: np.ndarray) -> np.ndarray:
-    """The ids of blocks of the given sizes, one after the other."""
-    n = len(coded)
+def decode_blocks(coded: list[bytes], total: int) -> np.ndarray:
+    """The ``total`` ids of a run of blocks."""
+    if not coded:
+        return np.zeros(0, np.int64)
+    n, block = len(coded), min(BLOCK, total)
     width = max(map(len, coded)) + 8
     data = np.zeros((n, width), np.int64)
     for j, b in enumerate(coded):
         data[j, :len(b)] = np.frombuffer(b, np.uint8)
     model, low, high = _Model(n), np.zeros(n, np.int64), np.full(n, 0xFFFFFFFF, np.int64)
     code = data[:, 0] << 24 | data[:, 1] << 16 | data[:, 2] << 8 | data[:, 3]
-    used, grid = np.full(n, 4), np.zeros((n, int(sizes.max())), np.int64)
-    for i in range(grid.shape[1]):
-        live = np.flatnonzero(sizes > i)
+    used, grid = np.full(n, 4), np.zeros((n, block), np.int64)
+    for i in range(block):
         for k in range(15, -1, -1):
-            mid = low[live] + ((high[live] - low[live]) >> 12) * model.bit(k, live)
-            y = (code[live] <= mid).astype(np.int64)
-            high[live] = np.where(y == 1, mid, high[live])
-            low[live] = np.where(y == 1, low[live], mid + 1)
-            model.learn(y)
-            full = live[(low[live] ^ high[live]) >> 24 == 0]
+            mid = low + ((high - low) >> 12) * model.bit(k)
+            one = code <= mid
+            high = np.where(one, mid, high)
+            low = np.where(one, low, mid + 1)
+            model.learn(one.astype(np.int64))
+            full = np.flatnonzero((low ^ high) < 1 << 24)
             while len(full):
                 low[full] = low[full] << 8 & 0xFFFFFFFF
                 high[full] = high[full] << 8 & 0xFFFFFFFF | 255
                 code[full] = code[full] << 8 & 0xFFFFFFFF | data[full, np.minimum(used[full], width - 1)]
                 used[full] += 1
-                full = full[(low[full] ^ high[full]) >> 24 == 0]
-        grid[live, i] = model.node[live] & 0xFFFF
+                full = full[(low[full] ^ high[full]) < 1 << 24]
+        grid[:, i] = model.node & 0xFFFF
         model.end(grid[:, i])
-    return grid[np.arange(grid.shape[1]) < sizes[:, None]]
+    return grid.ravel()[:total]
 
 
 def frame(doc_ids: list, counts: list[int], ids: np.ndarray) -> bytes:
@@ -186,8 +185,7 @@ def read_frames(source) -> Iterator[tuple[list, np.ndarray, np.ndarray]]:
         ids = []
         for k in range(0, blocks, LANES):
             some = [take(int(x)) for x in lens[k:k + LANES]]
-            sizes = np.minimum(total - np.arange(k, k + len(some)) * BLOCK, BLOCK)
-            ids.append(decode_blocks(some, sizes))
+            ids.append(decode_blocks(some, min(total - k * BLOCK, len(some) * BLOCK)))
         ids = np.concatenate(ids) if ids else np.zeros(0, np.int64)
         for k in range(blocks):
             if zlib.crc32(ids[k * BLOCK:(k + 1) * BLOCK].astype("<u4").tobytes()) != sums[k]:
