@@ -1,6 +1,6 @@
 """BPE encoding and decoding of word-end vocabularies, with a segment tree over adjacent pair ranks.
 
-Encoding: special tokens are cut out; the rest is put in NFC, lower-cased and split into words; every byte of a word
+Encoding: special tokens are cut out; the rest is put in NFC, lower-cased and split into words (beyond Latin letters by the library's own Unicode tables); every byte of a word
 is a symbol, the last one with the word-end mark.  The leaves of a word's segment tree hold (rank, place) of its
 adjacent pairs, each inner node the least below it, so the root yields the leftmost pair of lowest rank.  A merge
 changes three leaves; each is updated along its path to the root.  This goes on until the root holds no pair.
@@ -29,7 +29,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StructType
-from tokenizers import normalizers
+from tokenizers import Regex, normalizers, pre_tokenizers
 
 from .common import slices
 
@@ -184,6 +184,7 @@ class WordCoder:
     def __init__(self, special: dict[str, int], encode_words: Callable[[list[str]], tuple[np.ndarray, np.ndarray]]):
         self.special, self.encode_words = special, encode_words
         self.words = regex.compile(WORD)
+        self.far_words = pre_tokenizers.Split(Regex(WORD), "removed", invert=True)
         self.blank = regex.compile(r"\s+")
         self.cut = regex.compile("(" + "|".join(map(regex.escape, sorted(special, key=len, reverse=True))) + ")") if special else None
         self.normal = normalizers.Sequence([normalizers.NFC(), normalizers.Lowercase()])
@@ -211,7 +212,8 @@ class WordCoder:
         return text.lower().split()
 
     def learn(self, new: list[str]):
-        lists = [[x] if x.startswith("\0 ") else self.words.findall(x) for x in new]
+        lists = [[x] if x.startswith("\0 ") else self.words.findall(x) if x.isascii() or not _FAR.search(x)
+                 else [w for w, _ in self.far_words.pre_tokenize_str(x)] for x in new]
         flat = [w for x in lists for w in x]
         marks = {"\0 " + t for t in self.special}
         words = dict.fromkeys(flat)

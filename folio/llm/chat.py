@@ -38,9 +38,9 @@ TEMPLATE = ("{% for m in messages %}"
 NAMES = ("m.role", "m.text", "m.turn", "loop.index", "loop.first", "loop.last")
 FILTERS: dict[str, Callable] = {"trim": lambda x: str(x).strip(), "upper": lambda x: str(x).upper(), "lower": lambda x: str(x).lower()}
 PIECE = 1 << 20
-_HEADS, _RESTS = "".join(sorted({re.escape(c[0]) for c in CONTROLS})), "|".join(re.escape(c[1:]) for c in CONTROLS)
-_PLAIN = re.compile(rf"([{_HEADS}])(\\*)(?={_RESTS})")
-_ESCAPED = re.compile(rf"([{_HEADS}])\\(\\*)(?={_RESTS})")
+_BY_HEAD = {h: "|".join(re.escape(c[1:]) for c in CONTROLS if c[0] == h) for h in sorted({c[0] for c in CONTROLS})}
+_PLAIN = re.compile("|".join(rf"{re.escape(h)}(?=\\*(?:{rest}))" for h, rest in _BY_HEAD.items()))
+_ESCAPED = re.compile("|".join(rf"(?<={re.escape(h)})\\(?=\\*(?:{rest}))" for h, rest in _BY_HEAD.items()))
 _TURN = re.compile(r"<s>\[INST\] (?P<user>.*?) \[/INST\]|<role>(?P<role>.*?)</role>(?P<text>.*?)</s>| (?P<assistant>.*?)</s>", re.S)
 _LEX = re.compile(r"\s*(?:('(?:[^'\\]|\\.)*'|\"(?:[^\"\\]|\\.)*\")|(\d+)|([A-Za-z_]\w*(?:\.\w+)?)|(==|!=|[+|()]))")
 
@@ -50,11 +50,11 @@ class TemplateError(ValueError):
 
 
 def escape(text: str) -> str:
-    return _PLAIN.sub(r"\1\\\2", text)
+    return _PLAIN.sub(r"\g<0>\\", text)
 
 
 def unescape(text: str) -> str:
-    return _ESCAPED.sub(r"\1\2", text)
+    return _ESCAPED.sub("", text)
 
 
 # -- parsing: nodes are tuples (kind, ...)

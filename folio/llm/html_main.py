@@ -4,8 +4,8 @@ A page is cut into blocks at block-level tags.  Pass 1 decides a block from its
 and its link density, and from the element around it: menus, page headers, footers, sidebars, notices,
 adverts, forms and reader comments are never main text, and inside an article only link density speaks against
 a block.  Short blocks stay open.  In pass 2 an open block takes the label of the nearest decided block of the
-same region (on a tie: main if either is); a region without any decided block takes the label "main" if it is an
-article, or if the page has no main block at all.
+same region (on a tie: main if either is); a region without any decided block is main text if it is an article.  A
+page left without main text gives all blocks that neither their element nor their links speak against.
 
 Character references are decoded, white space inside a block becomes one space, and main blocks are joined by
 one space.  Defined cases: null or empty html, and a page without main text, give ''; an unclosed element lasts to
@@ -29,7 +29,7 @@ MOST_LINKED = 0.5
 _TOKEN = re.compile(
     r"<!--.*?(?:--!?>|\Z)|<(?P<raw>script|style|noscript|template|svg|math|iframe|object|textarea|select|title|noframes)\b"
     r"(?:[^>\"']|\"[^\"]*\"|'[^']*')*+(?:/>|>.*?(?:</(?P=raw)\s*>|\Z)|\Z)"
-    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+)(?:>|\Z)|<[!?][^>]*(?:>|\Z)|</[^a-zA-Z][^>]*(?:>|\Z)",
+    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+(?=>|\Z)|[^>]*)(?:>|\Z)|<[!?][^>]*(?:>|\Z)|</[^a-zA-Z][^>]*(?:>|\Z)",
     re.S | re.I)
 _ATTR = re.compile(r"(?:^|\s)(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.I)
 _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
@@ -169,7 +169,6 @@ def labels(found: list[tuple[str, bool, int, int]]) -> list[bool]:
             said.append(True if stops >= STOP_HIGH or n >= LONG else None)
         else:
             said.append(None if n < LONG else False)
-    any_main = any(said)
     before: dict[tuple, tuple[int, bool]] = {}
     near: list[list[tuple[int, bool]]] = [[] for _ in found]
     for order in (range(len(found)), range(len(found) - 1, -1, -1)):
@@ -188,8 +187,10 @@ def labels(found: list[tuple[str, bool, int, int]]) -> list[bool]:
                 least = min(d for d, _ in near[k])
                 label = any(x for d, x in near[k] if d == least)
             else:
-                label = found[k][2] > 0 or not any_main
+                label = found[k][2] > 0
         out.append(label)
+    if not any(out):
+        out = [not b[1] and b[3] <= MOST_LINKED * len(b[0]) for b in found]
     return out
 
 
