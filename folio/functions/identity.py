@@ -22,17 +22,31 @@ def _key_repr(name: str) -> str:
     return repr(name)
 
 
-def fingerprint_text(fields: dict) -> Column:
-    """The text that is hashed: ``('k1', v1)('k2', v2)...`` with keys sorted."""
+def value_repr(c, kind: str = "string") -> Column:
+    """Python text of a value: quoted strings, ``True``/``False``, plain whole numbers, ``None``."""
+    c = col_of(c)
+    if kind == "string":
+        return py_repr(c)
+    if kind == "boolean":
+        return F.when(c.isNull(), "None").when(c, "True").otherwise("False")
+    if kind in ("tinyint", "smallint", "int", "bigint"):
+        return F.coalesce(c.cast("string"), F.lit("None"))
+    raise TypeError(f"no fingerprint text for type {kind}")
+
+
+def fingerprint_text(fields: dict, types: dict | None = None) -> Column:
+    """The text that is hashed: ``('k1', v1)('k2', v2)...`` with keys sorted.
+
+    ``types`` gives the Spark type (``simpleString``) of fields that are not strings."""
     parts = []
     for k in sorted(fields, key=str):
-        parts += [F.lit(f"({_key_repr(k)}, "), py_repr(col_of(fields[k])), F.lit(")")]
+        parts += [F.lit(f"({_key_repr(k)}, "), value_repr(fields[k], (types or {}).get(k, "string")), F.lit(")")]
     return F.concat(*parts) if parts else F.lit("")
 
 
-def fingerprint(fields: dict) -> Column:
+def fingerprint(fields: dict, types: dict | None = None) -> Column:
     """SHA-256 hex of ``fingerprint_text``; ``fields`` maps key name -> Column or column name."""
-    return F.sha2(fingerprint_text(fields), 256)
+    return F.sha2(fingerprint_text(fields, types), 256)
 
 
 def version_hash(raw_data) -> Column:

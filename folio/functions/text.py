@@ -9,6 +9,7 @@ Java's Unicode ``\\s`` plus the separators U+001C..U+001F.
 from __future__ import annotations
 
 import html.entities
+import json
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -21,7 +22,9 @@ PY_WS = r"\s\x1c-\x1f"
 # Tags, comments and raw-text blocks as the HTML tokenizer sees them.
 COMMENT_RE = r"(?s)<!--.*?(?:-->|\z)"
 RAW_TEXT_RE = r"(?is)<(script|style)\b[^>]*>.*?(?:</\1\s*>|\z)"
-TAG_RE = r"<(?:/?[A-Za-z][^>]*|![^>]*|\?[^>]*)>"
+# The rest of a tag up to its ">", which may also stand in a quoted value.
+TAG_REST = r"""(?:[^>"']|"[^"]*"|'[^']*')*+"""
+TAG_RE = rf"<(?:/?[A-Za-z]{TAG_REST}|![^>]*|\?[^>]*)>"
 
 
 def py_strip(c) -> Column:
@@ -46,12 +49,10 @@ def strip_tags(c) -> Column:
 # ---------------------------------------------------------------------------
 # HTML character references
 # ---------------------------------------------------------------------------
-# The named references are the HTML 4 table shipped with the
-# Python standard library (html.entities.name2codepoint, 252 names) plus
-# "apos"; numeric references 128..159 are read as Windows-1252 bytes, as the
+# The named references are the public HTML5 table shipped with the Python standard
+# library; numeric references 128..159 are read as Windows-1252 bytes, as the
 # HTML parser does.  Both tables are generated from the standard library.
-_NAMED = {name: chr(cp) for name, cp in html.entities.name2codepoint.items()}
-_NAMED["apos"] = "'"
+_NAMED = {name.rstrip(";"): text for name, text in html.entities.html5.items()}
 _CP1252 = {}
 for _b in range(128, 160):
     try:
@@ -66,10 +67,10 @@ _MAPS: dict = {}
 def _memo(name, build):
     """Build a literal map Column once per SparkContext (each literal is a JVM round trip)."""
     from pyspark import SparkContext
-    key = (name, id(SparkContext._active_spark_context))
-    if key not in _MAPS:
-        _MAPS[key] = build()
-    return _MAPS[key]
+    sc = SparkContext._active_spark_context
+    if name not in _MAPS or _MAPS[name][0] is not sc:
+        _MAPS[name] = (sc, build())
+    return _MAPS[name][1]
 
 
 def _named_map() -> Column:
@@ -77,10 +78,7 @@ def _named_map() -> Column:
 
 
 def _build_named_map() -> Column:
-    items = []
-    for k in sorted(_NAMED):
-        items += [F.lit(k), F.lit(_NAMED[k])]
-    return F.create_map(*items)
+    return F.from_json(F.lit(json.dumps(_NAMED)), "map<string,string>")  # one literal, folded when planned
 
 
 def _cp1252_map() -> Column:
@@ -110,10 +108,9 @@ def _decode_piece(p: Column) -> Column:
     rest = F.regexp_extract(p, _PIECE_RE, 3)
     is_dec = ref.rlike(r"^#[0-9]+$")
     is_hex = ref.rlike(r"^#[xX]")
-    digits_dec = F.substring(ref, 2, 10)
-    digits_hex = F.substring(ref, 3, 9)
-    cp = F.when(is_dec, F.when(F.length(ref) > 8, F.lit(0x110000)).otherwise(digits_dec.cast("bigint"))) \
-        .when(is_hex, F.when(F.length(ref) > 9, F.lit(0x110000)).otherwise(F.conv(digits_hex, 16, 10).cast("bigint")))
+    dec, hexa = F.regexp_replace(ref, "^#0*", "0"), F.regexp_replace(ref, "^#[xX]0*", "0")
+    cp = F.when(is_dec, F.when(F.length(dec) > 8, F.lit(0x110000)).otherwise(dec.cast("bigint"))) \
+        .when(is_hex, F.when(F.length(hexa) > 7, F.lit(0x110000)).otherwise(F.conv(hexa, 16, 10).cast("bigint")))
     named = F.try_element_at(_named_map(), ref)
     decoded = F.when(is_dec | is_hex, chr_col(cp)) \
         .otherwise(F.coalesce(named, F.concat(F.lit("&"), ref)))

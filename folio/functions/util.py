@@ -31,10 +31,11 @@ def cached_columns(fn):
     """
     def wrapper(*args):
         from pyspark import SparkContext
-        key = (fn.__module__, fn.__qualname__, args, id(SparkContext._active_spark_context))
-        if key not in _COLUMN_CACHE:
-            _COLUMN_CACHE[key] = fn(*args)
-        return _COLUMN_CACHE[key]
+        sc = SparkContext._active_spark_context
+        key = (fn.__module__, fn.__qualname__, args)
+        if key not in _COLUMN_CACHE or _COLUMN_CACHE[key][0] is not sc:
+            _COLUMN_CACHE[key] = (sc, fn(*args))
+        return _COLUMN_CACHE[key][1]
     wrapper.__name__ = fn.__name__
     wrapper.__doc__ = fn.__doc__
     return wrapper

@@ -19,7 +19,11 @@ TASK_KIND = "crawler"
 
 def ledger_open(requests: DataFrame, sources: DataFrame, id_col: str = "_id", name_col: str = "name",
                 ts_col: str = "ts") -> DataFrame:
-    """Open events for requests whose name is a known source (semi-join gate)."""
+    """Open events for requests whose name is a known source (semi-join gate).
+
+    Requests without an ``id_col`` column get a random id; store the events before they are used twice."""
+    if id_col not in requests.columns:
+        requests = requests.withColumn(id_col, F.expr("uuid()"))
     ok = requests.join(sources.select(F.col("name").alias(name_col)), name_col, "left_semi")
     return ok.select(F.col(id_col).cast("string").alias("_id"), F.lit("open").alias("event"),
                      F.col(ts_col).alias("ts"), F.col(name_col).alias("name"))
@@ -32,14 +36,11 @@ def ledger_complete(completions: DataFrame, id_col: str = "_id", ts_col: str = "
 
 def ledger_state(events: DataFrame) -> DataFrame:
     """Fold (_id, event, ts, name) events to one task row per opened id."""
-    opened = F.col("event") == "open"
-    g = events.groupBy("_id").agg(
-        F.min(F.when(opened, F.col("ts"))).alias("start_time"),
-        F.min_by(F.when(opened, F.col("name")), F.when(opened, F.col("ts"))).alias("name"))
-    comp = events.where(F.col("event") == "complete").select("_id", F.col("ts").alias("_cts"))
-    last = g.join(comp, "_id", "left").where(F.col("_cts").isNull() | (F.col("_cts") >= F.col("start_time"))) \
-        .groupBy("_id", "start_time", "name").agg(F.max("_cts").alias("completion"))
-    return last.where(F.col("start_time").isNotNull()).select(
-        "_id",
-        F.when(F.col("completion").isNull(), F.lit(IN_PROGRESS)).otherwise(F.lit(COMPLETE)).alias("progress"),
-        "start_time", "completion", F.lit(TASK_KIND).alias("task"), "name")
+    opened = F.when(F.col("event") == "open", F.col("ts"))
+    task = events.groupBy("_id").agg(
+        F.min(opened).alias("start_time"), F.min_by("name", opened).alias("name"),
+        F.max(F.when(F.col("event") == "complete", F.col("ts"))).alias("_last"))
+    done = F.when(F.col("_last") >= F.col("start_time"), F.col("_last"))
+    return task.where(F.col("start_time").isNotNull()).select(
+        "_id", F.when(done.isNull(), F.lit(IN_PROGRESS)).otherwise(F.lit(COMPLETE)).alias("progress"),
+        "start_time", done.alias("completion"), F.lit(TASK_KIND).alias("task"), "name")

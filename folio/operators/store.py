@@ -11,12 +11,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-# Batches up to this many distinct ids are broadcast into a semi-join against
-# the store (the store is then scanned once, column-pruned, never shuffled);
-# larger batches use a shuffled anti-join.
-BROADCAST_IDS_LIMIT = 2_000_000
-
-
 def first_wins(records: DataFrame, key: str = "version_hash",
                order: tuple = ("source_page_url", "row_pos")) -> DataFrame:
     """Keep the first record per key in a fixed order (page URL, row position)."""
@@ -36,44 +30,36 @@ def new_records(batch: DataFrame, store_ids: DataFrame | None, key: str = "_id")
     return batch.join(store_ids.select(key), key, "left_anti")
 
 
-def existing_ids(store: DataFrame, batch_ids: DataFrame, n_batch_ids: int, key: str = "_id") -> DataFrame:
-    """Ids of the batch already in the store.
+def existing_ids(store: DataFrame, batch_ids: DataFrame, key: str = "_id") -> DataFrame:
+    """Ids of the batch already in the store: a semi-join that reads the store's key column only.
 
-    Small batch: broadcast the batch ids into a semi-join that streams the
-    store's key column (no store shuffle).  Large batch: shuffled semi-join.
-    """
-    ids = batch_ids.select(key)
-    if n_batch_ids <= BROADCAST_IDS_LIMIT:
-        ids = F.broadcast(ids)
-    return store.select(key).join(ids, key, "left_semi")
+    Spark broadcasts the batch ids when they are below its own threshold, so that the store is not shuffled."""
+    return store.select(key).join(batch_ids.select(key), key, "left_semi").distinct()
 
 
 def insert_if_absent(spark: SparkSession, records: DataFrame, store_path: str,
                      key: str = "version_hash") -> int:
     """Append to ``store_path`` the first record of every fingerprint not already stored.
 
-    The deduplicated batch is checkpointed (reliable, in the shared checkpoint
-    folder) so its size can be checked and the write is replayable.
-    Returns the number of inserted rows.
+    The batch and then its new rows are checkpointed (in the shared checkpoint folder), so each is computed
+    once.  Returns the number of inserted rows.
     """
     batch = first_wins(with_store_keys(records, key), key="_id").checkpoint(eager=True)
-    n = batch.count()
     store = read_store(spark, store_path)
     if store is not None:
-        present = existing_ids(store, batch, n)
-        if n <= BROADCAST_IDS_LIMIT:
-            present = F.broadcast(present)
-        batch = batch.join(present, "_id", "left_anti")
-    n_new = batch.count()
+        batch = new_records(batch, existing_ids(store, batch)).checkpoint(eager=True)
     batch.write.mode("append").parquet(store_path)
-    return n_new
+    return batch.count()
 
 
 def read_store(spark: SparkSession, store_path: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(store_path)
-    except Exception:  # missing or empty store
+    """The store, or None if its folder holds no data yet; any failure to read it is raised."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(store_path)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(path) or not any(not f.getPath().getName().startswith(("_", ".")) for f in fs.listStatus(path)):
         return None
+    return spark.read.parquet(store_path)
 
 
 def scan_store(store: DataFrame, size: int = 10, key: str = "_id") -> DataFrame:
@@ -100,9 +86,12 @@ def source_exists(requests: DataFrame, sources: DataFrame, on: str = "name") ->
     return requests.join(sources, on, "left_semi")
 
 
-def upsert_by_id(old: DataFrame, new: DataFrame, key: str = "id") -> DataFrame:
-    """Rows of ``new`` replace rows of ``old`` with the same key, whole."""
-    return old.join(new.select(key), key, "left_anti").unionByName(new)
+def upsert_by_id(old: DataFrame, new: DataFrame, key: str = "id", order: str | None = None) -> DataFrame:
+    """Rows of ``new`` replace rows of ``old`` with the same key, whole; of new rows with one key the last by
+    ``order`` stays (without it, the greatest row)."""
+    row = F.struct(*[F.col(c) for c in new.columns])
+    last = new.groupBy(F.col(key).alias("_key")).agg(F.max_by(row, F.struct(F.col(order), row) if order else row).alias("_row"))
+    return old.join(new.select(key), key, "left_anti").unionByName(last.select("_row.*"))
 
 
 def write_snapshot(df: DataFrame, root: str, version: int) -> str:

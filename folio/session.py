@@ -10,6 +10,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -36,6 +37,7 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -47,17 +49,32 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current.get()
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         conf_dir = tempfile.mkdtemp(prefix="folio-ckpt-")
     sc.setCheckpointDir(conf_dir)
     cur = sc._jsc.sc().getCheckpointDir()
     return cur.get() if cur.isDefined() else conf_dir
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors once per context, so that they need no install."""
+    sc = spark.sparkContext
+    if getattr(sc, "_folio_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="folio-zip-"), "folio.zip")  # the driver serves it to executors
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(root):
+            for n in sorted(names):
+                if n.endswith(".py"):
+                    full = os.path.join(folder, n)
+                    z.write(full, os.path.relpath(full, os.path.dirname(root)))
+    sc.addPyFile(path)
+    sc._folio_shipped = True
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder (never machine-local on a cluster)."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/folio-{name}-{uuid.uuid4().hex[:12]}"
-
-
-def table_path(sf_dir: str, name: str) -> str:
-    return os.path.join(sf_dir, f"{name}.parquet")
