@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import re
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -90,22 +91,60 @@ def chunk_text(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id",
         .select(id_col, F.col("chunk_pos").cast("int").alias("chunk_pos"), "chunk", *keep)
 
 
+def recursive_spans(text: str, separators: tuple[str, ...], size: int, overlap: int) -> list[tuple[int, int]]:
+    """Spans [start, end) of one text's chunks, before stripping.
+
+    A text is cut before every occurrence of the first separator that it holds ("" cuts between characters), so
+    pieces keep their separator and follow each other.  Pieces longer than ``size`` are cut again with the
+    next separators.  Neighbours are joined while they fit; the next chunk starts with as many of the last pieces
+    as fit into ``overlap`` and still leave room for the piece that follows."""
+    def pieces(start: int, end: int, level: int) -> list[tuple[int, int]]:
+        while level < len(separators) - 1 and text.find(separators[level], start, end) < 0:
+            level += 1
+        sep = separators[level] if level < len(separators) else ""
+        if not sep:
+            return [(k, k + 1) for k in range(start, end)]
+        cuts, at = [start], text.find(sep, start, end)
+        while at >= 0:
+            if at > start:
+                cuts.append(at)
+            at = text.find(sep, at + len(sep), end)
+        out = list(zip(cuts, [*cuts[1:], end]))
+        return [q for p in out for q in (pieces(*p, level + 1) if p[1] - p[0] > size and level + 1 < len(separators) else [p])]
+
+    chunks: list[tuple[int, int]] = []
+    held: list[tuple[int, int]] = []
+    for p in pieces(0, len(text), 0) if text else []:
+        if held and p[1] - held[0][0] > size:
+            chunks.append((held[0][0], held[-1][1]))
+            while held and (held[-1][1] - held[0][0] > overlap or p[1] - held[0][0] > size):
+                held.pop(0)
+        held.append(p)
+    if held:
+        chunks.append((held[0][0], held[-1][1]))
+    return chunks
+
+
 def chunk_recursive(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id",
                     separators=("\n\n", "\n", " ", ""), chunk_size: int = 100, chunk_overlap: int = 20) -> DataFrame:
-    """Coarse-to-fine splitting: chunks still longer than ``chunk_size`` are split
-    again with the next separator; ``start_index`` locates each chunk in the text."""
-    cur = chunk_text(docs, text_col, id_col, separators[0], chunk_size, chunk_overlap, keep=[text_col])
-    cur = cur.withColumn("_path", F.array(F.col("chunk_pos")))
-    for sep in separators[1:]:
-        long_ = cur.where(F.length("chunk") > chunk_size)
-        short = cur.where(F.length("chunk") <= chunk_size)
-        split = chunk_text(long_.withColumnRenamed("chunk_pos", "_p0"), "chunk", id_col, sep, chunk_size,
-                           chunk_overlap, keep=[text_col, "_path"])
-        split = split.withColumn("_path", F.concat("_path", F.array(F.col("chunk_pos"))))
-        cur = short.unionByName(split)
-    w_order = F.col("_path")
-    out = cur.select(id_col, "chunk", text_col, w_order.alias("_path"))
-    return out.select(id_col, "_path", "chunk", (F.locate(F.col("chunk"), F.col(text_col)) - 1).alias("start_index"))
+    """Coarse-to-fine chunks: (id, chunk_pos, chunk, start_index), stripped, empty ones dropped; ``start_index``
+    is the chunk's own place in the text, in characters.  One pass over the documents, no shuffle."""
+    seps = tuple(separators)
+
+    @F.arrow_udf("array<struct<chunk:string,start_index:int>>")
+    def cut(texts: pa.Array) -> pa.Array:
+        every = []
+        for t in texts.to_pylist():
+            own = []
+            for a, b in recursive_spans(t or "", seps, chunk_size, chunk_overlap):
+                body = t[a:b]
+                if body.strip():
+                    own.append({"chunk": body.strip(), "start_index": a + len(body) - len(body.lstrip())})
+            every.append(own)
+        return pa.array(every, pa.list_(pa.struct([("chunk", pa.string()), ("start_index", pa.int32())])))
+
+    out = docs.select(id_col, F.posexplode(cut(F.col(text_col))).alias("chunk_pos", "c"))
+    return out.select(id_col, "chunk_pos", "c.chunk", "c.start_index")
 
 
 def first_chunk(chunks: DataFrame) -> DataFrame:
@@ -114,8 +153,7 @@ def first_chunk(chunks: DataFrame) -> DataFrame:
 
 def attach_metadata(chunks: DataFrame, metadata_json: str | None = None, by: DataFrame | None = None,
                     on: str | None = None) -> DataFrame:
-    """Every chunk carries its document's metadata: one literal JSON object, or a
-    per-key table joined in (broadcast only when that table is small)."""
+    """Every chunk carries its document's metadata: one literal JSON object, or a per-key table joined in."""
     if by is not None:
         return chunks.join(by, on, "left")
     return chunks.withColumn("metadata", F.lit(metadata_json))
@@ -125,3 +163,8 @@ def chunk_ids(chunks: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """Content id per chunk: sha256 of ``doc_id|chunk_pos|chunk`` (reruns give the same ids)."""
     return chunks.withColumn("chunk_id", F.sha2(F.concat_ws("|", F.col(id_col).cast("string"),
                                                              F.col("chunk_pos").cast("string"), F.col("chunk")), 256))
+
+
+def append_chunks(chunks: DataFrame, path: str, id_col: str = "doc_id") -> None:
+    """Append chunks with their content ids to a Parquet folder (a rerun appends the same ids again)."""
+    chunk_ids(chunks, id_col).write.mode("append").parquet(path)

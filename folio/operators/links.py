@@ -1,24 +1,22 @@
-"""Link extraction and request filtering over page tables (narrow transforms;
-the only joins are against small, size-checked rule tables)."""
+"""Link extraction and request filtering over page tables (narrow transforms; the
+only join is with the rules, grouped by host)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from folio.functions import text as T
 from folio.functions import urls as U
-from folio.operators.listing import A_ATTRS_RE, href_of
-
-# Broadcast a rule table only up to this many rows; beyond it, a shuffled join.
-RULES_BROADCAST_LIMIT = 1_000_000
+from folio.operators.listing import A_ATTRS_RE, element_regex, href_of
 
 
 def extract_links(pages: DataFrame, container: str = "nav", skip_first: int = 4, skip_last: int = 1,
                   url_col: str = "url", id_col: str = "page_id", html_col: str = "html") -> DataFrame:
-    """Anchors of the first ``container`` element, positions [skip_first, n-skip_last),
+    """Anchors of the first ``container`` element (a tag, or ``tag.class``), positions [skip_first, n-skip_last),
     anchors without href dropped after counting, hrefs resolved against the page URL."""
-    box = rf"(?is)<{container}\b[^>]*>(.*?)</{container}\s*>"
+    tag, _, css_class = container.partition(".")
+    box = element_regex(tag, css_class or None)
     p = pages.select(id_col, url_col,
                      F.regexp_extract_all(F.regexp_extract(T.strip_raw_blocks(F.col(html_col)), box, 1),
                                           F.lit(A_ATTRS_RE), 1).alias("_a"))
@@ -45,29 +43,60 @@ def dedupe_links(links: DataFrame, link_col: str = "link", order: tuple = ("page
     return g.select("canonical", *[F.col(f"_f.{c}").alias(c) for c in order], F.col("_f._l").alias(link_col))
 
 
-def parse_robots(robots: DataFrame, host_col: str = "host", text_col: str = "robots_txt") -> DataFrame:
-    """robots.txt text per host -> (host, allow, prefix) rules of the ``*`` group."""
-    lines = robots.select(F.lower(host_col).alias("host"),
-                          F.posexplode(F.split(F.col(text_col), "\n", -1)).alias("ln", "line"))
-    kv = lines.select("host", "ln", F.lower(T.py_strip(F.substring_index("line", ":", 1))).alias("k"),
-                      T.py_strip(F.regexp_replace(F.substring_index(F.col("line"), "#", 1), r"^[^:]*:", "")).alias("v"))
-    rules = kv.where(F.col("k").isin("allow", "disallow") & (F.col("v") != ""))
-    return rules.select("host", (F.col("k") == "allow").alias("allow"), F.col("v").alias("prefix"))
+def _robots_rules(text: Column, agent: str) -> Column:
+    """Rules array<struct<prefix, allow>> of one robots.txt for ``agent``.
+
+    A fold over the lines: user-agent lines that follow each other head one group, the rules up to the next head
+    are its own.  The groups that name the agent count; if there is none, those of ``*``."""
+    line = F.transform(F.split(text, "\n", -1), lambda x: F.substring_index(x, "#", 1))
+    pairs = F.transform(line, lambda x: F.struct(F.lower(T.py_strip(F.substring_index(x, ":", 1))).alias("k"),
+                                                 T.py_strip(F.regexp_replace(x, r"^[^:]*:?", "")).alias("v")))
+    rule = "array<struct<agents:array<string>,prefix:string,allow:boolean>>"
+    none = F.array().cast("array<string>")
+    init = F.struct(none.alias("agents"), F.lit(False).alias("ruled"), F.array().cast(rule).alias("rules"))
+
+    def step(acc, x):
+        name = F.array(F.lower(x["v"]))
+        return (F.when(x["k"] == "user-agent", F.struct(
+                    F.when(acc["ruled"], name).otherwise(F.concat(acc["agents"], name)).alias("agents"),
+                    F.lit(False).alias("ruled"), acc["rules"].alias("rules")))
+                .when(x["k"].isin("allow", "disallow"), F.struct(
+                    acc["agents"].alias("agents"), F.lit(True).alias("ruled"),
+                    F.when(x["v"] == "", acc["rules"]).otherwise(F.concat(acc["rules"], F.array(F.struct(
+                        acc["agents"].alias("agents"), x["v"].alias("prefix"), (x["k"] == "allow").alias("allow"))))).alias("rules")))
+                .otherwise(acc))
+
+    rules = F.aggregate(pairs, init, step, lambda acc: acc["rules"])
+    named = F.exists(pairs, lambda x: (x["k"] == "user-agent") & (F.lower(x["v"]) == agent.lower()))
+    return F.transform(F.filter(rules, lambda r: F.array_contains(r["agents"], F.when(named, agent.lower()).otherwise("*"))),
+                       lambda r: F.struct(r["prefix"].alias("prefix"), r["allow"].alias("allow")))
+
+
+def parse_robots(robots: DataFrame, host_col: str = "host", text_col: str = "robots_txt", agent: str = "*") -> DataFrame:
+    """robots.txt text per host -> (host, prefix, allow) rules that hold for ``agent``."""
+    return robots.select(F.lower(host_col).alias("host"), F.inline(_robots_rules(F.col(text_col), agent)))
+
+
+def _fits(path: Column, prefix: Column) -> Column:
+    """``*`` in a rule stands for any characters, a last ``$`` for the end of the path."""
+    ends = F.endswith(prefix, F.lit("$"))
+    body = F.length(prefix) - ends.cast("int")
+    quoted = F.transform(F.split(F.substr(prefix, F.lit(1), body), r"\*", -1),
+                         lambda x: F.concat(F.lit("\\Q"), F.replace(x, F.lit("\\E"), F.lit("\\E\\\\E\\Q")), F.lit("\\E")))
+    pattern = F.concat(F.lit("(?s)^"), F.array_join(quoted, ".*"), F.when(ends, "\\z").otherwise(""))
+    return F.when(ends | prefix.contains("*"), F.regexp_like(path, pattern)).otherwise(F.startswith(path, prefix))
 
 
 def robots_filter(links: DataFrame, rules: DataFrame, link_col: str = "link") -> DataFrame:
-    """Drop links disallowed by their host's rules: the longest matching prefix
-    wins, allow wins a tie; no matching rule means allowed.  Rules are grouped
-    per host and joined on host (broadcast when the rule table is small), so
-    links are never shuffled."""
+    """Drop links disallowed by their host's rules: the longest matching rule wins, allow wins a tie; no
+    matching rule means allowed.  Rules are grouped per host (a site's rules are one short file) and joined
+    on host; Spark broadcasts them when they are small, and splits a host with many links when not."""
     per_host = rules.groupBy("host").agg(F.collect_list(F.struct("prefix", "allow")).alias("_rules"))
-    if rules.count() <= RULES_BROADCAST_LIMIT:
-        per_host = F.broadcast(per_host)
     s = U.split_url(F.col(link_col))
     path = F.concat(F.when(s["path"] == "", F.lit("/")).otherwise(s["path"]),
                     F.when(s["query"] != "", F.concat(F.lit("?"), s["query"])).otherwise(F.lit("")))
     j = links.withColumn("host", U.host(F.col(link_col))).withColumn("_path", path).join(per_host, "host", "left")
     hits = F.filter(F.coalesce(F.col("_rules"), F.array().cast("array<struct<prefix:string,allow:boolean>>")),
-                    lambda r: F.startswith(F.col("_path"), r["prefix"]))
+                    lambda r: _fits(F.col("_path"), r["prefix"]))
     best = F.array_max(F.transform(hits, lambda r: F.struct(F.length(r["prefix"]).alias("n"), r["allow"].alias("a"))))
     return j.where(best.isNull() | best["a"]).drop("_rules", "_path", "host")

@@ -8,6 +8,8 @@ page's row array before exploding, so it needs no window or exchange either.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -36,20 +38,44 @@ SOURCE_TITLE = "Unlisted Source"
 # Date formats tried by the opt-in "parsed" publication-date mode.
 DATE_FORMATS = ["M/d/yyyy", "MMMM d, yyyy", "d MMMM yyyy", "yyyy-MM-dd"]
 
-TR_RE = r"(?is)<tr\b[^>]*>.*?</tr\s*>"
-TR_ATTRS_RE = r"(?is)^<tr\b([^>]*)>"
-TD_RE = r"(?is)<td\b[^>]*>(.*?)</td\s*>"
-TH_RE = r"(?is)<th\b[^>]*>(.*?)</th\s*>"
-A_ATTRS_RE = r"(?is)<a\b([^>]*)>"
-HREF_RE = r"""(?is)(?:^|\s)href\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
-CLASS_ATTR_RE = r"(?i)(?:^|\s)class(?:\s*=|\s|$)"
+# A tag's rest reaches its ">" over quoted values, and attributes are read in order, so that text
+# within the value of one attribute is never taken for another.
+REST = T.TAG_REST
+TR_RE = rf"(?is)<tr(?=[\s/>]){REST}>.*?</tr\s*>"
+TR_ATTRS_RE = rf"(?is)^<tr(?=[\s/>])({REST})>"
+TD_RE = rf"(?is)<td(?=[\s/>]){REST}>(.*?)</td\s*>"
+TH_RE = rf"(?is)<th(?=[\s/>]){REST}>(.*?)</th\s*>"
+A_ATTRS_RE = rf"(?is)<a(?=[\s/>])({REST})>"
+_SEP = r"""(?:[\s/]+|(?<=["']))"""
+_ATTRS_BEFORE = rf"""(?:{_SEP}[^\s=>"'/]+(?:\s*=\s*(?:"[^"]*"|'[^']*'|[^\s"'>]+))?)*?{_SEP}"""
+HREF_RE = rf"""(?is)^{_ATTRS_BEFORE}href\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
+CLASS_ATTR_RE = rf"(?is)^{_ATTRS_BEFORE}class(?=[\s=/]|$)"
+NESTED_TABLE_RE = r"(?i)<table(?=[\s/>])"
+
+
+def element_regex(tag: str, css_class: str | None = None) -> str:
+    """First ``tag`` element (group 1: what it holds), with a class list that contains ``css_class``
+    (case-sensitive token) if one is given."""
+    c = re.escape(css_class or "")
+    wanted = "" if css_class is None else (
+        rf"""{_ATTRS_BEFORE}(?i:class)\s*=\s*(?:"(?:[^"]*\s)?{c}(?:\s[^"]*)?"|'(?:[^']*\s)?{c}(?:\s[^']*)?'|{c}(?=[\s/>]))""")
+    return rf"(?s)<(?i:{tag})(?=[\s/>]){wanted}{REST}>(.*?)</(?i:{tag})\s*>"
 
 
 def table_regex(table_class: str) -> str:
-    """First <table> whose class list contains ``table_class`` (case-sensitive token)."""
-    return (r"(?s)<(?i:table)\b[^>]*?\s(?i:class)\s*=\s*(?:\"[^\"]*?(?<=[\"\s])" + table_class +
-            r"(?=[\"\s])[^\"]*\"|'[^']*?(?<=['\s])" + table_class + r"(?=['\s])[^']*'|" + table_class +
-            r"(?=[\s/>]))[^>]*>(.*?)</(?i:table)\s*>")
+    return element_regex("table", table_class)
+
+
+def _unbalanced(table: Column) -> Column:
+    """Whether a listing table holds another table, or rows or cells without their end tag: then the pattern
+    matches would lose or fuse rows, so such a page is an error."""
+    def count(pattern):
+        return F.regexp_count(table, F.lit(pattern))
+
+    uneven = F.lit(False)
+    for tag in ("tr", "td"):
+        uneven = uneven | (count(rf"(?is)<{tag}(?=[\s/>]){REST}>") != count(rf"(?is)</{tag}\s*>"))
+    return table.rlike(NESTED_TABLE_RE) | uneven
 
 
 def classify_page(url) -> Column:
@@ -135,31 +161,32 @@ def _row_error(kind: Column, row: Column, base_url: str) -> Column:
 
 
 @cached_columns
-def _page_cols(table_class: str, base_url: str):
+def _page_cols(table_class: str, base_url: str, opr_header: str | None = None):
     tre = table_regex(table_class)
-    s2 = [
-        "source_page_url",
-        page_kind(F.col("source_page_url")).alias("_kind"),
-        F.col("_html").rlike(tre).alias("_found"),
-        F.regexp_extract_all(F.regexp_extract(F.col("_html"), tre, 1), F.lit(TR_RE), 0).alias("_rows")]
+    s1 = ["source_page_url", page_kind(F.col("source_page_url")).alias("_kind"),
+          F.col("_html").rlike(tre).alias("_found"), F.regexp_extract(F.col("_html"), tre, 1).alias("_table")]
+    s2 = ["source_page_url", "_kind", "_found", _unbalanced(F.col("_table")).alias("_uneven"),
+          F.regexp_extract_all(F.col("_table"), F.lit(TR_RE), 0).alias("_rows")]
+    header = _header_index(F.try_element_at("_rows", F.lit(1)), opr_header) if opr_header else F.lit(None)
     errs = F.transform("_rows", lambda r, i: F.when(i == 0, F.lit(None).cast("string"))
                        .otherwise(_row_error(F.col("_kind"), r, base_url))).alias("_errs")
     first_bad = F.array_position(F.transform("_errs", lambda e: e.isNotNull()), True)
-    s4 = ["source_page_url", "_kind", "_rows", "_errs",
+    s4 = ["source_page_url", "_kind", "_rows", "_errs", header.cast("int").alias("_opr_pos"),
           F.when(~F.col("_found"), F.lit("P1_no_table"))
+          .when(F.col("_uneven"), F.lit("P3_nested_or_unclosed"))
           .when(F.size("_rows") == 0, F.lit("P2_no_rows")).alias("page_error"),
           F.when(first_bad > 0, first_bad - 1).otherwise(F.size("_rows")).alias("_first_bad")]
-    return s2, errs, s4
+    return s1, s2, errs, s4
 
 
 def listing_pages(pages: DataFrame, url_col: str = "url", html_col: str = "html",
-                  table_class: str = "dnnGrid", base_url: str = BASE_URL) -> DataFrame:
+                  table_class: str = "dnnGrid", base_url: str = BASE_URL, opr_header: str | None = None) -> DataFrame:
     """Page-level stage: listing table, its rows, page status and first failing row."""
-    s2, errs, s4 = _page_cols(table_class, base_url)
+    s1, s2, errs, s4 = _page_cols(table_class, base_url, opr_header)
     p = pages.select(
         F.col(url_col).alias("source_page_url"),
         T.strip_raw_blocks(F.col(html_col)).alias("_html"))
-    return p.select(*s2).select("*", errs).select(*s4)
+    return p.select(*s1).select(*s2).select("*", errs).select(*s4)
 
 
 def listing_errors(pages: DataFrame, **kw) -> DataFrame:
@@ -180,18 +207,18 @@ def listing_rows(pages: DataFrame, mode: str = "abort", **kw) -> DataFrame:
     ``permissive``: only failing rows are dropped (they are in ``listing_errors``).
     """
     p = listing_pages(pages, **kw).where(F.col("page_error").isNull())
-    p = p.select("source_page_url", "_kind", "_first_bad",
+    p = p.select("source_page_url", "_kind", "_first_bad", "_opr_pos",
                  F.posexplode(F.arrays_zip(F.col("_rows").alias("row"), F.col("_errs").alias("err"))))
     keep = (F.col("pos") > 0) & F.regexp_extract(F.col("col.row"), TR_ATTRS_RE, 1).rlike(CLASS_ATTR_RE)
     keep = keep & ((F.col("pos") < F.col("_first_bad")) if mode == "abort" else F.col("col.err").isNull())
-    return p.where(keep).select("source_page_url", F.col("pos").cast("int").alias("row_pos"), "_kind",
+    return p.where(keep).select("source_page_url", F.col("pos").cast("int").alias("row_pos"), "_kind", "_opr_pos",
                                 F.col("col.row").alias("row_html"))
 
 
 @cached_columns
 def _record_cols(date_mode: str, base_url: str, opr_header):
     cells = F.regexp_extract_all(F.col("row_html"), F.lit(TD_RE), 1)
-    s1 = ["source_page_url", "row_pos", "_kind", cells.alias("_cells")]
+    s1 = ["source_page_url", "row_pos", "_kind", "_opr_pos", cells.alias("_cells")]
 
     def cell(i):
         return T.clean_cell(F.coalesce(F.try_element_at(F.col("_cells"), F.lit(i + 1)), F.lit("")))
@@ -202,7 +229,7 @@ def _record_cols(date_mode: str, base_url: str, opr_header):
           .alias("_href"),
           T.strip_parens(cell(0)).alias("_name0"),
           cell(1).alias("_pub"), cell(2).alias("_title"), cell(3).alias("_chg"), cell(4).alias("_chg_date"),
-          (F.try_element_at("_cells", F.lit(7)) if opr_header else F.lit(None)).alias("_opr_raw")]
+          (F.try_element_at("_cells", F.col("_opr_pos") + 1) if opr_header else F.lit(None)).alias("_opr_raw")]
     s3 = ["*",
           F.when(F.col("_n") > 0, U.resolve_download_url(F.col("_href"), base_url)).otherwise(F.lit(""))
           .alias("_url"),
@@ -263,7 +290,7 @@ def extract_records(pages: DataFrame, mode: str = "abort", date_mode: str = "obs
     always empty, D-1); ``'parsed'`` normalises dates to yyyy-MM-ddTHH:mm:ss.
     Each stage is one narrow ``select``; no stage shuffles.
     """
-    r = listing_rows(pages, mode=mode, base_url=base_url, **kw)
+    r = listing_rows(pages, mode=mode, base_url=base_url, opr_header=opr_header, **kw)
     for cols in _record_cols(date_mode, base_url, opr_header):
         r = r.select(*cols)
     return r
@@ -275,11 +302,14 @@ def header_position(pages: DataFrame, label: str, url_col: str = "url", html_col
     tre = table_regex(table_class)
     p = pages.select(F.col(url_col).alias("source_page_url"),
                      F.regexp_extract(T.strip_raw_blocks(F.col(html_col)), tre, 1).alias("_t"))
-    hdr = F.regexp_extract_all(F.regexp_extract(F.col("_t"), TR_RE, 0), F.lit(TH_RE), 1)
-    p = p.select("source_page_url", hdr.alias("_h"))
-    hits = F.filter(F.transform("_h", lambda h, i: F.when(T.py_strip(T.cell_text(h)) == label, i)),
-                    lambda x: x.isNotNull())
-    return p.select("source_page_url", F.try_element_at(hits, F.lit(-1)).alias("header_pos"))
+    return p.select("source_page_url", _header_index(F.regexp_extract(F.col("_t"), TR_RE, 0), label).alias("header_pos"))
+
+
+def _header_index(row: Column, label: str) -> Column:
+    """0-based index of the last header cell of ``row`` whose text is ``label``; NULL if there is none."""
+    hits = F.filter(F.transform(F.regexp_extract_all(row, F.lit(TH_RE), 1),
+                                lambda h, i: F.when(T.py_strip(T.cell_text(h)) == label, i)), lambda x: x.isNotNull())
+    return F.try_element_at(hits, F.lit(-1))
 
 
 def require_fields(records: DataFrame, mode: str = "observed", cols: list[str] | None = None) -> DataFrame:

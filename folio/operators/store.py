@@ -67,6 +67,11 @@ def scan_store(store: DataFrame, size: int = 10, key: str = "_id") -> DataFrame:
     return store.orderBy(key).limit(size)
 
 
+def project_hits(hits: DataFrame, fields: list[str]) -> DataFrame:
+    """Only the chosen fields of each hit, in the order asked for."""
+    return hits.select(*fields)
+
+
 def pending_count(store: DataFrame) -> DataFrame:
     return store.where(F.col("_needs_download")).agg(F.count(F.lit(1)).alias("count"))
 

@@ -1,20 +1,15 @@
 """Vectors: a feature-hashing embedder slot, vector entries and k-nearest-neighbour search.
 
 * ``hash_embed`` is the default embedder (model inference is out of scope):
-  tokens -> md5 -> bucket and sign -> signed counts -> L2 normalised.  The token
-  explode stays in its partition and the per-(row, bucket) partial aggregate
-  runs map-side, so only one dense vector per row crosses the shuffle.
-* ``knn_topk_batch`` is exact search: the query block is broadcast after a
-  size check (larger query sets are processed block by block), each vector
-  partition computes distances with numpy and keeps its own top-k per query,
-  and only those candidates are shuffled for the final per-query top-k.
+  tokens -> md5 -> bucket and sign -> signed counts -> L2 normalised, with one
+  exchange of partial sums by key.
+* ``knn_topk_batch`` is exact search over pairs of bounded blocks; each pair's best
+  candidates are shuffled for the final per-query top-k.
 """
 
 from __future__ import annotations
 
 import sys
-from typing import Iterator
-
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
@@ -24,17 +19,12 @@ from pyspark.sql import functions as F
 # Ship this module's task-side functions by value, so executors need no install.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-# Query blocks larger than this many float64 cells are split (broadcast bound).
-MAX_QUERY_CELLS = 4_000_000
-
-
-def tokens(text) -> Column:
-    t = text if isinstance(text, Column) else F.col(text)
-    return F.filter(F.split(F.lower(F.replace(t, F.lit("\n"), F.lit(" "))), " ", -1), lambda x: x != "")
+QUERY_BLOCK, VECTOR_BLOCK = 4096, 16384  # rows
+CUBE_CELLS = 1 << 22  # differences held at once in a task
 
 
 def hash_embed(df: DataFrame, text_col: str, keys: list[str], dim: int = 64, out: str = "embedding") -> DataFrame:
-    """Feature-hashing embedding per row (keys identify the row)."""
+    """Feature-hashing embedding per key; rows that share their keys are embedded together."""
     # split without a per-row filter lambda: empty tokens stay in the codegen'd
     # pipeline and carry weight 0, and a row without tokens still gets a vector
     raw = F.split(F.lower(F.replace(F.col(text_col), F.lit("\n"), F.lit(" "))), " ", -1)
@@ -44,12 +34,9 @@ def hash_embed(df: DataFrame, text_col: str, keys: list[str], dim: int = 64, out
                      F.pmod(F.conv(F.substr(h, F.lit(1), F.lit(8)), 16, 10).cast("bigint"), F.lit(dim)).alias("_b"),
                      F.when(F.col("_t").isNull() | (F.col("_t") == ""), F.lit(0))
                      .when(F.substr(h, F.lit(9), F.lit(1)) < "8", F.lit(1)).otherwise(F.lit(-1)).alias("_s"))
-    # partial aggregate per (row, bucket) runs map-side; then one bounded list per row
-    per_bucket = tok.groupBy(*keys, "_b").agg(F.sum("_s").cast("double").alias("_c"))
-    v = per_bucket.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("_b", "_c"))).alias("_m"))
-    v = v.select(*keys, F.transform(F.sequence(F.lit(0), F.lit(dim - 1)),
-                                    lambda i: F.coalesce(F.try_element_at(F.col("_m"), i.cast("bigint")),
-                                                         F.lit(0.0))).alias("_v"))
+    # one conditional sum per dimension: a single, partially aggregated exchange by key
+    sums = [F.sum(F.when(F.col("_b") == i, F.col("_s")).otherwise(0)).cast("double").alias(f"_{i}") for i in range(dim)]
+    v = tok.groupBy(*keys).agg(*sums).select(*keys, F.array(*[F.col(f"_{i}") for i in range(dim)]).alias("_v"))
     norm = F.sqrt(F.aggregate("_v", F.lit(0.0), lambda a, x: a + x * x))
     return v.select(*keys, F.when(norm > 0, F.transform("_v", lambda x: x / norm)).otherwise(F.col("_v")).alias(out))
 
@@ -60,42 +47,31 @@ def assert_dim(df: DataFrame, col: str, dim: int) -> DataFrame:
         F.raise_error(F.concat(F.lit(f"vector dimension != {dim}: "), F.size(col).cast("string")))))
 
 
-def _score(d2: np.ndarray, metric: str, cos: np.ndarray | None = None) -> np.ndarray:
-    if metric == "cosine":
-        return (1.0 + cos) / 2.0
-    return 1.0 / (1.0 + d2)
-
-
-def _topk_partition(qids: np.ndarray, qmat: np.ndarray, k: int, metric: str, id_col: str, vec_col: str):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            if len(pdf) == 0:
-                continue
-            ids = pdf[id_col].to_numpy()
-            vm = np.stack([np.asarray(v, dtype=np.float64) for v in pdf[vec_col]])
-            if vm.shape[1] != qmat.shape[1]:
-                raise ValueError(f"vector dimension {vm.shape[1]} != query dimension {qmat.shape[1]}")
+def _top_of_block(k: int, metric: str, kinds: tuple):
+    """Best ``k`` of one block of vectors for every query of one block of queries, ties by id."""
+    def run(queries: pd.DataFrame, vectors: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        if len(queries) and len(vectors):
+            ids = vectors["id"].to_numpy()
+            order = np.argsort(ids, kind="stable")
+            ids, vm = ids[order], np.stack(vectors["embedding"].to_numpy()[order]).astype(np.float64)
             if metric == "cosine":
-                qn = qmat / np.maximum(np.linalg.norm(qmat, axis=1, keepdims=True), 1e-300)
-                vn = vm / np.maximum(np.linalg.norm(vm, axis=1, keepdims=True), 1e-300)
-                score = _score(None, metric, qn @ vn.T)
-            else:
-                d2 = ((qmat[:, None, :] - vm[None, :, :]) ** 2).sum(axis=2)
-                score = _score(d2, metric)
-            kk = min(k, score.shape[1])
-            part = np.argpartition(-score, kk - 1, axis=1)[:, :kk] if kk < score.shape[1] else \
-                np.tile(np.arange(score.shape[1]), (score.shape[0], 1))
-            rows_q = np.repeat(qids, part.shape[1])
-            rows_i = ids[part.ravel()]
-            rows_s = np.take_along_axis(score, part, axis=1).ravel()
-            # keep boundary ties: any vector scoring >= the k-th best of this batch
-            kth = np.take_along_axis(score, part, axis=1).min(axis=1)
-            tie_q, tie_v = np.nonzero(score >= kth[:, None])
-            rows_q = np.concatenate([rows_q, qids[tie_q]])
-            rows_i = np.concatenate([rows_i, ids[tie_v]])
-            rows_s = np.concatenate([rows_s, score[tie_q, tie_v]])
-            out = pd.DataFrame({"query_id": rows_q, "id": rows_i, "score": rows_s}).drop_duplicates(["query_id", "id"])
-            yield out
+                vm = vm / np.maximum(np.linalg.norm(vm, axis=1, keepdims=True), 1e-300)
+            step = max(1, CUBE_CELLS // vm.size)
+            for i in range(0, len(queries), step):
+                some = queries.iloc[i:i + step]
+                qm = np.stack(some["vector"].to_numpy()).astype(np.float64)
+                if qm.shape[1] != vm.shape[1]:
+                    raise ValueError(f"vector dimension {vm.shape[1]} != query dimension {qm.shape[1]}")
+                if metric == "cosine":
+                    qm = qm / np.maximum(np.linalg.norm(qm, axis=1, keepdims=True), 1e-300)
+                    score = (1.0 + qm @ vm.T) / 2.0
+                else:
+                    score = 1.0 / (1.0 + ((qm[:, None, :] - vm[None, :, :]) ** 2).sum(axis=2))
+                best = np.argsort(-score, axis=1, kind="stable")[:, :k]  # ids ascend, so ties go to the least
+                out.append(pd.DataFrame({"query_id": np.repeat(some["query_id"].to_numpy(), best.shape[1]), "id": ids[best.ravel()],
+                                         "score": np.take_along_axis(score, best, axis=1).ravel()}))
+        return pd.concat(out) if out else pd.DataFrame({"query_id": [], "id": [], "score": []}).astype(dict(zip(("query_id", "id"), kinds)))
     return run
 
 
@@ -104,34 +80,23 @@ def knn_topk_batch(spark: SparkSession, queries: DataFrame, vectors: DataFrame,
                    vec_col: str = "embedding", metric: str = "l2") -> DataFrame:
     """Exact top-k per query: (query_id, rank, id, score), ties broken by id.
 
-    l2 score = 1/(1+d^2); cosine score = (1+cos)/2.
+    l2 score = 1/(1+d^2); cosine score = (1+cos)/2.  Both sides are cut into blocks of bounded rows; every pair of
+    blocks meets in one task, by an equi-join on the two block numbers, and only its best ``k`` a query are
+    shuffled on.  Exact search compares all queries with all vectors by definition; nothing is collected.
     """
     q = queries.select(F.col(query_id).alias("query_id"), F.col(query_vec).alias("vector"))
-    n_q = q.count()
-    first = q.select(F.size("vector").alias("d")).first()
-    dim = first["d"] if first else 1
-    per_block = max(1, MAX_QUERY_CELLS // max(dim, 1))
     v = vectors.select(F.col(id_col).alias("id"), F.col(vec_col).alias("embedding"))
-    out = None
-    n_blocks = max(1, -(-n_q // per_block))
-    qb = q.withColumn("_blk", F.pmod(F.xxhash64("query_id"), F.lit(n_blocks))) if n_blocks > 1 else q
-    for b in range(n_blocks):
-        blk = qb.where(F.col("_blk") == b) if n_blocks > 1 else qb
-        rows = blk.select("query_id", "vector").collect()  # bounded: one block of queries
-        if not rows:
-            continue
-        qids = np.array([r[0] for r in rows])
-        qmat = np.array([np.asarray(r[1], dtype=np.float64) for r in rows])
-        cand = v.mapInPandas(_topk_partition(qids, qmat, k, metric, "id", "embedding"),
-                             schema=f"query_id {q.schema['query_id'].dataType.simpleString()}, "
-                                    f"id {v.schema['id'].dataType.simpleString()}, score double")
-        out = cand if out is None else out.unionByName(cand)
-    if out is None:
-        return spark.createDataFrame([], f"query_id {q.schema['query_id'].dataType.simpleString()}, rank int, "
-                                         f"id {v.schema['id'].dataType.simpleString()}, score double")
+    nq = -(-q.count() // QUERY_BLOCK) or 1
+    nv = max(-(-v.count() // VECTOR_BLOCK), spark.sparkContext.defaultParallelism)
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    qb = q.withColumn("qb", F.pmod(F.xxhash64("query_id"), F.lit(nq)).cast("int")).withColumn("vb", every(nv))
+    vb = v.withColumn("vb", F.pmod(F.xxhash64("id"), F.lit(nv)).cast("int")).withColumn("qb", every(nq))
+    types = [d.schema[c].dataType.simpleString() for d, c in ((q, "query_id"), (v, "id"))]
+    kinds = tuple("int64" if t in ("int", "bigint") else object for t in types)
+    best = qb.groupBy("qb", "vb").cogroup(vb.groupBy("qb", "vb")).applyInPandas(
+        _top_of_block(k, metric, kinds), f"query_id {types[0]}, id {types[1]}, score double")
     w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("id").asc())
-    return out.select("query_id", F.row_number().over(w).alias("rank"), "id", "score") \
-        .where(F.col("rank") <= k)
+    return best.select("query_id", F.row_number().over(w).alias("rank"), "id", "score").where(F.col("rank") <= k)
 
 
 def knn_topk(spark: SparkSession, query_vector: DataFrame, vectors: DataFrame, k: int = 2, **kw) -> DataFrame:
@@ -143,8 +108,7 @@ def knn_approx(queries: DataFrame, vectors: DataFrame, k: int = 2, bucket_length
                num_tables: int = 4, seed: int = 7, query_id: str = "query_id", query_vec: str = "vector",
                id_col: str = "id", vec_col: str = "embedding") -> DataFrame:
     """Approximate top-k: random-projection LSH buckets (Spark ML), candidates are
-    vectors sharing a bucket with the query (broadcast hash join on
-    (table, bucket): vectors are never shuffled by bucket), exact re-rank,
+    vectors sharing a bucket with the query (equi-join on (table, bucket)), exact re-rank,
     per-query top-k with a partial limit before the shuffle."""
     from pyspark.ml.feature import BucketedRandomProjectionLSH
     from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -160,7 +124,7 @@ def knn_approx(queries: DataFrame, vectors: DataFrame, k: int = 2, bucket_length
     q = queries.select(F.col(query_id).alias("query_id"), array_to_vector(F.col(query_vec)).alias("features"),
                        F.col(query_vec).alias("vector"))
     qh = buckets(q, ["query_id", "vector"])
-    cand = vh.join(F.broadcast(qh), ["tbl", "bucket"]).select("query_id", "id", "embedding", "vector").dropDuplicates(
+    cand = vh.join(qh, ["tbl", "bucket"]).select("query_id", "id", "embedding", "vector").dropDuplicates(
         ["query_id", "id"])
     d2 = F.aggregate(F.zip_with("vector", "embedding", lambda a, b: (a.cast("double") - b.cast("double")) *
                                 (a.cast("double") - b.cast("double"))), F.lit(0.0), lambda s, x: s + x)
@@ -185,6 +149,6 @@ def vector_entries(spark: SparkSession, docs: DataFrame, order_col: str, vec_col
     counts = ranged.groupBy("_pid").count()
     offsets = counts.select("_pid", (F.sum("count").over(Window.orderBy("_pid")) - F.col("count")).alias("_off"))
     local = ranged.withColumn("_local", F.row_number().over(Window.partitionBy("_pid").orderBy(order_col)))
-    numbered = local.join(F.broadcast(offsets), "_pid").withColumn("id", (F.col("_off") + F.col("_local")).cast("int"))
+    numbered = local.join(F.broadcast(offsets), "_pid").withColumn("id", F.col("_off") + F.col("_local"))
     return numbered.select("id", F.col("id").cast("string").alias("_id"), F.col(name_col).alias("name"),
                            F.lit(description).alias("description"), F.col(vec_col).alias("embedding"))

@@ -11,18 +11,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from folio.functions.identity import fingerprint
 from folio.operators import chunking as C
 from folio.operators import ledger as G
 from folio.operators import links as K
 from folio.operators import listing as L
 from folio.operators import store as S
 from folio.operators import vectors as V
+from folio.session import scratch_path
 from folio.sources.render import render_listing_pages
 
 CHUNK_SEP = "\n"          # documents hold no blank lines, so chunk on single newlines
 CHUNK_SIZE = 1000
 DIM = 64                  # dimension of the given embeddings table
-QUESTION = "I have a question about this article"
+QUESTION = "which report tells of the river and the bridge"
 ALLOWED_DOMAINS = ["example.com"]
 KNOWN_SOURCES = [L.CRAWLER_NAME]
 LISTING_COLS = ["source_page_url", "row_pos", "doc_name", "doc_num", "doc_title", "doc_type", "display_doc_type",
@@ -36,9 +38,9 @@ def _t(spark: SparkSession, d: str, name: str) -> DataFrame:
 
 def listing_source(spark, d):
     """Listing pages rendered from ``part`` and materialised (reliable checkpoint in
-    the shared folder), so they behave like a scanned page table."""
-    return render_listing_pages(_t(spark, d, "part").select(
-        "p_partkey", "p_brand", "p_type", "p_size")).checkpoint(eager=True)
+    the shared folder), dealt out over the cores, so they behave like a scanned page table."""
+    pages = render_listing_pages(_t(spark, d, "part").select("p_partkey", "p_brand", "p_type", "p_size"))
+    return pages.repartition(spark.sparkContext.defaultParallelism, "page_id").checkpoint(eager=True)
 
 
 def records(spark, d, pages=None):
@@ -46,22 +48,19 @@ def records(spark, d, pages=None):
 
 
 def crawl_store(spark, d):
-    """Store after a crawl and a replayed crawl: first-writer-wins, insert only unseen ids."""
-    # the first crawl is materialised (reliable checkpoint in the shared folder), as a store would be
-    pages = listing_source(spark, d)
-    first = S.first_wins(S.with_store_keys(records(spark, d, pages)), key="_id").checkpoint(eager=True)
-    replay = S.first_wins(S.with_store_keys(records(spark, d, pages)), key="_id")
-    return first.unionByName(S.new_records(replay, first))
+    """Store after a crawl of two thirds of the pages and then one of all: insert only unseen ids."""
+    recs = records(spark, d).checkpoint(eager=True)
+    block = F.regexp_extract("source_page_url", r"/p(\d+)/", 1).cast("bigint")
+    path = scratch_path(spark, "store")
+    S.insert_if_absent(spark, recs.where(block % 3 != 0), path)
+    S.insert_if_absent(spark, recs, path)
+    return S.read_store(spark, path)
 
 
 def chunks(spark, d):
     return C.chunk_text(_t(spark, d, "documents"), "text", "doc_id", CHUNK_SEP, CHUNK_SIZE, 0)
 
 
-def doc_vectors(spark, d):
-    return V.hash_embed(_t(spark, d, "documents"), "text", ["doc_id"], DIM)
-
-
 def _round_vec(c, nd=6):
     return F.transform(c, lambda x: F.round(x, nd))
 
@@ -145,12 +144,14 @@ def q_first_chunk(spark, d):
 
 
 def q_append_chunks(spark, d):
-    return C.chunk_ids(chunks(spark, d)).select("doc_id", "chunk_pos", "chunk_id")
+    path = scratch_path(spark, "chunks")
+    C.append_chunks(chunks(spark, d), path)
+    return spark.read.parquet(path).select("doc_id", "chunk_pos", "chunk_id")
 
 
 def q_embed_chunks(spark, d):
-    v = doc_vectors(spark, d)
-    return v.select("doc_id", _round_vec(F.col("embedding")).alias("embedding"))
+    v = V.hash_embed(C.chunk_ids(chunks(spark, d)), "chunk", ["chunk_id"], DIM)
+    return v.select("chunk_id", _round_vec(F.col("embedding")).alias("embedding"))
 
 
 def q_knn_topk(spark, d):
@@ -194,17 +195,21 @@ def q_ledger_state(spark, d):
 
 
 def q_corpus_profile(spark, d):
-    docs = _t(spark, d, "documents")
-    per_doc = chunks(spark, d).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
-    return docs.join(per_doc, "doc_id", "left").groupBy("source").agg(
-        F.count(F.lit(1)).alias("n_docs"), F.sum("n_chars").alias("n_chars"),
-        F.coalesce(F.sum("n"), F.lit(0)).alias("n_chunks"))
+    docs = _t(spark, d, "documents").select("source", "n_chars", F.size(C.chunk_array("text", CHUNK_SEP, CHUNK_SIZE)).alias("n"))
+    return docs.groupBy("source").agg(F.count(F.lit(1)).alias("n_docs"), F.sum("n_chars").alias("n_chars"),
+                                      F.sum(F.greatest("n", F.lit(0))).alias("n_chunks"))
+
+
+def q_vector_profile(spark, d):
+    """How many vectors there are of each width."""
+    return _t(spark, d, "embeddings").groupBy(F.size("embedding").alias("dims")).agg(F.count(F.lit(1)).alias("n_vectors"))
 
 
 def q_vector_entry(spark, d):
-    docs = _t(spark, d, "documents").select("doc_id", F.concat(F.lit("doc-"), F.col("doc_id").cast("string"))
-                                            .alias("name"), F.lit(None).cast("array<double>").alias("embedding"))
-    return V.vector_entries(spark, docs, "doc_id", "embedding", "name").select("id", "_id", "name", "description")
+    vec = V.hash_embed(C.first_chunk(chunks(spark, d)), "chunk", ["doc_id"], DIM)
+    docs = vec.select("doc_id", F.concat(F.lit("doc-"), F.col("doc_id").cast("string")).alias("name"), "embedding")
+    out = V.vector_entries(spark, V.assert_dim(docs, "embedding", DIM), "doc_id", "embedding", "name")
+    return out.select("id", "_id", "name", "description", _round_vec(F.col("embedding")).alias("embedding"))
 
 
 def q_upsert_by_id(spark, d):
@@ -240,9 +245,8 @@ def q_run_stages(spark, d):
 
 
 def q_export_utf8(spark, d):
-    from folio.session import scratch_path
     from folio.sources.export import export_utf8
-    path = export_utf8(C.first_chunk(chunks(spark, d)), scratch_path(spark, "export"))
+    path = export_utf8(chunks(spark, d), scratch_path(spark, "export"))
     return spark.read.schema("doc_id bigint, chunk_pos int, chunk string").json(path)
 
 
@@ -252,7 +256,80 @@ def q_ingest_stream(spark, d):
         "_id", "_needs_download", "source_page_url", "row_pos", "doc_name", "download_url")
 
 
+def q_permissive(spark, d):
+    return L.extract_records(listing_source(spark, d), mode="permissive").select("source_page_url", "row_pos", "doc_name")
+
+
+def q_normalise_date(spark, d):
+    return L.extract_records(listing_source(spark, d), date_mode="parsed").select("source_page_url", "row_pos", "publication_date")
+
+
+def q_office_by_header(spark, d):
+    return L.extract_records(listing_source(spark, d), opr_header="OPR").select("source_page_url", "row_pos", "office_primary_resp")
+
+
+def q_record_constants(spark, d):
+    """The record columns that extract_listing leaves out."""
+    raw = F.col("version_hash_raw_data")
+    return records(spark, d).select(
+        "source_page_url", "row_pos", "crawler_used", "display_org", "data_source", "source_title", "display_source", "is_revoked",
+        "office_primary_resp", F.size("downloadable_items").alias("n_items"), F.col("downloadable_items")[0]["download_url"].alias("item_url"),
+        raw["change_date"].alias("change_date"))
+
+
+def q_require_fields(spark, d):
+    return L.require_fields(records(spark, d), "strict", ["doc_name", "download_url"]).select("source_page_url", "row_pos")
+
+
+def q_project_hits(spark, d):
+    return S.project_hits(_t(spark, d, "documents"), ["doc_id", "source"])
+
+
+def q_attach_metadata(spark, d):
+    meta = _t(spark, d, "documents").select("doc_id", F.to_json(F.struct("lang", "source")).alias("metadata"))
+    return C.attach_metadata(chunks(spark, d), by=meta, on="doc_id").select("doc_id", "chunk_pos", "metadata")
+
+
+def q_vector_schema(spark, d):
+    return V.assert_dim(_t(spark, d, "embeddings"), "embedding", DIM).select("vec_id", F.size("embedding").alias("dims"))
+
+
+def q_fingerprint(spark, d):
+    docs = _t(spark, d, "documents").withColumn("long", F.col("n_chars") > 500)
+    return docs.select("doc_id", fingerprint({"doc_id": "doc_id", "lang": "lang", "long": "long"},
+                                             {"doc_id": "bigint", "long": "boolean"}).alias("fingerprint"))
+
+
+def q_chunk_overlap(spark, d):
+    return C.chunk_text(_t(spark, d, "documents"), "text", "doc_id", CHUNK_SEP, CHUNK_SIZE, 200)
+
+
+def q_chunk_recursive(spark, d):
+    return C.chunk_recursive(_t(spark, d, "documents"))
+
+
+def q_snapshot_upsert(spark, d):
+    """Repeated ids in one upsert (the last by value stays), written as a snapshot and read back."""
+    docs = _t(spark, d, "documents").select(F.col("doc_id").alias("id"), F.col("n_chars").alias("value"))
+    new = _t(spark, d, "events").select(F.col("user_id").alias("id"), F.col("event_id").alias("value"))
+    path = S.write_snapshot(S.upsert_by_id(docs, new, "id", order="value"), scratch_path(spark, "snapshot"), 1)
+    return spark.read.parquet(path)
+
+
 QUERIES = {
+    "permissive": q_permissive,
+    "normalise_date": q_normalise_date,
+    "office_by_header": q_office_by_header,
+    "record_constants": q_record_constants,
+    "require_fields": q_require_fields,
+    "project_hits": q_project_hits,
+    "attach_metadata": q_attach_metadata,
+    "vector_schema": q_vector_schema,
+    "vector_profile": q_vector_profile,
+    "fingerprint": q_fingerprint,
+    "chunk_overlap": q_chunk_overlap,
+    "chunk_recursive": q_chunk_recursive,
+    "snapshot_upsert": q_snapshot_upsert,
     "scan_pages": q_scan_pages,
     "scan_documents": q_scan_documents,
     "extract_listing": q_extract_listing,

@@ -70,7 +70,7 @@ rec AS (
     CASE WHEN empty_row THEN '' ELSE url END AS download_url,
     CASE WHEN empty_row THEN 'Unkown' ELSE 'pdf' END AS file_ext,
     'www.esd.whs.mil' AS source_fqdn,
-    CASE WHEN empty_row THEN '' ELSE chg_date END AS change_date
+    CASE WHEN empty_row THEN '' ELSE chg_date END AS change_date, k, s, b, block, empty_row
   FROM r),
 rec2 AS (SELECT *, doc_type || ' ' || doc_num || ': ' || doc_title AS display_title FROM rec),
 listing AS (
@@ -161,7 +161,7 @@ links AS (
 
 
 def oracle_sql() -> dict[str, str]:
-    q_embed = _embed_cte("(SELECT 0::BIGINT AS query_id, '" + "I have a question about this article" + "' AS text)",
+    q_embed = _embed_cte("(SELECT 0::BIGINT AS query_id, 'which report tells of the river and the bridge' AS text)",
                          "query_id", "text", "qv")
     b_embed = _embed_cte("benchmark", "item_id", "text", "qv")
     return {
@@ -171,7 +171,37 @@ def oracle_sql() -> dict[str, str]:
         "first_wins": _with_listing("SELECT version_hash, source_page_url, row_pos, doc_name FROM store"),
         "insert_if_absent": _with_listing(
             "SELECT version_hash AS _id, true AS _needs_download, source_page_url, row_pos, doc_name, download_url "
-            "FROM store"),
+            "FROM (SELECT *, row_number() OVER (PARTITION BY version_hash ORDER BY (block % 3 = 0), source_page_url, row_pos) AS rn "
+            "FROM listing) WHERE rn = 1"),
+        "listing_errors": _with_listing(
+            f"SELECT '{PAGE_ROOT}' || block::VARCHAR || '/' || suffix AS source_page_url, min(row_pos)::INTEGER AS row_pos, "
+            "'E1_no_anchor' AS error FROM q WHERE bad GROUP BY block, suffix"),
+        "header_position": _with_listing(
+            f"SELECT DISTINCT '{PAGE_ROOT}' || block::VARCHAR || '/' || suffix AS source_page_url, 6::INTEGER AS header_pos FROM q"),
+        "permissive": "WITH " + _LISTING_CTE.replace("(first_bad IS NULL OR row_pos < first_bad)", "NOT bad")
+                      + "SELECT source_page_url, row_pos, doc_name FROM listing",
+        "normalise_date": _with_listing(
+            "SELECT source_page_url, row_pos, CASE WHEN empty_row THEN '' ELSE strftime(make_date(2020, (s % 12 + 1)::INTEGER, "
+            "(k % 28 + 1)::INTEGER), '%Y-%m-%dT00:00:00') END AS publication_date FROM listing"),
+        "office_by_header": _with_listing(
+            "SELECT source_page_url, row_pos, CASE WHEN empty_row THEN '' ELSE b END AS office_primary_resp FROM listing"),
+        "record_constants": _with_listing(
+            "SELECT source_page_url, row_pos, 'dod_issuances' AS crawler_used, 'Dept. of Defense' AS display_org, "
+            "'WHS DoD Directives Division' AS data_source, 'Unlisted Source' AS source_title, "
+            "'WHS DoD Directives Division - Unlisted Source' AS display_source, false AS is_revoked, '' AS office_primary_resp, "
+            "1::INTEGER AS n_items, CASE WHEN empty_row THEN NULL ELSE download_url END AS item_url, change_date FROM listing"),
+        "require_fields": _with_listing("SELECT source_page_url, row_pos FROM listing WHERE NOT empty_row"),
+        "project_hits": "SELECT doc_id, source FROM documents",
+        "attach_metadata": _with_chunks(
+            """SELECT doc_id, chunk_pos, '{"lang":"' || lang || '","source":"' || source || '"}' AS metadata
+               FROM chunks JOIN documents USING (doc_id)"""),
+        "vector_schema": "SELECT vec_id, len(embedding)::INTEGER AS dims FROM embeddings",
+        "vector_profile": "SELECT len(embedding)::INTEGER AS dims, count(*) AS n_vectors FROM embeddings GROUP BY 1",
+        "fingerprint": "SELECT doc_id, sha256(concat('(', chr(39), 'doc_id', chr(39), ', ', doc_id, ')(', chr(39), 'lang', chr(39), ', ', "
+                       "chr(39), lang, chr(39), ')(', chr(39), 'long', chr(39), ', ', "
+                       "CASE WHEN n_chars > 500 THEN 'True' ELSE 'False' END, ')')) AS fingerprint FROM documents",
+        "snapshot_upsert": "WITH n AS (SELECT user_id AS id, max(event_id) AS value FROM events GROUP BY 1) "
+                           "SELECT id, value FROM n UNION ALL SELECT doc_id, n_chars FROM documents WHERE doc_id NOT IN (SELECT id FROM n)",
         "scan_store": _with_listing(
             "SELECT version_hash AS _id, doc_name, download_url FROM store ORDER BY version_hash LIMIT 10"),
         "download_worklist": _with_listing(
@@ -198,8 +228,9 @@ def oracle_sql() -> dict[str, str]:
         "first_chunk": _with_chunks("SELECT doc_id, chunk_pos, chunk FROM chunks WHERE chunk_pos = 0"),
         "append_chunks": _with_chunks("SELECT doc_id, chunk_pos, sha256(doc_id::VARCHAR || '|' || chunk_pos::VARCHAR "
                                       "|| '|' || chunk) AS chunk_id FROM chunks"),
-        "embed_chunks": "WITH " + _embed_cte("documents", "doc_id", "text", "dv")
-                        + "SELECT key AS doc_id, list_transform(vec, lambda x: round(x, 6)) AS embedding FROM dv",
+        "embed_chunks": _with_chunks(", " + _embed_cte(
+            "(SELECT sha256(doc_id::VARCHAR || '|' || chunk_pos::VARCHAR || '|' || chunk) AS chunk_id, chunk FROM chunks)",
+            "chunk_id", "chunk", "cv") + "SELECT key AS chunk_id, list_transform(vec, lambda x: round(x, 6)) AS embedding FROM cv"),
         "knn_topk": _knn_sql(q_embed, "qv"),
         "knn_topk_batch": _knn_sql(b_embed, "qv"),
         "ledger_state": """WITH o AS (SELECT CAST(user_id AS VARCHAR) AS _id, min(ts) AS start_time FROM events
@@ -211,9 +242,10 @@ def oracle_sql() -> dict[str, str]:
         "corpus_profile": _with_chunks(""", pc AS (SELECT doc_id, count(*) AS n FROM chunks GROUP BY doc_id)
             SELECT source, count(*) AS n_docs, sum(n_chars) AS n_chars, coalesce(sum(n), 0) AS n_chunks
             FROM documents d LEFT JOIN pc USING (doc_id) GROUP BY source"""),
-        "vector_entry": "SELECT (row_number() OVER (ORDER BY doc_id))::INTEGER AS id, "
-                        "(row_number() OVER (ORDER BY doc_id))::VARCHAR AS _id, 'doc-' || doc_id::VARCHAR AS name, "
-                        "'a good description' AS description FROM documents",
+        "vector_entry": _with_chunks(", " + _embed_cte("(SELECT doc_id, chunk FROM chunks WHERE chunk_pos = 0)", "doc_id", "chunk", "fv")
+            + "SELECT row_number() OVER (ORDER BY key) AS id, (row_number() OVER (ORDER BY key))::VARCHAR AS _id, "
+            "'doc-' || key::VARCHAR AS name, 'a good description' AS description, "
+            "list_transform(vec, lambda x: round(x, 6)) AS embedding FROM fv"),
         "upsert_by_id": "SELECT doc_id AS id, 'a good description' AS description FROM documents d WHERE NOT EXISTS "
                         "(SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id) UNION ALL "
                         "SELECT doc_id AS id, 'quality=' || quality::VARCHAR AS description FROM labels",
@@ -226,7 +258,7 @@ def oracle_sql() -> dict[str, str]:
             "chunk_id", "chunk", "cv") + "SELECT key AS chunk_id, list_transform(vec, lambda x: round(x, 6)) AS embedding FROM cv"),
         "run_stages": "SELECT doc_id, source, n_chars FROM documents d WHERE n_chars > 0 AND NOT EXISTS "
                       "(SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)",
-        "export_utf8": _with_chunks("SELECT doc_id, chunk_pos, chunk FROM chunks WHERE chunk_pos = 0"),
+        "export_utf8": _with_chunks("SELECT doc_id, chunk_pos, chunk FROM chunks"),
         "ingest_stream": _with_listing(
             "SELECT version_hash AS _id, true AS _needs_download, source_page_url, row_pos, doc_name, download_url "
             "FROM store"),

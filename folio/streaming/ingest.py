@@ -23,30 +23,34 @@ def _batch_writer(store_path: str):
         spark = batch.sparkSession
         recs = S.first_wins(S.with_store_keys(L.extract_records(batch)), key="_id")
         existing = S.read_store(spark, store_path)
-        if existing is not None and "batch_id" in existing.columns:
-            others = existing.where(F.col("batch_id") != batch_id).select("_id")
-            recs = recs.join(others, "_id", "left_anti")
+        if existing is not None:
+            recs = recs.checkpoint(eager=True)
+            others = existing.where(F.col("batch_id") != batch_id)
+            recs = S.new_records(recs, S.existing_ids(others, recs))
         (recs.withColumn("batch_id", F.lit(batch_id))
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("batch_id").parquet(store_path))
     return write
 
 
-def start_ingest(spark: SparkSession, pages_dir: str, store_path: str, checkpoint: str, schema: str):
+def start_ingest(spark: SparkSession, pages_dir: str, store_path: str, checkpoint: str, schema: str,
+                 files_per_batch: int = 64):
     """Start the stream over a folder of page files; returns the StreamingQuery."""
-    src = spark.readStream.schema(schema).option("maxFilesPerTrigger", 64).parquet(pages_dir)
+    src = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(pages_dir)
     return (src.writeStream.foreachBatch(_batch_writer(store_path))
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
 
 
-def ingest_pages_stream(spark: SparkSession, pages: DataFrame) -> DataFrame:
-    """Land ``pages`` as files, run the stream to completion, return the store."""
+def ingest_pages_stream(spark: SparkSession, pages: DataFrame, files: int = 3, files_per_batch: int = 1) -> DataFrame:
+    """Land ``pages`` as ``files`` ordered files, run the stream to completion, return the store (with batch_id)."""
     root = scratch_path(spark, "ingest")
     pages_dir, store_path, ckpt = f"{root}/pages", f"{root}/store", f"{root}/_checkpoint"
-    pages.write.mode("overwrite").parquet(pages_dir)
-    q = start_ingest(spark, pages_dir, store_path, ckpt, "page_id bigint, url string, html string")
+    tagged = pages.repartitionByRange(files, "url").withColumn("_file", F.spark_partition_id()).checkpoint(eager=True)
+    for k in range(files):  # one after the other: the stream takes the oldest file first
+        tagged.where(F.col("_file") == k).drop("_file").coalesce(1).write.mode("append").parquet(pages_dir)
+    q = start_ingest(spark, pages_dir, store_path, ckpt, "page_id bigint, url string, html string", files_per_batch)
     q.awaitTermination()
-    return spark.read.parquet(store_path).drop("batch_id")
+    return spark.read.parquet(store_path)
 
 
 def _embed_writer(store_path: str, separator: str, size: int, dim: int):
@@ -57,9 +61,10 @@ def _embed_writer(store_path: str, separator: str, size: int, dim: int):
         spark = batch.sparkSession
         chunks = C.chunk_ids(C.chunk_text(batch, "text", "doc_id", separator, size, 0))
         existing = S.read_store(spark, store_path)
-        if existing is not None and "batch_id" in existing.columns:
-            chunks = chunks.join(existing.where(F.col("batch_id") != batch_id).select("chunk_id"), "chunk_id",
-                                 "left_anti")
+        if existing is not None:
+            chunks = chunks.checkpoint(eager=True)
+            others = existing.where(F.col("batch_id") != batch_id)
+            chunks = S.new_records(chunks, S.existing_ids(others, chunks, "chunk_id"), "chunk_id")
         vecs = V.hash_embed(chunks, "chunk", ["chunk_id", "doc_id", "chunk_pos"], dim)
         (vecs.withColumn("batch_id", F.lit(batch_id))
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -68,14 +73,14 @@ def _embed_writer(store_path: str, separator: str, size: int, dim: int):
 
 
 def embed_documents_stream(spark: SparkSession, docs: DataFrame, separator: str = "\n", size: int = 1000,
-                           dim: int = 64) -> DataFrame:
+                           dim: int = 64, files: int = 3, files_per_batch: int = 1) -> DataFrame:
     """Land documents as files; a checkpointed stream chunks them and embeds only
     chunks whose content id has no vector yet; returns the vector store."""
     root = scratch_path(spark, "embed")
     docs_dir, store_path, ckpt = f"{root}/docs", f"{root}/vectors", f"{root}/_checkpoint"
-    docs.select("doc_id", "text").write.mode("overwrite").parquet(docs_dir)
-    q = (spark.readStream.schema("doc_id bigint, text string").option("maxFilesPerTrigger", 64).parquet(docs_dir)
+    docs.select("doc_id", "text").repartition(files).write.mode("overwrite").parquet(docs_dir)
+    q = (spark.readStream.schema("doc_id bigint, text string").option("maxFilesPerTrigger", files_per_batch).parquet(docs_dir)
          .writeStream.foreachBatch(_embed_writer(store_path, separator, size, dim))
          .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
     q.awaitTermination()
-    return spark.read.parquet(store_path).drop("batch_id")
+    return spark.read.parquet(store_path)
