@@ -18,21 +18,15 @@ def test_chunk_fixture_f6(spark):
 
 
 def _loop_chunks(text, sep, size, overlap):
-    splits = [s for s in text.split(sep) if s != '']
-    docs, cur, total = [], [], 0
-    for d in splits:
-        L = len(d)
-        if total + L + (len(sep) if cur else 0) > size:
-            if cur:
-                docs.append(sep.join(cur).strip())
-                while total > overlap or (total + L + (len(sep) if cur else 0) > size and total > 0):
-                    total -= len(cur[0]) + (len(sep) if len(cur) > 1 else 0)
-                    cur = cur[1:]
-        cur.append(d)
-        total += L + (len(sep) if len(cur) > 1 else 0)
-    if cur:
-        docs.append(sep.join(cur).strip())
-    return [d for d in docs if d]
+    """Chunks by the stated rule, on joined strings: the suffix kept is the longest one that fits."""
+    chunks, held = [], []
+    for piece in filter(None, text.split(sep)):
+        if held and len(sep.join([*held, piece])) > size:
+            chunks.append(sep.join(held))
+            fits = (k for k in range(len(held)) if len(sep.join(held[k:])) <= overlap and len(sep.join([*held[k:], piece])) <= size)
+            held = held[next(fits, len(held)):]
+        held.append(piece)
+    return [c for c in (x.strip() for x in [*chunks, sep.join(held)]) if c]
 
 
 def test_chunk_overlap_matches_loop(spark):
