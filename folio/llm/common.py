@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from folio.session import ensure_checkpoint_dir
 
-SLICE_BYTES = 4 << 20  # text bytes handled at once in a task; a longer single text is one slice
+SLICE_BYTES = 1 << 20  # text bytes handled at once in a task; a longer single text is one slice
 SLICE_ROWS = 1 << 14
 MULT = np.uint64(0x9E3779B97F4A7C13)  # 3 modulo 8, so that powers of it repeat as late as they can
 MULT_INV = np.uint64(pow(int(MULT), -1, 1 << 64))

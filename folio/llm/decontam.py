@@ -28,6 +28,7 @@ from folio.session import ensure_checkpoint_dir
 from .common import byte_table, fresh, mix64, row_counts, slices, split_words, text_buffers, word_hashes
 
 WINDOW = 10
+SHARD_BYTES = 4 << 20  # of documents in one suffix array; a longer text is a shard of its own
 BLOCK_BYTES = 8 << 20  # of test texts broadcast at once
 WORDS = byte_table(bytes([*range(0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)]))
 _PLACE = np.uint64(0x9FB21C651E98DF25)
@@ -160,7 +161,7 @@ def _search(block, cols: int, text_at: int, names: list[str]):
         ids = np.asarray(ids, dtype=object)
         for b in batches:
             data, offsets = text_buffers(b.column(text_at))
-            for i, j in slices(offsets):
+            for i, j in slices(offsets, SHARD_BYTES):
                 counts, place, row, window = shard_hits(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i], wins, lens)
                 part, end = b.slice(i, j - i), place + (lens[window] if len(window) else 0)
                 both = np.unique(np.stack([row, window], axis=1), axis=0) if len(row) else np.zeros((0, 2), np.int64)
@@ -234,7 +235,7 @@ def _diagonals(block):
         span = np.searchsorted(pair[:, 0], np.arange(len(wins) + 1)) if len(wins) else np.zeros(1, np.int64)
         for b in batches:
             data, offsets = text_buffers(b.column(1))
-            for i, j in slices(offsets):
+            for i, j in slices(offsets, SHARD_BYTES):
                 _, place, row, window = shard_hits(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i], wins, lens)
                 n = span[window + 1] - span[window] if len(window) else np.zeros(0, np.int64)
                 own = pair[np.repeat(span[window] - (np.cumsum(n) - n), n) + np.arange(n.sum())] if len(window) else pair[:0]

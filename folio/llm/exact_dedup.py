@@ -29,7 +29,7 @@ SEGMENT_BITS = 1 << 16
 PROBES = 2
 BITS_PER_ROW = 16
 MAX_BITS = 1 << 31
-BUFFER = 1 << 20  # hashes held in a task before their bits are sent
+BUFFER = 1 << 18  # hashes held in a task before their bits are sent
 
 
 def _probe(h: np.ndarray, bits: int) -> list[np.ndarray]:
@@ -88,12 +88,13 @@ def filter_bits(rows: int, bits_per_row: int = BITS_PER_ROW, max_bits: int = MAX
     return bits
 
 
-def repeated_filter(docs: DataFrame, text: Column, bits: int):
-    """Pass 1: a broadcast bitmap of bits that at least two rows hit."""
-    sc = docs.sparkSession.sparkContext
-    hashes = docs.select(F.xxhash64(text).alias("h"))
-    parts = max(1, min(bits // SEGMENT_BITS, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
-    merged = (hashes.mapInArrow(_send_bits(bits), "seg long, at binary")
+def repeated_filter(hashes: DataFrame, bits: int, make=iter):
+    """Pass 1: a broadcast bitmap of bits that at least two rows of ``hashes`` hit.
+
+    ``hashes`` is one long column, or any rows from whose batches ``make`` makes batches of such a column."""
+    sc, send = hashes.sparkSession.sparkContext, _send_bits(bits)
+    parts = max(1, min(bits // SEGMENT_BITS, int(hashes.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    merged = (hashes.mapInArrow(lambda batches: send(make(batches)), "seg long, at binary")
               .repartition(parts, "seg").mapInArrow(_merge_bits, "seg long, bitmap binary"))
     whole = np.zeros(bits // 8, np.uint8)
     size = SEGMENT_BITS // 8
@@ -102,21 +103,27 @@ def repeated_filter(docs: DataFrame, text: Column, bits: int):
     return sc.broadcast(whole)
 
 
-def possibly_repeated(text: Column, filt, bits: int) -> Column:
-    """Pass 2: whether all bits of the text's hash were hit at least twice."""
+def in_filter(h: np.ndarray, bitmap: np.ndarray, bits: int) -> np.ndarray:
+    """Whether all bits of each hash were hit at least twice."""
+    found = np.ones(len(h), bool)
+    for at in _probe(h, bits):
+        found &= (bitmap[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
+    return found
+
+
+def possibly_repeated(hash_: Column, filt, bits: int) -> Column:
+    """Pass 2 for a column of hashes."""
     @F.arrow_udf("boolean")
     def probe(h: pa.Array) -> pa.Array:
-        found = np.ones(len(h), bool)
-        for at in _probe(h.to_numpy(zero_copy_only=False), bits):
-            found &= (filt.value[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
-        return pa.array(found)
-    return probe(F.xxhash64(text))
+        return pa.array(in_filter(h.to_numpy(zero_copy_only=False), filt.value, bits))
+    return probe(hash_)
 
 
 def _filtered(docs: DataFrame, text_col: str, max_bits: int) -> tuple[Column, Column]:
     text = F.coalesce(F.col(text_col), F.lit(""))
     bits = filter_bits(docs.count(), max_bits=max_bits)
-    return text, possibly_repeated(text, repeated_filter(docs, text, bits), bits)
+    filt = repeated_filter(docs.select(F.xxhash64(text).alias("h")), bits)
+    return text, possibly_repeated(F.xxhash64(text), filt, bits)
 
 
 def assign(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_bits: int = MAX_BITS) -> DataFrame:

@@ -6,14 +6,21 @@ its least value; in round T + j every shingle goes into bin j, so all bins fill
 after the first round that leaves no bin empty; rows of more than T ln T shingles mostly need one.  The rows
 of a bin agree with probability equal to the Jaccard similarity, with Chernoff-type bounds over bins.
 
-Candidates: ``BANDS`` bands of ``T / BANDS`` bins.  At similarity 0.85 two documents share no band with
-probability (1 - 0.85**4)**24 < 2.1e-8.  Documents with equal sets are one class beforehand.
+Candidates: ``bands(threshold)`` bands of equally many bins.  At similarity 0.85 two documents share no band of 6 bins
+with probability (1 - 0.85**6)**30 < 7e-7; for a threshold of 0.8 the bands have 5 bins, (1 - 0.8**5)**36 < 7e-7.
+Documents with equal sets are one class beforehand.
+
+Candidates are then bounded exactly: a shingle that only one candidate holds is in no intersection.  A Bloom
+filter of possibly repeated shingles counts how many of a document's n shingles, c at most, others may hold; two
+documents of c' = min(c1, c2) reach no more than c' / (n1 + n2 - c').  A false positive only weakens the bound.  This
+removes documents that merely share a passage, and most pairs of a group that differ each in its own way.
 
 Links are confirmed on full sets.  In a bucket, one pivot (the member with most bucket mates) is compared with all
 others; linked members become one component.  A bucket is open while it holds two components.  Then the
-members outside its largest component are compared with all members of other components: all of them at
-once if that is at most ``PAIRS`` pairs, else so many of them as make ``PAIRS`` pairs (at least one), round by
-round.  So no bucket is capped, no candidate is lost and no group of copies is expanded into all its pairs.
+members outside its largest component are compared with all members of other components, round by round: in
+a bucket, as many of them at once as make ``PAIRS`` pairs (at least one), and more in every further round.  Few
+comparisons join most of a group, the rest meet all others.  So no bucket is capped, no candidate is lost and
+no group of copies is expanded into all its pairs.
 
 Defined cases: null or word-free text has an empty set, linked with nothing.  A null id is never linked and
 its row is kept.  Rows that repeat an id are one document, linked if any of their texts are.
@@ -28,12 +35,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import exact_dedup
 from .common import byte_table, fresh, mix64, row_counts, slices, split_words, stored, text_buffers, word_hashes
 
 SHINGLE = 5
 THRESHOLD = 85  # per cent
-T, BANDS = 96, 24
-PAIRS = 2048
+T = 180
+PAIRS = 1 << 13  # of a bucket in the second round; eight times as many in each later one
 WORDS = byte_table(b" \t\n\v\f\r")
 KEY_BITS = 50  # of a shingle's hash; the upper bits of a sort key hold the row
 _PLACE = np.uint64(0x9FB21C651E98DF25)
@@ -82,7 +90,11 @@ def sketch(rows: np.ndarray, x: np.ndarray, n: int, t: int = T) -> np.ndarray:
     return bins.reshape(n, t)
 
 
-def band_keys(bins: np.ndarray, bands: int = BANDS) -> np.ndarray:
+def bands(threshold: int) -> int:
+    return 30 if threshold >= 85 else 36 if threshold >= 80 else 60
+
+
+def band_keys(bins: np.ndarray, bands: int) -> np.ndarray:
     n, t = bins.shape
     parts = bins.reshape(n, bands, t // bands)
     key = np.broadcast_to(np.arange(1, bands + 1, dtype=np.uint64), (n, bands)).copy()
@@ -91,23 +103,53 @@ def band_keys(bins: np.ndarray, bands: int = BANDS) -> np.ndarray:
     return key
 
 
-def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _shingle_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         data, offsets = text_buffers(b.column(1))
         for i, j in slices(offsets):
-            rows, x = shingle_sets(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
-            n = j - i
-            size = row_counts(rows, n)
-            one, two = np.zeros(n, np.uint64), np.zeros(n, np.uint64)
-            ends = np.cumsum(size)
-            for out, seed in ((one, 0x51), (two, 0xA7)):  # order-free digest of the set: 128 bits
-                total = np.append(np.uint64(0), np.cumsum(mix64(x ^ np.uint64(seed << 56)), dtype=np.uint64))
-                out[:] = total[ends] - total[ends - size]
-            keys = band_keys(sketch(rows, x, n)).view(np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0).slice(i, j - i), pa.array(size), pa.array(one.view(np.int64)), pa.array(two.view(np.int64)),
-                 pa.FixedSizeListArray.from_arrays(pa.array(keys.ravel()), BANDS).cast(pa.list_(pa.int64()))],
-                names=["id", "n", "s1", "s2", "bands"])
+            _, x = shingle_sets(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
+            yield pa.RecordBatch.from_arrays([pa.array(mix64(x).view(np.int64))], names=["h"])
+
+
+def _shared(filt, bits: int):
+    """(id, n, shared): size of the set and how many of its shingles another document may hold."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            data, offsets = text_buffers(b.column(1))
+            for i, j in slices(offsets):
+                rows, x = shingle_sets(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
+                hit = exact_dedup.in_filter(mix64(x), filt.value, bits)
+                yield pa.RecordBatch.from_arrays(
+                    [b.column(0).slice(i, j - i), pa.array(row_counts(rows, j - i)), pa.array(row_counts(rows[hit], j - i))],
+                    names=["id", "n", "shared"])
+    return run
+
+
+def _reachable(n1, c1, n2, c2, threshold: int):
+    """Whether two sets can reach the threshold, by their sizes and shared shingles."""
+    c = F.least(c1, c2)
+    return 100 * c >= threshold * (n1 + n2 - c)
+
+
+def _sketches(bands: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            data, offsets = text_buffers(b.column(1))
+            for i, j in slices(offsets):
+                rows, x = shingle_sets(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
+                n = j - i
+                size = row_counts(rows, n)
+                one, two = np.zeros(n, np.uint64), np.zeros(n, np.uint64)
+                ends = np.cumsum(size)
+                for out, seed in ((one, 0x51), (two, 0xA7)):  # order-free digest of the set: 128 bits
+                    total = np.append(np.uint64(0), np.cumsum(mix64(x ^ np.uint64(seed << 56)), dtype=np.uint64))
+                    out[:] = total[ends] - total[ends - size]
+                keys = band_keys(sketch(rows, x, n), bands).view(np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [b.column(0).slice(i, j - i), pa.array(size), pa.array(one.view(np.int64)), pa.array(two.view(np.int64)),
+                     pa.FixedSizeListArray.from_arrays(pa.array(keys.ravel()), bands).cast(pa.list_(pa.int64()))],
+                    names=["id", "n", "s1", "s2", "bands"])
+    return run
 
 
 def _confirm(threshold: int):
@@ -158,49 +200,81 @@ def _links(pairs: DataFrame, texts: DataFrame, threshold: int) -> DataFrame:
     return full.mapInArrow(_confirm(threshold), pairs.select("a", "b").schema)
 
 
+def _texts_of(texts: DataFrame, ids: DataFrame) -> DataFrame:
+    """The texts of ``ids``; a Bloom filter (every id is put in twice) keeps most others out of the shuffle."""
+    bits = exact_dedup.filter_bits(2 * ids.count())
+    twice = ids.select(F.explode(F.array(F.xxhash64("id"), F.xxhash64("id"))).alias("h"))
+    filt = exact_dedup.repeated_filter(twice, bits)
+    some = texts.where(exact_dedup.possibly_repeated(F.xxhash64("id"), filt, bits))
+    return stored(some.join(ids, "id", "left_semi"), "texts")
+
+
+def _open_buckets(bucket: DataFrame, comp: DataFrame, reps: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Rows of buckets with two components or more, those outside the largest component, and all as partners."""
+    state = (bucket.join(comp, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
+             .select("key", "band", "id", "comp", "score", "n", "shared"))
+    per = state.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("m"))
+    main = (per.groupBy("key").agg(F.max(F.struct("m", "comp")).getField("comp").alias("main"), F.sum("m").alias("all"),
+                                   F.count(F.lit(1)).alias("parts")).where("parts > 1"))
+    state = stored(state.join(main, "key").join(reps.select("id", "bands"), "id"), "state")
+    other = state.select("key", F.col("id").alias("other"), F.col("comp").alias("other_comp"), F.col("n").alias("n2"),
+                         F.col("shared").alias("shared2"), F.col("bands").alias("bands2"))
+    return state, state.where("comp <> main"), other
+
+
 def assign(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = THRESHOLD) -> DataFrame:
     """A row per input row: id, n_shingles, component_id (least id reachable), kept (id = component_id)."""
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = texts.schema["id"].dataType.simpleString()
-    made = stored(texts.mapInArrow(_sketches, f"id {kind}, n long, s1 long, s2 long, bands array<long>"), "sketch")
+    made = stored(texts.mapInArrow(_sketches(bands(threshold)), f"id {kind}, n long, s1 long, s2 long, bands array<long>"), "sketch")
     reps = stored(made.where("n > 0 AND id IS NOT NULL").groupBy("s1", "s2", "n")
-                  .agg(F.min(F.struct("id", "bands")).alias("r")).select("s1", "s2", "n", "r.id", "r.bands"), "reps")
+                  .agg(F.min(F.struct("id", "bands")).alias("r")).select("s1", "s2", "n", "r.*"), "reps")
     # one id may stand for several sets: its label joins them
     member = made.where("n > 0 AND id IS NOT NULL").select("id", "s1", "s2", "n")
-    all_bands = reps.select("id", F.explode("bands").alias("key"))
+    all_bands = reps.select("id", F.posexplode("bands").alias("band", "key"))
     sizes = all_bands.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-    bucket = stored(all_bands.join(sizes, "key").distinct(), "bucket")
+    bucket = stored(all_bands.join(sizes, "key").distinct(), "mates")
     score = bucket.groupBy("id").agg(F.sum("size").alias("score"))
-    bucket = stored(bucket.join(score, "id"), "bucket")
+    texts = _texts_of(texts, score.select("id"))
+    total = reps.join(score.select("id"), "id", "left_semi").agg(F.sum("n")).first()[0] or 0
+    bits = exact_dedup.filter_bits(total)
+    filt = exact_dedup.repeated_filter(texts, bits, _shingle_rows)
+    shared = (texts.mapInArrow(_shared(filt, bits), f"id {kind}, n long, shared long").groupBy("id")
+              .agg(F.min("n").alias("n"), F.max("shared").alias("shared")).where(100 * F.col("shared") >= threshold * F.col("n")))
+    bucket = stored(bucket.join(score.join(shared, "id"), "id"), "bucket")
 
-    pivot = bucket.groupBy("key").agg(F.max(F.struct("score", "id")).getField("id").alias("pivot"))
-    todo = (bucket.join(pivot, "key").where("id <> pivot")
+    pivot = (bucket.groupBy("key").agg(F.max(F.struct("score", "id", "n", "shared")).alias("p"))
+             .select("key", F.col("p.id").alias("pivot"), F.col("p.n").alias("n2"), F.col("p.shared").alias("shared2")))
+    alike = _reachable(F.col("n"), F.col("shared"), F.col("n2"), F.col("shared2"), threshold)
+    todo = (bucket.join(pivot, "key").where((F.col("id") != F.col("pivot")) & alike)
             .select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b")).distinct())
-    todo, seen, links, done = stored(todo, "pairs"), None, None, None
+    # a pair is met in the first band that it shares
+    first = ~F.arrays_overlap(F.slice("bands", F.lit(1), F.col("band")), F.slice("bands2", F.lit(1), F.col("band")))
+    todo, seen, links, done, budget = stored(todo, "pairs"), None, None, None, PAIRS
     while True:
-        fresh_links = stored(_links(todo, texts, threshold), "confirmed")
+        found = stored(_links(todo, texts, threshold), "confirmed")
         seen = todo if seen is None else seen.unionByName(todo)
-        links = fresh_links if links is None else links.unionByName(fresh_links)
-        comp = components(links)
-        state = (bucket.join(comp, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
-                 .select("key", "id", "comp", "score", "size"))
-        per = state.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("m"))
-        main = (per.groupBy("key").agg(F.max(F.struct("m", "comp")).getField("comp").alias("main"), F.sum("m").alias("all"),
-                                       F.count(F.lit(1)).alias("parts")).where("parts > 1"))
-        state = stored(state.join(main, "key"), "state")
-        outside = state.where("comp <> main")
-        if done is not None:
-            outside = outside.join(done, ["key", "id"], "left_anti")
-        w = Window.partitionBy("key").orderBy(F.desc("score"), "id")
-        turn = stored(outside.withColumn("turn", F.row_number().over(w))
-                      .where((F.col("turn") == 1) | (F.col("turn") * F.col("all") <= PAIRS)).select("key", "id", "comp"), "turn")
-        if not turn.limit(1).count():
+        if links is None or found.limit(1).count():  # else all components are as before
+            links = found if links is None else links.unionByName(found)
+            comp = components(links)
+            state, outside, other = _open_buckets(bucket, comp, reps)
+        todo = None
+        while todo is None:  # turns whose pairs have all been seen need no new components
+            left = outside if done is None else outside.join(done, ["key", "id"], "left_anti")
+            w = Window.partitionBy("key").orderBy(F.desc("score"), "id")
+            turn = stored(left.withColumn("turn", F.row_number().over(w)).select("key", "id", "comp", "all", "turn", "n", "shared", "band", "bands")
+                          .where((F.col("turn") == 1) | (F.col("turn") * F.col("all") <= budget)), "turn")
+            budget *= 8
+            if not turn.limit(1).count():
+                break
+            done = turn.select("key", "id") if done is None else done.unionByName(turn.select("key", "id"))
+            todo = (turn.join(other, "key").where((F.col("comp") != F.col("other_comp")) & alike & first)
+                    .select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct())
+            todo = stored(todo.join(seen, ["a", "b"], "left_anti"), "pairs")
+            if not todo.limit(1).count():
+                todo = None
+        if todo is None:
             break
-        done = turn.select("key", "id") if done is None else done.unionByName(turn.select("key", "id"))
-        other = state.select("key", F.col("id").alias("other"), F.col("comp").alias("other_comp"))
-        todo = (turn.join(other, "key").where("comp <> other_comp")
-                .select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct())
-        todo = stored(todo.join(seen, ["a", "b"], "left_anti"), "pairs")
 
     # a document's class, its representative's component, and documents that repeat an id
     rep = reps.select("s1", "s2", "n", F.col("id").alias("rep")).join(

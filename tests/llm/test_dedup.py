@@ -83,8 +83,8 @@ def test_exact_nulls_and_repeated_rows(spark):
 def test_filter_misses_no_repeated_hash(spark):
     df = spark.range(3000).select(F.col("id").alias("doc_id"), (F.col("id") % 1000).cast("string").alias("text"))
     for bits in (1 << 16, 1 << 18):
-        filt = exact_dedup.repeated_filter(df, F.col("text"), bits)
-        assert df.where(~exact_dedup.possibly_repeated(F.col("text"), filt, bits)).count() == 0
+        filt = exact_dedup.repeated_filter(df.select(F.xxhash64("text").alias("h")), bits)
+        assert df.where(~exact_dedup.possibly_repeated(F.xxhash64("text"), filt, bits)).count() == 0
 
 
 def near_brute(rows, threshold=85):
