@@ -3,7 +3,7 @@
 Subwords are the 2-, 3- and 4-byte windows of the lower-cased text in which everything but letters and bytes
 from 0x80 up is a blank; each is hashed to one of ``BUCKETS`` embeddings.  A text's vector is their average over
 the whole text.  The model is trained by stochastic gradient descent in numpy on a bounded sample: about
-``sample_rows`` labelled rows in all, the same number of each language, chosen by a hash of the id; a row sends
+``rows`` labelled rows in all, the same number of each of up to ``MOST_LANGS`` languages, chosen by a hash of the id; a row sends
 its counted buckets (at most ``BUCKETS``), not its text.  A fifth of the sample calibrates: it sets the softmax
 temperature and the confidence below which a text is rejected.  As the layer is linear, prediction adds up
 embedding-times-weight rows, computed once.
@@ -15,6 +15,7 @@ first language in order.  Other columns, of any name, pass through ``keep_known`
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -29,6 +30,7 @@ BUCKETS = 1 << 15
 SIZES = (2, 3, 4)
 DIM = 16
 SAMPLE_ROWS = 4000
+MOST_LANGS = 1000  # languages learned: the most frequent ones
 REJECT_SHARE = 0.001  # of right calibration rows that may fall below the threshold
 MOST_THRESHOLD = 0.4
 _LETTERS = np.full(256, 32, np.uint8)
@@ -96,12 +98,12 @@ def sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str, rows: int
     """About ``rows`` labelled rows, evenly over the languages, as counted buckets."""
     known = docs.where(F.col(lang_col).isNotNull() & F.col(id_col).isNotNull() & F.col(text_col).rlike(r"\p{L}") & ~held_out(F.col(id_col)))
     known = known.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.xxhash64(F.lit(17), F.col(id_col)).alias("order"))
-    sizes = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-    each = sizes.agg(F.count(F.lit(1))).first()[0]
-    if not each:
+    sizes = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(MOST_LANGS).collect()
+    if not sizes:
         return []
+    n = F.try_element_at(F.from_json(F.lit(json.dumps({r.lang: r.n for r in sizes})), "map<string,bigint>"), F.col("lang"))
     share = F.pmod("order", F.lit(1 << 30)) / F.lit(float(1 << 30))
-    chosen = known.join(F.broadcast(sizes.where(F.col("n") > 0)), "lang").where(share * F.col("n") < rows / each)
+    chosen = known.where(share * n < rows / len(sizes))
     return (chosen.select("lang", "text", "order").mapInArrow(_count, "lang string, order long, at binary, share binary")
             .collect())  # about ``rows`` rows of at most 6 * BUCKETS bytes
 
