@@ -115,4 +115,17 @@ WITH t AS (SELECT doc_id, coalesce(text, '') AS x FROM documents),
      g AS (SELECT x, max(doc_id) AS keep_id, count(*) AS group_size FROM t GROUP BY x)
 SELECT t.doc_id, g.keep_id, g.group_size, t.doc_id = g.keep_id AS kept, sha256(t.x) AS text_sha256
 FROM t JOIN g ON t.x = g.x""",
+    "op10_near_dedup": r"""
+WITH RECURSIVE
+  d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+               '[^\x20\x09-\x0D]+') AS w FROM documents),
+  s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+               ELSE list_transform(range(1, len(w) - 3), lambda k: array_to_string(w[k:k + 4], ' ')) END) AS x FROM d),
+  n AS (SELECT doc_id, count(*) AS c FROM s GROUP BY doc_id),
+  p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS i FROM s a JOIN s b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY 1, 2),
+  l AS (SELECT a, b FROM p JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * i >= 85 * (na.c + nb.c - i)),
+  e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+  r AS (SELECT doc_id, doc_id AS reach FROM d UNION SELECT r.doc_id, e.b FROM r JOIN e ON r.reach = e.a)
+SELECT r.doc_id, coalesce(any_value(n.c), 0) AS n_shingles, min(reach) AS component_id, r.doc_id = min(reach) AS kept
+FROM r LEFT JOIN n ON n.doc_id = r.doc_id GROUP BY r.doc_id""",
 }
