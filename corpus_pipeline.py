@@ -35,7 +35,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token counts and digests of ids and decoded text of what is left."""
-    return bpe.digests(bpe.encode(docs.select("doc_id", "text"), vocabulary()), vocabulary())
+    return bpe.round_trip(docs, vocabulary())
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

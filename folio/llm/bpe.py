@@ -33,7 +33,7 @@ from tokenizers import Regex, normalizers, pre_tokenizers
 
 from .common import slices
 
-CACHE_WORDS, CACHE_CHARS = 600_000, 16 << 20
+CACHE_WORDS, CACHE_CHARS = 250_000, 8 << 20
 SLICE_BYTES = 2 << 20
 CELLS = 1 << 20  # leaves of trees held at once
 END = "</w>"
@@ -267,13 +267,7 @@ def text_slices(b: pa.RecordBatch, at: int) -> Iterator[tuple[pa.RecordBatch, li
         yield part, [x or "" for x in part.column(at).to_pylist()]
 
 
-def encode(docs: DataFrame, path: str, text_col: str = "text", ids_col: str = "ids", drop_text: bool = True) -> DataFrame:
-    """``docs`` with its ids as ``ids_col`` (array of int), in place of the text or beside it."""
-    at = docs.columns.index(text_col)
-    fields = [f for f in docs.schema.fields if not (drop_text and f.name == text_col)]
-    keep = [k for k, c in enumerate(docs.columns) if not (drop_text and c == text_col)]
-    names = [f.name for f in fields] + [ids_col]
-
+def _encoder(path: str, at: int, keep: list[int], names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         _, c = coder(path)
         for b in batches:
@@ -282,7 +276,15 @@ def encode(docs: DataFrame, path: str, text_col: str = "text", ids_col: str = "i
                 yield pa.RecordBatch.from_arrays(
                     [*(part.column(k) for k in keep), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids, pa.int32()))],
                     names=names)
+    return run
 
+
+def encode(docs: DataFrame, path: str, text_col: str = "text", ids_col: str = "ids", drop_text: bool = True) -> DataFrame:
+    """``docs`` with its ids as ``ids_col`` (array of int), in place of the text or beside it."""
+    at = docs.columns.index(text_col)
+    keep = [k for k, c in enumerate(docs.columns) if not (drop_text and c == text_col)]
+    fields = [docs.schema.fields[k] for k in keep]
+    run = _encoder(path, at, keep, [f.name for f in fields] + [ids_col])
     return docs.mapInArrow(run, StructType(fields).add(ids_col, ArrayType(IntegerType())))
 
 
@@ -291,8 +293,8 @@ def decode(ids: list[int], v: Vocabulary) -> str:
     return " ".join([v.tokens[k] for k in ids])
 
 
-def digests(encoded: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
-    """id, n_tokens, ids_sha256 (of little-endian unsigned 32-bit ids), decoded_sha256 (of the text decoded from them)."""
+def _digester(path: str):
+    """(id, n_tokens, ids_sha256, decoded_sha256) of batches (id, ids)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v, _ = coder(path)
         table = np.array([t.encode() for t in v.tokens], dtype=object)
@@ -307,7 +309,22 @@ def digests(encoded: DataFrame, path: str, id_col: str = "doc_id", ids_col: str
                 back.append(hashlib.sha256(b" ".join(table[own].tolist())).hexdigest())
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(np.diff(off).astype(np.int64)), pa.array(shas, pa.string()),
                                               pa.array(back, pa.string())], names=["id", "n_tokens", "ids_sha256", "decoded_sha256"])
+    return run
+
+
+_DIGESTS = "n_tokens long, ids_sha256 string, decoded_sha256 string"
+
 
+def digests(encoded: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
+    """id, n_tokens, ids_sha256 (of little-endian unsigned 32-bit ids), decoded_sha256 (of the text decoded from them)."""
     kind = encoded.schema[id_col].dataType.simpleString()
-    out = encoded.select(F.col(id_col), F.col(ids_col)).mapInArrow(run, f"id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    out = encoded.select(F.col(id_col), F.col(ids_col)).mapInArrow(_digester(path), f"id {kind}, {_DIGESTS}")
+    return out.withColumnRenamed("id", id_col)
+
+
+def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``digests`` of ``encode``, batch by batch in one Python worker, so that no task needs two."""
+    kind = docs.schema[id_col].dataType.simpleString()
+    encoder, digester = _encoder(path, 1, [0], ["id", "ids"]), _digester(path)
+    out = docs.select(F.col(id_col), F.col(text_col)).mapInArrow(lambda batches: digester(encoder(batches)), f"id {kind}, {_DIGESTS}")
     return out.withColumnRenamed("id", id_col)

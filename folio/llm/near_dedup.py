@@ -171,13 +171,13 @@ def _confirm(threshold: int):
     return run
 
 
-def components(links: DataFrame, nodes: DataFrame | None = None) -> DataFrame:
-    """(id, comp): the least id reachable, for every id in ``links`` (a, b).
+def components(links: DataFrame) -> DataFrame:
+    """(id, comp): the least id reachable, for every id in ``links`` (a, b), which is a stored table.
 
     Each round hands every node the least label around it and then jumps to that label's own label; rounds
     grow with the logarithm of a component's diameter, and each is two joins and one partial aggregate.
     """
-    both = stored(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))), "links")
+    both = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     label = stored(both.groupBy(F.col("a").alias("id")).agg(F.least(F.min("b"), F.first("a")).alias("comp")), "label")
     while True:
         near = (both.join(label, both["b"] == label["id"]).groupBy(F.col("a").alias("id")).agg(F.min("comp").alias("near")))
@@ -200,13 +200,15 @@ def _links(pairs: DataFrame, texts: DataFrame, threshold: int) -> DataFrame:
     return full.mapInArrow(_confirm(threshold), pairs.select("a", "b").schema)
 
 
-def _texts_of(texts: DataFrame, ids: DataFrame) -> DataFrame:
-    """The texts of ``ids``; a Bloom filter (every id is put in twice) keeps most others out of the shuffle."""
-    bits = exact_dedup.filter_bits(2 * ids.count())
+def _texts_of(texts: DataFrame, ids: DataFrame) -> tuple[DataFrame, int]:
+    """The texts of ``ids`` and few others, without a shuffle of texts, and how many ids there are.
+
+    A Bloom filter holds the ids (each is put in twice); a text too many only weakens a bound."""
+    count = ids.count()
+    bits = exact_dedup.filter_bits(2 * count)
     twice = ids.select(F.explode(F.array(F.xxhash64("id"), F.xxhash64("id"))).alias("h"))
     filt = exact_dedup.repeated_filter(twice, bits)
-    some = texts.where(exact_dedup.possibly_repeated(F.xxhash64("id"), filt, bits))
-    return stored(some.join(ids, "id", "left_semi"), "texts")
+    return stored(texts.where(exact_dedup.possibly_repeated(F.xxhash64("id"), filt, bits)), "texts"), count
 
 
 def _open_buckets(bucket: DataFrame, comp: DataFrame, reps: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -235,9 +237,8 @@ def assign(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thre
     sizes = all_bands.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     bucket = stored(all_bands.join(sizes, "key").distinct(), "mates")
     score = bucket.groupBy("id").agg(F.sum("size").alias("score"))
-    texts = _texts_of(texts, score.select("id"))
-    total = reps.join(score.select("id"), "id", "left_semi").agg(F.sum("n")).first()[0] or 0
-    bits = exact_dedup.filter_bits(total)
+    texts, count = _texts_of(texts, score.select("id"))
+    bits = exact_dedup.filter_bits(int(2 * count * (reps.agg(F.avg("n")).first()[0] or 0)))  # room for twice the mean
     filt = exact_dedup.repeated_filter(texts, bits, _shingle_rows)
     shared = (texts.mapInArrow(_shared(filt, bits), f"id {kind}, n long, shared long").groupBy("id")
               .agg(F.min("n").alias("n"), F.max("shared").alias("shared")).where(100 * F.col("shared") >= threshold * F.col("n")))

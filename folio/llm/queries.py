@@ -31,8 +31,7 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return bpe.digests(bpe.encode(docs, vocabulary()), vocabulary())
+    return bpe.round_trip(table(spark, sf_dir, "documents"), vocabulary())
 
 
 def op5_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:

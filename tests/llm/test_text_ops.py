@@ -136,6 +136,7 @@ def test_bpe_equals_the_library(spark):
         assert bpe.decode(ids[k], v) == t.decode(e.ids, skip_special_tokens=False)
     got = {r.doc_id: r for r in bpe.digests(bpe.encode(df, vocabulary()), vocabulary()).collect()}
     import numpy as np
+    assert {r.doc_id: r for r in bpe.round_trip(df, vocabulary()).collect()} == got
     for k in ids:
         assert got[k].ids_sha256 == hashlib.sha256(np.array(ids[k], "<u4").tobytes()).hexdigest()
         assert got[k].decoded_sha256 == hashlib.sha256(bpe.decode(ids[k], v).encode()).hexdigest() and got[k].n_tokens == len(ids[k])
