@@ -79,6 +79,29 @@ def test_main_text():
     assert html_main.main_text("<p>a < b <!-- c --> d<a href='") == "a < b d"
 
 
+def test_main_text_in_wrappers():
+    part = "The {} part of the text is here, and it has a lot of the words that are in all of the texts of the day."
+    a, b, c, d = (part.format(x) for x in ("first", "second", "third", "fourth"))
+    body = f"<p>{a}</p><p>{b}</p>"
+    for page in (f"<form id=aspnetForm><nav>Menu</nav><div>{body}</div><footer>foot</footer></form>",
+                 f"<p>Skip</p><form role=form>{body}</form>" + f"<nav>{c}</nav>",
+                 f"<form><article>{body}</article></form><p>{c[:40]}</p>",
+                 f'<div class="content-sidebar-wrap">{body}</div>',
+                 f'<div class="content-sidebar-wrap"><main>{body}</main><div class="sidebar">{c}</div></div>',
+                 f'<div class="ad-free"><main>{body}</main></div>', f'<div class="ad-free"><article>{body}</article></div>',
+                 f'<article>{body}<form>{c}</form></article><div class="related"><article>{d}</article></div>',
+                 f'<div>{body}</div><ol id="comments"><li><article>{c}{d}{c}{d}</article></ol>',
+                 f"<article>{body}</article><form>{c}</form>"):
+        assert html_main.main_text(page).removeprefix("Skip ") == f"{a} {b}", page
+    for name in ("related-work", "notice-period", "social-policy", "ad-hoc-networks"):
+        assert html_main.main_text(f"<article><p>{a}</p><section id={name}><h2>Head</h2><p>{b}</p></section></article>") == f"{a} Head {b}"
+    for name in ("comments", "comment-form", "div-gpt-ad-12", "newsletter-signup"):
+        assert html_main.main_text(f"<article><p>{a}</p><div id={name}><p>{b}</p></div></article>") == a
+    for raw in ('<svg class="a" />', "<svg/>", "<math href='/>' />", "<SVG a=\"b>c\"\n/>", "<svg a='/'><text>no</text></svg>"):
+        assert html_main.main_text(f"<article>{raw}<p>{a}</p>{raw}<p>{b}</p></article>") == f"{a} {b}"
+    assert html_main.main_text('<div class="share">' * 20000 + a) == a
+
+
 def test_extract(spark):
     df = spark.createDataFrame([(1, None, PAGE, "x"), (None, "u", None, "x"), (3, "u", "<p>" + "word " * 50000, "x")], "page_id long, url string, html string, text string")
     got = {r.page_id: r for r in html_main.extract(df).collect()}
