@@ -1,12 +1,14 @@
 """URL filtering by association rules.
 
 Labelled URLs become transactions of tokens (scheme, host suffixes, path segments, query keys and pairs,
-fragment) plus a mark for those to block.  Spark's FP-growth mines frequent combinations; rules that imply the
-mark stay if their support and confidence reach the limits.  For matching, each rule is listed in an inverted
+fragment).  A token that reaches the limits by itself is a rule; from the other tokens of the URLs to block,
+Spark's FP-growth mines combinations.  Each one's confidence comes from counting it over all labelled rows.  For matching, each rule is listed in an inverted
 index under its rarest token; a URL's tokens are joined with the index and a found rule is compared whole.
 Fixed rules (host, path prefix, verdict) come first: the longest that fits decides.
 
-Support is the larger of a share and a count, so that rules from a few rows never pass.  Defined cases: a null
+Support is a count of rows to block, the same for any size of input, so that rules from a few rows never pass and a bad
+host has its rule however many other pages there are.  A combination that contains a rule of one token is left out, as it
+fits no further URL.  Defined cases: a null
 URL or one without ``://`` has empty host and path and no tokens, and is allowed unless a fixed rule fits; rows
 that repeat a URL share its verdict; with no labelled rows there are no mined rules.  A label row counts once
 for each page row of its id; a null id or label is not used.  Only id and URL are read from the pages.
@@ -18,8 +20,7 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MARK = "!block"
-MIN_SUPPORT, MIN_COUNT, MIN_CONFIDENCE = 0.005, 20, 0.8
+MIN_COUNT, MIN_CONFIDENCE = 20, 0.8
 # fixed values: the rules of the query's contract
 RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -54,23 +55,35 @@ def tokens(url: Column) -> Column:
     return F.when(url.contains("://"), F.array_distinct(every)).otherwise(F.array().cast("array<string>"))
 
 
-def mine(labelled: DataFrame, url_col: str = "url", bad: str = "bad", min_support: float = MIN_SUPPORT,
-         min_count: int = MIN_COUNT, min_confidence: float = MIN_CONFIDENCE) -> DataFrame | None:
-    """(anchor, antecedent, confidence, support): an inverted index of the rules; None without labelled rows."""
-    rows = labelled.where(F.col(bad).isNotNull()).select(F.concat(
-        tokens(F.col(url_col)), F.when(F.col(bad), F.array(F.lit(MARK))).otherwise(F.array().cast("array<string>"))).alias("items"))
-    rows = rows.where(F.size("items") > 0)
-    n = rows.count()
-    if n == 0:
+def mine(labelled: DataFrame, url_col: str = "url", bad: str = "bad", min_count: int = MIN_COUNT,
+         min_confidence: float = MIN_CONFIDENCE) -> DataFrame | None:
+    """(anchor, antecedent, confidence, support): an inverted index of the rules; None if too few rows are to block."""
+    rows = labelled.where(F.col(bad).isNotNull()).select(tokens(F.col(url_col)).alias("have"), F.col(bad).cast("int").alias("bad"))
+    rows = rows.where(F.size("have") > 0).groupBy("have").agg(F.count(F.lit(1)).alias("n"), F.sum("bad").alias("bad"))
+    total = rows.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad")).first()
+    if total.bad < max(1, min_count):
         return None
-    model = FPGrowth(itemsCol="items", minSupport=min(1.0, max(min_support, min_count / n)),
-                     minConfidence=min_confidence).fit(rows)
-    single = model.freqItemsets.where(F.size("items") == 1).select(F.col("items")[0].alias("token"), "freq")
-    rules = (model.associationRules.where(F.col("consequent")[0] == MARK)
-             .select(F.array_sort("antecedent").alias("antecedent"), "confidence", "support"))
+    confidence = F.col("bad") / F.col("n")
+    limits = (confidence.alias("confidence"), (F.col("bad") / F.lit(total.n)).alias("support"))
+    single = (rows.select(F.explode("have").alias("token"), "n", "bad").groupBy("token").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
+              .where(F.col("bad") >= min_count))
+    alone = single.where(confidence >= min_confidence).select(F.col("token").alias("anchor"), F.array("token").alias("antecedent"), *limits)
+    rest = single.where(confidence < min_confidence).select("token", F.col("n").alias("freq"))
+    items = (rows.where("bad > 0").select("have", "bad", F.explode("have").alias("token")).join(rest, "token")
+             .groupBy("have", "bad").agg(F.collect_list("token").alias("items"))
+             .select("items", F.explode(F.sequence(F.lit(1).cast("bigint"), "bad"))).select("items"))
+    n = items.count()
+    if n < max(1, min_count):
+        return alone
+    model = FPGrowth(itemsCol="items", minSupport=max(0.5, min_count - 0.5) / n).fit(items)
+    found = model.freqItemsets.where(F.size("items") > 1).select(F.array_sort("items").alias("antecedent"), F.col("freq").alias("bad"))
     rarest = F.min_by("token", F.struct("freq", "token"))
-    return (rules.withColumn("token", F.explode("antecedent")).join(single, "token")
-            .groupBy("antecedent", "confidence", "support").agg(rarest.alias("anchor")))
+    found = (found.withColumn("token", F.explode("antecedent")).join(rest, "token")
+             .groupBy("antecedent", "bad").agg(rarest.alias("anchor")))
+    counted = (rows.select("have", "n", F.explode("have").alias("anchor")).join(found, "anchor")
+               .where(F.size(F.array_except("antecedent", "have")) == 0)
+               .groupBy("anchor", "antecedent", found["bad"]).agg(F.sum("n").alias("n")))
+    return alone.unionByName(counted.where(confidence >= min_confidence).select("anchor", "antecedent", *limits))
 
 
 def mined_hits(urls: DataFrame, index: DataFrame, url_col: str = "url") -> DataFrame:

@@ -263,5 +263,22 @@ def test_url_rules(spark):
     assert url_rules.mine(seen.limit(0)) is None
 
 
+def test_url_rules_of_rare_bad_hosts(spark):
+    few = [(f"http://bad.example.com/x/{k}", True) for k in range(25)] + [(f"http://mix.example.com/{p}/{k}?q={q}", p == "s" and q == 1)
+                                                                          for k in range(30) for p in "st" for q in (1, 2)]
+    for n in (100, 20000):
+        seen = spark.createDataFrame([(f"http://h{k % 97}.example.com/y/{k}", k % 500 == 0) for k in range(n)] + few, "url string, bad boolean")
+        index = url_rules.mine(seen).collect()
+        every = {u: set(url_rules_tokens(spark, u)) for u, _ in few}
+        best = {frozenset(r.antecedent): r for r in index}
+        assert frozenset({"h:bad.example.com"}) in best and frozenset({"p:s", "q:q=1"}) in best
+        for r in index:  # rules that good URLs share are counted over all labelled rows
+            own = [b for u, b in few if set(r.antecedent) <= every[u]]
+            assert r.confidence == 1 and all(own) and round(r.support * (n + len(few))) == len(own) >= 20 and r.anchor in r.antecedent
+        pages = spark.createDataFrame([(k, u) for k, (u, _) in enumerate(few)], "page_id long, url string")
+        assert {r.page_id: r.mined for r in url_rules.judge(pages, seen).collect()} == {k: b for k, (_, b) in enumerate(few)}
+    assert url_rules.mine(seen.where("url LIKE '%bad.%'").limit(19)) is None
+
+
 def url_rules_tokens(spark, url):
     return spark.range(1).select(url_rules.tokens(F.lit(url)).alias("t")).first().t
