@@ -109,7 +109,10 @@ def knn_approx(queries: DataFrame, vectors: DataFrame, k: int = 2, bucket_length
                id_col: str = "id", vec_col: str = "embedding") -> DataFrame:
     """Approximate top-k: random-projection LSH buckets (Spark ML), candidates are
     vectors sharing a bucket with the query (equi-join on (table, bucket)), exact re-rank,
-    per-query top-k with a partial limit before the shuffle."""
+    per-query top-k with a partial limit before the shuffle.
+
+    Queries with fewer than ``k`` candidates are searched exactly, so every query gets ``k`` rows (all vectors, if
+    there are fewer).  Ids are taken as unique on both sides."""
     from pyspark.ml.feature import BucketedRandomProjectionLSH
     from pyspark.ml.functions import array_to_vector, vector_to_array
     v = vectors.select(F.col(id_col).alias("id"), array_to_vector(F.col(vec_col)).alias("features"),
@@ -130,7 +133,14 @@ def knn_approx(queries: DataFrame, vectors: DataFrame, k: int = 2, bucket_length
                                 (a.cast("double") - b.cast("double"))), F.lit(0.0), lambda s, x: s + x)
     scored = cand.select("query_id", "id", (1.0 / (1.0 + d2)).alias("score"))
     w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("id").asc())
-    return scored.select("query_id", F.row_number().over(w).alias("rank"), "id", "score").where(F.col("rank") <= k)
+    top = scored.select("query_id", F.row_number().over(w).alias("rank"), "id", "score").where(F.col("rank") <= k)
+    top = top.checkpoint(eager=True)  # at most k rows a query, read twice below
+    full = top.where(F.col("rank") == k).select("query_id")
+    short = q.select("query_id", "vector").join(full, "query_id", "left_anti")
+    if short.isEmpty():
+        return top
+    exact = knn_topk_batch(queries.sparkSession, short, v, k)
+    return top.join(full, "query_id", "left_semi").unionByName(exact)
 
 
 def vector_entries(spark: SparkSession, docs: DataFrame, order_col: str, vec_col: str, name_col: str,

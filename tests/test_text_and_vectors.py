@@ -1,5 +1,6 @@
 import os
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from folio.operators import chunking as C
@@ -98,3 +99,24 @@ def test_run_stages_order(spark):
     df = spark.createDataFrame([(1,), (2,), (3,)], 'x int')
     out = run_stages(df, [(800, lambda d: d.selectExpr("x * 10 AS x")), (300, lambda d: d.where("x > 1"))])
     assert sorted(r.x for r in out.collect()) == [20, 30]
+
+
+def test_knn_approx_gives_k_rows_with_recall(spark):
+    rng = np.random.default_rng(3)
+    centres = rng.normal(0, 3, (12, 8))
+    vecs = [(i, [float(x) for x in centres[i % 12] + rng.normal(0, .05, 8)]) for i in range(600)]
+    qs = [(i, [float(x) for x in centres[i % 12] + rng.normal(0, .05, 8)]) for i in range(36)]
+    qs += [(100 + i, [float(x) for x in rng.normal(0, 1, 8) + 40 * (i + 1)]) for i in range(4)]  # far from all
+    v = spark.createDataFrame(vecs, "id bigint, embedding array<double>")
+    q = spark.createDataFrame(qs, "query_id bigint, vector array<double>")
+    k = 5
+    got = {}
+    for r in V.knn_approx(q, v, k=k).collect():
+        got.setdefault(r.query_id, {})[r.rank] = r.id
+    exact = {}
+    vm = np.array([x for _, x in vecs])
+    for i, x in qs:
+        exact[i] = set(np.argsort(((vm - np.array(x)) ** 2).sum(axis=1), kind="stable")[:k].tolist())
+    assert set(got) == set(exact) and all(sorted(g) == list(range(1, k + 1)) for g in got.values())
+    assert sum(len(set(got[i].values()) & exact[i]) for i in exact) >= 0.9 * k * len(exact)
+    assert V.knn_approx(q, v.limit(3), k=k).count() == 3 * len(qs)
