@@ -5,7 +5,10 @@ from 0x80 up is a blank; each is hashed to one of ``BUCKETS`` embeddings.  A tex
 the whole text.  The model is trained by stochastic gradient descent in numpy on a bounded sample: about
 ``rows`` labelled rows in all, the same number of each of up to ``MOST_LANGS`` languages, chosen by a hash of the id; a row sends
 its counted buckets (at most ``BUCKETS``), not its text.  A fifth of the sample calibrates: it sets the softmax
-temperature and the confidence below which a text is rejected.  As the layer is linear, prediction adds up
+temperature and the limits below which a text is rejected.  They are two, each half of what all but a small share of the
+right held-out rows reach (a text half of which is foreign still stays): the log odds of its language against the
+others, and its mean log ratio of subword frequencies in the sample to equal ones, which also tells an unlearned language
+where one or two are learned and the softmax cannot.  A text that reaches twice the second limit is not held to the first.  As the layer is linear, prediction adds up
 embedding-times-weight rows, computed once.
 
 Defined cases: null text, and text without a letter, is ``und`` with score 0 and rejected; so is every text
@@ -31,8 +34,8 @@ SIZES = (2, 3, 4)
 DIM = 16
 SAMPLE_ROWS = 4000
 MOST_LANGS = 1000  # languages learned: the most frequent ones
-REJECT_SHARE = 0.001  # of right calibration rows that may fall below the threshold
-MOST_THRESHOLD = 0.4
+REJECT_SHARE = 0.001  # of right calibration rows that may fall below twice a limit
+UNSEEN = 0.1  # share of equal frequencies in the subword frequencies
 _LETTERS = np.full(256, 32, np.uint8)
 _LETTERS[97:123] = np.arange(97, 123)
 _LETTERS[65:91] = np.arange(97, 123)
@@ -42,10 +45,11 @@ _LETTERS[128:] = np.arange(128, 256)
 @dataclass
 class Model:
     langs: list[str]
-    table: np.ndarray  # (languages, buckets): embedding times weight
+    table: np.ndarray  # (languages + 1, buckets): embedding times weight; last, the log ratio of frequencies
     bias: np.ndarray
     temperature: float
-    threshold: float
+    least_odds: float
+    least_ratio: float
 
 
 def held_out(id_: Column) -> Column:
@@ -145,9 +149,30 @@ def train(rows: list, dim: int = DIM, epochs: int = 12, batch: int = 16, rate: f
     t = float(temps[int(np.argmin(loss))])
     p = _softmax(logits / t)
     right = p.argmax(axis=1) == ys[test]
-    sure = p.max(axis=1)[right]
-    limit = min(MOST_THRESHOLD, float(np.quantile(sure, REJECT_SHARE))) if len(sure) else 0.0
-    return Model(langs, np.ascontiguousarray(table.T.astype(np.float32)), bias, t, limit)
+    seen = np.zeros(BUCKETS)
+    for a, v in (xs[i] for i in fit):
+        seen[a] += v
+    ratio = np.log((1 - UNSEEN) * seen / max(seen.sum(), 1e-300) * BUCKETS + UNSEEN)
+    ratios = np.array([v @ ratio[a] for a, v in (xs[i] for i in test)])
+    table = np.concatenate([table.T, ratio[None]]).astype(np.float32)
+    return Model(langs, np.ascontiguousarray(table), bias, t, _limit(_odds(logits / t)[right]), _limit(ratios[right]))
+
+
+def _limit(values: np.ndarray) -> float:
+    """Half of the value that all but ``REJECT_SHARE`` reach."""
+    if not len(values) or np.isinf(values).all():
+        return -np.inf
+    least = float(np.quantile(values, REJECT_SHARE))
+    return least / 2 if least > 0 else least
+
+
+def _odds(z: np.ndarray) -> np.ndarray:
+    """Log odds of each row's greatest against all others, infinite if there are none."""
+    rest = np.sort(z, axis=1)
+    top, rest = rest[:, -1], rest[:, :-1]
+    if not rest.shape[1]:
+        return np.full(len(z), np.inf)
+    return top - rest[:, -1] - np.log(np.exp(rest - rest[:, -1:]).sum(axis=1))
 
 
 def _softmax(z: np.ndarray) -> np.ndarray:
@@ -167,17 +192,22 @@ def predict(docs: DataFrame, model: Model | None, text_col: str = "text") -> tup
     def ask(text: pa.Array) -> pa.Array:
         m = shared.value
         data, offsets = text_buffers(text)
-        best, score = [], []
+        best, score, sure = [], [], []
         for i, j in slices(offsets):
             parts, begins = subwords(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
             count = sum((np.diff(at) for at in begins), np.zeros(j - i, np.int64))
             z = np.stack([sum((_row_sums(row[p], at) for p, at in zip(parts, begins)), np.zeros(j - i)) for row in m.table], axis=1)
-            p = _softmax((z / np.maximum(count, 1)[:, None] + m.bias) / m.temperature)
+            z /= np.maximum(count, 1)[:, None]
+            z, ratio = (z[:, :-1] + m.bias) / m.temperature, z[:, -1]
+            p = _softmax(z)
             best.append(p.argmax(axis=1))
             score.append(p.max(axis=1))
+            usual = max(m.least_ratio, 2 * m.least_ratio)  # a text with the usual subwords stays, however near two languages are
+            sure.append((ratio >= m.least_ratio) & ((_odds(z) >= m.least_odds) | (ratio >= usual)))
         best, score = (np.concatenate(x) if x else np.zeros(0) for x in (best, score))
+        sure = np.concatenate(sure) if sure else np.zeros(0, bool)
         lang = pa.array([m.langs[int(k)] for k in best], pa.string())
-        return pa.StructArray.from_arrays([lang, pa.array(score, pa.float64()), pa.array(score >= m.threshold)],
+        return pa.StructArray.from_arrays([lang, pa.array(score, pa.float64()), pa.array(sure)],
                                           names=["lang", "score", "sure"])
 
     said, = fresh(docs.columns + names, "said")

@@ -233,6 +233,17 @@ def test_language_held_out_accuracy(spark, spoken):
     assert kept.columns == spoken.columns and kept.count() == 600
 
 
+@pytest.mark.parametrize("known", [["en"], ["en", "fr"]])
+def test_unlearned_language_is_rejected(spark, spoken, known):
+    model = langid.fit(spoken.where(F.col("lang").isin(known)))
+    assert model.langs == known
+    junk = spark.createDataFrame([(-k, "xqz kjhg vbn zzk wpq " * k, "junk", "x") for k in range(1, 9)], spoken.schema)
+    out, (_, _, rejected) = langid.predict(spoken.unionByName(junk), model)
+    rows = out.collect()
+    clean, other = [[r[rejected] for r in rows if (r.lang in known) == x] for x in (True, False)]
+    assert not any(clean) and sum(other) >= 0.98 * len(other) and all(r[rejected] for r in rows if r.lang == "junk")
+
+
 def test_language_without_labels(spark):
     df = spark.createDataFrame([(1, "text", None)], "doc_id long, text string, lang string")
     assert langid.fit(df) is None and langid.keep_known(df).count() == 0 and langid.keep_known(df.limit(0)).count() == 0
