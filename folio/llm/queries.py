@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontam, exact_dedup, html_main, langid, near_dedup, token_files, url_rules, warc
+from . import (bpe, chat, decontam, exact_dedup, filter_audit, html_main, langid, near_dedup, token_files,
+               topk, url_rules, warc)
 from .common import table
 
 
@@ -61,6 +62,19 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.assign(table(spark, sf_dir, "documents"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return topk.search(vectors.where(F.col("vec_id") % 100 == 0), vectors, k=10)
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_chat_format": op1_chat_format,
     "op2_html_main": op2_html_main,
@@ -72,6 +86,8 @@ QUERIES = {
     "op8_langid": op8_langid,
     "op9_url_rules": op9_url_rules,
     "op10_near_dedup": op10_near_dedup,
+    "op11_filter_audit": op11_filter_audit,
+    "op12_topk": op12_topk,
 }
 
 ORACLE_SQL = {
@@ -127,4 +143,62 @@ WITH RECURSIVE
   r AS (SELECT doc_id, doc_id AS reach FROM d UNION SELECT r.doc_id, e.b FROM r JOIN e ON r.reach = e.a)
 SELECT r.doc_id, coalesce(any_value(n.c), 0) AS n_shingles, min(reach) AS component_id, r.doc_id = min(reach) AS kept
 FROM r LEFT JOIN n ON n.doc_id = r.doc_id GROUP BY r.doc_id""",
+    "op11_filter_audit": r"""
+WITH d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t FROM documents),
+     w AS (SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w FROM d),
+     m AS (SELECT t, min(doc_id) AS least FROM d GROUP BY t),
+     f AS (SELECT w.doc_id, part, CASE WHEN len(w) < 50 THEN 1 ELSE 0 END + CASE WHEN 100 * len(list_distinct(w)) < 65 * len(w) THEN 2 ELSE 0 END
+                  + CASE WHEN 100 * length(regexp_replace(w.t, '[^A-Z]+', '', 'g')) > 5 * length(w.t) THEN 4 ELSE 0 END
+                  + CASE WHEN regexp_matches(w.t, '[#$%&*|]') THEN 8 ELSE 0 END + CASE WHEN w.doc_id > m.least THEN 16 ELSE 0 END AS fails
+           FROM w JOIN m ON w.t = m.t),
+     l AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic
+           FROM labels GROUP BY doc_id),
+     g AS (SELECT part, fails, count(*) AS n, sum(coalesce(good, 0)) AS good, sum(coalesce(toxic, 0)) AS toxic
+           FROM f LEFT JOIN l USING (doc_id) GROUP BY part, fails),
+     x AS (SELECT * FROM (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)) AS v(f, b)),
+     o AS (SELECT x1.f || x2.f || x3.f || x4.f || x5.f AS filter_order, [x1.b, x2.b, x3.b, x4.b, x5.b] AS bits
+           FROM x x1, x x2, x x3, x x4, x x5 WHERE (x1.b | x2.b | x3.b | x4.b | x5.b) = 31),
+     s AS (SELECT filter_order, step, bits[step] AS bit, CAST(list_sum(bits[1:step]) AS INT) - bits[step] AS before
+           FROM o, (SELECT unnest(range(1, 6)) AS step)),
+     r AS (SELECT part, filter_order, step, bit,
+                  sum(CASE WHEN fails & (before | bit) = 0 THEN n ELSE 0 END) AS kept,
+                  sum(CASE WHEN fails & before = 0 AND fails & bit <> 0 THEN n ELSE 0 END) AS removed,
+                  sum(CASE WHEN fails & before <> 0 AND fails & bit <> 0 THEN n ELSE 0 END) AS redundant,
+                  sum(CASE WHEN fails = bit THEN n ELSE 0 END) AS unique_fails,
+                  sum(CASE WHEN fails & before = 0 AND fails & bit <> 0 THEN good ELSE 0 END) AS good_lost,
+                  sum(CASE WHEN fails & before = 0 AND fails & bit <> 0 THEN toxic ELSE 0 END) AS toxic_lost
+           FROM s, g GROUP BY part, filter_order, step, bit)
+SELECT part, filter_order, CAST(step AS INT) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+       CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+       CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, bit) AS BIGINT) AS shapley
+FROM r""",
+    "op12_topk": """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS e FROM embeddings
+           WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+     p AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+           FROM v q JOIN v c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id),
+     r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM p)
+SELECT query_id, CAST(rank AS INT) AS rank, vec_id, score FROM r WHERE rank <= 10""",
+    "op13_collocations": r"""
+WITH d AS (SELECT doc_id, coalesce(lang, 'und') AS lang,
+                  regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]') AS ps
+           FROM documents),
+     w AS (SELECT lang, regexp_extract_all(p, '[^\x20\x09]+') AS w FROM (SELECT lang, unnest(ps) AS p FROM d)),
+     g AS (SELECT lang, m, array_to_string(w[k:k + m - 1], ' ') AS phrase
+           FROM (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS k FROM w, (SELECT unnest(range(1, 6)) AS m) WHERE len(w) >= m)),
+     f AS (SELECT lang, m, phrase, count(*) AS f FROM g GROUP BY ALL HAVING count(*) >= 100),
+     n AS (SELECT lang, count(*) AS n FROM g WHERE m = 1 GROUP BY lang),
+     c AS (SELECT lang, m, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE m > 1),
+     cut AS (SELECT lang, phrase, a, k, array_to_string(w[1:k], ' ') AS x, array_to_string(w[k + 1:], ' ') AS y
+             FROM (SELECT *, unnest(range(1, m)) AS k FROM c)),
+     s AS (SELECT cut.lang, cut.phrase, a, k, p.f AS l, q.f AS r, n.n,
+                  CAST((CAST(1000 AS HUGEINT) * a * n.n) // (CAST(p.f AS HUGEINT) * q.f) AS BIGINT) AS score
+           FROM cut JOIN f p ON p.lang = cut.lang AND p.phrase = x JOIN f q ON q.lang = cut.lang AND q.phrase = y JOIN n ON n.lang = cut.lang),
+     low AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+     sub AS (SELECT lang, array_to_string(w[b:b + z - 1], ' ') AS phrase, max(a) AS longer
+             FROM (SELECT lang, w, a, z, unnest(range(1, m - z + 2)) AS b FROM c, (SELECT unnest(range(2, 5)) AS z) WHERE z < m) GROUP BY 1, 2),
+     k AS (SELECT low.* FROM low LEFT JOIN sub USING (lang, phrase) WHERE longer IS NULL OR 100 * longer < 100 * a),
+     o AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM k)
+SELECT lang, rank, phrase, a, l, r, n, score FROM o WHERE rank <= 2000""",
 }
