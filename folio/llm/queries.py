@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (bpe, chat, decontam, exact_dedup, filter_audit, html_main, langid, near_dedup, token_files,
+from . import (bpe, chat, collocations, decontam, exact_dedup, filter_audit, html_main, langid, near_dedup, token_files,
                topk, url_rules, warc)
 from .common import table
 
@@ -88,6 +88,7 @@ QUERIES = {
     "op10_near_dedup": op10_near_dedup,
     "op11_filter_audit": op11_filter_audit,
     "op12_topk": op12_topk,
+    "op13_collocations": op13_collocations,
 }
 
 ORACLE_SQL = {
