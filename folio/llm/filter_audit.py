@@ -62,10 +62,15 @@ def judged(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 def failing_ids(rows: DataFrame) -> dict[str, DataFrame]:
     """One stored table for each filter: row key, id, part and labels of the rows that fail it."""
     out = {}
-    first = (rows.groupBy("sha").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("n"))
-             .where("n > 1").select("sha", "least"))
+    # of each text the row with the least id passes E; rows meet it by row key, which no group of copies shares
+    first = (rows.where(F.col("id").isNotNull()).groupBy("sha").agg(F.min(F.struct("id", "row")).alias("f"))
+             .select(F.col("f.row").alias("r"), F.col("f.id").alias("i")))
     for f in FILTERS:
-        failing = rows.join(first, "sha").where("id > least") if f == COPIES else rows.where(F.col(f))
+        if f == COPIES:
+            known = rows.where(F.col("id").isNotNull())
+            failing = known.join(first, (known.row == first.r) & (known.id == first.i), "left_anti")
+        else:
+            failing = rows.where(F.col(f))
         out[f] = stored(failing.select("row", "id", "part", "quality", "toxic"), f"audit-{f}")
     return out
 
