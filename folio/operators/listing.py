@@ -1,5 +1,8 @@
 """Listing pages -> typed issuance records, as narrow DataFrame transforms.
 
+Tables whose rows and cells all have their end tags are read by patterns; a page with nested tables or omitted end tags
+is read by a fold over its tags with a stack of open elements (``folio.functions.tagtree``).
+
 Every step is a Column expression over one page row or one listing row, so a
 page never leaves its partition: no shuffle until records meet the store.
 The "abort the rest of the page on the first bad row" rule is evaluated on the
@@ -13,10 +16,11 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from folio.functions import tagtree
 from folio.functions import text as T
 from folio.functions import urls as U
 from folio.functions.identity import version_hash
-from folio.functions.util import cached_columns
+from folio.functions.util import cached_columns, let
 
 BASE_URL = "https://www.esd.whs.mil"
 
@@ -50,32 +54,44 @@ _SEP = r"""(?:[\s/]+|(?<=["']))"""
 _ATTRS_BEFORE = rf"""(?:{_SEP}[^\s=>"'/]+(?:\s*=\s*(?:"[^"]*"|'[^']*'|[^\s"'>]+))?)*?{_SEP}"""
 HREF_RE = rf"""(?is)^{_ATTRS_BEFORE}href\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
 CLASS_ATTR_RE = rf"(?is)^{_ATTRS_BEFORE}class(?=[\s=/]|$)"
-NESTED_TABLE_RE = r"(?i)<table(?=[\s/>])"
+TABLE_TAGS_RE = r"(?i)<(/?t(?:able|body|foot|head|r|d|h))(?=[\s/>])"
+RECORD_CELLS = 6  # cells of a row that are read
 
 
-def element_regex(tag: str, css_class: str | None = None) -> str:
-    """First ``tag`` element (group 1: what it holds), with a class list that contains ``css_class``
-    (case-sensitive token) if one is given."""
+def start_tag_regex(tag: str, css_class: str | None = None) -> str:
+    """Start tag of a ``tag`` element, with a class list that contains ``css_class`` (case-sensitive token) if one is given."""
     c = re.escape(css_class or "")
     wanted = "" if css_class is None else (
         rf"""{_ATTRS_BEFORE}(?i:class)\s*=\s*(?:"(?:[^"]*\s)?{c}(?:\s[^"]*)?"|'(?:[^']*\s)?{c}(?:\s[^']*)?'|{c}(?=[\s/>]))""")
-    return rf"(?s)<(?i:{tag})(?=[\s/>]){wanted}{REST}>(.*?)</(?i:{tag})\s*>"
+    return rf"(?s)<(?i:{tag})(?=[\s/>]){wanted}{REST}>"
+
+
+def element_regex(tag: str, css_class: str | None = None) -> str:
+    """First such element (group 1: what it holds, up to the first end tag of its name)."""
+    return rf"{start_tag_regex(tag, css_class)}(.*?)</(?i:{tag})\s*>"
 
 
 def table_regex(table_class: str) -> str:
     return element_regex("table", table_class)
 
 
-def _unbalanced(table: Column) -> Column:
-    """Whether a listing table holds another table, or rows or cells without their end tag: then the pattern
-    matches would lose or fuse rows, so such a page is an error."""
-    def count(pattern):
-        return F.regexp_count(table, F.lit(pattern))
+def _regular(table: Column) -> Column:
+    """Whether a table is a plain sequence of rows of cells, each with its end tag, so that patterns read it right."""
+    order = F.concat(F.array_join(F.transform(F.regexp_extract_all(table, F.lit(TABLE_TAGS_RE), 1), F.lower), ","), F.lit(","))
+    for pair in ("td,/td,", "th,/th,", "tr,/tr,"):
+        order = F.replace(order, F.lit(pair), F.lit(""))
+    for section in tagtree.SECTIONS:
+        order = F.replace(order, F.lit(f"{section},/{section},"), F.lit(""))
+    return order.isin("", ",")
 
-    uneven = F.lit(False)
-    for tag in ("tr", "td"):
-        uneven = uneven | (count(rf"(?is)<{tag}(?=[\s/>]){REST}>") != count(rf"(?is)</{tag}\s*>"))
-    return table.rlike(NESTED_TABLE_RE) | uneven
+
+def _regular_rows(table: Column) -> Column:
+    """array<struct<tag, n, cells, heads>> of a regular table's rows."""
+    def row(r: Column, i: Column) -> Column:
+        return let(F.regexp_extract_all(r, F.lit(TD_RE), 1), lambda cells: F.struct(
+            F.regexp_extract(r, TR_ATTRS_RE, 0).alias("tag"), F.size(cells).alias("n"), cells.alias("cells"),
+            F.when(i == 0, F.regexp_extract_all(r, F.lit(TH_RE), 1)).otherwise(F.array().cast("array<string>")).alias("heads")))
+    return F.transform(F.regexp_extract_all(table, F.lit(TR_RE), 0), row)
 
 
 def classify_page(url) -> Column:
@@ -142,17 +158,18 @@ def parse_number(kind: Column, name: Column) -> Column:
     return F.struct(doc_name.alias("doc_name"), doc_num.alias("doc_num"))
 
 
-def _row_error(kind: Column, row: Column, base_url: str) -> Column:
+def _has_class(row: Column) -> Column:
+    return F.regexp_extract(row["tag"], TR_ATTRS_RE, 1).rlike(CLASS_ATTR_RE)
+
+
+def _row_error(kind: Column, row: Column) -> Column:
     """Error code of one listing row (NULL when it parses): the reference ends the page there."""
-    attrs = F.regexp_extract(row, TR_ATTRS_RE, 1)
-    has_class = attrs.rlike(CLASS_ATTR_RE)
-    has_cells = row.rlike(TD_RE)
-    cell0 = F.regexp_extract(row, TD_RE, 1)
+    cell0 = F.try_element_at(row["cells"], F.lit(1))
     has_a = cell0.rlike(A_ATTRS_RE)
     a_attrs = F.regexp_extract(cell0, A_ATTRS_RE, 1)
     href = href_of(a_attrs)
     name = T.strip_parens(T.clean_cell(cell0))
-    return (F.when(~has_class | ~has_cells, F.lit(None).cast("string"))
+    return (F.when(~_has_class(row) | (row["n"] == 0), F.lit(None).cast("string"))
             .when(~has_a, F.lit("E1_no_anchor"))
             .when(href.isNull(), F.lit("E2_no_href"))
             .when(U.url_error(href), F.lit("E5_bad_url"))
@@ -161,28 +178,33 @@ def _row_error(kind: Column, row: Column, base_url: str) -> Column:
 
 
 @cached_columns
-def _page_cols(table_class: str, base_url: str, opr_header: str | None = None):
-    tre = table_regex(table_class)
-    s1 = ["source_page_url", page_kind(F.col("source_page_url")).alias("_kind"),
-          F.col("_html").rlike(tre).alias("_found"), F.regexp_extract(F.col("_html"), tre, 1).alias("_table")]
-    s2 = ["source_page_url", "_kind", "_found", _unbalanced(F.col("_table")).alias("_uneven"),
-          F.regexp_extract_all(F.col("_table"), F.lit(TR_RE), 0).alias("_rows")]
-    header = _header_index(F.try_element_at("_rows", F.lit(1)), opr_header) if opr_header else F.lit(None)
+def _page_cols(table_class: str, opr_header: str | None = None, tree: str = "implied"):
+    tre, start = table_regex(table_class), start_tag_regex("table", table_class)
+    s1 = ["source_page_url", "_html", page_kind(F.col("source_page_url")).alias("_kind"),
+          F.col("_html").rlike(start).alias("_found"), F.col("_html").rlike(tre).alias("_closed"),
+          F.regexp_extract(F.col("_html"), tre, 1).alias("_table")]
+    cells = RECORD_CELLS if opr_header is None else 1 << 20  # a column named by its header may stand anywhere
+    folded = tagtree.table_rows(F.regexp_extract(F.col("_html"), f"{start}.*", 0), tree, cells)
+    s2 = ["source_page_url", "_kind", "_found",
+          F.when(~F.col("_found"), F.lit(None)).when(F.col("_closed") & _regular(F.col("_table")), _regular_rows(F.col("_table")))
+          .otherwise(folded).alias("_rows")]
+    header = _header_index(F.try_element_at("_rows", F.lit(1))["heads"], opr_header) if opr_header else F.lit(None)
     errs = F.transform("_rows", lambda r, i: F.when(i == 0, F.lit(None).cast("string"))
-                       .otherwise(_row_error(F.col("_kind"), r, base_url))).alias("_errs")
+                       .otherwise(_row_error(F.col("_kind"), r))).alias("_errs")
     first_bad = F.array_position(F.transform("_errs", lambda e: e.isNotNull()), True)
     s4 = ["source_page_url", "_kind", "_rows", "_errs", header.cast("int").alias("_opr_pos"),
           F.when(~F.col("_found"), F.lit("P1_no_table"))
-          .when(F.col("_uneven"), F.lit("P3_nested_or_unclosed"))
           .when(F.size("_rows") == 0, F.lit("P2_no_rows")).alias("page_error"),
           F.when(first_bad > 0, first_bad - 1).otherwise(F.size("_rows")).alias("_first_bad")]
     return s1, s2, errs, s4
 
 
-def listing_pages(pages: DataFrame, url_col: str = "url", html_col: str = "html",
-                  table_class: str = "dnnGrid", base_url: str = BASE_URL, opr_header: str | None = None) -> DataFrame:
-    """Page-level stage: listing table, its rows, page status and first failing row."""
-    s1, s2, errs, s4 = _page_cols(table_class, base_url, opr_header)
+def listing_pages(pages: DataFrame, url_col: str = "url", html_col: str = "html", table_class: str = "dnnGrid",
+                  opr_header: str | None = None, tree: str = "implied") -> DataFrame:
+    """Page-level stage: the rows of the listing table, page status and first failing row.
+
+    ``tree``: how elements without their end tag close, see ``folio.functions.tagtree``; regular tables do not depend on it."""
+    s1, s2, errs, s4 = _page_cols(table_class, opr_header, tree)
     p = pages.select(
         F.col(url_col).alias("source_page_url"),
         T.strip_raw_blocks(F.col(html_col)).alias("_html"))
@@ -209,23 +231,19 @@ def listing_rows(pages: DataFrame, mode: str = "abort", **kw) -> DataFrame:
     p = listing_pages(pages, **kw).where(F.col("page_error").isNull())
     p = p.select("source_page_url", "_kind", "_first_bad", "_opr_pos",
                  F.posexplode(F.arrays_zip(F.col("_rows").alias("row"), F.col("_errs").alias("err"))))
-    keep = (F.col("pos") > 0) & F.regexp_extract(F.col("col.row"), TR_ATTRS_RE, 1).rlike(CLASS_ATTR_RE)
+    keep = (F.col("pos") > 0) & _has_class(F.col("col.row"))
     keep = keep & ((F.col("pos") < F.col("_first_bad")) if mode == "abort" else F.col("col.err").isNull())
     return p.where(keep).select("source_page_url", F.col("pos").cast("int").alias("row_pos"), "_kind", "_opr_pos",
-                                F.col("col.row").alias("row_html"))
+                                F.col("col.row.cells").alias("_cells"), F.col("col.row.n").alias("_n"))
 
 
 @cached_columns
 def _record_cols(date_mode: str, base_url: str, opr_header):
-    cells = F.regexp_extract_all(F.col("row_html"), F.lit(TD_RE), 1)
-    s1 = ["source_page_url", "row_pos", "_kind", "_opr_pos", cells.alias("_cells")]
-
     def cell(i):
         return T.clean_cell(F.coalesce(F.try_element_at(F.col("_cells"), F.lit(i + 1)), F.lit("")))
 
     s2 = ["source_page_url", "row_pos", "_kind",
-          F.size("_cells").alias("_n"),
-          href_of(F.regexp_extract(F.coalesce(F.try_element_at("_cells", F.lit(1)), F.lit("")), A_ATTRS_RE, 1))
+          "_n", href_of(F.regexp_extract(F.coalesce(F.try_element_at("_cells", F.lit(1)), F.lit("")), A_ATTRS_RE, 1))
           .alias("_href"),
           T.strip_parens(cell(0)).alias("_name0"),
           cell(1).alias("_pub"), cell(2).alias("_title"), cell(3).alias("_chg"), cell(4).alias("_chg_date"),
@@ -279,7 +297,7 @@ def _record_cols(date_mode: str, base_url: str, opr_header):
           F.lit(False).alias("is_revoked"),
           opr.alias("office_primary_resp"),
           "row_pos"]
-    return [s1, s2, s3, s4, s5, s6, s7]
+    return [s2, s3, s4, s5, s6, s7]
 
 
 def extract_records(pages: DataFrame, mode: str = "abort", date_mode: str = "observed",
@@ -290,7 +308,7 @@ def extract_records(pages: DataFrame, mode: str = "abort", date_mode: str = "obs
     always empty, D-1); ``'parsed'`` normalises dates to yyyy-MM-ddTHH:mm:ss.
     Each stage is one narrow ``select``; no stage shuffles.
     """
-    r = listing_rows(pages, mode=mode, base_url=base_url, opr_header=opr_header, **kw)
+    r = listing_rows(pages, mode=mode, opr_header=opr_header, **kw)
     for cols in _record_cols(date_mode, base_url, opr_header):
         r = r.select(*cols)
     return r
@@ -299,16 +317,13 @@ def extract_records(pages: DataFrame, mode: str = "abort", date_mode: str = "obs
 def header_position(pages: DataFrame, label: str, url_col: str = "url", html_col: str = "html",
                     table_class: str = "dnnGrid") -> DataFrame:
     """0-based index of the last header cell of the listing table whose text is ``label``."""
-    tre = table_regex(table_class)
-    p = pages.select(F.col(url_col).alias("source_page_url"),
-                     F.regexp_extract(T.strip_raw_blocks(F.col(html_col)), tre, 1).alias("_t"))
-    return p.select("source_page_url", _header_index(F.regexp_extract(F.col("_t"), TR_RE, 0), label).alias("header_pos"))
+    p = listing_pages(pages, url_col, html_col, table_class)
+    return p.select("source_page_url", _header_index(F.try_element_at("_rows", F.lit(1))["heads"], label).alias("header_pos"))
 
 
-def _header_index(row: Column, label: str) -> Column:
-    """0-based index of the last header cell of ``row`` whose text is ``label``; NULL if there is none."""
-    hits = F.filter(F.transform(F.regexp_extract_all(row, F.lit(TH_RE), 1),
-                                lambda h, i: F.when(T.py_strip(T.cell_text(h)) == label, i)), lambda x: x.isNotNull())
+def _header_index(heads: Column, label: str) -> Column:
+    """0-based index of the last of the header cells whose text is ``label``; NULL if there is none."""
+    hits = F.filter(F.transform(heads, lambda h, i: F.when(T.py_strip(T.cell_text(h)) == label, i)), lambda x: x.isNotNull())
     return F.try_element_at(hits, F.lit(-1))
 
 

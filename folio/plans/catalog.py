@@ -36,10 +36,10 @@ def _t(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d.rstrip('/')}/{name}.parquet")
 
 
-def listing_source(spark, d):
+def listing_source(spark, d, malformed=False):
     """Listing pages rendered from ``part`` and materialised (reliable checkpoint in
     the shared folder), dealt out over the cores, so they behave like a scanned page table."""
-    pages = render_listing_pages(_t(spark, d, "part").select("p_partkey", "p_brand", "p_type", "p_size"))
+    pages = render_listing_pages(_t(spark, d, "part").select("p_partkey", "p_brand", "p_type", "p_size"), malformed)
     return pages.repartition(spark.sparkContext.defaultParallelism, "page_id").checkpoint(eager=True)
 
 
@@ -81,6 +81,11 @@ def q_extract_listing(spark, d):
     return records(spark, d).select(*LISTING_COLS)
 
 
+def q_extract_malformed(spark, d):
+    """Listing tables with inner tables and omitted end tags."""
+    return records(spark, d, listing_source(spark, d, malformed=True)).select(*LISTING_COLS)
+
+
 def q_listing_errors(spark, d):
     return L.listing_errors(listing_source(spark, d))
 
@@ -333,6 +338,7 @@ QUERIES = {
     "scan_pages": q_scan_pages,
     "scan_documents": q_scan_documents,
     "extract_listing": q_extract_listing,
+    "extract_malformed": q_extract_malformed,
     "listing_errors": q_listing_errors,
     "header_position": q_header_position,
     "first_wins": q_first_wins,

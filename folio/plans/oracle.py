@@ -83,6 +83,13 @@ store AS (
                  FROM listing) WHERE rn = 1)
 """
 
+# Inner tables' rows count as rows of the page, after the row that holds them.
+_MALFORMED_CTE = _LISTING_CTE.replace(
+    "row_number() OVER (PARTITION BY p_partkey // {0} ORDER BY p_partkey) AS row_pos".format(ROWS_PER_PAGE),
+    "row_number() OVER w + sum(CASE WHEN p_partkey % 5 = 2 AND p_partkey % 29 <> 7 THEN 1 ELSE 0 END) OVER w "
+    "- CASE WHEN p_partkey % 5 = 2 AND p_partkey % 29 <> 7 THEN 1 ELSE 0 END AS row_pos").replace(
+    "  FROM part),", "  FROM part WINDOW w AS (PARTITION BY p_partkey // {0} ORDER BY p_partkey)),".format(ROWS_PER_PAGE))
+
 LISTING_COLS = ("source_page_url, row_pos, doc_name, doc_num, doc_title, doc_type, display_doc_type, publication_date, "
                 "cac_login_required, download_url, file_ext, source_fqdn, display_title, version_hash")
 
@@ -168,6 +175,7 @@ def oracle_sql() -> dict[str, str]:
         "scan_pages": "SELECT page_id, url, html FROM pages",
         "scan_documents": "SELECT doc_id, text, lang, source FROM documents",
         "extract_listing": _with_listing(f"SELECT {LISTING_COLS} FROM listing"),
+        "extract_malformed": "WITH " + _MALFORMED_CTE + f"SELECT {LISTING_COLS} FROM listing",
         "first_wins": _with_listing("SELECT version_hash, source_page_url, row_pos, doc_name FROM store"),
         "insert_if_absent": _with_listing(
             "SELECT version_hash AS _id, true AS _needs_download, source_page_url, row_pos, doc_name, download_url "

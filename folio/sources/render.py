@@ -18,6 +18,8 @@ Per part row k (p_partkey), s (p_size), t (p_type), b (p_brand):
   title: t, wrapped in &quot; when k % 19 = 0, " FOUO" appended when k % 17 = 0
   change: "CH <s div 5>" and date "<s%12+1>/<s%28+1>/2019" when s % 5 = 0
   link: /Portals/54/Documents/<prefix lower>/<s> <t lower>.pdf (".PDF?ver=2" when k % 23 = 0)
+Malformed form (``malformed=True``): a row with cells holds, when k % 5 = 2, an inner table of one row without class attribute
+in its last cell; rows with k % 3 = 1 have no end tags of rows and cells, also in the inner table.
 """
 
 from __future__ import annotations
@@ -47,7 +49,7 @@ def _pick(idx, values):
     return out
 
 
-def listing_row_html(part: DataFrame) -> DataFrame:
+def listing_row_html(part: DataFrame, malformed: bool = False) -> DataFrame:
     k, s = F.col("p_partkey"), F.col("p_size")
     block = F.floor(k / ROWS_PER_PAGE)
     ti = (block % len(SUFFIXES)).cast("int")
@@ -72,19 +74,22 @@ def listing_row_html(part: DataFrame) -> DataFrame:
     pub = F.concat((s % 12 + 1).cast("string"), F.lit("/"), (k % 28 + 1).cast("string"), F.lit("/2020"))
     cell0 = F.when(k % 97 == 50, F.concat(F.lit("<td>"), name, F.lit("</td>"))).otherwise(
         F.concat(F.lit('<td><a href="'), href, F.lit('">'), name, F.lit("</a></td>")))
+    inner = F.when(k % 5 == 2, F.lit("<table><tr><td>note</td></tr></table>")).otherwise(F.lit(""))
     cells = F.concat(cell0, F.lit("<td>"), pub, F.lit("</td><td>"), title, F.lit("</td><td>"), chg,
                      F.lit("</td><td>\n  "), chg_date, F.lit("</td><td></td><td>"), F.col("p_brand"),
-                     F.lit("</td>"))
+                     inner if malformed else F.lit(""), F.lit("</td>"))
     cells = F.when(k % 29 == 7, F.lit("")).otherwise(cells)
     open_tr = F.when(k % 11 == 3, F.lit("<tr>")).otherwise(F.lit('<tr class="r">'))
     row = F.concat(open_tr, cells, F.lit("</tr>\n"))
+    if malformed:
+        row = F.when(k % 3 == 1, F.regexp_replace(row, "</t[rd]>", "")).otherwise(row)
     url = F.concat(F.lit(PAGE_ROOT), block.cast("string"), F.lit("/"), suffix)
     return part.select(block.alias("block"), url.alias("url"), k.alias("k"), row.alias("row_html"))
 
 
-def render_listing_pages(part: DataFrame) -> DataFrame:
+def render_listing_pages(part: DataFrame, malformed: bool = False) -> DataFrame:
     """(page_id, url, html) with at most ROWS_PER_PAGE listing rows per page."""
-    rows = listing_row_html(part)
+    rows = listing_row_html(part, malformed)
     pages = rows.groupBy("block", "url").agg(
         F.array_sort(F.collect_list(F.struct("k", "row_html"))).alias("_r"))
     html = F.concat(F.lit(PAGE_HEAD + HEADER),

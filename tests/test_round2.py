@@ -31,14 +31,6 @@ def row(name, attrs='class="r"', anchor='href="/a.pdf"'):
     return f"<tr {attrs}><td><a {anchor}>{name}</a></td><td>OUSD</td></tr>"
 
 
-def test_nested_or_unclosed_tables_are_errors(spark):
-    for bad in (row("DoDD 1") + "<tr class=r><td><table><tr><td>x</td></tr></table></td></tr>" + row("DoDD 2"),
-                "<tr class=r><td><a href=/a>DoDD 1</a></tr>", "<tr class=r><td><a href=/a>DoDD 1</a></td>" + row("DoDD 2")):
-        pages = page(spark, bad)
-        assert L.extract_records(pages).count() == 0
-        assert [(r.row_pos, r.error) for r in L.listing_errors(pages).collect()] == [(None, "P3_nested_or_unclosed")]
-
-
 def test_attributes_are_read_in_order(spark):
     pages = page(spark, row("no", 'title="no class here"') + row("DoDD 1.2", anchor='title="x href=/evil y" href="/1.pdf"')
                  + row("DoDD 3.4", "title='a > b' class", 'title="a > b" href=/2.pdf'))
