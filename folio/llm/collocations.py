@@ -243,6 +243,7 @@ def _ranked(counts: DataFrame, key: str, name: str) -> DataFrame:
     """Stored (lang, key, f, rank): numbers from 0 in falling order of f, by language; no task sees a whole language."""
     spark = counts.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    counts = stored(counts, f"{name}-counts")  # range partitioning reads it twice
     dealt = (counts.repartitionByRange(parts, "lang", F.desc("f"), key).sortWithinPartitions("lang", F.desc("f"), key)
              .withColumn("row", F.monotonically_increasing_id()).withColumn("part", F.shiftright("row", 33)))
     dealt = stored(dealt, f"{name}-sorted")
