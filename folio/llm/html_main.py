@@ -120,10 +120,11 @@ def blocks(html: str) -> list[tuple[str, bool, int, int]]:
     out: list[tuple] = []
     marks = [("", 0, 0)]
     stack: list[tuple[str, bool, int, int]] = []  # tag, never, region, mark
+    places: dict[str, list[int]] = {}  # of each open tag name in the stack
+    open_blocks: list[int] = []
     words: list[str] = []
     linked = regions = 0
     state = (False, 0, 0)
-    in_link = 0
 
     def close():
         nonlocal linked
@@ -134,8 +135,11 @@ def blocks(html: str) -> list[tuple[str, bool, int, int]]:
         linked = 0
 
     def pop(to: int):
-        nonlocal state, in_link
-        in_link -= sum(t[0] == "a" for t in stack[to:])
+        nonlocal state
+        for t in reversed(stack[to:]):
+            places[t[0]].pop()
+            if t[0] in _BLOCK:
+                open_blocks.pop()
         del stack[to:]
         state = stack[-1][1:] if stack else (False, 0, 0)
 
@@ -144,7 +148,7 @@ def blocks(html: str) -> list[tuple[str, bool, int, int]]:
         if m.start() > last:
             piece = entities.unescape(html[last:m.start()])
             words.append(piece)
-            if in_link:
+            if places.get("a"):
                 linked += len(piece)
         last = m.end()
         tag = m["tag"]
@@ -155,31 +159,20 @@ def blocks(html: str) -> list[tuple[str, bool, int, int]]:
         if block:
             close()
         if m["end"]:
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == tag:
-                    pop(k)
-                    break
-                if not block and stack[k][0] in _BLOCK:
-                    break
+            at = places.get(tag)
+            if at and (block or not open_blocks or open_blocks[-1] < at[-1]):  # an inline end tag does not reach out of a block
+                pop(at[-1])
             continue
-        if block and tag != "br":  # an open paragraph ends here; a list item or cell ends its like
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == "p" or stack[k][0] == tag and tag in ("li", "td", "th", "tr", "dd", "dt"):
-                    pop(k)
-                    break
-                if stack[k][0] in _BLOCK:
-                    break
+        if block and tag != "br" and open_blocks:  # an open paragraph ends here; a list item or cell ends its like
+            inner = stack[open_blocks[-1]][0]
+            if inner == "p" or inner == tag and tag in ("li", "td", "th", "tr", "dd", "dt"):
+                pop(open_blocks[-1])
         if tag in _VOID:
             continue
         if tag == "body":  # ends a head left open
             pop(0)
-        if tag == "a":
-            if in_link:
-                for k in range(len(stack) - 1, -1, -1):
-                    if stack[k][0] == "a":
-                        pop(k)
-                        break
-            in_link += 1
+        if tag == "a" and places.get("a"):
+            pop(places["a"][-1])
         never, region, outer = state
         mark = "form" if tag == "form" else ""
         if tag in _NEVER or tag == "header" and region <= 0:
@@ -202,10 +195,13 @@ def blocks(html: str) -> list[tuple[str, bool, int, int]]:
             regions += 1
             region = regions
         state = (never, region, outer)
+        places.setdefault(tag, []).append(len(stack))
+        if block:
+            open_blocks.append(len(stack))
         stack.append((tag, *state))
     if last < len(html):
         words.append(entities.unescape(html[last:]))
-        if in_link:
+        if places.get("a"):
             linked += len(words[-1])
     close()
     return _settle(out, marks)

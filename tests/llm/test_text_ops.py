@@ -293,3 +293,14 @@ def test_url_rules_of_rare_bad_hosts(spark):
 
 def url_rules_tokens(spark, url):
     return spark.range(1).select(url_rules.tokens(F.lit(url)).alias("t")).first().t
+
+
+def test_blocks_of_unmatched_tags_take_linear_time():
+    import time
+    from folio.llm import html_main
+    n = 100_000
+    for page in ("<p>text" + "<span>" * n + "</b>" * n, "<div>" * n + "text" + "</ul>" * n, "<p>text" + "<i>" * n + "<hr>" * n,
+                 "<a>" * n + "text" + "</a>" * n):
+        begin = time.time()
+        assert [b[0] for b in html_main.blocks(page)] == ["text"]
+        assert time.time() - begin < 20
