@@ -18,14 +18,22 @@ from folio.session import ensure_checkpoint_dir
 
 SLICE_BYTES = 1 << 20  # text bytes handled at once in a task; a longer single text is one slice
 SLICE_ROWS = 1 << 14
+BATCH_BYTES = 4 << 20  # of an Arrow batch; a longer single row is one batch
 MULT = np.uint64(0x9E3779B97F4A7C13)  # 3 modulo 8, so that powers of it repeat as late as they can
 MULT_INV = np.uint64(pow(int(MULT), -1, 1 << 64))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bounded_batches(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def bounded_batches(spark: SparkSession, most_bytes: int = BATCH_BYTES) -> None:
+    """Let Spark hand texts to Python in batches of few bytes, from now on in this session: with the default of 64 MB a
+    worker and the JVM beside it hold some hundred MB of texts at once."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(most_bytes))
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
     """A new path in the folder that driver and executors share."""
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm-{name}-{uuid.uuid4().hex[:12]}"
