@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from folio.llm import bpe, decontam, exact_dedup, langid, near_dedup
-from folio.llm.common import stored, table
+from folio.llm.common import bounded_batches, stored, table
 from folio.llm.queries import vocabulary
 
 NEAR_PER_CENT = 80  # five-word shingles, similarity of 0.8 or more
@@ -15,6 +15,7 @@ NEAR_PER_CENT = 80  # five-word shingles, similarity of 0.8 or more
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language the model does not reject."""
+    bounded_batches(spark)
     return langid.keep_known(docs)
 
 
