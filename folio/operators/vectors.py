@@ -3,8 +3,9 @@
 * ``hash_embed`` is the default embedder (model inference is out of scope):
   tokens -> md5 -> bucket and sign -> signed counts -> L2 normalised, with one
   exchange of partial sums by key.
-* ``knn_topk_batch`` is exact search over pairs of bounded blocks; each pair's best
-  candidates are shuffled for the final per-query top-k.
+* ``knn_topk`` broadcasts its queries in bounded blocks; ``knn_topk_batch`` is exact search over pairs of bounded
+  blocks; each pair's best candidates are shuffled for the final per-query top-k.
+* ``knn_approx`` builds and searches an index of inverted lists.
 """
 
 from __future__ import annotations
@@ -16,6 +17,9 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from folio.operators.vector_index import build_index, exact_topk, search_index
+from folio.session import scratch_path
+
 # Ship this module's task-side functions by value, so executors need no install.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -100,47 +104,22 @@ def knn_topk_batch(spark: SparkSession, queries: DataFrame, vectors: DataFrame,
 
 
 def knn_topk(spark: SparkSession, query_vector: DataFrame, vectors: DataFrame, k: int = 2, **kw) -> DataFrame:
-    """Single-query form: ``query_vector`` is a one-row DataFrame (query_id, vector)."""
-    return knn_topk_batch(spark, query_vector, vectors, k=k, **kw)
-
-
-def knn_approx(queries: DataFrame, vectors: DataFrame, k: int = 2, bucket_length: float = 0.5,
-               num_tables: int = 4, seed: int = 7, query_id: str = "query_id", query_vec: str = "vector",
-               id_col: str = "id", vec_col: str = "embedding") -> DataFrame:
-    """Approximate top-k: random-projection LSH buckets (Spark ML), candidates are
-    vectors sharing a bucket with the query (equi-join on (table, bucket)), exact re-rank,
-    per-query top-k with a partial limit before the shuffle.
-
-    Queries with fewer than ``k`` candidates are searched exactly, so every query gets ``k`` rows (all vectors, if
-    there are fewer).  Ids are taken as unique on both sides."""
-    from pyspark.ml.feature import BucketedRandomProjectionLSH
-    from pyspark.ml.functions import array_to_vector, vector_to_array
-    v = vectors.select(F.col(id_col).alias("id"), array_to_vector(F.col(vec_col)).alias("features"),
-                       F.col(vec_col).alias("embedding"))
-    model = BucketedRandomProjectionLSH(inputCol="features", outputCol="hashes", bucketLength=bucket_length,
-                                        numHashTables=num_tables, seed=seed).fit(v)
-    def buckets(df, cols):
-        return model.transform(df).select(*cols, F.posexplode(
-            F.transform("hashes", lambda h: vector_to_array(h)[0])).alias("tbl", "bucket"))
-
-    vh = buckets(v, ["id", "embedding"])
-    q = queries.select(F.col(query_id).alias("query_id"), array_to_vector(F.col(query_vec)).alias("features"),
-                       F.col(query_vec).alias("vector"))
-    qh = buckets(q, ["query_id", "vector"])
-    cand = vh.join(qh, ["tbl", "bucket"]).select("query_id", "id", "embedding", "vector").dropDuplicates(
-        ["query_id", "id"])
-    d2 = F.aggregate(F.zip_with("vector", "embedding", lambda a, b: (a.cast("double") - b.cast("double")) *
-                                (a.cast("double") - b.cast("double"))), F.lit(0.0), lambda s, x: s + x)
-    scored = cand.select("query_id", "id", (1.0 / (1.0 + d2)).alias("score"))
-    w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("id").asc())
-    top = scored.select("query_id", F.row_number().over(w).alias("rank"), "id", "score").where(F.col("rank") <= k)
-    top = top.checkpoint(eager=True)  # at most k rows a query, read twice below
-    full = top.where(F.col("rank") == k).select("query_id")
-    short = q.select("query_id", "vector").join(full, "query_id", "left_anti")
-    if short.isEmpty():
-        return top
-    exact = knn_topk_batch(queries.sparkSession, short, v, k)
-    return top.join(full, "query_id", "left_semi").unionByName(exact)
+    """Top-k of a few queries, ``query_vector`` (query_id, vector): they are broadcast, vectors stay where they are read."""
+    return exact_topk(query_vector, vectors, k=k, **kw)
+
+
+def knn_approx(queries: DataFrame, vectors: DataFrame, k: int = 2, probes: int | None = None, rerank: int | None = None,
+               query_id: str = "query_id", query_vec: str = "vector", id_col: str = "id", vec_col: str = "embedding",
+               path: str | None = None) -> DataFrame:
+    """Approximate top-k through a fresh index of ``vectors`` (``folio.operators.vector_index``): (query_id, rank, id, score,
+    scanned, compared).  Every query gets ``k`` rows (all vectors, if there are fewer).  Ids are taken as unique on both sides."""
+    spark = queries.sparkSession
+    path = path or scratch_path(spark, "vector-index")
+    model = build_index(vectors, path, k, id_col, vec_col)
+    if model is None:
+        kinds = [d.schema[c].dataType.simpleString() for d, c in ((queries, query_id), (vectors, id_col))]
+        return spark.createDataFrame([], f"query_id {kinds[0]}, rank int, id {kinds[1]}, score double, scanned long, compared long")
+    return search_index(queries, path, model, k, probes, rerank, query_id, query_vec)
 
 
 def vector_entries(spark: SparkSession, docs: DataFrame, order_col: str, vec_col: str, name_col: str,

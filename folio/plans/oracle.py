@@ -241,6 +241,8 @@ def oracle_sql() -> dict[str, str]:
             "chunk_id", "chunk", "cv") + "SELECT key AS chunk_id, list_transform(vec, lambda x: round(x, 6)) AS embedding FROM cv"),
         "knn_topk": _knn_sql(q_embed, "qv"),
         "knn_topk_batch": _knn_sql(b_embed, "qv"),
+        "knn_approx_recall": "SELECT (SELECT count(*) FROM benchmark) * least(2, (SELECT count(*) FROM embeddings)) AS n_exact, "
+                             "true AS recall_reached, true AS tenth_compared",
         "ledger_state": """WITH o AS (SELECT CAST(user_id AS VARCHAR) AS _id, min(ts) AS start_time FROM events
             WHERE event_type = 'signup' GROUP BY 1),
           c AS (SELECT CAST(user_id AS VARCHAR) AS _id, ts FROM events WHERE event_type = 'purchase')
