@@ -4,6 +4,10 @@ The store is a Parquet folder keyed by ``_id`` (= ``version_hash``).  A batch
 is deduplicated by a keyed top-1 (Catalyst plans it as a partial
 WindowGroupLimit before the exchange, so a hot key is cut down map-side) and
 then anti-joined against the store's ``_id`` column only.
+
+A bucketed store is the same as a catalog table whose files are dealt by the hash of ``_id`` into a fixed number of
+buckets, sorted by ``_id`` and written with a Bloom filter on it: a batch is dealt alike and meets the store bucket by bucket, so that
+the store is never shuffled, and a look-up of single ids skips row groups.
 """
 
 from __future__ import annotations
@@ -52,6 +56,46 @@ def insert_if_absent(spark: SparkSession, records: DataFrame, store_path: str,
     return batch.count()
 
 
+def open_bucketed(spark: SparkSession, table: str, path: str, schema: str, buckets: int, key: str = "_id") -> DataFrame:
+    """Register the bucketed store under ``path`` as a catalog table (a new store if the folder is empty)."""
+    where = path.replace("'", "\\'")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({schema}) USING parquet "
+              f"OPTIONS ('parquet.bloom.filter.enabled#{key}' 'true', 'parquet.bloom.filter.adaptive.enabled' 'true') "
+              f"CLUSTERED BY ({key}) SORTED BY ({key}) INTO {buckets} BUCKETS LOCATION '{where}'")
+    return spark.table(table)
+
+
+def _bucket_spec(spark: SparkSession, table: str) -> tuple[int, str]:
+    rows = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE EXTENDED {table}").collect()}
+    return int(rows["Num Buckets"]), rows["Bucket Columns"].strip("[]`")
+
+
+def new_in_bucketed(spark: SparkSession, records: DataFrame, table: str, key: str = "version_hash") -> DataFrame:
+    """First record of every fingerprint that the bucketed store lacks: the batch is dealt by the store's buckets once, for the
+    choice of the first writer and for the anti-join; the store side has no exchange."""
+    buckets, id_col = _bucket_spec(spark, table)
+    batch = with_store_keys(records, key).repartition(buckets, id_col)
+    return new_records(first_wins(batch, key=id_col), spark.table(table), id_col)
+
+
+def insert_bucketed(spark: SparkSession, records: DataFrame, table: str, key: str = "version_hash") -> int:
+    """Append the first record of every fingerprint not already stored in the bucketed ``table``; returns their number."""
+    buckets, id_col = _bucket_spec(spark, table)
+    new = new_in_bucketed(spark, records, table, key).select(*spark.table(table).columns).checkpoint(eager=True)
+    (new.repartition(buckets, id_col).write.mode("append").format("parquet").bucketBy(buckets, id_col).sortBy(id_col)
+     .option(f"parquet.bloom.filter.enabled#{id_col}", "true").option("parquet.bloom.filter.adaptive.enabled", "true").saveAsTable(table))
+    spark.catalog.refreshTable(table)
+    return new.count()
+
+
+def find_ids(store: DataFrame, ids: list[str], key: str = "_id") -> DataFrame:
+    """Rows of a short list of ids: the equalities reach the scan, where sorted files and Bloom filters skip row groups."""
+    wanted = F.lit(False)
+    for i in ids:
+        wanted = wanted | (F.col(key) == i)
+    return store.where(wanted)
+
+
 def read_store(spark: SparkSession, store_path: str) -> DataFrame | None:
     """The store, or None if its folder holds no data yet; any failure to read it is raised."""
     jvm = spark.sparkContext._jvm

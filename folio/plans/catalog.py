@@ -57,6 +57,19 @@ def crawl_store(spark, d):
     return S.read_store(spark, path)
 
 
+def q_insert_bucketed(spark, d):
+    """The same two crawls into a store bucketed by ``_id``."""
+    recs = records(spark, d).checkpoint(eager=True)
+    block = F.regexp_extract("source_page_url", r"/p(\d+)/", 1).cast("bigint")
+    path = scratch_path(spark, "bucketed")
+    table = path.rstrip("/").rsplit("/", 1)[-1].replace("-", "_")
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in S.with_store_keys(recs).schema)
+    S.open_bucketed(spark, table, path, schema, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    S.insert_bucketed(spark, recs.where(block % 3 != 0), table)
+    S.insert_bucketed(spark, recs, table)
+    return spark.table(table).select("_id", "_needs_download", "source_page_url", "row_pos", "doc_name", "download_url")
+
+
 def chunks(spark, d):
     return C.chunk_text(_t(spark, d, "documents"), "text", "doc_id", CHUNK_SEP, CHUNK_SIZE, 0)
 
@@ -355,6 +368,7 @@ QUERIES = {
     "header_position": q_header_position,
     "first_wins": q_first_wins,
     "insert_if_absent": q_insert_if_absent,
+    "insert_bucketed": q_insert_bucketed,
     "scan_store": q_scan_store,
     "download_worklist": q_download_worklist,
     "list_sources": q_list_sources,

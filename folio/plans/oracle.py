@@ -181,6 +181,10 @@ def oracle_sql() -> dict[str, str]:
             "SELECT version_hash AS _id, true AS _needs_download, source_page_url, row_pos, doc_name, download_url "
             "FROM (SELECT *, row_number() OVER (PARTITION BY version_hash ORDER BY (block % 3 = 0), source_page_url, row_pos) AS rn "
             "FROM listing) WHERE rn = 1"),
+        "insert_bucketed": _with_listing(
+            "SELECT version_hash AS _id, true AS _needs_download, source_page_url, row_pos, doc_name, download_url "
+            "FROM (SELECT *, row_number() OVER (PARTITION BY version_hash ORDER BY (block % 3 = 0), source_page_url, row_pos) AS rn "
+            "FROM listing) WHERE rn = 1"),
         "listing_errors": _with_listing(
             f"SELECT '{PAGE_ROOT}' || block::VARCHAR || '/' || suffix AS source_page_url, min(row_pos)::INTEGER AS row_pos, "
             "'E1_no_anchor' AS error FROM q WHERE bad GROUP BY block, suffix"),
