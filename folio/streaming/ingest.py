@@ -1,86 +1,152 @@
-"""Checkpointed incremental ingest: pages arriving as files -> records -> store.
-
-The store is the dedup state (no streaming dedup state is kept): each
-micro-batch is extracted, deduplicated first-writer-wins, and only ids absent
-from the store are appended.  The batch writes to its own ``batch_id=N``
-partition in overwrite mode and is anti-joined against the *other* batches,
-so a replayed batch (after an executor or driver loss) rewrites exactly the
-same rows.
+"""Checkpointed incremental ingest: pages arriving as files -> records -> store; documents -> chunks -> vectors.
+
+What has been seen is keyed state of the stream (RocksDB, in the checkpoint folder), not the store: no batch reads
+the store.  Records are grouped by fingerprint; the state holds whether the fingerprint is stored, and of a new one's records
+in a batch the first by (page URL, row position) is given out.  Chunks are grouped by content id, whose repeats are equal.
+
+A batch writes its own folder ``run=R/batch_id=N`` in overwrite mode, so a batch replayed after the loss of an
+executor or of the driver rewrites the same rows.  ``R`` belongs to the checkpoint: a stream with a fresh checkpoint over an
+old store takes the ids stored by then as its initial state, read once, and writes beside them.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import hashlib
+import sys
+from collections.abc import Iterator
+
+from pyspark import cloudpickle
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from folio.operators import chunking as C
 from folio.operators import listing as L
 from folio.operators import store as S
+from folio.operators.embedding import Embedder, hashing
 from folio.session import scratch_path
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+STATE_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+PAGE_SCHEMA = "page_id bigint, url string, html string"
+
+
+def _first(row: Row) -> tuple:
+    return (row.source_page_url is None, row.source_page_url or "", row.row_pos is None, row.row_pos or 0)
+
+
+class FirstWriter(StatefulProcessor):
+    """Gives out the first row of every key, once; keeps one flag a key."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.seen = handle.getValueState("seen", T.StructType([T.StructField("stored", T.BooleanType())]))
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        best = min(rows, key=_first)  # one row is held
+        if not self.seen.exists():
+            self.seen.update((True,))
+            yield best
+
+    def handleInitialState(self, key, initialState: Row, timerValues) -> None:
+        self.seen.update((True,))
+
+    def close(self) -> None:
+        pass
+
+
+class _keyed_state:
+    """The RocksDB state provider while a stream starts; the session's own setting afterwards."""
+
+    KEY = "spark.sql.streaming.stateStore.providerClass"
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.old = spark, spark.conf.get(self.KEY, None)
+
+    def __enter__(self):
+        self.spark.conf.set(self.KEY, STATE_PROVIDER)
+
+    def __exit__(self, *_):
+        if self.old is None:
+            self.spark.conf.unset(self.KEY)
+        else:
+            self.spark.conf.set(self.KEY, self.old)
+
+
+def _run_of(checkpoint: str) -> str:
+    return "r" + hashlib.sha256(checkpoint.rstrip("/").encode()).hexdigest()[:16]
+
+
+def _stored_ids(spark: SparkSession, store_path: str, checkpoint: str, key: str) -> DataFrame | None:
+    """Ids that other runs have stored; read once, when a stream starts."""
+    store = S.read_store(spark, store_path)
+    return None if store is None else store.where(F.col("run") != _run_of(checkpoint)).select(key).distinct()
+
+
+def _batch_folder(store_path: str, checkpoint: str):
+    run = _run_of(checkpoint)
 
-def _batch_writer(store_path: str):
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        recs = S.first_wins(S.with_store_keys(L.extract_records(batch)), key="_id")
-        existing = S.read_store(spark, store_path)
-        if existing is not None:
-            recs = recs.checkpoint(eager=True)
-            others = existing.where(F.col("batch_id") != batch_id)
-            recs = S.new_records(recs, S.existing_ids(others, recs))
-        (recs.withColumn("batch_id", F.lit(batch_id))
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("batch_id").parquet(store_path))
+        batch.write.mode("overwrite").parquet(f"{store_path.rstrip('/')}/run={run}/batch_id={batch_id}")
     return write
 
 
-def start_ingest(spark: SparkSession, pages_dir: str, store_path: str, checkpoint: str, schema: str,
-                 files_per_batch: int = 64):
+def start_ingest(spark: SparkSession, pages_dir: str, store_path: str, checkpoint: str, schema: str = PAGE_SCHEMA, files_per_batch: int = 64):
     """Start the stream over a folder of page files; returns the StreamingQuery."""
     src = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(pages_dir)
-    return (src.writeStream.foreachBatch(_batch_writer(store_path))
-            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    recs = S.with_store_keys(L.extract_records(src))
+    stored = _stored_ids(spark, store_path, checkpoint, "_id")
+    new = recs.groupBy("_id").transformWithState(FirstWriter(), recs.schema, "Append", "None",
+                                                 initialState=None if stored is None else stored.groupBy("_id"))
+    with _keyed_state(spark):
+        return (new.writeStream.foreachBatch(_batch_folder(store_path, checkpoint)).outputMode("append")
+                .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+
 
+def _land(df: DataFrame, folder: str, order: str, waves: int) -> int:
+    """Write ``df`` in ``waves`` waves by ``order``, one after the other and each by many tasks; returns the files of a wave."""
+    spark = df.sparkSession
+    each = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) // waves)
+    ranged = df.repartitionByRange(waves * each, order).withColumn("_wave", F.floor(F.spark_partition_id() / each)).checkpoint(eager=True)
+    for k in range(waves):
+        ranged.where(F.col("_wave") == k).drop("_wave").write.mode("append").parquet(folder)
+    return each
 
-def ingest_pages_stream(spark: SparkSession, pages: DataFrame, files: int = 3, files_per_batch: int = 1) -> DataFrame:
-    """Land ``pages`` as ``files`` ordered files, run the stream to completion, return the store (with batch_id)."""
+
+def ingest_pages_stream(spark: SparkSession, pages: DataFrame, waves: int = 3, files_per_batch: int | None = None) -> DataFrame:
+    """Land ``pages`` in waves by URL, run the stream to completion, return the store (with run and batch_id)."""
     root = scratch_path(spark, "ingest")
-    pages_dir, store_path, ckpt = f"{root}/pages", f"{root}/store", f"{root}/_checkpoint"
-    tagged = pages.repartitionByRange(files, "url").withColumn("_file", F.spark_partition_id()).checkpoint(eager=True)
-    for k in range(files):  # one after the other: the stream takes the oldest file first
-        tagged.where(F.col("_file") == k).drop("_file").coalesce(1).write.mode("append").parquet(pages_dir)
-    q = start_ingest(spark, pages_dir, store_path, ckpt, "page_id bigint, url string, html string", files_per_batch)
-    q.awaitTermination()
-    return spark.read.parquet(store_path)
+    each = _land(pages, f"{root}/pages", "url", waves)
+    start_ingest(spark, f"{root}/pages", f"{root}/store", f"{root}/_checkpoint", PAGE_SCHEMA, files_per_batch or each).awaitTermination()
+    return spark.read.parquet(f"{root}/store")
 
 
-def _embed_writer(store_path: str, separator: str, size: int, dim: int):
-    from folio.operators import chunking as C
-    from folio.operators import vectors as V
+def start_embed(spark: SparkSession, docs_dir: str, store_path: str, checkpoint: str, embedder: Embedder, separator: str = "\n",
+                size: int = 1000, files_per_batch: int = 64):
+    """Start a stream that chunks documents and embeds each chunk whose content id is new; returns the StreamingQuery."""
+    src = spark.readStream.schema("doc_id bigint, text string").option("maxFilesPerTrigger", files_per_batch).parquet(docs_dir)
+    chunks = C.chunk_ids(C.chunk_text(src, "text", "doc_id", separator, size, 0))
+    write = _batch_folder(store_path, checkpoint)
+    stored = _stored_ids(spark, store_path, checkpoint, "chunk_id")
+    if stored is not None:
+        chunks = chunks.join(stored.checkpoint(eager=True), "chunk_id", "left_anti")
+    new = chunks.dropDuplicates(["chunk_id"])
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        chunks = C.chunk_ids(C.chunk_text(batch, "text", "doc_id", separator, size, 0))
-        existing = S.read_store(spark, store_path)
-        if existing is not None:
-            chunks = chunks.checkpoint(eager=True)
-            others = existing.where(F.col("batch_id") != batch_id)
-            chunks = S.new_records(chunks, S.existing_ids(others, chunks, "chunk_id"), "chunk_id")
-        vecs = V.hash_embed(chunks, "chunk", ["chunk_id", "doc_id", "chunk_pos"], dim)
-        (vecs.withColumn("batch_id", F.lit(batch_id))
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("batch_id").parquet(store_path))
-    return write
+    def embed(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.checkpoint(eager=True)  # an embedder may read it twice, the state must not be
+        write(embedder(batch, "chunk", ["chunk_id", "doc_id", "chunk_pos"], "embedding"), batch_id)
+    with _keyed_state(spark):
+        return (new.writeStream.foreachBatch(embed).outputMode("append")
+                .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
 
 
-def embed_documents_stream(spark: SparkSession, docs: DataFrame, separator: str = "\n", size: int = 1000,
-                           dim: int = 64, files: int = 3, files_per_batch: int = 1) -> DataFrame:
-    """Land documents as files; a checkpointed stream chunks them and embeds only
-    chunks whose content id has no vector yet; returns the vector store."""
+def embed_documents_stream(spark: SparkSession, docs: DataFrame, separator: str = "\n", size: int = 1000, dim: int = 64,
+                           waves: int = 3, files_per_batch: int | None = None, embedder: Embedder | None = None) -> DataFrame:
+    """Land documents in waves; a checkpointed stream chunks them and embeds only chunks whose content id has no vector
+    yet; returns the vector store."""
     root = scratch_path(spark, "embed")
-    docs_dir, store_path, ckpt = f"{root}/docs", f"{root}/vectors", f"{root}/_checkpoint"
-    docs.select("doc_id", "text").repartition(files).write.mode("overwrite").parquet(docs_dir)
-    q = (spark.readStream.schema("doc_id bigint, text string").option("maxFilesPerTrigger", files_per_batch).parquet(docs_dir)
-         .writeStream.foreachBatch(_embed_writer(store_path, separator, size, dim))
-         .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
-    q.awaitTermination()
-    return spark.read.parquet(store_path)
+    each = _land(docs.select("doc_id", "text"), f"{root}/docs", "doc_id", waves)
+    start_embed(spark, f"{root}/docs", f"{root}/vectors", f"{root}/_checkpoint", embedder or hashing(dim), separator, size,
+                files_per_batch or each).awaitTermination()
+    return spark.read.parquet(f"{root}/vectors")

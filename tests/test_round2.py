@@ -16,8 +16,6 @@ from folio.operators import listing as L
 from folio.operators import store as S
 from folio.operators import vectors as V
 from folio.session import scratch_path
-from folio.sources.render import render_listing_pages
-from folio.streaming import ingest
 
 URL = "https://www.esd.whs.mil/Directives/issuances/dodd/"
 
@@ -175,19 +173,3 @@ def test_knn_in_many_blocks(spark, monkeypatch):
     for k, q in queries:
         best = sorted(vectors, key=lambda v: (sum((a - b) ** 2 for a, b in zip(q, v[1])), v[0]))[:5]
         assert [i for _, i in sorted(found[k])] == [i for i, _ in best]
-
-
-def test_stream_in_batches_and_replay(spark):
-    part = spark.createDataFrame([(k, f"B{k % 3}", f"TYPE {k % 5}", k % 4 + 1) for k in range(120)],
-                                 "p_partkey long, p_brand string, p_type string, p_size int")
-    pages = render_listing_pages(part)
-    store = ingest.ingest_pages_stream(spark, pages)
-    assert store.select("batch_id").distinct().count() > 1
-    want = S.first_wins(S.with_store_keys(L.extract_records(pages)), key="_id")
-    key = lambda df: sorted((r._id, r.source_page_url, r.row_pos) for r in df.collect())
-    assert key(store) == key(want)
-    root = scratch_path(spark, "replay")
-    pages.repartition(2).write.parquet(f"{root}/pages")
-    for attempt in ("one", "two"):  # a fresh checkpoint replays all batches over the same store
-        ingest.start_ingest(spark, f"{root}/pages", f"{root}/store", f"{root}/{attempt}", "page_id bigint, url string, html string", 1).awaitTermination()
-    assert sorted(r._id for r in spark.read.parquet(f"{root}/store").collect()) == sorted(r._id for r in want.collect())
