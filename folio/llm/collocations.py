@@ -32,14 +32,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import split_words, stored, text_buffers
+from .common import split_words, stored, text_buffers, tidy
 
 LEAST = 100
 LONGEST = 5
 TOP = 2000
 DROP_PER_CENT = 100
-BLOCK_BYTES = 8 << 20  # text of a block; a longer single text is one block
-HELD_BYTES = 32 << 20  # text of all languages that a task holds
+BLOCK_BYTES = 4 << 20  # text of a block; a longer single text is one block
+HELD_BYTES = 16 << 20  # text of all languages that a task holds
 BROADCAST_BYTES = 32 << 20
 TILE = 256
 DENSE_TILES = 32  # tiles of a language that a task counts directly, half a MB each
@@ -63,7 +63,7 @@ def _block_of(texts: list[pa.Array]) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     low, starts, ends, rows = split_words(data, offsets, _LOWER)
     if not len(starts):
         return pa.array([], pa.large_string()), np.zeros(0, np.int64), np.zeros(0, np.int32)
-    stops = np.zeros(len(data) + 1, np.int64)
+    stops = np.zeros(len(data) + 1, np.int64 if len(data) >> 31 else np.int32)
     np.cumsum(_STOP[data], out=stops[1:])
     at = stops[starts]
     broken = np.zeros(len(starts), np.int64)
@@ -346,22 +346,22 @@ def _to_ranks(blocks: DataFrame, ranked: DataFrame, broadcast_bytes: int) -> Dat
     size = ranked.agg(F.sum(F.octet_length("word") + 16)).first()[0] or 0
     if size <= broadcast_bytes:
         table = blocks.sparkSession.sparkContext.broadcast(_by_language(ranked, "word", sort=False))
-        return blocks.select("block", "lang", "words", "seq").mapInArrow(_look_up_words(table), SEQ)
+        return blocks.select("block", "lang", "words", "seq").mapInArrow(tidy(_look_up_words(table)), SEQ)
     own = blocks.select("block", "lang", F.posexplode("words").alias("local", "word"))
     known = (own.join(ranked.select("lang", "word", "rank"), ["lang", "word"]).groupBy("block")
              .agg(F.collect_list(F.struct("local", "rank")).alias("known")))  # at most a block's distinct words
-    return blocks.select("block", "lang", "seq").join(known, "block").mapInArrow(_joined_words, SEQ)
+    return blocks.select("block", "lang", "seq").join(known, "block").mapInArrow(tidy(_joined_words), SEQ)
 
 
 def _to_pair_ranks(level: DataFrame, ranked: DataFrame, broadcast_bytes: int) -> DataFrame:
     """Sequences of ranks to sequences of ranks of pairs."""
     if ranked.count() * 12 <= broadcast_bytes:
         table = level.sparkSession.sparkContext.broadcast(_by_language(ranked, "code", sort=True))
-        return level.mapInArrow(_look_up_pairs(table), SEQ)
-    known = (level.mapInArrow(_distinct_pairs, "block long, lang string, code long")
+        return level.mapInArrow(tidy(_look_up_pairs(table)), SEQ)
+    known = (level.mapInArrow(tidy(_distinct_pairs), "block long, lang string, code long")
              .join(ranked.select("lang", "code", "rank"), ["lang", "code"]).groupBy("block")
              .agg(F.collect_list(F.struct("code", "rank")).alias("known")))  # at most a block's distinct pairs
-    return level.join(known, "block").select("block", "lang", "seq", "known").mapInArrow(_joined_pairs, SEQ)
+    return level.join(known, "block").select("block", "lang", "seq", "known").mapInArrow(tidy(_joined_pairs), SEQ)
 
 
 def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, text_col: str = "text", lang_col: str = "lang",
@@ -370,7 +370,7 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST
     """Stored (lang, m, phrase, f) of all phrases of 1 to ``longest`` words with f >= ``least``, and (lang, n) of all words."""
     rows = docs.select(F.coalesce(F.col(f"`{lang_col}`").cast("string"), F.lit("und")).alias("lang"),
                        F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
-    blocks = stored(rows.mapInArrow(_block_rows(block_bytes), "block long, lang string, words array<string>, counts array<long>, seq binary"),
+    blocks = stored(rows.mapInArrow(tidy(_block_rows(block_bytes)), "block long, lang string, words array<string>, counts array<long>, seq binary"),
                     "phrase-blocks")
     total = blocks.groupBy("lang").agg(F.sum(F.aggregate("counts", F.lit(0).cast("long"), lambda a, x: a + x)).alias("n"))
     words = (blocks.select("lang", F.inline(F.arrays_zip("words", "counts")))
@@ -380,7 +380,7 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST
     out = phrases.drop("rank")
     level = stored(_to_ranks(blocks, ranked, broadcast_bytes), "phrase-seq-1")
     for m in range(2, longest + 1):
-        pairs = (level.select("lang", "seq").mapInArrow(_count_pairs(tile), "lang string, code long, f long")
+        pairs = (level.select("lang", "seq").mapInArrow(tidy(_count_pairs(tile)), "lang string, code long, f long")
                  .groupBy("lang", "code").agg(F.sum("f").alias("f")).where(F.col("f") >= least))
         ranked = _ranked(pairs, "code", f"phrase-pairs-{m}")
         first = phrases.select("lang", F.col("rank").alias("x"), F.col("phrase").alias("head"))

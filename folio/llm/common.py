@@ -6,6 +6,8 @@ bytes from 0x80 up alike, so byte classes and character classes agree.
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import uuid
 from collections.abc import Iterator
 
@@ -16,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from folio.session import ensure_checkpoint_dir
 
-SLICE_BYTES = 1 << 20  # text bytes handled at once in a task; a longer single text is one slice
+SLICE_BYTES = 1 << 18  # text bytes handled at once in a task; a longer single text is one slice
 SLICE_ROWS = 1 << 14
 BATCH_BYTES = 4 << 20  # of an Arrow batch; a longer single row is one batch
 MULT = np.uint64(0x9E3779B97F4A7C13)  # 3 modulo 8, so that powers of it repeat as late as they can
@@ -47,6 +49,29 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+try:
+    _TRIM = ctypes.CDLL(None).malloc_trim
+except (OSError, AttributeError):  # not glibc
+    _TRIM = None
+
+
+def release_memory() -> None:
+    """Give freed memory back to the system: Spark keeps Python workers for later tasks, and they keep what they once held."""
+    _POWERS.clear()
+    pa.default_memory_pool().release_unused()
+    if _TRIM:
+        _TRIM(0)
+
+
+def tidy(task):
+    """A ``mapInArrow`` function that releases memory once its partition is done."""
+    @functools.wraps(task)
+    def run(batches):
+        yield from task(batches)
+        release_memory()
+    return run
+
+
 def fresh(columns, *names: str) -> list[str]:
     """Names that clash with none of ``columns``, ignoring case."""
     taken = {c.lower() for c in columns}

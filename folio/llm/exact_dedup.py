@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, stored
+from .common import fresh, stored, tidy
 
 SEGMENT_BITS = 1 << 16
 PROBES = 2
@@ -94,8 +94,8 @@ def repeated_filter(hashes: DataFrame, bits: int, make=iter):
     ``hashes`` is one long column, or any rows from whose batches ``make`` makes batches of such a column."""
     sc, send = hashes.sparkSession.sparkContext, _send_bits(bits)
     parts = max(1, min(bits // SEGMENT_BITS, int(hashes.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
-    merged = (hashes.mapInArrow(lambda batches: send(make(batches)), "seg long, at binary")
-              .repartition(parts, "seg").mapInArrow(_merge_bits, "seg long, bitmap binary"))
+    merged = (hashes.mapInArrow(tidy(lambda batches: send(make(batches))), "seg long, at binary")
+              .repartition(parts, "seg").mapInArrow(tidy(_merge_bits), "seg long, bitmap binary"))
     whole = np.zeros(bits // 8, np.uint8)
     size = SEGMENT_BITS // 8
     for r in merged.collect():  # at most bits / 8 bytes in all

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, slices, text_buffers
+from .common import fresh, release_memory, slices, text_buffers
 
 BUCKETS = 1 << 15
 SIZES = (2, 3, 4)
@@ -207,6 +207,7 @@ def predict(docs: DataFrame, model: Model | None, text_col: str = "text") -> tup
         best, score = (np.concatenate(x) if x else np.zeros(0) for x in (best, score))
         sure = np.concatenate(sure) if sure else np.zeros(0, bool)
         lang = pa.array([m.langs[int(k)] for k in best], pa.string())
+        release_memory()
         return pa.StructArray.from_arrays([lang, pa.array(score, pa.float64()), pa.array(sure)],
                                           names=["lang", "score", "sure"])
 

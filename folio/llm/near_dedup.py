@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import exact_dedup
-from .common import byte_table, fresh, mix64, row_counts, slices, split_words, stored, text_buffers, word_hashes
+from .common import byte_table, fresh, mix64, row_counts, slices, split_words, stored, text_buffers, tidy, word_hashes
 
 SHINGLE = 5
 THRESHOLD = 85  # per cent
@@ -197,7 +197,7 @@ def _links(pairs: DataFrame, texts: DataFrame, threshold: int) -> DataFrame:
     a = texts.select(F.col("id").alias("a"), F.col("text").alias("text_a"))
     b = texts.select(F.col("id").alias("b"), F.col("text").alias("text_b"))
     full = pairs.join(a, "a").join(b, "b").select("a", "b", "text_a", "text_b")
-    return full.mapInArrow(_confirm(threshold), pairs.select("a", "b").schema)
+    return full.mapInArrow(tidy(_confirm(threshold)), pairs.select("a", "b").schema)
 
 
 def _texts_of(texts: DataFrame, ids: DataFrame) -> tuple[DataFrame, int]:
@@ -228,7 +228,7 @@ def assign(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thre
     """A row per input row: id, n_shingles, component_id (least id reachable), kept (id = component_id)."""
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = texts.schema["id"].dataType.simpleString()
-    made = stored(texts.mapInArrow(_sketches(bands(threshold)), f"id {kind}, n long, s1 long, s2 long, bands array<long>"), "sketch")
+    made = stored(texts.mapInArrow(tidy(_sketches(bands(threshold))), f"id {kind}, n long, s1 long, s2 long, bands array<long>"), "sketch")
     reps = stored(made.where("n > 0 AND id IS NOT NULL").groupBy("s1", "s2", "n")
                   .agg(F.min(F.struct("id", "bands")).alias("r")).select("s1", "s2", "n", "r.*"), "reps")
     # one id may stand for several sets: its label joins them
@@ -240,7 +240,7 @@ def assign(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thre
     texts, count = _texts_of(texts, score.select("id"))
     bits = exact_dedup.filter_bits(int(2 * count * (reps.agg(F.avg("n")).first()[0] or 0)))  # room for twice the mean
     filt = exact_dedup.repeated_filter(texts, bits, _shingle_rows)
-    shared = (texts.mapInArrow(_shared(filt, bits), f"id {kind}, n long, shared long").groupBy("id")
+    shared = (texts.mapInArrow(tidy(_shared(filt, bits)), f"id {kind}, n long, shared long").groupBy("id")
               .agg(F.min("n").alias("n"), F.max("shared").alias("shared")).where(100 * F.col("shared") >= threshold * F.col("n")))
     bucket = stored(bucket.join(score.join(shared, "id"), "id"), "bucket")
 
