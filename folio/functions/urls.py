@@ -178,14 +178,130 @@ def in_domains(host_col, domains) -> Column:
     return cond
 
 
+def host_suffixes(host_col) -> Column:
+    """The host itself and every parent domain, longest first: a.b.c -> a.b.c, b.c, c."""
+    labels = F.split(F.lower(col_of(host_col)), r"\.", -1)
+    return let(labels, lambda x: F.transform(F.sequence(F.lit(1), F.size(x)), lambda i: F.array_join(
+        F.slice(x, i, F.size(x) - i + 1), ".")))
+
+
+# ---------------------------------------------------------------------------
+# Canonical form: percent escapes, internationalised hosts, default ports
+# ---------------------------------------------------------------------------
+_UNRESERVED = r"[A-Za-z0-9._~\-]"
+_PATH_SAFE = r"[A-Za-z0-9._~\-!$&'()*+,;=:@/]"
+_QUERY_SAFE = r"[A-Za-z0-9._~\-!$'()*+,;:@/?]"  # of a key or value: "&" and "=" separate them
+# Ports that a scheme implies.
+DEFAULT_PORTS = {"http": "80", "https": "443", "ftp": "21", "ws": "80", "wss": "443"}
+
+
+def _escaped(c: Column) -> Column:
+    """Percent escapes of a text's UTF-8 bytes."""
+    return F.regexp_replace(F.hex(F.encode(c, "UTF-8")), "(..)", "%$1")
+
+
+def normal_escapes(c, safe: str = _PATH_SAFE) -> Column:
+    """Escapes of unreserved characters decoded, the others in upper case; characters outside ``safe`` escaped as UTF-8, a
+    lone "%" too.  Texts of safe characters alone are returned as they are."""
+    def token(t: Column) -> Column:
+        byte = F.substr(t, F.lit(2))
+        char = F.chr(F.conv(byte, 16, 10).cast("int"))
+        decoded = F.when(F.conv(byte, 16, 10).cast("int") < 128, F.when(char.rlike(f"^{_UNRESERVED}$"), char))
+        return (F.when(F.length(t) == 3, F.coalesce(decoded, F.upper(t)))
+                .when(t.rlike(f"^{safe}$"), t).otherwise(_escaped(t)))
+    x = col_of(c)
+    tokens = F.regexp_extract_all(x, F.lit("(?s)%[0-9A-Fa-f]{2}|."), 0)
+    return F.when(x.rlike(f"^{safe}*\\z"), x).otherwise(F.array_join(F.transform(tokens, token), ""))
+
+
+def _adapted(delta: Column, points: Column, first: Column) -> Column:
+    """Bias after a delta (RFC 3492 section 6.1); the loop of at most five rounds is a fold."""
+    d0 = F.when(first, F.floor(delta / 700)).otherwise(F.floor(delta / 2))
+    start = let(d0, lambda d: F.struct((d + F.floor(d / points)).cast("bigint").alias("d"), F.lit(0).cast("bigint").alias("k")))
+    return let(start, lambda s: F.aggregate(
+        F.sequence(F.lit(1), F.lit(8)), s,
+        lambda a, _: F.when(a["d"] > 455, F.struct(F.floor(a["d"] / 35).cast("bigint").alias("d"), (a["k"] + 36).alias("k"))).otherwise(a),
+        lambda a: (a["k"] + F.floor(36 * a["d"] / (a["d"] + 38))).cast("bigint")))
+
+
+def _digits(delta: Column, bias: Column) -> Column:
+    """A delta as a variable-length integer (RFC 3492 section 3.3)."""
+    alphabet = F.lit("abcdefghijklmnopqrstuvwxyz0123456789")
+
+    def digit(v: Column) -> Column:
+        return F.substr(alphabet, (v + 1).cast("int"), F.lit(1))
+
+    def step(a: Column, i: Column) -> Column:
+        def more(t: Column) -> Column:
+            return F.when(a["done"], a).when(a["q"] < t, F.struct(
+                a["q"].alias("q"), F.lit(True).alias("done"), F.concat(a["out"], digit(a["q"])).alias("out"))).otherwise(F.struct(
+                    F.floor((a["q"] - t) / (36 - t)).cast("bigint").alias("q"), F.lit(False).alias("done"),
+                    F.concat(a["out"], digit(t + (a["q"] - t) % (36 - t))).alias("out")))
+        return let(F.least(F.greatest(36 * i - bias, F.lit(1)), F.lit(26)).cast("bigint"), more)
+
+    start = F.struct(delta.cast("bigint").alias("q"), F.lit(False).alias("done"), F.lit("").alias("out"))
+    return F.aggregate(F.sequence(F.lit(1), F.lit(16)), start, step, lambda a: a["out"])
+
+
+def punycode(label) -> Column:
+    """A host label in ASCII: ``xn--`` and its Punycode form if it has other characters (RFC 3492), else as it is.
+
+    A fold over the label's distinct code points beyond ASCII, in rising order, and for each over its characters."""
+    def encoded(x: Column) -> Column:
+        points = F.transform(F.regexp_extract_all(x, F.lit("(?s)."), 0), lambda ch: F.ascii(ch).cast("bigint"))
+
+        def run(p: Column) -> Column:
+            basic = F.filter(p, lambda c: c < 128)
+            head = F.array_join(F.transform(basic, lambda c: F.chr(c.cast("int"))), "")
+            b = F.size(basic).cast("bigint")
+            start = F.struct(F.lit(128).cast("bigint").alias("n"), F.lit(0).cast("bigint").alias("delta"),
+                             F.lit(72).cast("bigint").alias("bias"), b.alias("h"),
+                             F.concat(head, F.when(b > 0, "-").otherwise("")).alias("out"))
+
+            def level(a: Column, m: Column) -> Column:
+                begun = F.struct(m.alias("n"), (a["delta"] + (m - a["n"]) * (a["h"] + 1)).alias("delta"), a["bias"].alias("bias"),
+                                 a["h"].alias("h"), a["out"].alias("out"))
+
+                def char(s: Column, c: Column) -> Column:
+                    return (F.when(c < s["n"], F.struct(s["n"].alias("n"), (s["delta"] + 1).alias("delta"), s["bias"].alias("bias"),
+                                                        s["h"].alias("h"), s["out"].alias("out")))
+                            .when(c == s["n"], F.struct(
+                                s["n"].alias("n"), F.lit(0).cast("bigint").alias("delta"),
+                                _adapted(s["delta"], s["h"] + 1, s["h"] == b).alias("bias"), (s["h"] + 1).alias("h"),
+                                F.concat(s["out"], _digits(s["delta"], s["bias"])).alias("out"))).otherwise(s))
+                return let(F.aggregate(p, begun, char), lambda s: F.struct(
+                    (s["n"] + 1).alias("n"), (s["delta"] + 1).alias("delta"), s["bias"].alias("bias"), s["h"].alias("h"), s["out"].alias("out")))
+            high = F.array_sort(F.array_distinct(F.filter(p, lambda c: c >= 128)))
+            return F.aggregate(high, start, level, lambda a: F.concat(F.lit("xn--"), a["out"]))
+        return let(points, run)
+    x = col_of(label)
+    return F.when(x.rlike(r"^[\x00-\x7F]*\z"), x).otherwise(encoded(x))
+
+
+def _canonical_netloc(scheme: Column, net: Column) -> Column:
+    """Host in lower case and ASCII, without an empty or implied port; user information is kept."""
+    user = F.regexp_extract(net, r"^(.*@)?", 1)
+    port = F.regexp_extract(net, r":([0-9]*)\z", 1)
+    name = F.lower(F.regexp_replace(F.regexp_replace(net, r"^.*@", ""), r":[0-9]*\z", ""))
+    ascii_name = F.when(name.rlike(r"^[\x00-\x7F]*\z"), name).otherwise(
+        F.array_join(F.transform(F.split(name, r"[.\x{3002}\x{FF0E}\x{FF61}]", -1), punycode), "."))
+    implied = F.lit(False)
+    for s, p in DEFAULT_PORTS.items():
+        implied = implied | ((scheme == s) & (port == p))
+    return F.concat(user, ascii_name, F.when((port == "") | implied, F.lit("")).otherwise(F.concat(F.lit(":"), port)))
+
+
 def canonical_url(u) -> Column:
-    """Request-dedup canonical form: scheme/host lower-cased, fragment dropped,
-    query arguments sorted by (key, value) with blank values kept."""
-    s = split_url(col_of(u))
+    """Request-dedup canonical form: scheme and host in lower case, host in Punycode, no default port, percent escapes
+    normalised, fragment dropped, query arguments sorted by (key, value) with blank values kept."""
+    return let(split_url(col_of(u)), _canonical)
+
+
+def _canonical(s: Column) -> Column:
     args = F.filter(F.split(s["query"], "&", -1), lambda a: a != "")
     kv = F.transform(args, lambda a: F.struct(
-        F.substring_index(a, "=", 1).alias("k"),
-        F.when(F.instr(a, "=") > 0, F.substr(a, F.instr(a, "=") + 1)).otherwise(F.lit("")).alias("v")))
+        normal_escapes(F.substring_index(a, "=", 1), _QUERY_SAFE).alias("k"),
+        normal_escapes(F.when(F.instr(a, "=") > 0, F.substr(a, F.instr(a, "=") + 1)).otherwise(F.lit("")), _QUERY_SAFE).alias("v")))
     sorted_q = F.array_join(F.transform(F.array_sort(kv), lambda p: F.concat(p["k"], F.lit("="), p["v"])), "&")
-    path = F.when(s["path"] == "", F.lit("/")).otherwise(s["path"])
-    return unparse_url(s["scheme"], F.lower(s["netloc"]), path, s["params"], sorted_q, F.lit(""))
+    path = F.when(s["path"] == "", F.lit("/")).otherwise(normal_escapes(s["path"]))
+    return unparse_url(s["scheme"], _canonical_netloc(s["scheme"], s["netloc"]), path, normal_escapes(s["params"]), sorted_q, F.lit(""))

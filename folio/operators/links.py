@@ -32,6 +32,21 @@ def offsite_filter(links: DataFrame, domains: list[str], link_col: str = "link")
     return links.where(U.in_domains(U.host(F.col(link_col)), domains))
 
 
+def domain_table(domains: DataFrame, domain_col: str = "domain") -> DataFrame:
+    """Allowed domains in lower case, each once and without those below another of them, so that a host has at most one."""
+    own = domains.select(F.lower(F.regexp_replace(domain_col, r"^\.+|\.+\z", "")).alias("domain")).where("domain <> ''").distinct()
+    above = own.select("domain", F.explode(F.slice(U.host_suffixes("domain"), 2, 1 << 20)).alias("parent"))
+    covered = above.join(own.select(F.col("domain").alias("parent")), "parent", "left_semi").select("domain")
+    return own.join(covered, "domain", "left_anti").checkpoint(eager=True)
+
+
+def offsite_filter_table(links: DataFrame, domains: DataFrame, link_col: str = "link") -> DataFrame:
+    """``offsite_filter`` for any number of domains, a ``domain_table``: each link's host suffixes meet it by one semi-join."""
+    suffix = F.explode(U.host_suffixes(U.host(F.col(link_col))))
+    return (links.withColumn("_suffix", suffix).join(domains.select(F.col("domain").alias("_suffix")), "_suffix", "left_semi")
+            .select(*links.columns))
+
+
 def dedupe_links(links: DataFrame, link_col: str = "link", order: tuple = ("page_id", "link_pos")) -> DataFrame:
     """One request per canonical URL (the first by page and position).
 

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from folio.functions import tagtree
 from folio.functions import text as T
 from folio.functions import urls as U
+from folio.functions.dates import parse_date
 from folio.functions.identity import version_hash
 from folio.functions.util import cached_columns, let
 
@@ -39,8 +40,6 @@ CRAWLER_NAME = "dod_issuances"
 DISPLAY_ORG = "Dept. of Defense"
 DATA_SOURCE = "WHS DoD Directives Division"
 SOURCE_TITLE = "Unlisted Source"
-# Date formats tried by the opt-in "parsed" publication-date mode.
-DATE_FORMATS = ["M/d/yyyy", "MMMM d, yyyy", "d MMMM yyyy", "yyyy-MM-dd"]
 
 # A tag's rest reaches its ">" over quoted values, and attributes are read in order, so that text
 # within the value of one attribute is never taken for another.
@@ -264,7 +263,7 @@ def _record_cols(date_mode: str, base_url: str, opr_header):
           (has & restricted_flag(F.col("_url"), F.col("_title"))).alias("cac_login_required")]
     if date_mode == "parsed":
         pub = T.py_strip(F.col("_pub"))
-        ts = F.coalesce(*[F.try_to_timestamp(pub, F.lit(f)) for f in DATE_FORMATS])
+        ts = parse_date(pub)
         pub_date = F.when(ts.isNotNull(), F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss")).otherwise(pub)
     else:
         pub_date = F.lit("")
@@ -305,7 +304,7 @@ def extract_records(pages: DataFrame, mode: str = "abort", date_mode: str = "obs
     """Listing pages -> issuance records (22 reference fields + ``row_pos``).
 
     ``date_mode='observed'`` reproduces the reference (publication_date is
-    always empty, D-1); ``'parsed'`` normalises dates to yyyy-MM-ddTHH:mm:ss.
+    always empty, D-1); ``'parsed'`` normalises dates to yyyy-MM-ddTHH:mm:ss and keeps texts that are none.
     Each stage is one narrow ``select``; no stage shuffles.
     """
     r = listing_rows(pages, mode=mode, opr_header=opr_header, **kw)

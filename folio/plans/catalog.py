@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from folio.functions import urls as U
+from folio.functions.dates import parse_date
 from folio.functions.identity import fingerprint
 from folio.operators import chunking as C
 from folio.operators import ledger as G
@@ -19,6 +21,7 @@ from folio.operators import listing as L
 from folio.operators import store as S
 from folio.operators import vectors as V
 from folio.session import scratch_path
+from folio.sources.pages import scan_page_files
 from folio.sources.render import render_listing_pages
 
 CHUNK_SEP = "\n"          # documents hold no blank lines, so chunk on single newlines
@@ -149,6 +152,47 @@ def q_offsite_filter(spark, d):
     return K.offsite_filter(K.extract_links(_t(spark, d, "pages")), ALLOWED_DOMAINS)
 
 
+def q_offsite_join(spark, d):
+    """Links to hosts of pages whose document is labelled as not toxic, by a table of domains."""
+    clean = _t(spark, d, "labels").where("toxic = 0").select(F.col("doc_id").alias("page_id"))
+    domains = _t(spark, d, "pages").join(clean, "page_id", "left_semi").select(U.host(F.col("url")).alias("domain"))
+    return K.offsite_filter_table(K.extract_links(_t(spark, d, "pages")), K.domain_table(domains))
+
+
+def q_canonical_links(spark, d):
+    """Four spellings of each URL, made from ``part``, meet in one canonical form."""
+    k, n = F.col("p_partkey"), F.floor(F.col("p_partkey") / 4).cast("string")
+    a, b = F.floor(F.col("p_partkey") / 4) % 7, F.floor(F.col("p_partkey") / 4) % 3
+    spelled = (F.when(k % 4 == 0, F.concat(F.lit("HTTP://B\u00fccher.Example:80/%7euser/%c3%a9/"), n, F.lit("?b="), b, F.lit("&a="), a))
+               .when(k % 4 == 1, F.concat(F.lit("http://xn--bcher-kva.example/~user/\u00e9/"), n, F.lit("?a="), a, F.lit("&b="), b, F.lit("#top")))
+               .when(k % 4 == 2, F.concat(F.lit("http://b\u00fccher.example:/%7Euser/%C3%A9/"), n, F.lit("?%62="), b, F.lit("&%61="), a))
+               .otherwise(F.concat(F.lit("Http://B\u00dcCHER.example/~user/%C3%a9/"), n, F.lit("?b="), b, F.lit("&&a="), a, F.lit("#"))))
+    links = _t(spark, d, "part").select(k.alias("page_id"), F.lit(0).alias("link_pos"), spelled.alias("link"))
+    return K.dedupe_links(links).select("canonical", "page_id")
+
+
+def q_date_forms(spark, d):
+    """Order dates written in ten forms and read back."""
+    form = F.col("o_orderkey") % 10
+    day = F.col("o_orderdate")
+    forms = ["MMMM d, yyyy", "d MMM yyyy", "M/d/yyyy", "yyyy-MM-dd", "d.M.yyyy", "yyyyMMdd", "EEEE, MMMM dd, yyyy", "d-MMM-yy", "yyyy/M/d",
+             "MMM d yyyy 'at' h:mm a"]
+    text = F.date_format(day, forms[0])
+    for i, f in enumerate(forms[1:], 1):
+        text = F.when(form == i, F.date_format(day, f)).otherwise(text)
+    return _t(spark, d, "orders").select("o_orderkey", F.date_format(parse_date(text), "yyyy-MM-dd").alias("day"))
+
+
+def q_scan_page_files(spark, d):
+    """Pages written as one file each, every second with a byte-order mark, and scanned as bytes."""
+    path = scratch_path(spark, "page-files")
+    marked = F.when(F.col("page_id") % 2 == 0, F.concat(F.lit("\ufeff"), "html")).otherwise(F.col("html"))
+    _t(spark, d, "pages").select("page_id", marked.alias("value")).write.partitionBy("page_id").text(path)
+    return scan_page_files(spark, path, "part-*").select(
+        F.regexp_extract("path", r"/page_id=(\d+)/", 1).cast("bigint").alias("page_id"), "charset",
+        F.regexp_replace("html", r"\n\z", "").alias("html"))
+
+
 def q_dedupe_links(spark, d):
     return K.dedupe_links(K.extract_links(_t(spark, d, "pages")))
 
@@ -261,7 +305,6 @@ def q_embed_stream(spark, d):
 
 def q_robots_filter(spark, d):
     links = K.extract_links(_t(spark, d, "pages"))
-    from folio.functions import urls as U
     hosts = links.select(U.host(F.col("link")).alias("host")).distinct()
     rules = K.parse_robots(hosts.withColumn("robots_txt", F.lit(ROBOTS_TXT)))
     return K.robots_filter(links, rules)
@@ -377,7 +420,11 @@ QUERIES = {
     "source_exists": q_source_exists,
     "extract_links": q_extract_links,
     "offsite_filter": q_offsite_filter,
+    "offsite_join": q_offsite_join,
     "dedupe_links": q_dedupe_links,
+    "canonical_links": q_canonical_links,
+    "date_forms": q_date_forms,
+    "scan_page_files": q_scan_page_files,
     "chunk_text": q_chunk_text,
     "first_chunk": q_first_chunk,
     "append_chunks": q_append_chunks,

@@ -155,6 +155,14 @@ r AS (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score D
 SELECT query_id::BIGINT AS query_id, rank::INTEGER AS rank, id, round(score, 9) AS score FROM r WHERE rank <= 2"""
 
 
+def _escaped(path: str) -> str:
+    """UTF-8 escapes of a path; these links have neither escapes nor arguments of their own."""
+    out = f"url_encode({path})"
+    for c in "!$&'()*+,;=:@/":
+        out = f"replace({out}, '%{ord(c):02X}', '{c * (2 if c == chr(39) else 1)}')"
+    return out
+
+
 _LINKS_CTE = r"""
 a AS (SELECT page_id, url, regexp_extract_all(regexp_extract(html, '(?is)<nav\b[^>]*>(.*?)</nav\s*>', 1),
         '(?is)<a\b([^>]*)>', 1) AS attrs FROM pages),
@@ -231,9 +239,19 @@ def oracle_sql() -> dict[str, str]:
                           "'^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)', 1)) AS host FROM links) "
                           "SELECT page_id, link_pos, href, link FROM h WHERE host = 'example.com' "
                           "OR host LIKE '%.example.com'",
+        "offsite_join": "WITH " + _LINKS_CTE + ", h AS (SELECT *, lower(regexp_extract(link, "
+                        "'^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)', 1)) AS host FROM links), "
+                        "dom AS (SELECT DISTINCT lower(regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)', 1)) AS d "
+                        "FROM pages JOIN labels ON doc_id = page_id WHERE toxic = 0) "
+                        "SELECT page_id, link_pos, href, link FROM h WHERE EXISTS (SELECT 1 FROM dom WHERE d <> '' AND (host = d "
+                        "OR ends_with(host, '.' || d)))",
+        "canonical_links": "SELECT 'http://xn--bcher-kva.example/~user/%C3%A9/' || (p_partkey // 4) || '?a=' || (p_partkey // 4) % 7 || '&b=' "
+                           "|| (p_partkey // 4) % 3 AS canonical, min(p_partkey) AS page_id FROM part GROUP BY p_partkey // 4",
+        "date_forms": "SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS day FROM orders",
+        "scan_page_files": "SELECT page_id, 'utf-8' AS charset, html FROM pages",
         "dedupe_links": "WITH " + _LINKS_CTE + ", c AS (SELECT *, lower(regexp_extract(link, "
-                        "'^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*)', 1)) || regexp_extract(link, "
-                        "'^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*([^#]*)', 1) AS canonical FROM links) "
+                        "'^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*)', 1)) || " + _escaped("regexp_extract(link, "
+                        "'^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*([^#]*)', 1)") + " AS canonical FROM links) "
                         "SELECT canonical, page_id, link_pos, link FROM (SELECT *, row_number() OVER "
                         "(PARTITION BY canonical ORDER BY page_id, link_pos) AS rn FROM c) WHERE rn = 1",
         "chunk_text": _with_chunks("SELECT doc_id, chunk_pos, chunk FROM chunks"),
