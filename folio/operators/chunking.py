@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from folio.functions.text import py_strip
+from folio.functions.util import let
 
 
 def _pieces(text: Column, separator: str) -> Column:
@@ -40,30 +41,36 @@ def _pack_no_overlap(pieces: Column, sep: str, size: int) -> Column:
 
 
 def _pack_overlap(pieces: Column, sep: str, size: int, overlap: int) -> Column:
+    """As without overlap, but a new chunk begins with the last pieces of the one before whose length is at most ``overlap``.
+
+    ``ends`` holds, for each piece of the current chunk, the length of all pieces of the text up to its end, so the
+    length of any number of last pieces is one subtraction."""
     seplen = len(sep)
     init = F.struct(F.array().cast("array<string>").alias("docs"), F.array().cast("array<string>").alias("cur"),
-                    F.lit(0).alias("total"))
-
-    def suffix_total(cur, k):
-        n = F.size(cur)
-        rest = F.slice(cur, k + 1, F.greatest(n - k, F.lit(0)))
-        return F.aggregate(rest, F.lit(0), lambda a, x: a + F.length(x)) + seplen * F.greatest(n - k - 1, F.lit(0))
+                    F.array().cast("array<int>").alias("ends"), F.lit(0).alias("total"))
 
     def step(acc, d):
         L = F.length(d)
-        cur, n = acc["cur"], F.size(acc["cur"])
-        over = (n > 0) & (acc["total"] + L + F.when(n > 0, seplen).otherwise(0) > size)
-        keep_from = F.element_at(F.filter(
-            F.sequence(F.lit(0), n),
-            lambda k: ~((suffix_total(cur, k) > overlap) |
-                        ((suffix_total(cur, k) + L + F.when(n - k > 0, seplen).otherwise(0) > size) &
-                         (suffix_total(cur, k) > 0)))), 1)
-        kept = F.slice(cur, keep_from + 1, F.greatest(n - keep_from, F.lit(0)))
-        new_cur = F.concat(F.when(over, kept).otherwise(cur), F.array(d))
-        new_total = F.when(over, suffix_total(cur, keep_from)).otherwise(acc["total"]) + L + \
-            F.when(F.size(new_cur) > 1, seplen).otherwise(0)
-        docs = F.when(over, F.concat(acc["docs"], F.array(F.array_join(cur, sep)))).otherwise(acc["docs"])
-        return F.struct(docs.alias("docs"), new_cur.alias("cur"), new_total.alias("total"))
+        cur, ends, n = acc["cur"], acc["ends"], F.size(acc["cur"])
+        done = F.coalesce(F.try_element_at(ends, F.lit(-1)), F.lit(0))  # length of all pieces before this one
+
+        def last(k):
+            """Length of the pieces from place ``k`` on, joined."""
+            before = F.when(k == 0, F.element_at(ends, 1) - F.length(F.element_at(cur, 1))).otherwise(F.element_at(ends, k))
+            return F.when(k >= n, F.lit(0)).otherwise(done - before + seplen * (n - k - 1))
+
+        over = (n > 0) & (acc["total"] + L + seplen > size)
+        fits = lambda k: let(last(k), lambda t: (t <= overlap) & ((t == 0) | (t + L + F.when(k < n, seplen).otherwise(0) <= size)))
+        keep = F.when(over, F.element_at(F.filter(F.sequence(F.lit(0), n), fits), 1)).otherwise(F.lit(0))
+
+        def grown(k):
+            rest = F.greatest(n - k, F.lit(0))
+            total = F.when(over, last(k)).otherwise(acc["total"]) + L + F.when(rest > 0, seplen).otherwise(0)
+            return F.struct(
+                F.when(over, F.concat(acc["docs"], F.array(F.array_join(cur, sep)))).otherwise(acc["docs"]).alias("docs"),
+                F.concat(F.slice(cur, k + 1, rest), F.array(d)).alias("cur"),
+                F.concat(F.slice(ends, k + 1, rest), F.array(done + L)).alias("ends"), total.alias("total"))
+        return let(keep, grown)
 
     return F.aggregate(pieces, init, step,
                        lambda acc: F.when(F.size(acc["cur"]) > 0,

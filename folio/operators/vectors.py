@@ -127,12 +127,13 @@ def vector_entries(spark: SparkSession, docs: DataFrame, order_col: str, vec_col
     """Number rows 1..n in ``order_col`` order and build index entries
     (id, _id, name, description, embedding).
 
-    Dense numbering without a single-partition window: range-partition and sort,
-    checkpoint (partition ids become stable), count rows per partition (one
+    Dense numbering without a single-partition window: store the input (range partitioning reads it twice),
+    range-partition and sort, checkpoint (partition ids become stable), count rows per partition (one
     small row per partition), then add each partition's offset to its local
     row number.
     """
-    n_parts = max(1, docs.rdd.getNumPartitions())
+    docs = docs.checkpoint(eager=True)
+    n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = docs.repartitionByRange(n_parts, order_col).sortWithinPartitions(order_col) \
         .withColumn("_pid", F.spark_partition_id()).checkpoint(eager=True)
     counts = ranged.groupBy("_pid").count()

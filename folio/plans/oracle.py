@@ -126,6 +126,34 @@ chunks AS (
 """
 
 
+# Chunks of 1000 with an overlap of 200: a new chunk begins with the longest run of last pieces of the old one that fits.
+_OVERLAP_CTE = f"""
+RECURSIVE pcs AS (
+  SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY o) AS i, piece, length(piece) AS len,
+         count(*) OVER (PARTITION BY doc_id) AS n
+  FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS piece, unnest(range(len(string_split(text, chr(10))))) AS o
+        FROM documents)
+  WHERE piece <> ''),
+walk AS (
+  SELECT doc_id, 1 AS i, 0 AS chunk_no, [piece] AS cur, NULL::VARCHAR AS emitted, n FROM pcs WHERE i = 1
+  UNION ALL
+  SELECT doc_id, i, CASE WHEN over THEN chunk_no + 1 ELSE chunk_no END,
+    list_append(CASE WHEN over THEN cur[list_min(list_filter(range(0, len(cur) + 1), lambda k:
+        length(array_to_string(cur[k + 1:], chr(10))) <= 200 AND (k = len(cur) OR length(array_to_string(cur[k + 1:], chr(10))) + 1 + len <= 1000
+        ))) + 1:] ELSE cur END, piece),
+    CASE WHEN over THEN array_to_string(cur, chr(10)) ELSE NULL END, n
+  FROM (SELECT w.doc_id, x.i, w.chunk_no, w.cur, w.n, x.piece, x.len, length(array_to_string(w.cur, chr(10))) + 1 + x.len > 1000 AS over
+        FROM walk w JOIN pcs x ON x.doc_id = w.doc_id AND x.i = w.i + 1)),
+raw_chunks AS (
+  SELECT doc_id, chunk_no - 1 AS k, emitted AS chunk FROM walk WHERE emitted IS NOT NULL
+  UNION ALL
+  SELECT doc_id, chunk_no AS k, array_to_string(cur, chr(10)) AS chunk FROM walk WHERE i = n),
+chunks AS (
+  SELECT doc_id, (row_number() OVER (PARTITION BY doc_id ORDER BY k) - 1)::INTEGER AS chunk_pos, chunk
+  FROM (SELECT doc_id, k, {_strip('chunk')} AS chunk FROM raw_chunks) WHERE chunk <> '')
+"""
+
+
 def _with_chunks(select: str) -> str:
     return "WITH " + _CHUNK_CTE + select
 
@@ -255,6 +283,7 @@ def oracle_sql() -> dict[str, str]:
                         "SELECT canonical, page_id, link_pos, link FROM (SELECT *, row_number() OVER "
                         "(PARTITION BY canonical ORDER BY page_id, link_pos) AS rn FROM c) WHERE rn = 1",
         "chunk_text": _with_chunks("SELECT doc_id, chunk_pos, chunk FROM chunks"),
+        "chunk_overlap": "WITH " + _OVERLAP_CTE + "SELECT doc_id, chunk_pos, chunk FROM chunks",
         "first_chunk": _with_chunks("SELECT doc_id, chunk_pos, chunk FROM chunks WHERE chunk_pos = 0"),
         "append_chunks": _with_chunks("SELECT doc_id, chunk_pos, sha256(doc_id::VARCHAR || '|' || chunk_pos::VARCHAR "
                                       "|| '|' || chunk) AS chunk_id FROM chunks"),
