@@ -1,9 +1,9 @@
 """URL filtering by association rules.
 
 Labelled URLs become transactions of tokens (scheme, host suffixes, path segments, query keys and pairs,
-fragment).  A token that reaches the limits by itself is a rule; from the other tokens of the URLs to block,
+fragment).  Tokens that stand in the very same labelled rows are one item.  An item that reaches the limits by itself is a rule; from the other items of the URLs to block,
 Spark's FP-growth mines combinations.  Each one's confidence comes from counting it over all labelled rows.  For matching, each rule is listed in an inverted
-index under its rarest token; a URL's tokens are joined with the index and a found rule is compared whole.
+index under the tokens of its rarest item; a URL's tokens are joined with the index and a found rule is compared whole.
 Fixed rules (host, path prefix, verdict) come first: the longest that fits decides.
 
 Support is a count of rows to block, the same for any size of input, so that rules from a few rows never pass and a bad
@@ -11,7 +11,7 @@ host has its rule however many other pages there are.  A combination that contai
 fits no further URL.  Defined cases: a null
 URL or one without ``://`` has empty host and path and no tokens, and is allowed unless a fixed rule fits; rows
 that repeat a URL share its verdict; with no labelled rows there are no mined rules.  A label row counts once
-for each page row of its id; a null id or label is not used.  Only id and URL are read from the pages.
+for each page row of its id (the keys that join labels to pages are parameters); a null id or label is not used.  Only id and URL are read from the pages.
 """
 
 from __future__ import annotations
@@ -20,6 +20,8 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import stored
+
 MIN_COUNT, MIN_CONFIDENCE = 20, 0.8
 # fixed values: the rules of the query's contract
 RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
@@ -55,21 +57,37 @@ def tokens(url: Column) -> Column:
     return F.when(url.contains("://"), F.array_distinct(every)).otherwise(F.array().cast("array<string>"))
 
 
+def _classes(rows: DataFrame, min_count: int) -> DataFrame:
+    """(token, members, n, bad): tokens that stand in the very same labelled rows are one item, named by its least token.
+
+    Equal rows mean equal support and confidence in any combination, so the members stand for each other in every rule; without
+    this, tokens that always come together would make all their subsets itemsets.  Row sets are compared by 128-bit digests."""
+    seen = rows.select(F.explode("have").alias("token"), "n", "bad", F.xxhash64("have").alias("h1"), F.xxhash64(F.lit(1), "have").alias("h2"))
+    single = (seen.groupBy("token").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"), F.count(F.lit(1)).alias("rows"),
+                                        F.bit_xor("h1").alias("h1"), F.bit_xor("h2").alias("h2")).where(F.col("bad") >= min_count))
+    return (single.groupBy("n", "bad", "rows", "h1", "h2").agg(F.min("token").alias("token"), F.sort_array(F.collect_list("token")).alias("members"))
+            .select("token", "members", "n", "bad"))  # members stand in one URL, so they are few
+
+
 def mine(labelled: DataFrame, url_col: str = "url", bad: str = "bad", min_count: int = MIN_COUNT,
          min_confidence: float = MIN_CONFIDENCE) -> DataFrame | None:
-    """(anchor, antecedent, confidence, support): an inverted index of the rules; None if too few rows are to block."""
+    """The rules; None if too few rows are to block.
+
+    ``antecedent`` names one token of each item, ``any_of`` all of them: a URL fits if it has a token of every item.
+    ``anchors`` are the tokens of the rarest item (``anchor`` its name), by which the inverted index finds the rule."""
     rows = labelled.where(F.col(bad).isNotNull()).select(tokens(F.col(url_col)).alias("have"), F.col(bad).cast("int").alias("bad"))
-    rows = rows.where(F.size("have") > 0).groupBy("have").agg(F.count(F.lit(1)).alias("n"), F.sum("bad").alias("bad"))
+    rows = stored(rows.where(F.size("have") > 0).groupBy("have").agg(F.count(F.lit(1)).alias("n"), F.sum("bad").alias("bad")), "url-rows")
     total = rows.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad")).first()
     if total.bad < max(1, min_count):
         return None
     confidence = F.col("bad") / F.col("n")
     limits = (confidence.alias("confidence"), (F.col("bad") / F.lit(total.n)).alias("support"))
-    single = (rows.select(F.explode("have").alias("token"), "n", "bad").groupBy("token").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
-              .where(F.col("bad") >= min_count))
-    alone = single.where(confidence >= min_confidence).select(F.col("token").alias("anchor"), F.array("token").alias("antecedent"), *limits)
-    rest = single.where(confidence < min_confidence).select("token", F.col("n").alias("freq"))
-    items = (rows.where("bad > 0").select("have", "bad", F.explode("have").alias("token")).join(rest, "token")
+    classes = stored(_classes(rows, min_count), "url-items")  # stored, so that Spark can split the joins of a frequent token
+    alone = classes.where(confidence >= min_confidence).select(
+        F.col("token").alias("anchor"), F.array("token").alias("antecedent"), F.array("members").alias("any_of"),
+        F.col("members").alias("anchors"), *limits)
+    rest = classes.where(confidence < min_confidence).select("token", "members", F.col("n").alias("freq"))
+    items = (rows.where("bad > 0").select("have", "bad", F.explode("have").alias("token")).join(rest.select("token"), "token")
              .groupBy("have", "bad").agg(F.collect_list("token").alias("items"))
              .select("items", F.explode(F.sequence(F.lit(1).cast("bigint"), "bad"))).select("items"))
     n = items.count()
@@ -77,20 +95,21 @@ def mine(labelled: DataFrame, url_col: str = "url", bad: str = "bad", min_count:
         return alone
     model = FPGrowth(itemsCol="items", minSupport=max(0.5, min_count - 0.5) / n).fit(items)
     found = model.freqItemsets.where(F.size("items") > 1).select(F.array_sort("items").alias("antecedent"), F.col("freq").alias("bad"))
-    rarest = F.min_by("token", F.struct("freq", "token"))
-    found = (found.withColumn("token", F.explode("antecedent")).join(rest, "token")
-             .groupBy("antecedent", "bad").agg(rarest.alias("anchor")))
-    counted = (rows.select("have", "n", F.explode("have").alias("anchor")).join(found, "anchor")
+    rarest = F.min_by(F.struct("token", "members"), F.struct("freq", "token"))
+    found = stored(found.withColumn("token", F.explode("antecedent")).join(rest, "token")
+                   .groupBy("antecedent", "bad").agg(rarest.alias("r"), F.collect_list("members").alias("any_of"))
+                   .select("antecedent", "bad", "any_of", F.col("r.token").alias("anchor"), F.col("r.members").alias("anchors")), "url-itemsets")
+    counted = (rows.select("have", "n", F.explode("have").alias("anchor")).join(found.select("anchor", "antecedent"), "anchor")
                .where(F.size(F.array_except("antecedent", "have")) == 0)
-               .groupBy("anchor", "antecedent", found["bad"]).agg(F.sum("n").alias("n")))
-    return alone.unionByName(counted.where(confidence >= min_confidence).select("anchor", "antecedent", *limits))
+               .groupBy("antecedent").agg(F.sum("n").alias("n")).join(found, "antecedent"))
+    return alone.unionByName(counted.where(confidence >= min_confidence).select("anchor", "antecedent", "any_of", "anchors", *limits))
 
 
 def mined_hits(urls: DataFrame, index: DataFrame, url_col: str = "url") -> DataFrame:
     """The distinct URLs that a mined rule fits, by the inverted index."""
     have = urls.select(F.col(url_col).alias("u")).where("u IS NOT NULL").distinct().withColumn("have", tokens(F.col("u")))
-    found = have.withColumn("anchor", F.explode("have")).join(index.select("anchor", "antecedent"), "anchor")
-    return found.where(F.size(F.array_except("antecedent", "have")) == 0).select("u").distinct()
+    found = have.withColumn("anchor", F.explode("have")).join(index.select(F.explode("anchors").alias("anchor"), "any_of"), "anchor")
+    return found.where(F.forall("any_of", lambda c: F.arrays_overlap(c, F.col("have")))).select("u").distinct()
 
 
 def fixed_rule(host_: Column, path_: Column, rules=RULES) -> Column:
@@ -117,7 +136,8 @@ def judge(pages: DataFrame, labelled: DataFrame, id_col: str = "page_id", url_co
                        F.coalesce("best.verdict", F.when(F.col("mined"), "block").otherwise("allow")).alias("verdict"), "mined")
 
 
-def labelled_urls(pages: DataFrame, labels: DataFrame) -> DataFrame:
-    """(url, bad): URLs of pages whose id has a toxicity label."""
-    marks = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").select(F.col("doc_id").alias("page_id"), (F.col("toxic") == 1).alias("bad"))
-    return pages.select("page_id", "url").join(marks, "page_id").select("url", "bad")
+def labelled_urls(pages: DataFrame, labels: DataFrame, page_key: str = "page_id", label_key: str = "doc_id") -> DataFrame:
+    """(url, bad): URLs of pages whose key has a toxicity label; the keys are parameters, since tables differ in them."""
+    marks = labels.where(F.col(label_key).isNotNull() & F.col("toxic").isNotNull())
+    marks = marks.select(F.col(label_key).alias("_key"), (F.col("toxic") == 1).alias("bad"))
+    return pages.select(F.col(page_key).alias("_key"), "url").join(marks, "_key").select("url", "bad")

@@ -304,3 +304,42 @@ def test_blocks_of_unmatched_tags_take_linear_time():
         begin = time.time()
         assert [b[0] for b in html_main.blocks(page)] == ["text"]
         assert time.time() - begin < 20
+
+
+def rules_brute(rows, have, min_count, min_confidence):
+    """All token sets with the support and confidence; URLs fit a rule if they hold one."""
+    every = sorted({t for u, _ in rows for t in have[u]})
+    out = []
+    for mask in range(1, 1 << len(every)):
+        ante = {t for i, t in enumerate(every) if mask >> i & 1}
+        hit = [b for u, b in rows if ante <= have[u]]
+        if sum(hit) >= min_count and sum(hit) / len(hit) >= min_confidence:
+            out.append(ante)
+    return out
+
+
+def test_url_rules_against_enumeration(spark):
+    rng = random.Random(4)
+    for _ in range(3):
+        urls = [f"http://{rng.choice('ab')}/{rng.choice(['x', 'x/y', 'z'])}" + rng.choice(["", "?m=1&n=2", "?m=1", "?n=2&m=1"]) for _ in range(60)]
+        rows = [(u, rng.random() < (0.9 if "/x" in u and "m=1" in u else 0.2)) for u in urls]
+        seen = spark.createDataFrame(rows, "url string, bad boolean")
+        new = sorted({f"http://{h}/{p}{q}" for h in "abc" for p in ("x", "x/y", "z", "y") for q in ("", "?m=1", "?n=2", "?m=1&n=2", "?m=2")})
+        have = {r.u: set(r.t) for r in spark.createDataFrame([(u,) for u in {*urls, *new}], "u string").select(
+            "u", url_rules.tokens(F.col("u")).alias("t")).collect()}
+        rules = rules_brute(rows, have, 4, 0.75)
+        index = url_rules.mine(seen, min_count=4, min_confidence=0.75)
+        hits = {r.u for r in url_rules.mined_hits(spark.createDataFrame([(u,) for u in have], "url string"), index).collect()}
+        assert hits == {u for u in have if any(r <= have[u] for r in rules)} and 0 < len(hits) < len(have)
+
+
+def test_url_rules_of_many_parameters(spark):
+    import time
+    query = "&".join(f"k{i}=v{i}" for i in range(12))
+    rows = [(f"http://a.example/{'bad' if k < 30 else 'good'}/{k}?{query}", k < 30) for k in range(60)]
+    rows += [(f"http://a.example/bad/p{k}", False) for k in range(60)]
+    begin = time.time()
+    index = url_rules.mine(spark.createDataFrame(rows, "url string, bad boolean")).collect()
+    assert time.time() - begin < 60
+    best = sorted((sorted(map(len, r.any_of)), r.confidence) for r in index)  # with and without what every URL has
+    assert best == [([1, 3, 24], 1.0), ([1, 24], 1.0)]
