@@ -4,8 +4,9 @@ Every task cuts its documents into shards of bounded bytes and builds a word-lev
 by prefix doubling, ordered to the depth of a window (``WINDOW`` words; what follows cannot change a search).
 Every test suffix, cut to a window, is binary-searched in every shard: the interval found holds all its places.
 ``longest_matches`` joins windows that follow each other on one diagonal into the longest verbatim matches.  No
-document is shuffled.  The test set goes out in blocks of bounded bytes, each one pass over the shards; after
-all blocks but the last the rows are checkpointed, so only one block is held at a time.
+document is shuffled.  The test set goes out in blocks of bounded bytes; a shard's array is built once and all blocks
+are searched in it, one held at a time.  Windows with the same items share an item set, and a document's items are the
+union of its sets, so a passage that many items and documents share is not multiplied out by its windows.
 
 Words: A-Z lower-cased, then runs of digits, a-z and characters beyond U+007F.  An item of fewer words than a
 window is one window.  Defined cases: null or word-free texts have no words and match nothing; a null item id
@@ -23,11 +24,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from folio.session import ensure_checkpoint_dir
-
 from .common import byte_table, fresh, mix64, row_counts, slices, split_words, text_buffers, word_hashes
 
 WINDOW = 10
+UNION_CELLS = 1 << 20  # (document, item) cells expanded at a time
 SHARD_BYTES = 4 << 20  # of documents in one suffix array; a longer text is a shard of its own
 BLOCK_BYTES = 8 << 20  # of test texts broadcast at once
 WORDS = byte_table(bytes([*range(0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)]))
@@ -113,25 +113,32 @@ def test_windows(items: list[tuple[str, str]], window: int = WINDOW):
     return wins[keep], lens[keep], np.stack([which[order], rows[use][order], place[use][order]], axis=1)
 
 
-def shard_hits(data: np.ndarray, offsets: np.ndarray, wins: np.ndarray, lens: np.ndarray):
-    """(counts, place, row, window): words of each row, and every place (word number in its row) of a window."""
-    low, starts, ends, rows = split_words(data, offsets, WORDS)
-    counts = row_counts(rows, len(offsets) - 1)
-    none = np.zeros(0, np.int64)
-    if not len(starts) or not len(wins):
-        return counts, none, none, none
-    names, word = np.unique(word_hashes(low, starts, ends), return_inverse=True)
-    word = word + 1
-    first = np.cumsum(counts) - counts
-    left = (first + counts)[rows] - np.arange(len(word))
-    at = np.minimum(np.searchsorted(names, wins), len(names) - 1)
-    tests = np.where(names[at] == wins, at + 1, 0)
-    order = suffix_array(word, left, wins.shape[1])
-    lo, hi = search(word, left, order, tests, lens)
-    n = hi - lo
-    window = np.repeat(np.arange(len(wins)), n)
-    p = order[np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum())]
-    return counts, p - first[rows[p]], rows[p], window
+class Shard:
+    """A slice of documents and the suffix array of its words, built once for all blocks of windows."""
+
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, depth: int = 0):
+        low, starts, ends, self.rows = split_words(data, offsets, WORDS)
+        self.counts = row_counts(self.rows, len(offsets) - 1)
+        self.first = np.cumsum(self.counts) - self.counts
+        self.names, word = np.unique(word_hashes(low, starts, ends), return_inverse=True)
+        self.word, self.depth = word.ravel() + 1, depth
+        self.left = (self.first + self.counts)[self.rows] - np.arange(len(self.word)) if len(starts) else np.zeros(0, np.int64)
+
+    def hits(self, wins: np.ndarray, lens: np.ndarray):
+        """(place, row, window): every place (word number in its row) of a window."""
+        none = np.zeros(0, np.int64)
+        if not len(self.word) or not len(wins):
+            return none, none, none
+        if self.depth != wins.shape[1]:
+            self.depth = wins.shape[1]
+            self.order = suffix_array(self.word, self.left, self.depth)
+        at = np.minimum(np.searchsorted(self.names, wins), len(self.names) - 1)
+        tests = np.where(self.names[at] == wins, at + 1, 0)
+        lo, hi = search(self.word, self.left, self.order, tests, lens)
+        n = hi - lo
+        window = np.repeat(np.arange(len(wins)), n)
+        p = self.order[np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum())]
+        return p - self.first[self.rows[p]], self.rows[p], window
 
 
 def merged(row: np.ndarray, start: np.ndarray, end: np.ndarray):
@@ -153,72 +160,99 @@ def _lists(rows: np.ndarray, n: int, values: pa.Array) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(off, pa.int32()), values)
 
 
-def _search(block, cols: int, text_at: int, names: list[str]):
-    """Adds n_words, starts, ends, items to each row; with these already there, joins what is found to them."""
+def item_sets(wins: int, pair: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(set of each window, begin of each set, items of the sets): windows with equal items share a set."""
+    both = np.unique(pair[:, :2], axis=0) if len(pair) else np.zeros((0, 2), np.int64)
+    begin = np.searchsorted(both[:, 0], np.arange(wins + 1))
+    item = both[:, 1].astype(np.uint64)
+    digest = []
+    for seed in (0x51, 0xA7):  # order-free digests of each window's items: 128 bits
+        total = np.append(np.uint64(0), np.cumsum(mix64(item * _PLACE ^ np.uint64(seed << 56)), dtype=np.uint64))
+        digest.append(total[begin[1:]] - total[begin[:-1]])
+    _, first, which = np.unique(np.stack([*digest, np.diff(begin).astype(np.uint64)], 1), axis=0, return_index=True, return_inverse=True)
+    size = np.diff(begin)[first]
+    ends = np.cumsum(size)
+    at = np.repeat(begin[first] - (ends - size), size) + np.arange(int(size.sum()))
+    return which.ravel(), np.append(0, ends), both[at, 1]
+
+
+def _items_of(row: np.ndarray, sets: np.ndarray, begin: np.ndarray, items: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct (row, item) pairs of the rows' sets, ordered; at most about UNION_CELLS cells are expanded at a time."""
+    both = np.unique(np.stack([row, sets], 1), axis=0) if len(row) else np.zeros((0, 2), np.int64)
+    n = begin[both[:, 1] + 1] - begin[both[:, 1]]
+    out = [np.zeros(0, np.int64)]
+    cuts = np.flatnonzero(np.diff(np.cumsum(n) // UNION_CELLS, prepend=0))
+    for some in np.split(np.arange(len(both)), cuts):
+        k = n[some]
+        at = np.repeat(begin[both[some, 1]] - (np.cumsum(k) - k), k) + np.arange(int(k.sum()))
+        out.append(np.unique(np.repeat(both[some, 0], k) * most + items[at]))
+    cell = np.unique(np.concatenate(out))
+    return cell // max(most, 1), cell % max(most, 1)
+
+
+def _search(blocks: list, cols: int, text_at: int, names: list[str]):
+    """Adds n_words, starts, ends, items to each row."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wins, lens, pair, ids = block.value
-        span = np.append(np.searchsorted(pair[:, 0], np.arange(len(wins))), len(pair)) if len(wins) else None
-        ids = np.asarray(ids, dtype=object)
         for b in batches:
             data, offsets = text_buffers(b.column(text_at))
             for i, j in slices(offsets, SHARD_BYTES):
-                counts, place, row, window = shard_hits(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i], wins, lens)
-                part, end = b.slice(i, j - i), place + (lens[window] if len(window) else 0)
-                both = np.unique(np.stack([row, window], axis=1), axis=0) if len(row) else np.zeros((0, 2), np.int64)
-                n = (span[both[:, 1] + 1] - span[both[:, 1]]) if len(both) else np.zeros(0, np.int64)
-                own = np.repeat(both[:, 0], n)
-                who = pair[np.repeat(span[both[:, 1]] - (np.cumsum(n) - n), n) + np.arange(n.sum()), 1] if len(both) else own
-                if part.num_columns > cols:  # found in earlier blocks
-                    old_s, old_e, old_i = (part.column(cols + k) for k in (1, 2, 3))
-                    old = np.repeat(np.arange(j - i), old_s.value_lengths().to_numpy(zero_copy_only=False))
-                    row = np.concatenate([row, old])
-                    place = np.concatenate([place, old_s.flatten().to_numpy(zero_copy_only=False)])
-                    end = np.concatenate([end, old_e.flatten().to_numpy(zero_copy_only=False)])
-                    own = np.concatenate([own, np.repeat(np.arange(j - i), old_i.value_lengths().to_numpy(zero_copy_only=False))])
-                    items = np.concatenate([ids[who], np.array(old_i.flatten().to_pylist(), dtype=object)])
-                else:
-                    items = ids[who]
-                row, place, end = merged(row, place, end)
-                found = sorted(set(zip(own.tolist(), items.tolist())))
+                shard = Shard(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
+                rows, places, ends = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+                owners, found = [np.zeros(0, np.int64)], [pa.array([], pa.string())]
+                for block in blocks:
+                    wins, lens, (which, begin, items), ids = block.value
+                    place, row, window = shard.hits(wins, lens)
+                    rows.append(row)
+                    places.append(place)
+                    ends.append(place + (lens[window] if len(window) else 0))
+                    own, item = _items_of(row, which[window] if len(window) else window, begin, items, len(ids))
+                    owners.append(own)
+                    found.append(ids.take(pa.array(item)))
+                    if len(blocks) > 1:  # one block is held at a time; the next use reads it from the executor's disk
+                        block.__dict__.pop("_value", None)
+                row, place, end = merged(*(np.concatenate(x) for x in (rows, places, ends)))
+                own, ids = np.concatenate(owners), pa.concat_arrays(found).dictionary_encode()
+                ranks = np.empty(len(ids.dictionary), np.int64)
+                order = np.argsort(np.array(ids.dictionary.to_pylist(), dtype=object)) if len(ids.dictionary) else np.zeros(0, np.int64)
+                ranks[order] = np.arange(len(order))
+                cell = np.unique(own * max(len(order), 1) + ranks[ids.indices.to_numpy()])
+                own, item = cell // max(len(order), 1), cell % max(len(order), 1)
                 yield pa.RecordBatch.from_arrays(
-                    part.columns[:cols] + [
-                        pa.array(counts), _lists(row, j - i, pa.array(place, pa.int64())), _lists(row, j - i, pa.array(end, pa.int64())),
-                        _lists(np.array([r for r, _ in found], np.int64), j - i, pa.array([x for _, x in found], pa.string()))],
+                    b.slice(i, j - i).columns[:cols] + [
+                        pa.array(shard.counts), _lists(row, j - i, pa.array(place, pa.int64())), _lists(row, j - i, pa.array(end, pa.int64())),
+                        _lists(own, j - i, ids.dictionary.take(pa.array(order[item])).cast(pa.string()))],
                     names=names)
     return run
 
 
-def _blocks(spark, benchmark: DataFrame, item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW,
-            block_bytes: int = BLOCK_BYTES):
-    """The test windows, broadcast block by block; a block holds about ``block_bytes`` of test texts."""
+def _blocks(benchmark: DataFrame, item_col: str = "item_id", item_text_col: str = "text", block_bytes: int = BLOCK_BYTES):
+    """The test items block by block; a block holds about ``block_bytes`` of test texts."""
     items = benchmark.select(F.coalesce(F.col(item_col).cast("string"), F.lit("")).alias("i"),
                              F.col(item_text_col).alias("t")).where("t IS NOT NULL").distinct()
     size = items.agg(F.sum(F.octet_length("t"))).first()[0] or 0
     blocks = 1 + size // block_bytes
     items = items.withColumn("block", F.pmod(F.xxhash64("i", "t"), F.lit(blocks)))
     for k in range(blocks):
-        rows = sorted((r.i, r.t) for r in items.where(F.col("block") == k).collect())
-        yield spark.sparkContext.broadcast((*test_windows(rows, window), [i for i, _ in rows]))
+        yield sorted((r.i, r.t) for r in items.where(F.col("block") == k).collect())
 
 
-def find(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", **options) -> tuple[DataFrame, list[str]]:
+def find(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", window: int = WINDOW, **options) -> tuple[DataFrame, list[str]]:
     """``docs`` with four more columns, whose names are returned: n_words, starts and ends of the joined
     intervals of hit words, and the sorted ids of the items found."""
     extra = fresh(docs.columns, "n_words", "starts", "ends", "items")
     longs = T.ArrayType(T.LongType())
     schema = T.StructType(docs.schema.fields + [T.StructField(c, k) for c, k in zip(
         extra, (T.LongType(), longs, longs, T.ArrayType(T.StringType())))])
-    out, n = docs, len(docs.columns)
-    for k, block in enumerate(_blocks(docs.sparkSession, benchmark, **options)):
-        if k:
-            ensure_checkpoint_dir(docs.sparkSession)
-            out = out.checkpoint()
-        out = out.mapInArrow(_search(block, n, docs.columns.index(text_col), schema.names), schema)
-    return out, extra
+    sc, blocks = docs.sparkSession.sparkContext, []
+    for rows in _blocks(benchmark, **options):
+        wins, lens, pair = test_windows(rows, window)
+        blocks.append(sc.broadcast((wins, lens, item_sets(len(wins), pair), pa.array([i for i, _ in rows], pa.string()))))
+    return docs.mapInArrow(_search(blocks, len(docs.columns), docs.columns.index(text_col), schema.names), schema), extra
 
 
 def assign(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """A row per input row: id, n_words, n_hit, n_items, items_sha256, contaminated, and the intervals hit."""
+    """A row per input row: id, n_words, n_hit, n_items, items_sha256, contaminated.  ``find`` has the
+    intervals hit, ``longest_matches`` the matches and their places."""
     found, (words, starts, ends, items) = find(docs.select(F.col(id_col), F.col(text_col)), benchmark, text_col, **options)
     total = lambda c: F.aggregate(F.col(c), F.lit(0).cast("long"), lambda a, x: a + x)
     hit = total(ends) - total(starts)
@@ -236,7 +270,7 @@ def _diagonals(block):
         for b in batches:
             data, offsets = text_buffers(b.column(1))
             for i, j in slices(offsets, SHARD_BYTES):
-                _, place, row, window = shard_hits(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i], wins, lens)
+                place, row, window = Shard(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i]).hits(wins, lens)
                 n = span[window + 1] - span[window] if len(window) else np.zeros(0, np.int64)
                 own = pair[np.repeat(span[window] - (np.cumsum(n) - n), n) + np.arange(n.sum())] if len(window) else pair[:0]
                 row, place, size = np.repeat(row, n), np.repeat(place, n), np.repeat(lens[window] if len(window) else n, n)
@@ -253,11 +287,12 @@ def _diagonals(block):
 
 
 def longest_matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                    **options) -> DataFrame:
+                    window: int = WINDOW, **options) -> DataFrame:
     """Every longest verbatim match of at least a window: id, item, first_word, item_word (both from 0), n_words."""
     kind = docs.schema[id_col].dataType.simpleString()
     rows, out = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), None
-    for block in _blocks(docs.sparkSession, benchmark, **options):
+    for items in _blocks(benchmark, **options):
+        block = docs.sparkSession.sparkContext.broadcast((*test_windows(items, window), [i for i, _ in items]))
         part = rows.mapInArrow(_diagonals(block), f"id {kind}, item string, first_word long, item_word long, n_words long")
         out = part if out is None else out.unionByName(part)
     return out.withColumnRenamed("id", id_col)

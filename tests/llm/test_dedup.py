@@ -208,3 +208,28 @@ def test_suffix_array_order():
     order = decontam.suffix_array(word, left, 16)
     keys = [tuple(word[p:p + 16]) for p in order]
     assert keys == sorted(keys) and sorted(order) == list(range(300))
+
+
+def test_decontam_in_blocks_and_shared_windows(spark):
+    docs = spark.createDataFrame(corpus(), SCHEMA).repartition(3)
+    bench = spark.createDataFrame(items(), "item_id long, text string")
+    want = contamination_brute(corpus(), items())
+    for size in (1, 200):  # many blocks, searched in one pass
+        got = decontam.assign(docs, bench, block_bytes=size)
+        assert {r.doc_id: tuple(r)[1:] for r in got.collect()} == want
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
+
+
+def test_decontam_of_a_popular_passage(spark):
+    import time
+    shared = " ".join(f"s{k}" for k in range(12))
+    docs = spark.createDataFrame([(k, f"own{k} {shared} tail{k}") for k in range(1000)], "doc_id long, text string").repartition(1)
+    bench = spark.createDataFrame([(k, f"{shared} q{k}") for k in range(2000)], "item_id long, text string")
+    begin = time.time()
+    got = decontam.assign(docs, bench).select("n_hit", "n_items").distinct().collect()
+    assert [tuple(r) for r in got] == [(12, 2000)] and time.time() - begin < 60
+
+
+def test_near_threshold_below_the_least_is_an_error(docs):
+    with pytest.raises(ValueError, match="least"):
+        near_dedup.assign(docs, threshold=79)
