@@ -133,7 +133,8 @@ def assign(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_
     alone = marked.where(~F.col("maybe")).select(
         "id", F.col("id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), "sha")
     suspect = marked.where("maybe").select("id", "sha")
-    groups = suspect.groupBy("sha").agg(F.max("id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
+    groups = stored(suspect.groupBy("sha").agg(F.max("id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")), "exact-groups")
+    # stored, so that the join stands on plain scans and Spark can split the rows of a large group
     both = suspect.join(groups, "sha").select(
         "id", "keep_id", "group_size", F.col("id").eqNullSafe(F.col("keep_id")).alias("kept"), "sha")
     return alone.unionByName(both).withColumnsRenamed({"id": id_col, "sha": "text_sha256"})
