@@ -126,11 +126,15 @@ def write_archives(pages: DataFrame, id_col: str = "page_id", url_col: str = "ur
     fs.create_dir(path, recursive=True)
     html = F.coalesce(F.col(html_col), F.lit(""))
     rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), html.alias("html"), F.sha1(html).alias("sha1"))
+    small = F.octet_length("html") < least  # never revisits, so they need not meet anything
     large = pages.select(F.col(id_col).alias("id"), F.octet_length(html).alias("n"), F.sha1(html).alias("same")).where(F.col("n") >= least)
     first = large.groupBy("same").agg(F.max("id").alias("keep"), F.count(F.lit(1)).alias("copies")).where("copies > 1").drop("copies")
-    rows = rows.join(first, rows["sha1"] == first["same"], "left")
+    first = stored(first, "payloads")  # so that the join stands on plain scans and Spark can split a payload with many copies
+    met = rows.where(~small).join(first, F.col("sha1") == F.col("same"), "left")
     refers = F.when(~F.col("id").eqNullSafe(F.col("keep")), F.col("keep"))
-    return stored(rows.select("id", "url", "html", "sha1", refers.alias("refers")).mapInArrow(
+    met = met.select("id", "url", "html", "sha1", refers.alias("refers"))
+    alone = rows.where(small).select("id", "url", "html", "sha1", F.lit(None).cast(met.schema["refers"].dataType).alias("refers"))
+    return stored(met.unionByName(alone).mapInArrow(
         _writer(folder, file_bytes), "file string, bytes long, records long"), "manifest")
 
 
