@@ -18,7 +18,6 @@ first language in order.  Other columns, of any name, pass through ``keep_known`
 
 from __future__ import annotations
 
-import json
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -27,13 +26,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, release_memory, slices, text_buffers
+from .common import fresh, release_memory, slices, stored, text_buffers
 
 BUCKETS = 1 << 15
 SIZES = (2, 3, 4)
 DIM = 16
 SAMPLE_ROWS = 4000
-MOST_LANGS = 1000  # languages learned: the most frequent ones
 REJECT_SHARE = 0.001  # of right calibration rows that may fall below twice a limit
 UNSEEN = 0.1  # share of equal frequencies in the subword frequencies
 _LETTERS = np.full(256, 32, np.uint8)
@@ -102,12 +100,12 @@ def sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str, rows: int
     """About ``rows`` labelled rows, evenly over the languages, as counted buckets."""
     known = docs.where(F.col(lang_col).isNotNull() & F.col(id_col).isNotNull() & F.col(text_col).rlike(r"\p{L}") & ~held_out(F.col(id_col)))
     known = known.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.xxhash64(F.lit(17), F.col(id_col)).alias("order"))
-    sizes = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(MOST_LANGS).collect()
-    if not sizes:
+    sizes = stored(known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")), "lang-sizes")
+    langs = sizes.count()
+    if not langs:
         return []
-    n = F.try_element_at(F.from_json(F.lit(json.dumps({r.lang: r.n for r in sizes})), "map<string,bigint>"), F.col("lang"))
     share = F.pmod("order", F.lit(1 << 30)) / F.lit(float(1 << 30))
-    chosen = known.where(share * n < rows / len(sizes))
+    chosen = known.join(sizes, "lang").where(share * F.col("n") < rows / langs)
     return (chosen.select("lang", "text", "order").mapInArrow(_count, "lang string, order long, at binary, share binary")
             .collect())  # about ``rows`` rows of at most 6 * BUCKETS bytes
 
