@@ -40,6 +40,7 @@ from .common import byte_table, fresh, mix64, row_counts, slices, split_words, s
 
 SHINGLE = 5
 THRESHOLD = 85  # per cent
+LEAST_THRESHOLD = 80
 T = 180
 PAIRS = 1 << 13  # of a bucket in the second round; eight times as many in each later one
 WORDS = byte_table(b" \t\n\v\f\r")
@@ -91,7 +92,10 @@ def sketch(rows: np.ndarray, x: np.ndarray, n: int, t: int = T) -> np.ndarray:
 
 
 def bands(threshold: int) -> int:
-    return 30 if threshold >= 85 else 36 if threshold >= 80 else 60
+    """Bands at which a pair of the threshold's similarity is missed with probability below 7e-7."""
+    if threshold < LEAST_THRESHOLD:
+        raise ValueError(f"a threshold of {threshold} per cent is not covered, {LEAST_THRESHOLD} is the least")
+    return 30 if threshold >= 85 else 36
 
 
 def band_keys(bins: np.ndarray, bands: int) -> np.ndarray:
@@ -192,7 +196,7 @@ def components(links: DataFrame) -> DataFrame:
 
 def _links(pairs: DataFrame, texts: DataFrame, threshold: int) -> DataFrame:
     """Confirmed pairs; only texts of documents that are in a pair are dealt out."""
-    ids = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
+    ids = stored(pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct(), "pair-ids")
     texts = texts.join(ids, "id", "left_semi")
     a = texts.select(F.col("id").alias("a"), F.col("text").alias("text_a"))
     b = texts.select(F.col("id").alias("b"), F.col("text").alias("text_b"))
