@@ -1,13 +1,15 @@
 """Token-id files: an adaptive context-mixing range coder over independently reset, checksummed blocks.
 
-Ids (below 2**16) are coded bit by bit, from the highest.  For every bit, adaptive probabilities under the contexts
-of order 0 (the bits so far), order 1 (and the previous id) and order 2 (and the two previous ids) are mixed in the
-logistic domain; the weights learn from every bit.  All arithmetic is on integers, so every machine decodes alike.
-A block holds ``BLOCK`` ids, starts with a fresh model and has a CRC-32 of its ids.  Blocks do not depend on
-each other, so many of them are coded side by side, one numpy lane each.
+Ids (below 2**16) are coded as paths in a binary tree shaped by the counts of the frame's ids, about as many decisions as
+their entropy has bits.  For every decision three probabilities are mixed in the logistic domain: order 0 (the counts below
+the node), order 1 (the node after the previous id) and order 2 (after the two previous ids).  Orders 1 and 2 adapt, in
+slots with check bits that begin at the order-0 probability; the weights, chosen by how often both contexts were seen, learn
+from every decision.  All arithmetic is on integers, so every machine decodes alike.  A block holds ``BLOCK`` ids, starts
+with a fresh model and has a CRC-32 of its ids.  Blocks do not depend on each other, so many are coded side by side,
+one numpy lane each.
 
 A file is a row of frames; a frame holds whole documents: magic, sizes, document ids and lengths, block sizes
-and checksums, then the blocks.  Documents are range-partitioned by id and sorted, so files follow each
+checksums and id counts, then the blocks.  Documents are range-partitioned by id and sorted, so files follow each
 other in ascending id order; a table of files gives each its first position.  Files carry the task attempt in their name
 and only those of attempts that succeed are in that table.
 
@@ -17,6 +19,7 @@ null; documents that repeat an id all stay, next to each other; damage raises.
 
 from __future__ import annotations
 
+import heapq
 import math
 import struct
 import zlib
@@ -34,94 +37,162 @@ from .bpe import WordCoder, text_slices
 from .common import shared_path, stored
 from .warc import DamagedArchive, _storage
 
-BLOCK = 1024  # ids
-LANES = 2048  # blocks coded side by side
-SLOTS = 1 << 12  # contexts of one order
+BLOCK = 2048  # ids
+LANES = 1024  # blocks coded side by side
+SLOTS = 1 << 13  # contexts of one order, 10 check bits each
 FRAME = BLOCK * LANES  # ids after which a frame ends with its document
 FILE_BYTES = 64 << 20
 MOST_READERS = 10_000
-MAGIC = b"IDS1"
-_HEAD = struct.Struct("<4sIIQI")  # magic, documents, blocks, ids, checksum of the tables
-_SQUASH = np.array([round(4096 / (1 + math.exp(-x / 256))) for x in range(-2047, 2048)], np.int64).clip(1, 4095)
-_STRETCH = np.array([max(-2047, min(2047, round(256 * math.log((p + 0.5) / (4095.5 - p))))) for p in range(4096)], np.int64)
-_PACE = np.array([round(65536 / (n + 1.6)) for n in range(256)], np.int64)
-_LIMIT = 127
+MAGIC = b"IDS2"
+_HEAD = struct.Struct("<4sIIQII")  # magic, documents, blocks, ids, bytes of the id counts, checksum of the tables
+_SQUASH = np.array([round(4096 / (1 + math.exp(-x / 256))) for x in range(-2047, 2048)], np.int32).clip(1, 4095)
+_STRETCH = np.array([max(-2047, min(2047, round(256 * math.log((p + 0.5) / (4095.5 - p))))) for p in range(4096)], np.int32)
+_PACE = np.array([round(65536 / (n + 1.6)) for n in range(64)], np.int64)
+_LIMIT = 30
+_CONFIDENCE = np.array([0, 1, 2, 2] + [3] * 60, np.int64)  # by how often a context was seen
+_FIRST = np.array([[[1.0, 1.0, 1.0, 1.0][a] * (1 - 0.25 * a) * (1 - 0.25 * b) + 0.1 * (a + b > 0), 0.25 * a, 0.3 * b] for a in range(4) for b in range(4)])
+
+
+class Tree:
+    """A binary tree over the ids of a frame, shaped by their counts (a frequent id has a short path).
+
+    ``child[node, bit]`` is the next node, or -1 - s for the s-th id; ``prior`` is a node's probability (of 2**16) of a one."""
+
+    def __init__(self, ids: np.ndarray, counts: np.ndarray):
+        self.ids, self.counts = ids.astype(np.int64), counts.astype(np.int64)
+        heap = [(int(c), k, -1 - k) for k, c in enumerate(counts)] or [(1, 0, -1)]
+        while len(heap) < 2:
+            heap.append((1, len(heap), -1))  # a single id: both ways lead to it
+        heapq.heapify(heap)
+        child, prior, serial = [], [], len(heap)
+        while len(heap) > 1:
+            (a, _, left), (b, _, right) = heapq.heappop(heap), heapq.heappop(heap)
+            child.append((left, right))
+            prior.append(min(max((b << 16) // (a + b), 64), 65472))
+            heapq.heappush(heap, (a + b, serial, len(child) - 1))
+            serial += 1
+        self.child, self.prior, self.root = np.array(child, np.int64), np.array(prior, np.int64), len(child) - 1
+        stack, paths = [(self.root, 0, 0)], np.zeros((max(1, len(self.ids)), 2), np.int64)
+        while stack:  # bits of an id's path, first in the lowest place, and their number
+            node, bits, n = stack.pop()
+            for y in (0, 1):
+                to = child[node][y]
+                if to < 0:
+                    paths[-1 - to] = bits | y << n, n + 1
+                else:
+                    stack.append((to, bits | y << n, n + 1))
+        self.bits, self.lengths = paths[:, 0], paths[:, 1]
+
+    @staticmethod
+    def of(ids: np.ndarray) -> "Tree":
+        return Tree(*np.unique(ids, return_counts=True))
+
+    def table(self) -> bytes:
+        return zlib.compress(np.diff(self.ids, prepend=0).astype("<u2").tobytes() + self.counts.astype("<u4").tobytes(), 9)
+
+    @staticmethod
+    def read(data: bytes) -> "Tree":
+        raw = zlib.decompress(data)
+        n = len(raw) // 6
+        return Tree(np.cumsum(np.frombuffer(raw, "<u2", n).astype(np.int64)), np.frombuffer(raw, "<u4", n, 2 * n))
 
 
 class _Model:
-    """The models of ``n`` lanes; ``bit`` predicts, ``learn`` updates.  A slot is probability (22 bits) and count."""
+    """The models of ``n`` lanes; ``bit`` predicts, ``learn`` updates.  A slot is probability (16 bits), check and count."""
 
-    def __init__(self, n: int):
-        self.flat = np.full(3 * n * SLOTS, 1 << 31, np.uint32)
-        self.weights = np.full((16, 3, n), (1 << 16) * 2 // 5, np.int64)
+    def __init__(self, n: int, tree: Tree):
+        self.tree, self.flat = tree, np.zeros(2 * n * SLOTS, np.uint32)
+        self.weights = np.repeat(np.round(_FIRST * 65536).astype(np.int64).ravel()[:, None], n, 1).ravel()  # (16 x 3) x n
+        self.lane, self.n = np.arange(n), n
+        self.base = (np.arange(2)[:, None] * n + self.lane) * SLOTS
         self.past = np.zeros((2, n), np.int64)
-        self.base = (np.arange(3)[:, None] * n + np.arange(n)) * SLOTS
-        self.start()
-
-    def start(self):
-        """The contexts of the next id."""
-        one = (self.past[0] + 1) * 0x9E3779B1
-        self.context = np.stack([np.zeros_like(one), one, one * 0x85EBCA6B + (self.past[1] + 1) * 0xC2B2AE35]) & 0xFFFFFFFF
-        self.node = np.ones(len(one), np.int64)
-
-    def bit(self, k: int) -> np.ndarray:
-        """Probability (of 4096) of a one as bit ``k`` of each lane."""
+        self.context = np.empty((2, n), np.int64)
+        self.node = np.full(n, tree.root)
+        self._contexts(self.lane)
+
+    def _contexts(self, at: np.ndarray):
+        one = (self.past[0, at] + 1) * 0x9E3779B1
+        self.context[0, at] = one & 0xFFFFFFFF
+        self.context[1, at] = (one * 0x85EBCA6B + (self.past[1, at] + 1) * 0xC2B2AE35) & 0xFFFFFFFF
+
+    def bit(self) -> np.ndarray:
+        """Probability (of 4096) of a one at each lane's node."""
+        prior = self.tree.prior.take(self.node)
         h = (self.context + self.node * 0x2545F491) & 0xFFFFFFFF
         h ^= h >> 15
         h *= 0x2C1B3C6D
+        self.check = h >> 30 & 1023
         self.at = (h >> 13 & SLOTS - 1) + self.base
-        self.state = self.flat.take(self.at).astype(np.int64)
-        self.said = _STRETCH.take(self.state >> 20)
-        self.own = self.weights[k]
-        dot = (self.own * self.said).sum(axis=0) >> 16
-        self.p = _SQUASH.take(dot + 2047, mode="clip")
+        state = self.flat.take(self.at).astype(np.int64)
+        count = state & 63
+        fresh = (state >> 6 & 1023 != self.check) | (count == 0)
+        self.count = np.where(fresh, 0, count)
+        self.chance = np.where(fresh, prior, state >> 16)
+        said = _STRETCH.take(np.concatenate([prior[None], self.chance]) >> 4)
+        seen = _CONFIDENCE.take(self.count)
+        self.own = ((seen[0] * 4 + seen[1]) * 3 + np.arange(3)[:, None]) * self.n + self.lane
+        self.weight, self.said = self.weights.take(self.own), said
+        self.p = _SQUASH.take(((self.weight * said).sum(axis=0) >> 16) + 2047, mode="clip").astype(np.int64)
         return self.p
 
-    def learn(self, y: np.ndarray):
-        p, count = self.state >> 10, self.state & 1023
-        p += ((y << 22) - y - p) * _PACE.take(count) >> 16
-        self.flat[self.at] = p << 10 | np.minimum(count + 1, _LIMIT)
-        self.own += self.said * (((y << 12) - self.p) * 6) + 0x2000 >> 14
-        self.node += self.node + y
-
-    def end(self, ids: np.ndarray):
-        self.past[1], self.past[0] = self.past[0], ids
-        self.start()
-
-
-def encode_blocks(ids: np.ndarray) -> list[bytes]:
-    """The coded blocks of a run of ids; the last one is filled up with zeros."""
+    def learn(self, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Update with the bits ``y``; returns the lanes at the end of an id and their ids' numbers."""
+        p = self.chance + (((y << 16) - y - self.chance) * _PACE.take(self.count) >> 16)
+        self.flat[self.at] = p << 16 | self.check << 6 | np.minimum(self.count + 1, _LIMIT)
+        self.weights[self.own] = self.weight + (self.said * (((y << 12) - self.p) * 3) + 0x2000 >> 14)
+        self.node = self.tree.child[self.node, y]
+        done = np.flatnonzero(self.node < 0)
+        which = -1 - self.node[done]
+        self.past[1, done] = self.past[0, done]
+        self.past[0, done] = which
+        self.node[done] = self.tree.root
+        self._contexts(done)
+        return done, which
+
+
+def encode_blocks(ids: np.ndarray, tree: Tree) -> list[bytes]:
+    """The coded blocks of a run of ids.  Lanes go on from bit to bit, each at its own id; one that has come to the end of its
+    block goes on over a filling that is not written."""
     if not len(ids):
         return []
     block = min(BLOCK, len(ids))
     n = -(-len(ids) // block)
-    grid = np.zeros(n * block, np.int64)
-    grid[:len(ids)] = ids
-    grid = np.ascontiguousarray(grid.reshape(n, block).T)
-    model, low, high = _Model(n), np.zeros(n, np.int64), np.full(n, 0xFFFFFFFF, np.int64)
-    out, used = np.zeros((n, 4 * block + 64), np.uint8), np.zeros(n, np.int64)
-    for now in grid:
-        for k in range(15, -1, -1):
-            y = now >> k & 1
-            one = y == 1
-            mid = low + ((high - low) >> 12) * model.bit(k)
-            high = np.where(one, mid, high)
-            low = np.where(one, low, mid + 1)
-            model.learn(y)
-            full = np.flatnonzero((low ^ high) < 1 << 24)
-            while len(full):
-                if used.max() + 8 > out.shape[1]:
-                    out = np.concatenate([out, np.zeros_like(out)], axis=1)
-                out[full, used[full]] = high[full] >> 24
-                used[full] += 1
-                low[full] = low[full] << 8 & 0xFFFFFFFF
-                high[full] = high[full] << 8 & 0xFFFFFFFF | 255
-                full = full[(low[full] ^ high[full]) < 1 << 24]
-        model.end(now)
-    return [out[j, :used[j]].tobytes() + int(low[j]).to_bytes(4, "big") for j in range(n)]
-
-
-def decode_blocks(coded: list[bytes], total: int) -> np.ndarray:
+    grid = np.zeros(n * block + 1, np.int64)
+    grid[:len(ids)] = np.searchsorted(tree.ids, ids)
+    begin = np.arange(n) * block
+    ends = np.minimum(begin + block, len(ids))
+    model, low, high = _Model(n, tree), np.zeros(n, np.int64), np.full(n, 0xFFFFFFFF, np.int64)
+    out, used = np.zeros((n, 2 * block + 64), np.uint8), np.zeros(n, np.int64)
+    place, bits, blocks, left = begin.copy(), tree.bits.take(grid[begin]), [b""] * n, n
+    while left:
+        y = bits & 1
+        bits >>= 1
+        mid = low + ((high - low) >> 12) * model.bit()
+        one = y == 1
+        high = np.where(one, mid, high)
+        low = np.where(one, low, mid + 1)
+        done, _ = model.learn(y)
+        full = np.flatnonzero((low ^ high) < 1 << 24)
+        while len(full):
+            if used.max() + 8 > out.shape[1]:
+                out = np.concatenate([out, np.zeros_like(out)], axis=1)
+            out[full, used[full]] = high[full] >> 24
+            used[full] += 1
+            low[full] = low[full] << 8 & 0xFFFFFFFF
+            high[full] = high[full] << 8 & 0xFFFFFFFF | 255
+            full = full[(low[full] ^ high[full]) < 1 << 24]
+        if len(done):
+            place[done] += 1
+            for j in done[place[done] == ends[done]]:
+                blocks[j] = out[j, :used[j]].tobytes() + int(low[j]).to_bytes(4, "big")
+                left -= 1
+            over = place[done] >= ends[done]
+            used[done[over]] = 0
+            bits[done] = tree.bits.take(grid[np.where(over, 0, place[done])])
+    return blocks
+
+
+def decode_blocks(coded: list[bytes], total: int, tree: Tree) -> np.ndarray:
     """The ``total`` ids of a run of blocks."""
     if not coded:
         return np.zeros(0, np.int64)
@@ -130,38 +201,47 @@ def decode_blocks(coded: list[bytes], total: int) -> np.ndarray:
     data = np.zeros((n, width), np.int64)
     for j, b in enumerate(coded):
         data[j, :len(b)] = np.frombuffer(b, np.uint8)
-    model, low, high = _Model(n), np.zeros(n, np.int64), np.full(n, 0xFFFFFFFF, np.int64)
+    model, low, high = _Model(n, tree), np.zeros(n, np.int64), np.full(n, 0xFFFFFFFF, np.int64)
     code = data[:, 0] << 24 | data[:, 1] << 16 | data[:, 2] << 8 | data[:, 3]
-    used, grid = np.full(n, 4), np.zeros((n, block), np.int64)
-    for i in range(block):
-        for k in range(15, -1, -1):
-            mid = low + ((high - low) >> 12) * model.bit(k)
-            one = code <= mid
-            high = np.where(one, mid, high)
-            low = np.where(one, low, mid + 1)
-            model.learn(one.astype(np.int64))
-            full = np.flatnonzero((low ^ high) < 1 << 24)
-            while len(full):
-                low[full] = low[full] << 8 & 0xFFFFFFFF
-                high[full] = high[full] << 8 & 0xFFFFFFFF | 255
-                code[full] = code[full] << 8 & 0xFFFFFFFF | data[full, np.minimum(used[full], width - 1)]
-                used[full] += 1
-                full = full[(low[full] ^ high[full]) < 1 << 24]
-        grid[:, i] = model.node & 0xFFFF
-        model.end(grid[:, i])
-    return grid.ravel()[:total]
+    used, grid = np.full(n, 4), np.zeros((n, block + 1), np.int64)  # the last column takes what follows a block
+    place = np.zeros(n, np.int64)
+    ends = np.minimum(np.arange(n) * block + block, total) - np.arange(n) * block
+    left = n
+    while left:
+        mid = low + ((high - low) >> 12) * model.bit()
+        one = code <= mid
+        high = np.where(one, mid, high)
+        low = np.where(one, low, mid + 1)
+        done, which = model.learn(one.astype(np.int64))
+        full = np.flatnonzero((low ^ high) < 1 << 24)
+        while len(full):
+            low[full] = low[full] << 8 & 0xFFFFFFFF
+            high[full] = high[full] << 8 & 0xFFFFFFFF | 255
+            code[full] = code[full] << 8 & 0xFFFFFFFF | data[full, np.minimum(used[full], width - 1)]
+            used[full] += 1
+            full = full[(low[full] ^ high[full]) < 1 << 24]
+        if len(done):
+            grid[done, np.minimum(place[done], block)] = which
+            place[done] += 1
+            left -= int((place[done] == ends[done]).sum())
+    found = np.concatenate([grid[j, :ends[j]] for j in range(n)])
+    if len(tree.ids) == 0 or found.max(initial=0) >= len(tree.ids):
+        raise DamagedArchive("ids of a block")
+    return tree.ids[found]
 
 
 def frame(doc_ids: list, counts: list[int], ids: np.ndarray) -> bytes:
     if len(ids) and (ids.min() < 0 or ids.max() >= 1 << 16):
         raise ValueError("ids must lie below 2**16")
-    blocks = []
+    blocks, tree = [], Tree.of(ids)
     for k in range(0, len(ids), BLOCK * LANES):
-        blocks += encode_blocks(ids[k:k + BLOCK * LANES])
+        blocks += encode_blocks(ids[k:k + BLOCK * LANES], tree)
+    shape = tree.table()
     sums = [zlib.crc32(ids[k:k + BLOCK].astype("<u4").tobytes()) for k in range(0, len(ids), BLOCK)]
     tables = (np.array([d is None for d in doc_ids], np.uint8).tobytes() + np.array([d or 0 for d in doc_ids], "<i8").tobytes()
-              + np.array(counts, "<u8").tobytes() + np.array([len(b) for b in blocks], "<u4").tobytes() + np.array(sums, "<u4").tobytes())
-    return _HEAD.pack(MAGIC, len(doc_ids), len(blocks), len(ids), zlib.crc32(tables)) + tables + b"".join(blocks)
+              + np.array(counts, "<u8").tobytes() + np.array([len(b) for b in blocks], "<u4").tobytes() + np.array(sums, "<u4").tobytes()
+              + shape)
+    return _HEAD.pack(MAGIC, len(doc_ids), len(blocks), len(ids), len(shape), zlib.crc32(tables)) + tables + b"".join(blocks)
 
 
 def read_frames(source) -> Iterator[tuple[list, np.ndarray, np.ndarray]]:
@@ -175,17 +255,18 @@ def read_frames(source) -> Iterator[tuple[list, np.ndarray, np.ndarray]]:
     while head := source.read(_HEAD.size):
         if len(head) != _HEAD.size or head[:4] != MAGIC:
             raise DamagedArchive("not a frame")
-        _, docs, blocks, total, check = _HEAD.unpack(head)
-        tables = take(docs * 17 + blocks * 8)
+        _, docs, blocks, total, shape, check = _HEAD.unpack(head)
+        tables = take(docs * 17 + blocks * 8 + shape)
         if zlib.crc32(tables) != check:
             raise DamagedArchive("tables of a frame")
+        tree = Tree.read(tables[len(tables) - shape:])
         none, own = np.frombuffer(tables, np.uint8, docs), np.frombuffer(tables, "<i8", docs, docs)
         counts = np.frombuffer(tables, "<u8", docs, docs * 9).astype(np.int64)
         lens, sums = (np.frombuffer(tables, "<u4", blocks, docs * 17 + k * blocks * 4) for k in (0, 1))
         ids = []
         for k in range(0, blocks, LANES):
             some = [take(int(x)) for x in lens[k:k + LANES]]
-            ids.append(decode_blocks(some, min(total - k * BLOCK, len(some) * BLOCK)))
+            ids.append(decode_blocks(some, min(total - k * BLOCK, len(some) * BLOCK), tree))
         ids = np.concatenate(ids) if ids else np.zeros(0, np.int64)
         for k in range(blocks):
             if zlib.crc32(ids[k * BLOCK:(k + 1) * BLOCK].astype("<u4").tobytes()) != sums[k]:

@@ -178,8 +178,9 @@ def test_range_coder_round_trip(monkeypatch):
     import numpy as np
     rng = np.random.default_rng(1)
     for ids in (np.zeros(0, np.int64), np.array([65535]), rng.integers(0, 1 << 16, 5000), np.tile(rng.integers(0, 300, 40), 90)):
-        coded = token_files.encode_blocks(ids)
-        assert (token_files.decode_blocks(coded, len(ids)) == ids).all()
+        tree = token_files.Tree.of(ids)
+        coded = token_files.encode_blocks(ids, tree)
+        assert (token_files.decode_blocks(coded, len(ids), token_files.Tree.read(tree.table())) == ids).all()
     monkeypatch.setattr(token_files, "LANES", 3)
     monkeypatch.setattr(token_files, "BLOCK", 64)
     ids = rng.integers(0, 500, 1000)
@@ -343,3 +344,20 @@ def test_url_rules_of_many_parameters(spark):
     assert time.time() - begin < 60
     best = sorted((sorted(map(len, r.any_of)), r.confidence) for r in index)  # with and without what every URL has
     assert best == [([1, 3, 24], 1.0), ([1, 24], 1.0)]
+
+
+def test_token_files_are_below_the_entropy_of_counts():
+    import io
+
+    import numpy as np
+    rng = np.random.default_rng(2)
+    ids = np.zeros(60_000, np.int64)
+    follow = rng.integers(0, 3000, (3000, 4))
+    for k in range(1, len(ids)):  # an id is one of four after its predecessor, mostly
+        ids[k] = follow[ids[k - 1], rng.integers(4)] if rng.random() < 0.8 else rng.zipf(1.4) % 3000
+    share = np.bincount(ids) / len(ids)
+    share = share[share > 0]
+    data = token_files.frame([1], [len(ids)], ids)
+    assert 8 * len(data) / len(ids) < -(share * np.log2(share)).sum()
+    (_, _, back), = token_files.read_frames(io.BytesIO(data))
+    assert (back == ids).all()
