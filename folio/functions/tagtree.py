@@ -76,29 +76,24 @@ def _empty(s: Column, t: Column) -> Column:
 
 def _step(tree: str):
     def run(s: Column, t: Column) -> Column:
-        table = _last(s["names"], ["table"], F.lit(0)) if tree == "implied" else F.lit(0)
+        closing = F.startswith(t["n"], F.lit("/"))
         name = F.substr(t["n"], F.lit(2))
-        scoped = F.when(_is_in(name, [*WANTED, *SECTIONS]), table).otherwise(0) if tree == "implied" else F.lit(0)
-
-        def end(place: Column) -> Column:
-            return F.when(place > 0, _cut(s, place, t["at"])).otherwise(s)
-
-        back = F.reverse(s["names"])
-        near = F.array_position(back, name)
-        own = F.when(near > 0, F.size(s["names"]) + 1 - near).otherwise(0).cast("int")
-        closed = let(F.when(own > scoped, own).otherwise(0).cast("int"), end)
-        if tree == "implied":
-            place = (F.when(_is_in(t["n"], CELLS), _last(s["names"], CELLS, table))
-                     .when(_is_in(t["n"], ["tr", *SECTIONS]),
-                           let(_last(s["names"], ["tr"], table), lambda r: F.when(r > 0, r).otherwise(
-                               _last(s["names"], CELLS, table))))
-                     .otherwise(0))
-            ended = let(place, lambda p: F.when(p > 0, _cut(s, p, t["at"])).otherwise(s))
-        else:
-            ended = s
-        opened = let(ended, lambda e: F.when(_is_in(t["n"], VOID) | t["s"], _empty(e, t)).otherwise(_push(e, t)))
-        return (F.when(s["done"] | (t["n"] == ""), s)
-                .when(F.startswith(t["n"], F.lit("/")), closed).otherwise(opened))
+
+        def place(table: Column) -> Column:
+            """Where the stack is cut: at the element that an end tag names, or that a start tag ends."""
+            own = _last(s["names"], [name], F.when(_is_in(name, [*WANTED, *SECTIONS]), table).otherwise(0))
+            if tree != "implied":
+                return F.when(closing, own).otherwise(0)
+            row = let(_last(s["names"], ["tr"], table), lambda r: F.when(r > 0, r).otherwise(_last(s["names"], CELLS, table)))
+            return (F.when(closing, own).when(_is_in(t["n"], CELLS), _last(s["names"], CELLS, table))
+                    .when(_is_in(t["n"], ["tr", *SECTIONS]), row).otherwise(0))
+
+        def moved(p: Column) -> Column:
+            return let(F.when(p > 0, _cut(s, p, t["at"])).otherwise(s), lambda e: (
+                F.when(closing, e).when(_is_in(t["n"], VOID) | t["s"], _empty(e, t)).otherwise(_push(e, t))))
+
+        table = _last(s["names"], ["table"], F.lit(0)) if tree == "implied" else F.lit(0)
+        return F.when(s["done"] | (t["n"] == ""), s).otherwise(let(let(table, place), moved))
     return run
 
 

@@ -15,6 +15,15 @@ from folio.session import scratch_path
 from folio.sources.render import render_listing_pages
 from folio.streaming import ingest
 
+@pytest.fixture(autouse=True)
+def few_partitions(spark):
+    """Few state stores: each is a task and a Python worker a batch."""
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "3")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
 URL = "https://www.esd.whs.mil/Directives/issuances/{}/dodd/"
 
 
