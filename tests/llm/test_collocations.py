@@ -62,7 +62,6 @@ def rows():
 @pytest.mark.parametrize("least,options", [
     (6, {}),
     (3, {"block_bytes": 700, "broadcast_bytes": 0, "tile": 4}),
-    (9, {"block_bytes": 2000, "broadcast_bytes": 0}),
 ])
 def test_against_brute_force(spark, least, options):
     docs = spark.createDataFrame(rows(), DOCS).repartition(3)
