@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import byte_table, fresh, mix64, row_counts, slices, split_words, text_buffers, word_hashes
+from .common import byte_table, fresh, mix64, row_counts, slices, split_words, text_buffers, tidy, word_hashes
 
 WINDOW = 10
 UNION_CELLS = 1 << 20  # (document, item) cells expanded at a time
@@ -247,7 +247,7 @@ def find(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", window:
     for rows in _blocks(benchmark, **options):
         wins, lens, pair = test_windows(rows, window)
         blocks.append(sc.broadcast((wins, lens, item_sets(len(wins), pair), pa.array([i for i, _ in rows], pa.string()))))
-    return docs.mapInArrow(_search(blocks, len(docs.columns), docs.columns.index(text_col), schema.names), schema), extra
+    return docs.mapInArrow(tidy(_search(blocks, len(docs.columns), docs.columns.index(text_col), schema.names)), schema), extra
 
 
 def assign(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
