@@ -93,16 +93,9 @@ def _codes(model: Model, residual: np.ndarray) -> np.ndarray:
     return np.stack([_nearest(residual[:, r], b) for r, b in zip(model.runs(), model.books)], 1).astype(np.uint8)
 
 
-def _tables(model: Model, residual: np.ndarray) -> np.ndarray:
-    """Squared distance of one query's residual to each code vector: runs x 256."""
-    out = np.zeros((len(model.books), CODES), np.float32)
-    for i, (r, b) in enumerate(zip(model.runs(), model.books)):
-        out[i, :len(b)] = ((b - residual[r]) ** 2).sum(1)
-    return out
-
-
-def _estimates(tables: np.ndarray, codes: np.ndarray) -> np.ndarray:
-    return np.take_along_axis(tables, codes.T, 1).sum(0)
+def _decoded(model: Model, codes: np.ndarray) -> np.ndarray:
+    """The residuals that codes stand for."""
+    return np.concatenate([b[codes[:, i]] for i, b in enumerate(model.books)], 1)
 
 
 def fit(sample: np.ndarray, rows: int, k: int = 2, seed: int = 7) -> Model:
@@ -114,6 +107,7 @@ def fit(sample: np.ndarray, rows: int, k: int = 2, seed: int = 7) -> Model:
     residual = sample - model.centroids[near]
     model.books = [kmeans(residual[:, r], CODES, rng) for r in model.runs()]
     codes = _codes(model, residual)
+    decoded = model.centroids[near] + _decoded(model, codes)
 
     own = rng.choice(len(sample), min(TRIALS, len(sample)), replace=False)
     away = rng.normal(size=(TRIALS, sample.shape[1]))
@@ -127,10 +121,7 @@ def fit(sample: np.ndarray, rows: int, k: int = 2, seed: int = 7) -> Model:
         to_cells = _distances(q[None], model.centroids)[0]
         order = np.argsort(np.argsort(to_cells, kind="stable"))
         cell_ranks += order[near[true]].tolist()
-        guess = np.empty(len(sample))
-        for c in np.unique(near):
-            at = near == c
-            guess[at] = _estimates(_tables(model, q - model.centroids[c]), codes[at])
+        guess = _distances(q[None], decoded)[0]  # what the codes say
         if itself >= 0:
             guess[itself] = np.inf
         code_ranks += [int((guess < guess[t]).sum()) for t in true]
@@ -259,11 +250,15 @@ def _estimate(shared, keep: int):
             codes = _bytes(b.column(2))
             for c in np.unique(cells):
                 at = np.flatnonzero(cells == c)
-                own = codes[at]
-                for q in asked.get(int(c), ()):
-                    guess = _estimates(_tables(model, queries[q] - model.centroids[c]), own)
-                    top = np.argpartition(guess, keep - 1)[:keep] if len(guess) > keep else np.arange(len(guess))
-                    held.append((np.full(len(top), q), guess[top], ids.take(pa.array(at[top]))))
+                own = model.centroids[c] + _decoded(model, codes[at])
+                mine = np.array(asked.get(int(c), ()), np.int64)
+                step = max(1, (1 << 20) // len(at))
+                for a in range(0, len(mine), step):
+                    some = mine[a:a + step]
+                    guess = _distances(queries[some], own)
+                    top = (np.argpartition(guess, keep - 1, 1)[:, :keep] if len(at) > keep
+                           else np.broadcast_to(np.arange(len(at)), guess.shape))
+                    held.append((np.repeat(some, top.shape[1]), np.take_along_axis(guess, top, 1).ravel(), ids.take(pa.array(at[top.ravel()]))))
             if sum(len(h[0]) for h in held) > max(1 << 18, 2 * keep * len(queries)):
                 cut()
         if held:
