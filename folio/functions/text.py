@@ -14,7 +14,7 @@ import json
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from folio.functions.util import col_of
+from folio.functions.util import col_of, let
 
 # Python ``str.isspace`` as a Java character-class body (used with the (?U) flag).
 PY_WS = r"\s\x1c-\x1f"
@@ -124,11 +124,11 @@ def html_unescape(c) -> Column:
     ``&name`` (its ``;`` is consumed); ``&#N;`` / ``&#xH;`` become the character.
     Strings without ``&`` skip the per-piece work.
     """
-    s = col_of(c)
-    pieces = F.split(s, "&", -1)
-    joined = F.array_join(
-        F.transform(pieces, lambda p, i: F.when(i == 0, p).otherwise(_decode_piece(p))), "")
-    return F.when(F.instr(s, "&") == 0, s).otherwise(joined)
+    def decoded(s: Column) -> Column:
+        joined = F.array_join(
+            F.transform(F.split(s, "&", -1), lambda p, i: F.when(i == 0, p).otherwise(_decode_piece(p))), "")
+        return F.when(F.instr(s, "&") == 0, s).otherwise(joined)
+    return let(col_of(c), decoded)
 
 
 def cell_text(c) -> Column:

@@ -127,10 +127,10 @@ def restricted_flag(url: Column, title: Column) -> Column:
 
 def href_of(anchor_attrs: Column) -> Column:
     """Value of the href attribute (entity references decoded); NULL if absent."""
-    present = anchor_attrs.rlike(HREF_RE)
-    v = F.concat(F.regexp_extract(anchor_attrs, HREF_RE, 1), F.regexp_extract(anchor_attrs, HREF_RE, 2),
-                 F.regexp_extract(anchor_attrs, HREF_RE, 3))
-    return F.when(present, T.html_unescape(v))
+    def value(a: Column) -> Column:
+        v = F.concat(*[F.regexp_extract(a, HREF_RE, k) for k in (1, 2, 3)])
+        return F.when(a.rlike(HREF_RE), T.html_unescape(v))
+    return let(anchor_attrs, value)
 
 
 def _dtm_num(name: Column) -> Column:
@@ -163,17 +163,20 @@ def _has_class(row: Column) -> Column:
 
 def _row_error(kind: Column, row: Column) -> Column:
     """Error code of one listing row (NULL when it parses): the reference ends the page there."""
-    cell0 = F.try_element_at(row["cells"], F.lit(1))
-    has_a = cell0.rlike(A_ATTRS_RE)
-    a_attrs = F.regexp_extract(cell0, A_ATTRS_RE, 1)
-    href = href_of(a_attrs)
-    name = T.strip_parens(T.clean_cell(cell0))
+    def of_link(href: Column) -> Column:
+        return F.when(href.isNull(), F.lit("E2_no_href")).when(U.url_error(href), F.lit("E5_bad_url"))
+
+    def of_name(name: Column) -> Column:
+        return (F.when((kind == "dtm") & (_dtm_num(name) == ""), F.lit("E3_no_dtm_number"))
+                .when((kind == "140025") & (F.size(_tokens(name)) == 0), F.lit("E4_empty_name")))
+
+    def of_cell(cell: Column) -> Column:
+        return F.when(~cell.rlike(A_ATTRS_RE), F.lit("E1_no_anchor")).otherwise(F.coalesce(
+            let(href_of(F.regexp_extract(cell, A_ATTRS_RE, 1)), of_link),
+            F.when(kind.isin("dtm", "140025"), let(T.strip_parens(T.clean_cell(cell)), of_name))))
+
     return (F.when(~_has_class(row) | (row["n"] == 0), F.lit(None).cast("string"))
-            .when(~has_a, F.lit("E1_no_anchor"))
-            .when(href.isNull(), F.lit("E2_no_href"))
-            .when(U.url_error(href), F.lit("E5_bad_url"))
-            .when((kind == "dtm") & (_dtm_num(name) == ""), F.lit("E3_no_dtm_number"))
-            .when((kind == "140025") & (F.size(_tokens(name)) == 0), F.lit("E4_empty_name")))
+            .otherwise(let(F.try_element_at(row["cells"], F.lit(1)), of_cell)))
 
 
 @cached_columns
@@ -183,10 +186,11 @@ def _page_cols(table_class: str, opr_header: str | None = None, tree: str = "imp
           F.col("_html").rlike(start).alias("_found"), F.col("_html").rlike(tre).alias("_closed"),
           F.regexp_extract(F.col("_html"), tre, 1).alias("_table")]
     cells = RECORD_CELLS if opr_header is None else 1 << 20  # a column named by its header may stand anywhere
-    folded = tagtree.table_rows(F.regexp_extract(F.col("_html"), f"{start}.*", 0), tree, cells)
-    s2 = ["source_page_url", "_kind", "_found",
-          F.when(~F.col("_found"), F.lit(None)).when(F.col("_closed") & _regular(F.col("_table")), _regular_rows(F.col("_table")))
-          .otherwise(folded).alias("_rows")]
+    # the fold is given the irregular tables only: Spark evaluates it for every row, whatever branch its value stands in
+    irregular = F.when(F.col("_found") & ~F.col("_plain"), F.regexp_extract(F.col("_html"), f"{start}.*", 0))
+    s2 = ["source_page_url", "_kind", "_found", "_html", "_table", (F.col("_closed") & _regular(F.col("_table"))).alias("_plain")]
+    s3 = ["source_page_url", "_kind", "_found",
+          F.when(F.col("_plain"), _regular_rows(F.col("_table"))).otherwise(tagtree.table_rows(irregular, tree, cells)).alias("_rows")]
     header = _header_index(F.try_element_at("_rows", F.lit(1))["heads"], opr_header) if opr_header else F.lit(None)
     errs = F.transform("_rows", lambda r, i: F.when(i == 0, F.lit(None).cast("string"))
                        .otherwise(_row_error(F.col("_kind"), r))).alias("_errs")
@@ -195,7 +199,7 @@ def _page_cols(table_class: str, opr_header: str | None = None, tree: str = "imp
           F.when(~F.col("_found"), F.lit("P1_no_table"))
           .when(F.size("_rows") == 0, F.lit("P2_no_rows")).alias("page_error"),
           F.when(first_bad > 0, first_bad - 1).otherwise(F.size("_rows")).alias("_first_bad")]
-    return s1, s2, errs, s4
+    return s1, s2, s3, errs, s4
 
 
 def listing_pages(pages: DataFrame, url_col: str = "url", html_col: str = "html", table_class: str = "dnnGrid",
@@ -203,22 +207,23 @@ def listing_pages(pages: DataFrame, url_col: str = "url", html_col: str = "html"
     """Page-level stage: the rows of the listing table, page status and first failing row.
 
     ``tree``: how elements without their end tag close, see ``folio.functions.tagtree``; regular tables do not depend on it."""
-    s1, s2, errs, s4 = _page_cols(table_class, opr_header, tree)
+    s1, s2, s3, errs, s4 = _page_cols(table_class, opr_header, tree)
     p = pages.select(
         F.col(url_col).alias("source_page_url"),
         T.strip_raw_blocks(F.col(html_col)).alias("_html"))
-    return p.select(*s1).select(*s2).select("*", errs).select(*s4)
+    return p.select(*s1).select(*s2).select(*s3).select("*", errs).select(*s4)
 
 
 def listing_errors(pages: DataFrame, **kw) -> DataFrame:
     """Error table: failed pages (row_pos NULL) and the row that ended each page."""
     p = listing_pages(pages, **kw)
-    page_err = p.where(F.col("page_error").isNotNull()).select(
-        "source_page_url", F.lit(None).cast("int").alias("row_pos"), F.col("page_error").alias("error"))
-    row_err = p.where(F.col("page_error").isNull() & (F.col("_first_bad") < F.size("_rows"))).select(
-        "source_page_url", F.col("_first_bad").cast("int").alias("row_pos"),
-        F.element_at("_errs", (F.col("_first_bad") + 1).cast("int")).alias("error"))
-    return page_err.unionByName(row_err)
+    first = F.struct(F.col("_first_bad").cast("int").alias("row_pos"),
+                     F.try_element_at("_errs", (F.col("_first_bad") + 1).cast("int")).alias("error"))
+    page = F.struct(F.lit(None).cast("int").alias("row_pos"), F.col("page_error").alias("error"))
+    # filtered after the explode: a filter before it is pushed below the page's columns and reads the page once more
+    found = F.when(F.col("page_error").isNotNull(), F.array(page)).when(F.col("_first_bad") < F.size("_rows"), F.array(first))
+    return p.select("source_page_url", F.explode_outer(found).alias("e")).where("e.error IS NOT NULL").select(
+        "source_page_url", "e.row_pos", "e.error")
 
 
 def listing_rows(pages: DataFrame, mode: str = "abort", **kw) -> DataFrame:
@@ -227,11 +232,13 @@ def listing_rows(pages: DataFrame, mode: str = "abort", **kw) -> DataFrame:
     mode ``abort``: rows from the first failing row on are dropped (reference);
     ``permissive``: only failing rows are dropped (they are in ``listing_errors``).
     """
-    p = listing_pages(pages, **kw).where(F.col("page_error").isNull())
+    # a page with an error has no rows.  The filter stands after an outer explode, and says nothing that Spark could infer for a
+    # page's own columns: a filter on those, or on an inner explode, is pushed below them and reads the page once more
+    p = listing_pages(pages, **kw)
     p = p.select("source_page_url", "_kind", "_first_bad", "_opr_pos",
-                 F.posexplode(F.arrays_zip(F.col("_rows").alias("row"), F.col("_errs").alias("err"))))
+                 F.posexplode_outer(F.arrays_zip(F.col("_rows").alias("row"), F.col("_errs").alias("err"))))
     keep = (F.col("pos") > 0) & _has_class(F.col("col.row"))
-    keep = keep & ((F.col("pos") < F.col("_first_bad")) if mode == "abort" else F.col("col.err").isNull())
+    keep = keep & ((F.col("pos") < F.coalesce("_first_bad", F.lit(0))) if mode == "abort" else F.col("col.err").isNull())
     return p.where(keep).select("source_page_url", F.col("pos").cast("int").alias("row_pos"), "_kind", "_opr_pos",
                                 F.col("col.row.cells").alias("_cells"), F.col("col.row.n").alias("_n"))
 
