@@ -1,8 +1,8 @@
 """Vectors: a feature-hashing embedder slot, vector entries and k-nearest-neighbour search.
 
 * ``hash_embed`` is the default embedder (model inference is out of scope):
-  tokens -> md5 -> bucket and sign -> signed counts -> L2 normalised, with one
-  exchange of partial sums by key.
+  tokens -> md5 -> bucket and sign -> signed counts (in an Arrow UDF) -> L2
+  normalised, with one exchange of partial sums by key.
 * ``knn_topk`` broadcasts its queries in bounded blocks; ``knn_topk_batch`` is exact search over pairs of bounded
   blocks; each pair's best candidates are shuffled for the final per-query top-k.
 * ``knn_approx`` builds and searches an index of inverted lists.
@@ -10,9 +10,11 @@
 
 from __future__ import annotations
 
+import hashlib
 import sys
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -27,20 +29,34 @@ QUERY_BLOCK, VECTOR_BLOCK = 4096, 16384  # rows
 CUBE_CELLS = 1 << 22  # differences held at once in a task
 
 
+def _signed_counts(dim: int):
+    """Signed bucket counts of the tokens of each lower-cased text; null and empty texts count nothing."""
+    def run(texts: pa.Array) -> pa.Array:
+        known: dict[str, tuple[int, int]] = {"": (0, 0)}
+        rows, at, signs = [], [], []
+        for text in texts.to_pylist():
+            tokens = [] if text is None else text.split(" ")
+            for t in tokens:
+                if t not in known:
+                    h = hashlib.md5(t.encode()).hexdigest()
+                    known[t] = int(h[:8], 16) % dim, 1 if h[8] < "8" else -1
+                bucket, sign = known[t]
+                at.append(bucket)
+                signs.append(sign)
+            rows.append(len(tokens))
+        place = np.repeat(np.arange(len(rows)) * dim, rows) + np.array(at, np.int64)
+        total = np.bincount(place, np.array(signs, np.float64), minlength=len(rows) * dim).astype(np.int64)
+        return pa.FixedSizeListArray.from_arrays(pa.array(total), dim).cast(pa.list_(pa.int64()))
+    return run
+
+
 def hash_embed(df: DataFrame, text_col: str, keys: list[str], dim: int = 64, out: str = "embedding") -> DataFrame:
     """Feature-hashing embedding per key; rows that share their keys are embedded together."""
-    # split without a per-row filter lambda: empty tokens stay in the codegen'd
-    # pipeline and carry weight 0, and a row without tokens still gets a vector
-    raw = F.split(F.lower(F.replace(F.col(text_col), F.lit("\n"), F.lit(" "))), " ", -1)
-    tok = df.select(*keys, F.explode_outer(raw).alias("_t")).select(*keys, "_t", F.md5(F.col("_t")).alias("_h"))
-    h = F.col("_h")
-    tok = tok.select(*keys,
-                     F.pmod(F.conv(F.substr(h, F.lit(1), F.lit(8)), 16, 10).cast("bigint"), F.lit(dim)).alias("_b"),
-                     F.when(F.col("_t").isNull() | (F.col("_t") == ""), F.lit(0))
-                     .when(F.substr(h, F.lit(9), F.lit(1)) < "8", F.lit(1)).otherwise(F.lit(-1)).alias("_s"))
-    # one conditional sum per dimension: a single, partially aggregated exchange by key
-    sums = [F.sum(F.when(F.col("_b") == i, F.col("_s")).otherwise(0)).cast("double").alias(f"_{i}") for i in range(dim)]
-    v = tok.groupBy(*keys).agg(*sums).select(*keys, F.array(*[F.col(f"_{i}") for i in range(dim)]).alias("_v"))
+    low = F.lower(F.replace(F.col(text_col), F.lit("\n"), F.lit(" ")))
+    counts = df.select(*keys, F.arrow_udf(_signed_counts(dim), "array<bigint>")(low).alias("_c"))
+    # one sum per dimension over rows, not tokens: a single, partially aggregated exchange by key
+    sums = [F.sum(F.col("_c")[i]).cast("double").alias(f"_{i}") for i in range(dim)]
+    v = counts.groupBy(*keys).agg(*sums).select(*keys, F.array(*[F.col(f"_{i}") for i in range(dim)]).alias("_v"))
     norm = F.sqrt(F.aggregate("_v", F.lit(0.0), lambda a, x: a + x * x))
     return v.select(*keys, F.when(norm > 0, F.transform("_v", lambda x: x / norm)).otherwise(F.col("_v")).alias(out))
 

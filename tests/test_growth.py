@@ -1,6 +1,10 @@
 """What keeps the work of a query in proportion to its input."""
 
+import hashlib
+import math
+
 from folio.operators import listing as L
+from folio.operators import vectors as V
 
 URL = "https://www.esd.whs.mil/Directives/issuances/dodd/"
 
@@ -17,3 +21,18 @@ def test_a_page_is_read_once(spark):
         assert "Filter " not in below and plan.count("ArrowEvalPython [") == 1
     assert [r.doc_name for r in records.orderBy("row_pos").collect()] == [f"DoDD {k}.1" for k in range(5)]
     assert [(r.row_pos, r.error) for r in errors.orderBy("error").collect()] == [(11, "E1_no_anchor"), (None, "P1_no_table")]
+
+
+def test_embedding_shuffles_rows_not_tokens(spark):
+    """Tokens are counted within a row: no explode before the exchange; rows that share their keys are still one vector."""
+    rows = [(1, "The cat\nthe dog  é"), (1, "cat"), (2, None), (3, ""), (4, "THE " * 500)]
+    out = V.hash_embed(spark.createDataFrame(rows, "k int, t string"), "t", ["k"], 8)
+    assert "Generate" not in out._jdf.queryExecution().executedPlan().toString()
+    got = {r.k: list(r.embedding) for r in out.collect()}
+    for k in (1, 2, 3, 4):
+        want = [0] * 8
+        for t in " ".join(t for i, t in rows if i == k and t).replace("\n", " ").lower().split():
+            h = hashlib.md5(t.encode()).hexdigest()
+            want[int(h[:8], 16) % 8] += 1 if h[8] < "8" else -1
+        norm = math.sqrt(sum(x * x for x in want)) or 1
+        assert got[k] == [x / norm for x in want]
