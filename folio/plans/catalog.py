@@ -21,6 +21,7 @@ from folio.operators import listing as L
 from folio.operators import store as S
 from folio.operators import vectors as V
 from folio.session import scratch_path
+from folio.sources.export import write_text_files
 from folio.sources.pages import scan_page_files
 from folio.sources.render import render_listing_pages
 
@@ -187,9 +188,9 @@ def q_scan_page_files(spark, d):
     """Pages written as one file each, every second with a byte-order mark, and scanned as bytes."""
     path = scratch_path(spark, "page-files")
     marked = F.when(F.col("page_id") % 2 == 0, F.concat(F.lit("\ufeff"), "html")).otherwise(F.col("html"))
-    _t(spark, d, "pages").select("page_id", marked.alias("value")).write.partitionBy("page_id").text(path)
-    return scan_page_files(spark, path, "part-*").select(
-        F.regexp_extract("path", r"/page_id=(\d+)/", 1).cast("bigint").alias("page_id"), "charset",
+    folders = write_text_files(_t(spark, d, "pages").select("page_id", marked.alias("value")), "page_id", "value", path)
+    return scan_page_files(spark, folders or path, "part-*").select(
+        F.regexp_extract("path", r"/part-(\d+)\.txt$", 1).cast("bigint").alias("page_id"), "charset",
         F.regexp_replace("html", r"\n\z", "").alias("html"))
 
 

@@ -65,8 +65,8 @@ def decode_page(content: Column, charset: Column, other_charsets: bool = False)
     return F.coalesce(text, F.when(charset == "windows-1252", latin), python(F.when(unusual, content), charset))
 
 
-def scan_page_files(spark: SparkSession, path: str, pattern: str = "*", other_charsets: bool = False) -> DataFrame:
-    """(path, charset, html) of all files under ``path`` whose names match ``pattern``; Spark leaves out files of no bytes."""
+def scan_page_files(spark: SparkSession, path: str | list[str], pattern: str = "*", other_charsets: bool = False) -> DataFrame:
+    """(path, charset, html) of all files under ``path`` (a folder or several) whose names match ``pattern``; Spark leaves out files of no bytes."""
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(path)
              .select("path", "content"))
     files = files.withColumn("charset", page_charset(F.col("content")))

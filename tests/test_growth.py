@@ -2,9 +2,11 @@
 
 import hashlib
 import math
+import pathlib
 
 from folio.operators import listing as L
 from folio.operators import vectors as V
+from folio.sources.export import write_text_files
 
 URL = "https://www.esd.whs.mil/Directives/issuances/dodd/"
 
@@ -36,3 +38,16 @@ def test_embedding_shuffles_rows_not_tokens(spark):
             want[int(h[:8], 16) % 8] += 1 if h[8] < "8" else -1
         norm = math.sqrt(sum(x * x for x in want)) or 1
         assert got[k] == [x / norm for x in want]
+
+
+def test_text_files_of_keys(spark, tmp_path):
+    """One flat folder a task, a file a key, rows of one key together, null as an empty line."""
+    rows = [(k, f"é{k}" if k % 3 else None) for k in range(40)] + [(7, "again")]
+    df = spark.createDataFrame(rows, "k long, v string").repartition(4, "k")
+    folders = write_text_files(df, "k", "v", str(tmp_path / "out"))
+    files = [p for f in folders for p in pathlib.Path(f).iterdir()]
+    assert 1 < len(folders) <= 4 and len(files) == 40 and all(p.is_file() for p in files)
+    text = {int(p.stem[5:]): p.read_text("utf-8") for p in files}
+    assert sorted(text.pop(7).splitlines()) == ["again", "é7"]
+    assert text == {k: f"é{k}\n" if k % 3 else "\n" for k in range(40) if k != 7}
+    assert write_text_files(df.where("k < 0"), "k", "v", str(tmp_path / "none")) == []
