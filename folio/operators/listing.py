@@ -186,11 +186,10 @@ def _page_cols(table_class: str, opr_header: str | None = None, tree: str = "imp
           F.col("_html").rlike(start).alias("_found"), F.col("_html").rlike(tre).alias("_closed"),
           F.regexp_extract(F.col("_html"), tre, 1).alias("_table")]
     cells = RECORD_CELLS if opr_header is None else 1 << 20  # a column named by its header may stand anywhere
-    # the fold is given the irregular tables only: Spark evaluates it for every row, whatever branch its value stands in
-    irregular = F.when(F.col("_found") & ~F.col("_plain"), F.regexp_extract(F.col("_html"), f"{start}.*", 0))
+    folded = tagtree.table_rows(F.regexp_extract(F.col("_html"), f"{start}.*", 0), tree, cells)
     s2 = ["source_page_url", "_kind", "_found", "_html", "_table", (F.col("_closed") & _regular(F.col("_table"))).alias("_plain")]
     s3 = ["source_page_url", "_kind", "_found",
-          F.when(F.col("_plain"), _regular_rows(F.col("_table"))).otherwise(tagtree.table_rows(irregular, tree, cells)).alias("_rows")]
+          F.when(~F.col("_found"), F.lit(None)).when(F.col("_plain"), _regular_rows(F.col("_table"))).otherwise(folded).alias("_rows")]
     header = _header_index(F.try_element_at("_rows", F.lit(1))["heads"], opr_header) if opr_header else F.lit(None)
     errs = F.transform("_rows", lambda r, i: F.when(i == 0, F.lit(None).cast("string"))
                        .otherwise(_row_error(F.col("_kind"), r))).alias("_errs")
