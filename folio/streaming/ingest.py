@@ -1,8 +1,9 @@
 """Checkpointed incremental ingest: pages arriving as files -> records -> store; documents -> chunks -> vectors.
 
 What has been seen is keyed state of the stream (RocksDB, in the checkpoint folder), not the store: no batch reads
-the store.  Records are grouped by fingerprint; the state holds whether the fingerprint is stored, and of a new one's records
-in a batch the first by (page URL, row position) is given out.  Chunks are grouped by content id, whose repeats are equal.
+the store.  Records are grouped by buckets of their fingerprint; the state holds the digests of a bucket's stored fingerprints, and of
+a new one's records in a batch the first by (page URL, row position) is given out.  A record passes that step as one text, since each
+column of each row is converted on its own there.  Chunks are grouped by content id, whose repeats are equal.
 
 A batch writes its own folder ``run=R/batch_id=N`` in overwrite mode, so a batch replayed after the loss of an
 executor or of the driver rewrites the same rows.  ``R`` belongs to the checkpoint: a stream with a fresh checkpoint over an
@@ -16,7 +17,7 @@ import sys
 from collections.abc import Iterator
 
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -33,29 +34,62 @@ STATE_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateSto
 PAGE_SCHEMA = "page_id bigint, url string, html string"
 
 
+BUCKETS = 1 << 12  # of fingerprints; belongs to a checkpoint
+DIGEST = 32  # bytes
+
+
+def _bucket(key: str) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(BUCKETS)).cast("int").alias("bucket")
+
+
+def _digest(key: str) -> Column:
+    return F.coalesce(F.unhex(F.sha2(F.col(key), 8 * DIGEST)), F.lit(bytes(DIGEST))).alias("digest")
+
+
 def _first(row: Row) -> tuple:
-    return (row.source_page_url is None, row.source_page_url or "", row.row_pos is None, row.row_pos or 0)
+    return (row.url is None, row.url or "", row.row_pos is None, row.row_pos or 0)
 
 
 class FirstWriter(StatefulProcessor):
-    """Gives out the first row of every key, once; keeps one flag a key."""
+    """Gives out the first record of every fingerprint, once; keeps the digests of a bucket's fingerprints."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.seen = handle.getValueState("seen", T.StructType([T.StructField("stored", T.BooleanType())]))
+        self.seen = handle.getValueState("digests", T.StructType([T.StructField("digests", T.BinaryType())]))
+
+    def _held(self) -> bytes:
+        found = self.seen.get()
+        return b"" if found is None else bytes(found[0])
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        best = min(rows, key=_first)  # one row is held
-        if not self.seen.exists():
-            self.seen.update((True,))
-            yield best
+        held, best = self._held(), {}
+        stored = {held[k:k + DIGEST] for k in range(0, len(held), DIGEST)}
+        for row in rows:  # one row a new fingerprint is held
+            digest = bytes(row.digest)
+            if digest not in stored and (digest not in best or _first(row) < _first(best[digest])):
+                best[digest] = row
+        if best:
+            self.seen.update((held + b"".join(best),))
+        for row in best.values():
+            yield Row(record=row.record)
 
     def handleInitialState(self, key, initialState: Row, timerValues) -> None:
-        self.seen.update((True,))
+        self.seen.update((self._held() + b"".join(map(bytes, initialState.digests)),))
 
     def close(self) -> None:
         pass
 
 
+def _first_records(recs: DataFrame, stored: DataFrame | None) -> DataFrame:
+    """The first record of every ``_id`` that is not in ``stored`` (a frame of ids), once in the stream's life."""
+    packed = recs.select(_bucket("_id"), _digest("_id"), F.col("source_page_url").alias("url"), "row_pos",
+                         F.to_json(F.struct(*recs.columns), {"ignoreNullFields": "false"}).alias("record"))
+    if stored is not None:
+        stored = stored.select(_bucket("_id"), _digest("_id")).groupBy("bucket").agg(F.collect_set("digest").alias("digests")).groupBy("bucket")
+    new = packed.groupBy("bucket").transformWithState(FirstWriter(), "record string", "Append", "None", initialState=stored)
+    whole = F.from_json("record", recs.schema, {"mode": "FAILFAST", "maxStringLen": str((1 << 31) - 1)})
+    return new.select(whole.alias("r")).select("r.*")
+
+
 class _keyed_state:
     """The RocksDB state provider while a stream starts; the session's own setting afterwards."""
 
@@ -96,9 +130,7 @@ def start_ingest(spark: SparkSession, pages_dir: str, store_path: str, checkpoin
     """Start the stream over a folder of page files; returns the StreamingQuery."""
     src = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(pages_dir)
     recs = S.with_store_keys(L.extract_records(src))
-    stored = _stored_ids(spark, store_path, checkpoint, "_id")
-    new = recs.groupBy("_id").transformWithState(FirstWriter(), recs.schema, "Append", "None",
-                                                 initialState=None if stored is None else stored.groupBy("_id"))
+    new = _first_records(recs, _stored_ids(spark, store_path, checkpoint, "_id"))
     with _keyed_state(spark):
         return (new.writeStream.foreachBatch(_batch_folder(store_path, checkpoint)).outputMode("append")
                 .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())

@@ -89,6 +89,24 @@ def test_state_is_keyed_and_the_store_is_not_read_by_batches(spark):
     assert "RocksDB" not in (spark.conf.get("spark.sql.streaming.stateStore.providerClass", "") or "")  # set back
 
 
+def test_state_holds_buckets_and_gives_whole_records(spark, monkeypatch):
+    monkeypatch.setattr(ingest, "BUCKETS", 4)
+    root = scratch_path(spark, "stream-buckets")
+    for wave in (["1.1", 'a "q" \\ \u00e9\u4e2d', "1.1"], [f"{k}.7" for k in range(30)] + ["1.1"]):
+        pages(spark, (f"w{len(wave)}", wave), ("x", wave)).coalesce(1).write.mode("append").parquet(f"{root}/pages")
+        q = ingest.start_ingest(spark, f"{root}/pages", f"{root}/store", f"{root}/one", files_per_batch=1)
+        q.awaitTermination()
+        assert q.lastProgress["stateOperators"][0]["numRowsTotal"] <= 4  # not a row a fingerprint
+    got = spark.read.parquet(f"{root}/store")
+    late = L.extract_records(spark.read.parquet(f"{root}/pages"))
+    want = S.first_wins(S.with_store_keys(late), key="_id")
+    assert key(got) == key(want) and got.count() == 32
+    plain = got.select(*want.columns)
+    assert plain.exceptAll(want).count() == want.exceptAll(plain).count() == 0
+    ingest.start_ingest(spark, f"{root}/pages", f"{root}/store", f"{root}/two").awaitTermination()  # fresh checkpoint
+    assert spark.read.parquet(f"{root}/store").count() == 32
+
+
 def counting(log, dim=3):
     def load():
         with open(f"{log}/loads", "a") as f:
