@@ -32,6 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -188,15 +189,20 @@ def components(links: DataFrame) -> DataFrame:
         step = label.join(near, "id").select("id", F.least("comp", "near").alias("next"), F.col("comp").alias("was"))
         up = label.select(F.col("id").alias("next"), F.col("comp").alias("far"))
         new = stored(step.join(up, "next").select("id", F.least("next", "far").alias("comp"), "was"), "label")
-        changed = new.where("comp <> was").limit(1).count()
         label = new.select("id", "comp")
-        if not changed:
+        if new.where("comp <> was").isEmpty():
             return label
 
 
+def _ids_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The ids of pairs, each once a batch: no shuffle, and an id of many pairs is few rows."""
+    for b in batches:
+        yield pa.RecordBatch.from_arrays([pc.unique(pa.concat_arrays([b.column(0), b.column(1)]))], names=["id"])
+
+
 def _links(pairs: DataFrame, texts: DataFrame, threshold: int) -> DataFrame:
     """Confirmed pairs; only texts of documents that are in a pair are dealt out."""
-    ids = stored(pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct(), "pair-ids")
+    ids = stored(pairs.mapInArrow(tidy(_ids_of), f"id {pairs.schema['a'].dataType.simpleString()}"), "pair-ids")
     texts = texts.join(ids, "id", "left_semi")
     a = texts.select(F.col("id").alias("a"), F.col("text").alias("text_a"))
     b = texts.select(F.col("id").alias("b"), F.col("text").alias("text_b"))
@@ -259,7 +265,7 @@ def assign(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thre
     while True:
         found = stored(_links(todo, texts, threshold), "confirmed")
         seen = todo if seen is None else seen.unionByName(todo)
-        if links is None or found.limit(1).count():  # else all components are as before
+        if links is None or not found.isEmpty():  # else all components are as before
             links = found if links is None else links.unionByName(found)
             comp = components(links)
             state, outside, other = _open_buckets(bucket, comp, reps)
@@ -270,13 +276,13 @@ def assign(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thre
             turn = stored(left.withColumn("turn", F.row_number().over(w)).select("key", "id", "comp", "all", "turn", "n", "shared", "band", "bands")
                           .where((F.col("turn") == 1) | (F.col("turn") * F.col("all") <= budget)), "turn")
             budget *= 8
-            if not turn.limit(1).count():
+            if turn.isEmpty():
                 break
             done = turn.select("key", "id") if done is None else done.unionByName(turn.select("key", "id"))
             todo = (turn.join(other, "key").where((F.col("comp") != F.col("other_comp")) & alike & first)
                     .select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct())
             todo = stored(todo.join(seen, ["a", "b"], "left_anti"), "pairs")
-            if not todo.limit(1).count():
+            if todo.isEmpty():
                 todo = None
         if todo is None:
             break

@@ -233,3 +233,20 @@ def test_decontam_of_a_popular_passage(spark):
 def test_near_threshold_below_the_least_is_an_error(docs):
     with pytest.raises(ValueError, match="least"):
         near_dedup.assign(docs, threshold=79)
+
+
+def test_texts_of_pairs_are_found_without_a_shuffle_of_ids(spark, monkeypatch):
+    words = [f"w{k}" for k in range(40)]
+    docs = {k: " ".join(words[:40 - (k == 3) * 30] + [f"end{k}"]) for k in range(6)}
+    texts = spark.createDataFrame([*docs.items(), (None, "no id"), (9, "in no pair")], "id long, text string")
+    pairs = spark.createDataFrame([(0, k) for k in range(1, 6)] + [(1, 2)], "a long, b long").coalesce(1)
+    plans, stored = [], near_dedup.stored
+
+    def watched(df, name):
+        plans.append((name, df._jdf.queryExecution().toString()))
+        return stored(df, name)
+    monkeypatch.setattr(near_dedup, "stored", watched)
+    got = sorted(tuple(r) for r in near_dedup._links(pairs, texts, 85).collect())
+    assert got == [(0, 1), (0, 2), (0, 4), (0, 5), (1, 2)]
+    (name, plan), = plans
+    assert name == "pair-ids" and "Aggregate" not in plan and "hashpartitioning" not in plan
