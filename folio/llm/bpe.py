@@ -38,7 +38,7 @@ SLICE_BYTES = 2 << 20
 CELLS = 1 << 20  # leaves of trees held at once
 END = "</w>"
 _FAR = re.compile("[\u0130\u0250-\u1dff\u2c00-\U0010ffff]")  # beyond the Latin letters that lower-case alike everywhere
-_CONTROL = re.compile("[\x1c-\x1f]")
+_CONTROL = "\x1c\x1d\x1e\x1f"
 WORD = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"  # fixed value: the vocabulary's split pattern
 
 
@@ -165,25 +165,29 @@ def merge_words(v: Vocabulary, words: list[str]) -> tuple[np.ndarray, np.ndarray
     return out, counts
 
 
-class _Known(dict):
-    """Numbers chunks as they are met; ``new`` lists those whose ids are not known yet."""
+def _latin_1(text: str) -> bool:
+    """No character beyond U+00FF: none is far, and all are in NFC."""
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
 
-    def __init__(self):
-        super().__init__()
-        self.new: list[str] = []
 
-    def __missing__(self, chunk: str) -> int:
-        self.new.append(chunk)
-        k = self[chunk] = len(self)
-        return k
+def _filled(numbers: list[int | None], following: int) -> np.ndarray:
+    """The numbers, with those from ``following`` on in place of None."""
+    out = np.array([-1 if k is None else k for k in numbers], np.int64)
+    gaps = np.flatnonzero(out < 0)
+    out[gaps] = following + np.arange(len(gaps))
+    return out
 
 
 class WordCoder:
-    """Encodes texts by their blank-free chunks; ``encode_words`` gives the ids of the words of new chunks."""
+    """Encodes texts by their blank-free chunks; ``encode_words`` gives the ids of the words of new chunks.  ``room`` widens the cache."""
 
-    def __init__(self, special: dict[str, int], encode_words: Callable[[list[str]], tuple[np.ndarray, np.ndarray]]):
-        self.special, self.encode_words = special, encode_words
-        self.words = regex.compile(WORD)
+    def __init__(self, special: dict[str, int], encode_words: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], room: int = 1):
+        self.special, self.encode_words, self.room = special, encode_words, room
+        self.words = regex.compile(WORD + r"|\n")  # chunks hold no line end, so it can stand between them
         self.far_words = pre_tokenizers.Split(Regex(WORD), "removed", invert=True)
         self.blank = regex.compile(r"\s+")
         self.cut = regex.compile("(" + "|".join(map(regex.escape, sorted(special, key=len, reverse=True))) + ")") if special else None
@@ -191,56 +195,85 @@ class WordCoder:
         self.clear()
 
     def clear(self):
-        self.known = _Known()
+        self.known: dict[str, int] = {}
         self.pool, self.starts, self.sizes = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.chars = 0
 
-    def split(self, text: str) -> list[str]:
-        """Chunks of a text in order; a special token is one item of its own, after a NUL and a blank."""
+    def split(self, text: str) -> str | list[str]:
+        """The normalised text, whose chunks lie between ASCII blanks, or, where that is not so, its chunks in order.
+        A special token is one item of its own, after a NUL and a blank."""
         if self.cut and "<|" in text and len(parts := self.cut.split(text)) > 1:
             out = []
             for p in parts:
-                out += ["\0 " + p] if p in self.special else self.split(p)
+                own = "\0 " + p if p in self.special else self.split(p)
+                out += own if isinstance(own, list) else [own] if p in self.special else own.split()
             return out
+        far_blanks = False
         if not text.isascii():
-            if _FAR.search(text):  # the library's own Unicode tables
-                text = self.normal.normalize_str(text)
-            elif not unicodedata.is_normalized("NFC", text):
-                text = unicodedata.normalize("NFC", text)
-        if _CONTROL.search(text):  # blanks to str.split, but not to the split pattern
-            return [x for x in self.blank.split(text.lower()) if x]
-        return text.lower().split()
+            if _latin_1(text):
+                far_blanks = "\x85" in text or "\xa0" in text
+            else:
+                if _FAR.search(text):  # the library's own Unicode tables
+                    text = self.normal.normalize_str(text)
+                elif not unicodedata.is_normalized("NFC", text):
+                    text = unicodedata.normalize("NFC", text)
+                far_blanks = True
+        text = text.lower()
+        if any(c in text for c in _CONTROL):  # blanks to str.split, but not to the split pattern
+            return [x for x in self.blank.split(text) if x]
+        return text.split() if far_blanks else text
 
     def learn(self, new: list[str]):
-        lists = [[x] if x.startswith("\0 ") else self.words.findall(x) if x.isascii() or not _FAR.search(x)
-                 else [w for w, _ in self.far_words.pre_tokenize_str(x)] for x in new]
-        flat = [w for x in lists for w in x]
+        joined = "\n".join(new)
+        odd = [k for k, x in enumerate(new) if x.startswith("\0 ") or _FAR.search(x)] if "\0 " in joined or _FAR.search(joined) else []
+        order = np.delete(np.arange(len(new)), odd)  # chunks split all at once, then the others
+        flat = self.words.findall("".join([new[k] + "\n" for k in order.tolist()]) if odd else joined + "\n")
+        for k in odd:
+            flat += [new[k]] if new[k].startswith("\0 ") else [w for w, _ in self.far_words.pre_tokenize_str(new[k])]
+            flat.append("\n")
         marks = {"\0 " + t for t in self.special}
         words = dict.fromkeys(flat)
+        del words["\n"]
         special = [x for x in marks if x in words]
         words = [x for x in words if x not in marks]
         ids, n = self.encode_words(words)
         ids = np.concatenate([ids, np.array([self.special[x[2:]] for x in special], np.int64)])
-        n = np.append(n, np.ones(len(special), np.int64))
+        n = np.concatenate([n, np.ones(len(special), np.int64), np.zeros(1, np.int64)])
         starts = np.cumsum(n) - n
-        at = dict(zip(words + special, range(len(n))))
-        order = np.fromiter(map(at.__getitem__, flat), np.int64, len(flat))
-        ends = np.append(0, np.cumsum(n[order]))[np.append(0, np.cumsum(np.fromiter(map(len, lists), np.int64, len(lists))))]
-        self.starts = np.append(self.starts, len(self.pool) + ends[:-1])
-        self.sizes = np.append(self.sizes, np.diff(ends))
-        self.pool = np.concatenate([self.pool, ids[_spread(starts[order], n[order])].astype(np.int32)])
+        at = dict(zip([*words, *special, "\n"], range(len(n))))
+        places = np.fromiter(map(at.__getitem__, flat), np.int64, len(flat))
+        ends = np.cumsum(n[places])[places == len(n) - 1]
+        place = np.empty((2, len(new)), np.int64)
+        place[:, np.append(order, np.array(odd, np.int64))] = np.append(0, ends[:-1]), np.diff(ends, prepend=0)
+        self.starts = np.append(self.starts, len(self.pool) + place[0])
+        self.sizes = np.append(self.sizes, place[1])
+        self.pool = np.concatenate([self.pool, ids[_spread(starts[places], n[places])].astype(np.int32)])
         self.chars += sum(map(len, new))
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids, offsets): all ids in order, and where each text's begin and end."""
-        if len(self.known) > CACHE_WORDS or self.chars > CACHE_CHARS:
+        if len(self.known) > CACHE_WORDS * self.room or self.chars > CACHE_CHARS * self.room:
             self.clear()
-        lists = [self.split(t) for t in texts]
-        sizes = np.fromiter(map(len, lists), np.int64, len(lists))
-        at = np.fromiter(map(self.known.__getitem__, itertools.chain.from_iterable(lists)), np.int64, int(sizes.sum()))
-        if self.known.new:
-            self.learn(self.known.new)
-            self.known.new = []
+        split = [self.split(t) for t in texts]
+        whole = np.fromiter((isinstance(x, str) for x in split), bool, len(split))
+        lists = pa.compute.ascii_split_whitespace(pa.array([x for x in split if isinstance(x, str)], pa.string()))
+        coded = lists.flatten().dictionary_encode()  # few chunks are looked up more than once
+        names, others = coded.dictionary.to_numpy(zero_copy_only=False).tolist(), [x for x in split if isinstance(x, list)]
+        numbers = list(map(self.known.get, names))
+        new = [x for x, k in zip(names, numbers) if k is None]
+        if others:
+            new = [x for x in dict.fromkeys(itertools.chain(new, *others)) if x not in self.known]
+        if new:
+            self.known.update(zip(new, range(len(self.known), len(self.known) + len(new))))
+            self.learn(new)
+            numbers = list(map(self.known.__getitem__, names)) if others else _filled(numbers, len(self.known) - len(new))
+        sizes = np.empty(len(split), np.int64)
+        sizes[whole] = lists.value_lengths().to_numpy(zero_copy_only=False)
+        sizes[~whole] = np.fromiter(map(len, others), np.int64, len(others))
+        at, starts = np.empty(int(sizes.sum()), np.int64), np.cumsum(sizes) - sizes
+        at[_spread(starts[whole], sizes[whole])] = np.array(numbers, np.int64)[coded.indices.to_numpy(zero_copy_only=False)]
+        rest = _spread(starts[~whole], sizes[~whole])
+        at[rest] = np.fromiter(map(self.known.__getitem__, itertools.chain.from_iterable(others)), np.int64, len(rest))
         n = self.sizes[at]
         ends = np.append(0, np.cumsum(n))
         return (self.pool[_spread(self.starts[at], n)],

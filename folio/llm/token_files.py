@@ -31,203 +31,219 @@ import pyarrow.fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, pre_tokenizers
 
 from .bpe import WordCoder, text_slices
-from .common import shared_path, stored
+from .common import shared_path, stored, tidy
 from .warc import DamagedArchive, _storage
 
 BLOCK = 2048  # ids
-LANES = 1024  # blocks coded side by side
-SLOTS = 1 << 13  # contexts of one order, 10 check bits each
+LANES = 4096  # blocks coded side by side
 FRAME = BLOCK * LANES  # ids after which a frame ends with its document
 FILE_BYTES = 64 << 20
 MOST_READERS = 10_000
-MAGIC = b"IDS2"
+CHARS = 8 << 20  # coded at once
+WORDS = 2048  # given to the library in one text
+ROOM = 4  # size of the cache of chunks, in those of ``bpe``
+MAGIC = b"IDS3"
 _HEAD = struct.Struct("<4sIIQII")  # magic, documents, blocks, ids, bytes of the id counts, checksum of the tables
-_SQUASH = np.array([round(4096 / (1 + math.exp(-x / 256))) for x in range(-2047, 2048)], np.int32).clip(1, 4095)
-_STRETCH = np.array([max(-2047, min(2047, round(256 * math.log((p + 0.5) / (4095.5 - p))))) for p in range(4096)], np.int32)
-_PACE = np.array([round(65536 / (n + 1.6)) for n in range(64)], np.int64)
-_LIMIT = 30
-_CONFIDENCE = np.array([0, 1, 2, 2] + [3] * 60, np.int64)  # by how often a context was seen
-_FIRST = np.array([[[1.0, 1.0, 1.0, 1.0][a] * (1 - 0.25 * a) * (1 - 0.25 * b) + 0.1 * (a + b > 0), 0.25 * a, 0.3 * b] for a in range(4) for b in range(4)])
+SLOTS = 1 << 12  # contexts of one order
+PAIRS = 2048  # the most frequent ids, whose successors are counted
+_WHOLE, _SHARES = 24, 16  # bits of a step's interval and of the shares of ids
+_STRETCH = np.array([max(-2047, min(2047, round(256 * math.log((p + 0.5) / (4095.5 - p))))) for p in range(4096)], np.int64)
+_SQUASH = np.array([round(4096 / (1 + math.exp(-x / 256))) for x in range(-2047, 2048)], np.int64).clip(1, 4080)
+_TRUST = np.array([[0, 1], [0, 2], [1, 3], [1, 4], [2, 5], [2, 6], [3, 7], [3, 7]], np.int64)  # of an expected id: after a miss, a hit
+_TRUST_AFTER = _TRUST.ravel()
+_FIRST = np.array([0.02, 0.1, 0.3, 0.5, 0.6, 0.7, 0.8, 0.9]) * 65536  # chance of a hit by trust
+_WEIGHTS = np.array([[4000], [33000], [30000]])
 
 
 class Tree:
-    """A binary tree over the ids of a frame, shaped by their counts (a frequent id has a short path).
-
-    ``child[node, bit]`` is the next node, or -1 - s for the s-th id; ``prior`` is a node's probability (of 2**16) of a one."""
-
-    def __init__(self, ids: np.ndarray, counts: np.ndarray):
-        self.ids, self.counts = ids.astype(np.int64), counts.astype(np.int64)
-        heap = [(int(c), k, -1 - k) for k, c in enumerate(counts)] or [(1, 0, -1)]
-        while len(heap) < 2:
-            heap.append((1, len(heap), -1))  # a single id: both ways lead to it
-        heapq.heapify(heap)
-        child, prior, serial = [], [], len(heap)
-        while len(heap) > 1:
-            (a, _, left), (b, _, right) = heapq.heappop(heap), heapq.heappop(heap)
-            child.append((left, right))
-            prior.append(min(max((b << 16) // (a + b), 64), 65472))
-            heapq.heappush(heap, (a + b, serial, len(child) - 1))
-            serial += 1
-        self.child, self.prior, self.root = np.array(child, np.int64), np.array(prior, np.int64), len(child) - 1
-        stack, paths = [(self.root, 0, 0)], np.zeros((max(1, len(self.ids)), 2), np.int64)
-        while stack:  # bits of an id's path, first in the lowest place, and their number
-            node, bits, n = stack.pop()
-            for y in (0, 1):
-                to = child[node][y]
-                if to < 0:
-                    paths[-1 - to] = bits | y << n, n + 1
-                else:
-                    stack.append((to, bits | y << n, n + 1))
-        self.bits, self.lengths = paths[:, 0], paths[:, 1]
+    """What the blocks of a frame share: its ids by falling count, their shares of an interval (of 2**16, at least one each), and
+    of the most frequent ids the commonest successor with the trust in it.
+
+    ``find`` leads from a place in the interval to the number of an id, ``number`` from an id to it."""
+
+    def __init__(self, ids: np.ndarray, counts: np.ndarray, follow: np.ndarray | None = None, trust: np.ndarray | None = None):
+        order = np.argsort(-counts.astype(np.int64), kind="stable")
+        self.ids, self.counts, n = ids.astype(np.int64)[order], counts.astype(np.int64)[order], len(ids)
+        share = 1 + self.counts * ((1 << _SHARES) - n) // max(1, int(self.counts.sum()))
+        share[:1] += (1 << _SHARES) - share.sum()
+        self.ends = np.append(0, np.cumsum(share))
+        self.find = np.repeat(np.arange(n), share)
+        self.prior = _STRETCH.take(share >> _SHARES - 12, mode="clip")
+        self.number = np.zeros(1 << 16, np.int64)
+        self.number[self.ids] = np.arange(n)
+        side = min(n, PAIRS)
+        self.follow = np.zeros(side, np.int64) if follow is None else follow.astype(np.int64)
+        self.trust = np.zeros(side, np.int64) if trust is None else trust.astype(np.int64)
 
     @staticmethod
     def of(ids: np.ndarray) -> "Tree":
-        return Tree(*np.unique(ids, return_counts=True))
+        counts = np.bincount(ids)
+        own = np.flatnonzero(counts)
+        tree = Tree(own, counts[own])
+        side = len(tree.follow)
+        if side:
+            numbers = np.minimum(tree.number, side).astype(np.int32).take(ids)  # ``side``: any rarer id
+            pairs = np.bincount(numbers[:-1] * (side + 1) + numbers[1:], minlength=(side + 1) ** 2).reshape(side + 1, side + 1)[:side, :side]
+            tree.follow, most = pairs.argmax(axis=1), pairs.max(axis=1)
+            tree.trust = np.where(most < 4, 0, 1 + np.searchsorted(_FIRST[2:], most * 65536 // tree.counts[:side]))
+            tree.follow[most < 4] = 0
+        return tree
 
     def table(self) -> bytes:
-        return zlib.compress(np.diff(self.ids, prepend=0).astype("<u2").tobytes() + self.counts.astype("<u4").tobytes(), 9)
+        order, side = np.argsort(self.ids), len(self.follow)
+        parts = (np.diff(self.ids[order], prepend=0).astype("<u2"), self.counts[order].astype("<u4"), self.follow.astype("<u2"), self.trust.astype("u1"))
+        planes = [x.view("u1").reshape(len(x), x.itemsize).T.tobytes() for x in parts]
+        return struct.pack("<II", len(self.ids), side) + zlib.compress(b"".join(planes), 9)
 
     @staticmethod
     def read(data: bytes) -> "Tree":
-        raw = zlib.decompress(data)
-        n = len(raw) // 6
-        return Tree(np.cumsum(np.frombuffer(raw, "<u2", n).astype(np.int64)), np.frombuffer(raw, "<u4", n, 2 * n))
+        (n, side), raw, parts = struct.unpack("<II", data[:8]), zlib.decompress(data[8:]), []
+        for size, kind in ((n, "<u2"), (n, "<u4"), (side, "<u2"), (side, "u1")):
+            width = np.dtype(kind).itemsize
+            parts.append(np.frombuffer(raw[:size * width], "u1").reshape(width, size).T.copy().view(kind).ravel())
+            raw = raw[size * width:]
+        return Tree(np.cumsum(parts[0].astype(np.int64)), *parts[1:])
 
 
 class _Model:
-    """The models of ``n`` lanes; ``bit`` predicts, ``learn`` updates.  A slot is probability (16 bits), check and count."""
+    """The models of ``n`` lanes.  ``expect`` gives each lane's expected id and the chance (of 2**24) that it comes, ``learn``
+    updates.  A slot is an expected id and the trust in it (3 bits), of order 2 below 12 check bits; the lanes' slots of a context
+    lie side by side, as most of them are often in the same few contexts."""
 
     def __init__(self, n: int, tree: Tree):
-        self.tree, self.flat = tree, np.zeros(2 * n * SLOTS, np.uint32)
-        self.weights = np.repeat(np.round(_FIRST * 65536).astype(np.int64).ravel()[:, None], n, 1).ravel()  # (16 x 3) x n
-        self.lane, self.n = np.arange(n), n
-        self.base = (np.arange(2)[:, None] * n + self.lane) * SLOTS
-        self.past = np.zeros((2, n), np.int64)
-        self.context = np.empty((2, n), np.int64)
-        self.node = np.full(n, tree.root)
-        self._contexts(self.lane)
-
-    def _contexts(self, at: np.ndarray):
-        one = (self.past[0, at] + 1) * 0x9E3779B1
-        self.context[0, at] = one & 0xFFFFFFFF
-        self.context[1, at] = (one * 0x85EBCA6B + (self.past[1, at] + 1) * 0xC2B2AE35) & 0xFFFFFFFF
-
-    def bit(self) -> np.ndarray:
-        """Probability (of 4096) of a one at each lane's node."""
-        prior = self.tree.prior.take(self.node)
-        h = (self.context + self.node * 0x2545F491) & 0xFFFFFFFF
-        h ^= h >> 15
-        h *= 0x2C1B3C6D
-        self.check = h >> 30 & 1023
-        self.at = (h >> 13 & SLOTS - 1) + self.base
-        state = self.flat.take(self.at).astype(np.int64)
-        count = state & 63
-        fresh = (state >> 6 & 1023 != self.check) | (count == 0)
-        self.count = np.where(fresh, 0, count)
-        self.chance = np.where(fresh, prior, state >> 16)
-        said = _STRETCH.take(np.concatenate([prior[None], self.chance]) >> 4)
-        seen = _CONFIDENCE.take(self.count)
-        self.own = ((seen[0] * 4 + seen[1]) * 3 + np.arange(3)[:, None]) * self.n + self.lane
-        self.weight, self.said = self.weights.take(self.own), said
-        self.p = _SQUASH.take(((self.weight * said).sum(axis=0) >> 16) + 2047, mode="clip").astype(np.int64)
-        return self.p
-
-    def learn(self, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Update with the bits ``y``; returns the lanes at the end of an id and their ids' numbers."""
-        p = self.chance + (((y << 16) - y - self.chance) * _PACE.take(self.count) >> 16)
-        self.flat[self.at] = p << 16 | self.check << 6 | np.minimum(self.count + 1, _LIMIT)
-        self.weights[self.own] = self.weight + (self.said * (((y << 12) - self.p) * 3) + 0x2000 >> 14)
-        self.node = self.tree.child[self.node, y]
-        done = np.flatnonzero(self.node < 0)
-        which = -1 - self.node[done]
-        self.past[1, done] = self.past[0, done]
-        self.past[0, done] = which
-        self.node[done] = self.tree.root
-        self._contexts(done)
-        return done, which
+        lane = np.arange(n)
+        self.tree, self.n = tree, n
+        first = np.zeros(SLOTS, np.int32)
+        first[:len(tree.follow)] = tree.follow << 3 | tree.trust
+        self.one, self.two = np.repeat(first, n), np.zeros(n * SLOTS, np.int32)
+        self.lane, self.lane1, self.lane2 = lane, lane * 16, lane * 8
+        self.chance1 = np.tile(np.concatenate([_FIRST / 2, _FIRST]).astype(np.int64), n)
+        self.chance2 = np.tile(_FIRST.astype(np.int64), n)
+        self.weights = np.repeat(_WEIGHTS, n, axis=1)
+        self.last, self.hash, self.before = np.zeros(n, np.int64), np.zeros(n, np.int64), np.zeros(n, np.int64)
+        self.said = np.empty((3, n), np.int64)
+
+    def expect(self) -> tuple[np.ndarray, np.ndarray]:
+        self.at1 = (self.last & SLOTS - 1) * self.n + self.lane
+        self.at2 = (self.hash >> 12 & SLOTS - 1) * self.n + self.lane
+        one, two = self.one.take(self.at1).astype(np.int64), self.two.take(self.at2).astype(np.int64)
+        self.c1, self.t1 = one >> 3, one & 7
+        self.check = self.hash >> 24 & 0xFFF
+        self.known = two >> 19 == self.check
+        self.t2 = (two & 7) * self.known
+        self.c2 = two >> 3 & 0xFFFF
+        likely = self.c1.copy()
+        np.copyto(likely, self.c2, where=self.t2 > 0)
+        self.i1 = ((likely == self.c1) * 8) + self.t1 + self.lane1
+        self.i2 = self.t2 + self.lane2
+        self.q1, self.q2, said = self.chance1.take(self.i1), self.chance2.take(self.i2), self.said
+        self.tree.prior.take(likely, out=said[0], mode="clip")
+        _STRETCH.take(self.q1 >> 4, out=said[1], mode="clip")
+        _STRETCH.take(self.q2 >> 4, out=said[2], mode="clip")
+        sums = self.weights * said
+        self.p = _SQUASH.take((sums[0] + sums[1] + sums[2] >> 16) + 2047, mode="clip")
+        return likely, self.p << _WHOLE - 12
+
+    def learn(self, ids: np.ndarray, hit: np.ndarray):
+        """Update with the numbers of the ids that came, and where the expected ones did."""
+        y = hit * 65535
+        self.chance1[self.i1] = self.q1 + (y - self.q1 >> 5)
+        self.chance2[self.i2] = self.q2 + (y - self.q2 >> 5)
+        self.weights += self.said * ((y >> 3) - self.p * 2) >> 14
+        for table, at, id_, trust, same, check in ((self.one, self.at1, self.c1, self.t1, ids == self.c1, None),
+                                                   (self.two, self.at2, self.c2, self.t2, (ids == self.c2) & self.known, self.check)):
+            stay = trust > 1
+            stay |= same
+            new = ids.copy()
+            np.copyto(new, id_, where=stay)
+            value = (new << 3) + _TRUST_AFTER.take(trust * 2 + same, mode="clip")
+            if check is not None:
+                value |= check << 19
+                value |= trust == 0
+            table[at] = value.astype(np.int32)
+        self.hash = ids * 0x2F0B4C47 + self.before & 0xFFFFFFFFF
+        self.before = ids * 0x1C6EF372
+        self.last = ids
+
+
+def _lanes(total: int) -> tuple[int, int, int]:
+    """Ids of a block, blocks, and the ids of the last one."""
+    block = min(BLOCK, total)
+    n = -(-total // block)
+    return block, n, total - (n - 1) * block
 
 
 def encode_blocks(ids: np.ndarray, tree: Tree) -> list[bytes]:
-    """The coded blocks of a run of ids.  Lanes go on from bit to bit, each at its own id; one that has come to the end of its
-    block goes on over a filling that is not written."""
+    """The coded blocks of a run of ids.  The models go on from id to id, all blocks at once, and give each id's part of the interval;
+    the range coder (asymmetric numeral systems, 32 bits a word) then takes these from the last to the first."""
     if not len(ids):
         return []
-    block = min(BLOCK, len(ids))
-    n = -(-len(ids) // block)
-    grid = np.zeros(n * block + 1, np.int64)
-    grid[:len(ids)] = np.searchsorted(tree.ids, ids)
-    begin = np.arange(n) * block
-    ends = np.minimum(begin + block, len(ids))
-    model, low, high = _Model(n, tree), np.zeros(n, np.int64), np.full(n, 0xFFFFFFFF, np.int64)
-    out, used = np.zeros((n, 2 * block + 64), np.uint8), np.zeros(n, np.int64)
-    place, bits, blocks, left = begin.copy(), tree.bits.take(grid[begin]), [b""] * n, n
-    while left:
-        y = bits & 1
-        bits >>= 1
-        mid = low + ((high - low) >> 12) * model.bit()
-        one = y == 1
-        high = np.where(one, mid, high)
-        low = np.where(one, low, mid + 1)
-        done, _ = model.learn(y)
-        full = np.flatnonzero((low ^ high) < 1 << 24)
-        while len(full):
-            if used.max() + 8 > out.shape[1]:
-                out = np.concatenate([out, np.zeros_like(out)], axis=1)
-            out[full, used[full]] = high[full] >> 24
-            used[full] += 1
-            low[full] = low[full] << 8 & 0xFFFFFFFF
-            high[full] = high[full] << 8 & 0xFFFFFFFF | 255
-            full = full[(low[full] ^ high[full]) < 1 << 24]
-        if len(done):
-            place[done] += 1
-            for j in done[place[done] == ends[done]]:
-                blocks[j] = out[j, :used[j]].tobytes() + int(low[j]).to_bytes(4, "big")
-                left -= 1
-            over = place[done] >= ends[done]
-            used[done[over]] = 0
-            bits[done] = tree.bits.take(grid[np.where(over, 0, place[done])])
-    return blocks
+    block, n, tail = _lanes(len(ids))
+    grid = np.zeros(n * block, np.int64)
+    grid[:len(ids)] = tree.number.take(ids)
+    grid = np.ascontiguousarray(grid.reshape(n, block).T)
+    model, begin, size = _Model(n, tree), np.empty((block, n), np.int32), np.empty((block, n), np.int32)
+    for t in range(block):
+        own = grid[t]
+        likely, chance = model.expect()
+        hit = own == likely
+        rest = (1 << _WHOLE) - chance
+        low = tree.ends.take(own) * rest >> _SHARES
+        high = tree.ends.take(own + 1) * rest >> _SHARES
+        begin[t] = (low + chance) * ~hit
+        high -= low
+        np.copyto(high, chance, where=hit)
+        size[t] = high
+        model.learn(own, hit)
+    x, out, full = np.full(n, 1 << 31, np.int64), np.empty((block, n), np.uint32), np.empty((block, n), bool)
+    full[tail:, n - 1] = False
+    for t in range(block - 1, -1, -1):
+        m = n if t < tail else n - 1
+        own, f = x[:m], size[t, :m].astype(np.int64)
+        over = np.greater_equal(own, f << 39, out=full[t, :m])
+        out[t, :m] = own & 0xFFFFFFFF
+        own = own >> over * 32
+        q = own // f
+        x[:m] = (q << _WHOLE) + (own - q * f) + begin[t, :m]
+    words, many = out.T[full.T].astype("<u4"), np.append(0, np.cumsum(full.sum(axis=0)))
+    heads = x.astype("<i8")
+    return [heads[j].tobytes() + words[many[j]:many[j + 1]].tobytes() for j in range(n)]
 
 
 def decode_blocks(coded: list[bytes], total: int, tree: Tree) -> np.ndarray:
     """The ``total`` ids of a run of blocks."""
     if not coded:
         return np.zeros(0, np.int64)
-    n, block = len(coded), min(BLOCK, total)
-    width = max(map(len, coded)) + 8
-    data = np.zeros((n, width), np.int64)
-    for j, b in enumerate(coded):
-        data[j, :len(b)] = np.frombuffer(b, np.uint8)
-    model, low, high = _Model(n, tree), np.zeros(n, np.int64), np.full(n, 0xFFFFFFFF, np.int64)
-    code = data[:, 0] << 24 | data[:, 1] << 16 | data[:, 2] << 8 | data[:, 3]
-    used, grid = np.full(n, 4), np.zeros((n, block + 1), np.int64)  # the last column takes what follows a block
-    place = np.zeros(n, np.int64)
-    ends = np.minimum(np.arange(n) * block + block, total) - np.arange(n) * block
-    left = n
-    while left:
-        mid = low + ((high - low) >> 12) * model.bit()
-        one = code <= mid
-        high = np.where(one, mid, high)
-        low = np.where(one, low, mid + 1)
-        done, which = model.learn(one.astype(np.int64))
-        full = np.flatnonzero((low ^ high) < 1 << 24)
-        while len(full):
-            low[full] = low[full] << 8 & 0xFFFFFFFF
-            high[full] = high[full] << 8 & 0xFFFFFFFF | 255
-            code[full] = code[full] << 8 & 0xFFFFFFFF | data[full, np.minimum(used[full], width - 1)]
-            used[full] += 1
-            full = full[(low[full] ^ high[full]) < 1 << 24]
-        if len(done):
-            grid[done, np.minimum(place[done], block)] = which
-            place[done] += 1
-            left -= int((place[done] == ends[done]).sum())
-    found = np.concatenate([grid[j, :ends[j]] for j in range(n)])
-    if len(tree.ids) == 0 or found.max(initial=0) >= len(tree.ids):
-        raise DamagedArchive("ids of a block")
-    return tree.ids[found]
+    block, n, tail = _lanes(total)
+    if not len(tree.ids) or n != len(coded) or any(len(b) < 8 or len(b) % 4 for b in coded):
+        raise DamagedArchive("blocks of a frame")
+    data = np.frombuffer(b"".join(coded) + bytes(4), "<u4").astype(np.int64)
+    ends = np.cumsum([len(b) // 4 for b in coded])
+    at = np.append(0, ends[:-1])
+    x, at = data[at] | (data[at + 1] & 0x7FFFFFFF) << 32, at + 2
+    model, grid = _Model(n, tree), np.empty((block, n), np.int64)
+    for t in range(block):
+        likely, chance = model.expect()
+        place = x & (1 << _WHOLE) - 1
+        hit = place < chance
+        rest = (1 << _WHOLE) - chance
+        own = tree.find.take((((place - chance + 1 << _SHARES) - 1) / rest).astype(np.int64), mode="clip")  # exact: below 2**53
+        low = tree.ends.take(own) * rest >> _SHARES
+        f = (tree.ends.take(own + 1) * rest >> _SHARES) - low
+        low += chance
+        low *= ~hit
+        np.copyto(f, chance, where=hit)
+        np.copyto(own, likely, where=hit)
+        x = f * (x >> _WHOLE) + place - low
+        short = x < 1 << 31
+        x = np.where(short, x << 32 | data.take(at, mode="clip"), x)
+        at += short
+        grid[t] = own
+        model.learn(own, hit)
+    return tree.ids.take(grid.T.ravel()[:total], mode="clip")
 
 
 def frame(doc_ids: list, counts: list[int], ids: np.ndarray) -> bytes:
@@ -278,18 +294,33 @@ _CODERS: dict[str, WordCoder] = {}
 
 
 def library_coder(path: str) -> WordCoder:
-    """Encodes with the tokenizers library, each word once."""
+    """Encodes with the tokenizers library, each word once.  Words come normalised and split, so they go to the library many in a text,
+    parted by blanks; the ids of a word end with one that has the vocabulary's mark."""
     if path not in _CODERS:
         t = Tokenizer.from_file(path)
         t.no_truncation()
         t.no_padding()
         special = {x.content: k for k, x in t.get_added_tokens_decoder().items()}
+        mark = t.model.end_of_word_suffix
+        last = np.zeros(max(t.get_vocab().values()) + 1, bool)
+        last[[k for x, k in t.get_vocab().items() if mark and x.endswith(mark)]] = True
+        plain = Tokenizer(t.model)
+        plain.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.CharDelimiterSplit(" "),
+                                                       pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
 
         def words(new: list[str]):
-            found = [e.ids for e in t.encode_batch_fast(new, add_special_tokens=False)]
-            n = np.fromiter(map(len, found), np.int64, len(found))
-            return np.array([k for x in found for k in x], np.int64), n
-        _CODERS[path] = WordCoder(special, words)
+            ids, counts = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+            for k in range(0, len(new), WORDS):
+                some = new[k:k + WORDS]
+                found = np.array(plain.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, np.int64)
+                n = np.diff(np.flatnonzero(last[found]), prepend=-1)
+                if len(n) != len(some) or n.sum() != len(found):  # no mark, or a byte that the vocabulary lacks
+                    each = [e.ids for e in t.encode_batch_fast(some, add_special_tokens=False)]
+                    found, n = np.array([i for x in each for i in x], np.int64), np.fromiter(map(len, each), np.int64, len(each))
+                ids.append(found)
+                counts.append(n)
+            return np.concatenate(ids), np.concatenate(counts)
+        _CODERS[path] = WordCoder(special, words, ROOM)
     return _CODERS[path]
 
 
@@ -318,18 +349,31 @@ def _writer(path: str, folder: str, end_id: int):
             done.append((f"{folder}/{name}-{seq:04d}.ids", context.partitionId(), seq, size, written))
             out, size, written = None, 0, 0
 
+        def code():
+            nonlocal waiting
+            ids, offsets = coder.encode(texts)
+            for d, i, j in zip(keys, offsets[:-1], offsets[1:]):
+                docs.append(d)
+                counts.append(int(j - i) + 1)
+                held.extend((ids[i:j], np.array([end_id], ids.dtype)))
+                waiting += counts[-1]
+                if waiting >= FRAME:
+                    put()
+                    if size >= FILE_BYTES:
+                        close()
+            keys.clear(), texts.clear()
+
+        keys, texts, chars = [], [], 0
         for b in batches:
-            for part, texts in text_slices(b, 1):
-                ids, offsets = coder.encode(texts)
-                for d, i, j in zip(part.column(0).to_pylist(), offsets[:-1], offsets[1:]):
-                    docs.append(d)
-                    counts.append(int(j - i) + 1)
-                    held += [ids[i:j], np.array([end_id], ids.dtype)]
-                    waiting += counts[-1]
-                    if waiting >= FRAME:
-                        put()
-                        if size >= FILE_BYTES:
-                            close()
+            for part, some in text_slices(b, 1):
+                keys += part.column(0).to_pylist()
+                texts += some
+                chars += sum(map(len, some))
+                if chars >= CHARS:
+                    code()
+                    chars = 0
+        if texts:
+            code()
         if docs:
             put()
         if out is not None:
@@ -349,7 +393,7 @@ def write_files(docs: DataFrame, path: str, end_id: int = 1, id_col: str = "doc_
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     rows = rows.repartitionByRange(F.col("id").asc_nulls_first(), F.xxhash64("text"))
     rows = rows.sortWithinPartitions(F.col("id").asc_nulls_first(), F.xxhash64("text"))
-    files = stored(rows.mapInArrow(_writer(path, folder, end_id), "file string, part long, seq long, bytes long, ids long"), "files")
+    files = stored(rows.mapInArrow(tidy(_writer(path, folder, end_id)), "file string, part long, seq long, bytes long, ids long"), "files")
     before = Window.orderBy("part", "seq").rowsBetween(Window.unboundedPreceding, -1)  # a row per file
     return files.select("file", "bytes", "ids", F.coalesce(F.sum("ids").over(before), F.lit(0)).alias("start"))
 
@@ -376,7 +420,7 @@ def read_files(files: DataFrame, keep_ids: bool = False) -> DataFrame:
     """A row per document: id, start, n_tokens, ids_crc32, ids (if asked for)."""
     parts = max(1, min(files.count(), MOST_READERS))
     return files.select("file", "start").repartition(parts).mapInArrow(
-        _reader(keep_ids), "id long, start long, n_tokens long, ids_crc32 long, ids array<int>")
+        tidy(_reader(keep_ids)), "id long, start long, n_tokens long, ids_crc32 long, ids array<int>")
 
 
 def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", **options) -> DataFrame:

@@ -361,3 +361,28 @@ def test_token_files_are_below_the_entropy_of_counts():
     assert 8 * len(data) / len(ids) < -(share * np.log2(share)).sum()
     (_, _, back), = token_files.read_frames(io.BytesIO(data))
     assert (back == ids).all()
+
+
+def test_token_files_are_coded_in_microseconds():
+    import time
+
+    import numpy as np
+    rng = np.random.default_rng(3)
+    ids = rng.zipf(1.3, 600_000) % 3000
+    for k in (1, 2, 5):  # some ids follow their predecessors
+        ids[k::7] = (ids[k - 1:-1:7] * 37 + k)[:len(ids[k::7])] % 3000
+    begin = time.process_time()
+    data = token_files.frame([1], [len(ids)], ids)
+    (_, _, back), = token_files.read_frames(io.BytesIO(data))
+    assert (back == ids).all() and time.process_time() - begin < 8e-6 * len(ids)
+    share = np.bincount(ids) / len(ids)
+    share = share[share > 0]
+    assert 8 * len(data) / len(ids) < -(share * np.log2(share)).sum()
+
+
+def test_words_go_to_the_library_together():
+    t = tokenizers.Tokenizer.from_file(vocabulary())
+    own = ["a<|endoftext|>b  c", "<|startoftext|>", "", " \t\n", "x\x1cy\x85z\xa0w", "Ünïcode Straße eé ＡＢ 12 don't '</w></w> </w>", "漢字 が a", "a b\x0bc\x0cd\re"] * 3
+    coder = token_files.library_coder(vocabulary())
+    ids, offsets = coder.encode(own)
+    assert [ids[i:j].tolist() for i, j in zip(offsets[:-1], offsets[1:])] == [t.encode(x, add_special_tokens=False).ids for x in own]
