@@ -38,7 +38,6 @@ SLICE_BYTES = 2 << 20
 CELLS = 1 << 20  # leaves of trees held at once
 END = "</w>"
 _FAR = re.compile("[\u0130\u0250-\u1dff\u2c00-\U0010ffff]")  # beyond the Latin letters that lower-case alike everywhere
-_CONTROL = "\x1c\x1d\x1e\x1f"
 WORD = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"  # fixed value: the vocabulary's split pattern
 
 
@@ -219,7 +218,7 @@ class WordCoder:
                     text = unicodedata.normalize("NFC", text)
                 far_blanks = True
         text = text.lower()
-        if any(c in text for c in _CONTROL):  # blanks to str.split, but not to the split pattern
+        if "\x1c" in text or "\x1d" in text or "\x1e" in text or "\x1f" in text:  # blanks to str.split, but not to the split pattern
             return [x for x in self.blank.split(text) if x]
         return text.split() if far_blanks else text
 
@@ -270,10 +269,13 @@ class WordCoder:
         sizes = np.empty(len(split), np.int64)
         sizes[whole] = lists.value_lengths().to_numpy(zero_copy_only=False)
         sizes[~whole] = np.fromiter(map(len, others), np.int64, len(others))
-        at, starts = np.empty(int(sizes.sum()), np.int64), np.cumsum(sizes) - sizes
-        at[_spread(starts[whole], sizes[whole])] = np.array(numbers, np.int64)[coded.indices.to_numpy(zero_copy_only=False)]
-        rest = _spread(starts[~whole], sizes[~whole])
-        at[rest] = np.fromiter(map(self.known.__getitem__, itertools.chain.from_iterable(others)), np.int64, len(rest))
+        at = np.array(numbers, np.int64)[coded.indices.to_numpy(zero_copy_only=False)]
+        if others:
+            starts, near = np.cumsum(sizes) - sizes, at
+            at = np.empty(int(sizes.sum()), np.int64)
+            at[_spread(starts[whole], sizes[whole])] = near
+            rest = _spread(starts[~whole], sizes[~whole])
+            at[rest] = np.fromiter(map(self.known.__getitem__, itertools.chain.from_iterable(others)), np.int64, len(rest))
         n = self.sizes[at]
         ends = np.append(0, np.cumsum(n))
         return (self.pool[_spread(self.starts[at], n)],

@@ -44,16 +44,17 @@ FILE_BYTES = 64 << 20
 MOST_READERS = 10_000
 CHARS = 8 << 20  # coded at once
 WORDS = 2048  # given to the library in one text
-ROOM = 4  # size of the cache of chunks, in those of ``bpe``
+ROOM = 6  # size of the cache of chunks, in those of ``bpe``
 MAGIC = b"IDS3"
 _HEAD = struct.Struct("<4sIIQII")  # magic, documents, blocks, ids, bytes of the id counts, checksum of the tables
 SLOTS = 1 << 12  # contexts of one order
-PAIRS = 2048  # the most frequent ids, whose successors are counted
+PAIRS = 1024  # the most frequent ids, whose successors are counted
 _WHOLE, _SHARES = 24, 16  # bits of a step's interval and of the shares of ids
 _STRETCH = np.array([max(-2047, min(2047, round(256 * math.log((p + 0.5) / (4095.5 - p))))) for p in range(4096)], np.int64)
 _SQUASH = np.array([round(4096 / (1 + math.exp(-x / 256))) for x in range(-2047, 2048)], np.int64).clip(1, 4080)
-_TRUST = np.array([[0, 1], [0, 2], [1, 3], [1, 4], [2, 5], [2, 6], [3, 7], [3, 7]], np.int64)  # of an expected id: after a miss, a hit
-_TRUST_AFTER = _TRUST.ravel()
+_TRUST = np.array([0, 1, 0, 2, 1, 3, 1, 4, 2, 5, 2, 6, 3, 7, 3, 7])  # of an expected id, after a miss and a hit at each trust
+_TRUST_2 = np.maximum(_TRUST, 1)  # of order 2: a context once seen keeps an id
+_CHECK = 0xFFF << 19
 _FIRST = np.array([0.02, 0.1, 0.3, 0.5, 0.6, 0.7, 0.8, 0.9]) * 65536  # chance of a hit by trust
 _WEIGHTS = np.array([[4000], [33000], [30000]])
 
@@ -72,7 +73,7 @@ class Tree:
         self.ends = np.append(0, np.cumsum(share))
         self.find = np.repeat(np.arange(n), share)
         self.prior = _STRETCH.take(share >> _SHARES - 12, mode="clip")
-        self.number = np.zeros(1 << 16, np.int64)
+        self.number = np.zeros(1 << 16, np.int32)
         self.number[self.ids] = np.arange(n)
         side = min(n, PAIRS)
         self.follow = np.zeros(side, np.int64) if follow is None else follow.astype(np.int64)
@@ -85,7 +86,7 @@ class Tree:
         tree = Tree(own, counts[own])
         side = len(tree.follow)
         if side:
-            numbers = np.minimum(tree.number, side).astype(np.int32).take(ids)  # ``side``: any rarer id
+            numbers = np.minimum(tree.number, np.int32(side)).take(ids)  # ``side``: any rarer id
             pairs = np.bincount(numbers[:-1] * (side + 1) + numbers[1:], minlength=(side + 1) ** 2).reshape(side + 1, side + 1)[:side, :side]
             tree.follow, most = pairs.argmax(axis=1), pairs.max(axis=1)
             tree.trust = np.where(most < 4, 0, 1 + np.searchsorted(_FIRST[2:], most * 65536 // tree.counts[:side]))
@@ -128,12 +129,11 @@ class _Model:
 
     def expect(self) -> tuple[np.ndarray, np.ndarray]:
         self.at1 = (self.last & SLOTS - 1) * self.n + self.lane
-        self.at2 = (self.hash >> 12 & SLOTS - 1) * self.n + self.lane
+        self.at2 = (self.hash >> 7 & SLOTS - 1) * self.n + self.lane
         one, two = self.one.take(self.at1).astype(np.int64), self.two.take(self.at2).astype(np.int64)
         self.c1, self.t1 = one >> 3, one & 7
-        self.check = self.hash >> 24 & 0xFFF
-        self.known = two >> 19 == self.check
-        self.t2 = (two & 7) * self.known
+        self.check = self.hash & _CHECK
+        self.t2 = (two & 7) * (two & _CHECK == self.check)
         self.c2 = two >> 3 & 0xFFFF
         likely = self.c1.copy()
         np.copyto(likely, self.c2, where=self.t2 > 0)
@@ -153,18 +153,16 @@ class _Model:
         self.chance1[self.i1] = self.q1 + (y - self.q1 >> 5)
         self.chance2[self.i2] = self.q2 + (y - self.q2 >> 5)
         self.weights += self.said * ((y >> 3) - self.p * 2) >> 14
-        for table, at, id_, trust, same, check in ((self.one, self.at1, self.c1, self.t1, ids == self.c1, None),
-                                                   (self.two, self.at2, self.c2, self.t2, (ids == self.c2) & self.known, self.check)):
-            stay = trust > 1
-            stay |= same
+        for table, at, id_, trust, same, after, check in (
+                (self.one, self.at1, self.c1, self.t1, ids == self.c1, _TRUST, None),
+                (self.two, self.at2, self.c2, self.t2, ids == self.c2, _TRUST_2, self.check)):
             new = ids.copy()
-            np.copyto(new, id_, where=stay)
-            value = (new << 3) + _TRUST_AFTER.take(trust * 2 + same, mode="clip")
+            np.copyto(new, id_, where=trust > 1)
+            value = (new << 3) + after.take(trust * 2 + same, mode="clip")
             if check is not None:
-                value |= check << 19
-                value |= trust == 0
+                value |= check
             table[at] = value.astype(np.int32)
-        self.hash = ids * 0x2F0B4C47 + self.before & 0xFFFFFFFFF
+        self.hash = ids * 0x2F0B4C47 + self.before
         self.before = ids * 0x1C6EF372
         self.last = ids
 
@@ -182,9 +180,9 @@ def encode_blocks(ids: np.ndarray, tree: Tree) -> list[bytes]:
     if not len(ids):
         return []
     block, n, tail = _lanes(len(ids))
-    grid = np.zeros(n * block, np.int64)
+    grid = np.zeros(n * block, np.int32)
     grid[:len(ids)] = tree.number.take(ids)
-    grid = np.ascontiguousarray(grid.reshape(n, block).T)
+    grid = grid.reshape(n, block).T.astype(np.int64, order="C")
     model, begin, size = _Model(n, tree), np.empty((block, n), np.int32), np.empty((block, n), np.int32)
     for t in range(block):
         own = grid[t]
@@ -208,7 +206,7 @@ def encode_blocks(ids: np.ndarray, tree: Tree) -> list[bytes]:
         own = own >> over * 32
         q = own // f
         x[:m] = (q << _WHOLE) + (own - q * f) + begin[t, :m]
-    words, many = out.T[full.T].astype("<u4"), np.append(0, np.cumsum(full.sum(axis=0)))
+    words, many = np.ascontiguousarray(out.T)[full.T].astype("<u4"), np.append(0, np.cumsum(full.sum(axis=0)))
     heads = x.astype("<i8")
     return [heads[j].tobytes() + words[many[j]:many[j + 1]].tobytes() for j in range(n)]
 
