@@ -1,12 +1,12 @@
 """Token-id files: an adaptive context-mixing range coder over independently reset, checksummed blocks.
 
-Ids (below 2**16) are coded as paths in a binary tree shaped by the counts of the frame's ids, about as many decisions as
-their entropy has bits.  For every decision three probabilities are mixed in the logistic domain: order 0 (the counts below
-the node), order 1 (the node after the previous id) and order 2 (after the two previous ids).  Orders 1 and 2 adapt, in
-slots with check bits that begin at the order-0 probability; the weights, chosen by how often both contexts were seen, learn
-from every decision.  All arithmetic is on integers, so every machine decodes alike.  A block holds ``BLOCK`` ids, starts
-with a fresh model and has a CRC-32 of its ids.  Blocks do not depend on each other, so many are coded side by side,
-one numpy lane each.
+Ids (below 2**16) are numbered by falling count in their frame.  An id is coded in one step: either it is the one its contexts
+expect (order 2, the two previous ids, if known in the block, else order 1), or it takes its share of the rest of the interval by
+the counts of the frame (order 0).  The chance of a hit is mixed in the logistic domain from the order-0 share of the expected
+id and the hit rates at the trust in the order-1 and order-2 slots; trust, rates and weights learn from every id.  Order-1
+slots begin with the commonest successor in the frame; order-2 slots have check bits.  All arithmetic is on integers (one exact
+division of floats apart), so every machine decodes alike.  A block holds ``BLOCK`` ids, starts with a fresh model and has a
+CRC-32 of its ids.  Blocks do not depend on each other, so many are coded side by side, one numpy lane each.
 
 A file is a row of frames; a frame holds whole documents: magic, sizes, document ids and lengths, block sizes
 checksums and id counts, then the blocks.  Documents are range-partitioned by id and sorted, so files follow each
@@ -19,7 +19,6 @@ null; documents that repeat an id all stay, next to each other; damage raises.
 
 from __future__ import annotations
 
-import heapq
 import math
 import struct
 import zlib
@@ -196,6 +195,7 @@ def encode_blocks(ids: np.ndarray, tree: Tree) -> list[bytes]:
         np.copyto(high, chance, where=hit)
         size[t] = high
         model.learn(own, hit)
+    del model, grid
     x, out, full = np.full(n, 1 << 31, np.int64), np.empty((block, n), np.uint32), np.empty((block, n), bool)
     full[tail:, n - 1] = False
     for t in range(block - 1, -1, -1):
@@ -206,6 +206,7 @@ def encode_blocks(ids: np.ndarray, tree: Tree) -> list[bytes]:
         own = own >> over * 32
         q = own // f
         x[:m] = (q << _WHOLE) + (own - q * f) + begin[t, :m]
+    del begin, size
     words, many = np.ascontiguousarray(out.T)[full.T].astype("<u4"), np.append(0, np.cumsum(full.sum(axis=0)))
     heads = x.astype("<i8")
     return [heads[j].tobytes() + words[many[j]:many[j + 1]].tobytes() for j in range(n)]
@@ -222,7 +223,7 @@ def decode_blocks(coded: list[bytes], total: int, tree: Tree) -> np.ndarray:
     ends = np.cumsum([len(b) // 4 for b in coded])
     at = np.append(0, ends[:-1])
     x, at = data[at] | (data[at + 1] & 0x7FFFFFFF) << 32, at + 2
-    model, grid = _Model(n, tree), np.empty((block, n), np.int64)
+    model, grid = _Model(n, tree), np.empty((block, n), np.int32)
     for t in range(block):
         likely, chance = model.expect()
         place = x & (1 << _WHOLE) - 1
@@ -241,7 +242,8 @@ def decode_blocks(coded: list[bytes], total: int, tree: Tree) -> np.ndarray:
         at += short
         grid[t] = own
         model.learn(own, hit)
-    return tree.ids.take(grid.T.ravel()[:total], mode="clip")
+    del model, data
+    return tree.ids.astype(np.int32).take(grid.T.ravel()[:total], mode="clip")
 
 
 def frame(doc_ids: list, counts: list[int], ids: np.ndarray) -> bytes:
@@ -336,10 +338,11 @@ def _writer(path: str, folder: str, end_id: int):
                 seq += 1
                 out = fs.open_output_stream(f"{place}/{name}-{seq:04d}.ids", compression=None)
             ids = np.concatenate(held)
+            held.clear()
             data = frame(docs, counts, ids)
             out.write(data)
             size, written, waiting = size + len(data), written + len(ids), 0
-            docs.clear(), counts.clear(), held.clear()
+            docs.clear(), counts.clear()
 
         def close():
             nonlocal out, size, written
