@@ -6,8 +6,9 @@
    for every other word (a phrase is at most as frequent as its parts).
 3. Pairs of neighbours in the sequences are counted.  A pair (i, j) of ranks lies in the tile (i // TILE, j // TILE).
    Since ranks follow frequency, a few tiles hold most pairs: they are counted by ``bincount`` straight into an array of
-   TILE x TILE cells, the rest as sorted (code, count) lists.  A task holds a bounded number of cells, sends its counts on, and
-   they are summed by pair.
+   TILE x TILE cells, the rest as sorted (code, count) lists.  A task holds a bounded number of cells.  It sends its counts on in
+   packets, one for each bucket of hashed codes, and a task that receives a bucket merges its packets: the JVM moves some
+   thousand rows and never keeps a table of pairs.  There are as many buckets as keep each of them small.
 4. Frequent pairs are ranked in turn and replace the ranks in the sequences: the pair at a place and the pair at
    the next one are a phrase of three words, and so on up to ``longest`` words.
 
@@ -32,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import split_words, stored, text_buffers, tidy
+from .common import mix64, release_memory, slices, split_words, stored, text_buffers, tidy
 
 LEAST = 100
 LONGEST = 5
@@ -42,9 +43,13 @@ BLOCK_BYTES = 4 << 20  # text of a block; a longer single text is one block
 HELD_BYTES = 16 << 20  # text of all languages that a task holds
 BROADCAST_BYTES = 32 << 20
 TILE = 256
-DENSE_TILES = 32  # tiles of a language that a task counts directly, half a MB each
-DENSE_SHARE = 16  # a tile is counted directly once a batch has TILE * TILE / DENSE_SHARE pairs in it
-SPARSE_CELLS = 1 << 20  # (code, count) cells of a language that a task holds
+DENSE_TILES = 32  # tiles of a language that a task counts directly, a quarter of a MB each
+DENSE_SHARE = 48  # a tile is counted directly once a batch has TILE * TILE / DENSE_SHARE pairs in it
+BATCH_PAIRS = 1 << 18  # pairs counted at once
+SPARSE_CELLS = 1 << 19  # (code, count) cells of a language that a task holds; twice as many of all languages
+PACKED_CELLS = 1 << 18  # cells that are made packets at once
+PACKET_BYTES = 1 << 20  # of packets sent on at once
+BUCKET_PAIRS = 1 << 21  # pairs of a bucket, repeated ones included; a bucket is merged in one task
 
 BLANKS = b" \t"
 STOPS = b".,;:!?\n\x0b\x0c\r"
@@ -56,26 +61,37 @@ _STOP = np.zeros(256, bool)
 _STOP[list(STOPS)] = True
 
 
-def _block_of(texts: list[pa.Array]) -> tuple[pa.Array, np.ndarray, np.ndarray]:
-    """(distinct words, their counts, sequence of local numbers with -1 between pieces) of a block's texts."""
-    column = pa.concat_arrays(texts) if len(texts) > 1 else texts[0]
-    data, offsets = text_buffers(column)
+def _words_of(data: np.ndarray, offsets: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+    """(words, whether a piece begins with the word) of some texts."""
     low, starts, ends, rows = split_words(data, offsets, _LOWER)
     if not len(starts):
-        return pa.array([], pa.large_string()), np.zeros(0, np.int64), np.zeros(0, np.int32)
+        return pa.array([], pa.large_string()), np.zeros(0, bool)
     stops = np.zeros(len(data) + 1, np.int64 if len(data) >> 31 else np.int32)
     np.cumsum(_STOP[data], out=stops[1:])
     at = stops[starts]
-    broken = np.zeros(len(starts), np.int64)
-    broken[1:] = (at[1:] != at[:-1]) | (rows[1:] != rows[:-1])
+    begins = np.ones(len(starts), bool)
+    begins[1:] = (at[1:] != at[:-1]) | (rows[1:] != rows[:-1])
     inside = np.zeros(len(low) + 1, np.int8)
     inside[starts] += 1
     inside[ends] -= 1
     text = low[np.cumsum(inside[:-1], dtype=np.int8).astype(bool)]
     bounds = np.zeros(len(starts) + 1, np.int64)
     np.cumsum(ends - starts, out=bounds[1:])
-    words = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(bounds), pa.py_buffer(np.ascontiguousarray(text)))
-    coded = words.dictionary_encode()
+    return pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(bounds), pa.py_buffer(np.ascontiguousarray(text))), begins
+
+
+def _block_of(texts: list[pa.Array]) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """(distinct words, their counts, sequence of local numbers with -1 between pieces) of a block's texts."""
+    found = []
+    for column in texts:
+        data, offsets = text_buffers(column)
+        found += [_words_of(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i]) for i, j in slices(offsets)]
+    found = [x for x in found if len(x[0])]
+    if not found:
+        return pa.array([], pa.large_string()), np.zeros(0, np.int64), np.zeros(0, np.int32)
+    coded = pa.concat_arrays([words for words, _ in found]).dictionary_encode()
+    broken = np.concatenate([begins for _, begins in found])
+    broken[0] = False
     local = coded.indices.to_numpy().astype(np.int32)
     seq = np.full(len(local) + int(broken.sum()), -1, np.int32)
     seq[np.arange(len(local)) + np.cumsum(broken)] = local
@@ -116,6 +132,7 @@ def _block_rows(block_bytes: int):
                     size[lang] = size.get(lang, 0) + int(lengths[own].sum())
                     if size[lang] >= block_bytes:
                         yield flush(lang)
+                        release_memory()
             while sum(size.values()) > HELD_BYTES:
                 yield flush(max(size, key=size.get))
         for lang in list(size):
@@ -164,11 +181,12 @@ class TileCounter:
         self.tile, self.dense_tiles = tile, dense_tiles
         self.dense: dict[int, np.ndarray] = {}
         self.sparse: list[tuple[np.ndarray, np.ndarray]] = []
-        self.cells = 0
+        self.cells = self.pairs = 0
 
     def add(self, codes: np.ndarray) -> None:
         if not len(codes):
             return
+        self.pairs += len(codes)
         t = self.tile
         x, y = codes >> 32, codes & 0xFFFFFFFF
         tiles, inverse, filled = np.unique((x // t) << 32 | y // t, return_inverse=True, return_counts=True)
@@ -177,7 +195,7 @@ class TileCounter:
             if filled[k] * DENSE_SHARE < t * t or len(self.dense) >= self.dense_tiles:
                 break
             if not direct[k]:
-                self.dense[int(tiles[k])] = np.zeros(t * t, np.int64)
+                self.dense[int(tiles[k])] = np.zeros(t * t, np.int32)
                 direct[k] = True
         chosen = direct[inverse]
         if chosen.any():
@@ -186,7 +204,7 @@ class TileCounter:
             order = np.argsort(of, kind="stable")
             of, cell = of[order], cell[order]
             for part in np.split(np.arange(len(of)), np.flatnonzero(np.diff(of)) + 1):
-                self.dense[int(tiles[of[part[0]]])] += np.bincount(cell[part], minlength=t * t)
+                self.dense[int(tiles[of[part[0]]])] += np.bincount(cell[part], minlength=t * t).astype(np.int32)
         rest = codes[~chosen]
         if len(rest):
             self.sparse.append(_summed(rest))
@@ -199,7 +217,8 @@ class TileCounter:
         self.cells = len(self.sparse[0][0])
 
     def full(self) -> bool:
-        return self.cells > SPARSE_CELLS
+        """Whether it is to be emptied: half the cells are distinct, or a cell of a tile might overflow."""
+        return self.cells > SPARSE_CELLS // 2 and len(self.sparse) == 1 or self.pairs >> 30 > 0
 
     def take(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """All (codes, counts) so far; the counter is empty then."""
@@ -209,36 +228,141 @@ class TileCounter:
         t = self.tile
         for k, cells in self.dense.items():
             at = np.flatnonzero(cells)
-            yield ((k >> 32) * t + at // t) << 32 | ((k & 0xFFFFFFFF) * t + at % t), cells[at]
-        self.dense, self.sparse, self.cells = {}, [], 0
-
-
-def _count_pairs(tile: int):
+            yield ((k >> 32) * t + at // t) << 32 | ((k & 0xFFFFFFFF) * t + at % t), cells[at].astype(np.int64)
+        self.dense, self.sparse, self.cells, self.pairs = {}, [], 0, 0
+
+
+def _planes(values: np.ndarray) -> tuple[int, bytes]:
+    """(width, bytes) of non-negative numbers: their lowest bytes, then the next ones, as many as the largest needs."""
+    width = max(1, (int(values.max()).bit_length() + 7) // 8)
+    return width, values.astype("<i8").view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()
+
+
+def _packed(codes: np.ndarray, counts: np.ndarray) -> bytes:
+    """A packet of cells in the order of their codes: the widths, the codes' differences and the counts."""
+    (a, near), (b, many) = _planes(np.diff(codes, prepend=0)), _planes(counts)
+    return bytes((a, b)) + near + many
+
+
+def _unpacked(packet) -> tuple[np.ndarray, np.ndarray]:
+    raw = np.frombuffer(packet, np.uint8)
+    a, b = int(raw[0]), int(raw[1])
+    n = (len(raw) - 2) // (a + b)
+    wide = np.zeros((2, n, 8), np.uint8)
+    wide[0, :, :a] = raw[2:2 + n * a].reshape(a, n).T
+    wide[1, :, :b] = raw[2 + n * a:].reshape(b, n).T
+    near, counts = wide.view("<i8")[..., 0]
+    return np.cumsum(near), counts
+
+
+def _packets(pieces: Iterator[tuple[np.ndarray, np.ndarray]], buckets: int) -> Iterator[tuple[int, bytes]]:
+    """(bucket, packet) of cells; some pieces together, as the cells of a tile are few."""
+    held, size = [], 0
+
+    def send() -> Iterator[tuple[int, bytes]]:
+        codes, counts = _summed(*(np.concatenate(x) for x in zip(*held)))
+        held.clear()
+        own = (mix64(codes.astype(np.uint64)) % np.uint64(buckets)).astype(np.int32)
+        order = np.argsort(own, kind="stable")
+        codes, counts, own = codes[order], counts[order], own[order]
+        first = np.flatnonzero(np.diff(own, prepend=-1))
+        for i, j in zip(first.tolist(), [*first[1:].tolist(), len(own)]):
+            yield int(own[i]), _packed(codes[i:j], counts[i:j])
+
+    for codes, counts in pieces:
+        for a in range(0, len(codes), PACKED_CELLS):
+            held.append((codes[a:a + PACKED_CELLS], counts[a:a + PACKED_CELLS]))
+            size += len(held[-1][0])
+            if size >= PACKED_CELLS:
+                yield from send()
+                size = 0
+    if held:
+        yield from send()
+
+
+def _count_pairs(tile: int, buckets: int):
+    """(lang, seq) rows to packets of counted pairs: lang, bucket, cells."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counters: dict[str, TileCounter] = {}
 
+        def row_batch(lang: str, rows: list[tuple[int, bytes]]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays(
+                [pa.array([lang] * len(rows), pa.string()), pa.array([k for k, _ in rows], pa.int32()),
+                 pa.array([x for _, x in rows], pa.binary())], names=["lang", "bucket", "cells"])
+
         def send(lang: str) -> Iterator[pa.RecordBatch]:
-            for codes, counts in counters.pop(lang).take():
-                for a in range(0, len(codes), 1 << 16):
-                    own = codes[a:a + (1 << 16)]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.DictionaryArray.from_arrays(np.zeros(len(own), np.int32), [lang]).cast(pa.string()),
-                         pa.array(own), pa.array(counts[a:a + (1 << 16)])], names=["lang", "code", "f"])
+            rows, size = [], 0
+            for bucket, packet in _packets(counters.pop(lang).take(), buckets):
+                rows.append((bucket, packet))
+                size += len(packet)
+                if size >= PACKET_BYTES:
+                    yield row_batch(lang, rows)
+                    rows, size = [], 0
+            if rows:
+                yield row_batch(lang, rows)
+            release_memory()
 
         for batch in batches:
             for lang, seq in zip(batch.column(0).to_pylist(), _sequences(batch.column(1))):
-                if lang not in counters:  # the dense tiles of all languages together are bounded
-                    while sum(c.dense_tiles for c in counters.values()) > 3 * DENSE_TILES:
-                        yield from send(next(iter(counters)))
-                    counters[lang] = TileCounter(tile)
-                counters[lang].add(_pairs(seq)[1])
-                if counters[lang].full():
-                    yield from send(lang)
+                for a in range(0, len(seq), BATCH_PAIRS):
+                    if lang not in counters:  # the dense tiles of all languages together are bounded
+                        while sum(c.dense_tiles for c in counters.values()) > 3 * DENSE_TILES:
+                            yield from send(next(iter(counters)))
+                        counters[lang] = TileCounter(tile)
+                    counters[lang].add(_pairs(seq[a:a + BATCH_PAIRS + 1])[1])  # the last number has its neighbour in the next part
+                    if counters[lang].full():
+                        yield from send(lang)
+                    while sum(c.cells for c in counters.values()) > 2 * SPARSE_CELLS:
+                        yield from send(max(counters, key=lambda x: counters[x].cells))
         for lang in list(counters):
             yield from send(lang)
     return run
 
 
+def _merge_packets(least: int):
+    """Packets, those of one language and bucket together, to rows (lang, code, f) with f >= least."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, held, size, most = None, [], 0, PACKED_CELLS
+
+        def merge() -> tuple[np.ndarray, np.ndarray]:
+            return _summed(*(np.concatenate(x) for x in zip(*held)))
+
+        def send() -> Iterator[pa.RecordBatch]:
+            codes, counts = merge()
+            often = counts >= least
+            codes, counts = codes[often], counts[often]
+            for a in range(0, len(codes), 1 << 16):
+                own = codes[a:a + (1 << 16)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.DictionaryArray.from_arrays(np.zeros(len(own), np.int32), [key[0]]).cast(pa.string()),
+                     pa.array(own), pa.array(counts[a:a + (1 << 16)])], names=["lang", "code", "f"])
+
+        for batch in batches:
+            for lang, bucket, cells in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+                if (lang, bucket) != key:
+                    if held:
+                        yield from send()
+                    key, held, size, most = (lang, bucket), [], 0, PACKED_CELLS
+                held.append(_unpacked(cells.as_buffer()))
+                size += len(held[-1][0])
+                if size > most:  # at least half of them are new since the last time
+                    held = [merge()]
+                    size = len(held[0][0])
+                    most = max(PACKED_CELLS, 2 * size)
+        if held:
+            yield from send()
+    return run
+
+
+def _frequent_pairs(level: DataFrame, least: int, tile: int, words: int) -> DataFrame:
+    """(lang, code, f) of the pairs of neighbours that occur ``least`` times; ``words``: at least as many as there are places."""
+    parts = int(level.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    buckets = parts * max(1, -(-words // (parts * BUCKET_PAIRS)))
+    return (level.select("lang", "seq").mapInArrow(tidy(_count_pairs(tile, buckets)), "lang string, bucket int, cells binary")
+            .repartitionById(parts, F.col("bucket") % parts).sortWithinPartitions("lang", "bucket")
+            .mapInArrow(tidy(_merge_packets(least)), "lang string, code long, f long"))
+
+
 def _ranked(counts: DataFrame, key: str, name: str) -> DataFrame:
     """Stored (lang, key, f, rank): numbers from 0 in falling order of f, by language; no task sees a whole language."""
     spark = counts.sparkSession
@@ -372,7 +496,9 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST
                        F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
     blocks = stored(rows.mapInArrow(tidy(_block_rows(block_bytes)), "block long, lang string, words array<string>, counts array<long>, seq binary"),
                     "phrase-blocks")
-    total = blocks.groupBy("lang").agg(F.sum(F.aggregate("counts", F.lit(0).cast("long"), lambda a, x: a + x)).alias("n"))
+    total = stored(blocks.groupBy("lang").agg(F.sum(F.aggregate("counts", F.lit(0).cast("long"), lambda a, x: a + x)).alias("n")),
+                   "phrase-words")
+    all_words = total.agg(F.sum("n")).first()[0] or 0
     words = (blocks.select("lang", F.inline(F.arrays_zip("words", "counts")))
              .groupBy("lang", F.col("words").alias("word")).agg(F.sum("counts").alias("f")).where(F.col("f") >= least))
     ranked = _ranked(words, "word", "phrase-1")
@@ -380,9 +506,7 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST
     out = phrases.drop("rank")
     level = stored(_to_ranks(blocks, ranked, broadcast_bytes), "phrase-seq-1")
     for m in range(2, longest + 1):
-        pairs = (level.select("lang", "seq").mapInArrow(tidy(_count_pairs(tile)), "lang string, code long, f long")
-                 .groupBy("lang", "code").agg(F.sum("f").alias("f")).where(F.col("f") >= least))
-        ranked = _ranked(pairs, "code", f"phrase-pairs-{m}")
+        ranked = _ranked(_frequent_pairs(level, least, tile, all_words), "code", f"phrase-pairs-{m}")
         first = phrases.select("lang", F.col("rank").alias("x"), F.col("phrase").alias("head"))
         second = phrases.select("lang", F.col("rank").alias("y"), F.substring_index("phrase", " ", -1).alias("tail"))
         coded = ranked.select("*", F.shiftright("code", 32).cast("int").alias("x"),

@@ -2,9 +2,11 @@
 
 import random
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from folio.llm import collocations as C
@@ -100,3 +102,64 @@ def test_tiles_count_as_a_dictionary(monkeypatch):
     for c, n in counter.take():
         got.update(dict(zip(c.tolist(), n.tolist())))
     assert got == want
+
+
+def batches_of(rng, langs, blocks, size, most):
+    """(batches of (lang, seq), pairs by language); runs of numbers are cut by -1 here and there."""
+    out, want = [], {lang: Counter() for lang in langs}
+    for k in range(blocks):
+        seq = np.where(rng.random(size) < 0.1, -1, rng.zipf(1.2, size) % most).astype(np.int32)
+        lang = langs[k % len(langs)]
+        good = (seq[:-1] >= 0) & (seq[1:] >= 0)
+        want[lang].update((seq[:-1].astype(np.int64) << 32 | seq[1:])[good].tolist())
+        out.append(pa.RecordBatch.from_arrays([pa.array([lang]), pa.array([seq.tobytes()], pa.binary())], names=["lang", "seq"]))
+    return out, want
+
+
+def test_pairs_travel_as_packets(monkeypatch):
+    """Few rows go to the exchange, not one a pair; merged by bucket they give each frequent pair its count."""
+    for name, value in (("SPARSE_CELLS", 4000), ("PACKED_CELLS", 1500), ("BATCH_PAIRS", 777), ("PACKET_BYTES", 5000)):
+        monkeypatch.setattr(C, name, value)
+    batches, want = batches_of(np.random.default_rng(2), ["en", "fr", "né"], 9, 5000, 400)
+    rows = [r for b in C._count_pairs(16, 7)(iter(batches)) for r in b.to_pylist()]
+    assert {r["bucket"] for r in rows} == set(range(7)) and 50 * len(rows) < 9 * 5000
+    rows.sort(key=lambda r: (r["lang"], r["bucket"]))
+    schema = pa.schema([("lang", pa.string()), ("bucket", pa.int32()), ("cells", pa.binary())])
+    sent = [pa.RecordBatch.from_pylist(rows[a:a + 5], schema) for a in range(0, len(rows), 5)]
+    for least in (1, 6):
+        got = [(r["lang"], r["code"], r["f"]) for b in C._merge_packets(least)(iter(sent)) for r in b.to_pylist()]
+        assert sorted(got) == sorted((lang, c, f) for lang, own in want.items() for c, f in own.items() if f >= least)
+    assert list(C._merge_packets(1)(iter([]))) == []
+
+
+def test_packets_keep_large_numbers():
+    codes = np.array([0, 5, (2 ** 31 - 1) << 32 | 7, (2 ** 31 - 1) << 32 | 2 ** 31 - 1], np.int64)
+    counts = np.array([1, 2 ** 40, 255, 256], np.int64)
+    for n in range(1, 5):
+        got = C._unpacked(C._packed(codes[:n], counts[:n]))
+        assert [x.tolist() for x in got] == [codes[:n].tolist(), counts[:n].tolist()]
+
+
+def test_pairs_are_counted_in_little_memory(spark):
+    """Blocks of 700,000 words are counted in parts, and no table of pairs is kept by the JVM."""
+    batches, _ = batches_of(np.random.default_rng(3), ["de", "en", "es", "fr"], 4, 700_000, 20_000)
+    tracemalloc.start()
+    try:
+        for _ in C._count_pairs(C.TILE, 50)(iter(batches)):
+            pass
+        assert tracemalloc.get_traced_memory()[1] < 50 << 20
+    finally:
+        tracemalloc.stop()
+    level = spark.createDataFrame([(1, "en", b"")], C.SEQ)
+    assert "Aggregate" not in C._frequent_pairs(level, 2, C.TILE, 10)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_block_of_many_texts(monkeypatch):
+    """A block is read in slices; pieces end with each text and each stop, also where a slice ends."""
+    texts = [" A b", "c. d  e", None, "", "é f\x0bg", "h"]
+    whole = C._block_of([pa.array(texts)])
+    monkeypatch.setattr(C, "slices", lambda offsets: ((k, k + 1) for k in range(len(offsets) - 1)))
+    for parts in ([pa.array(texts)], [pa.array(texts[:1]), pa.array(texts[1:4]), pa.array(texts[4:])]):
+        words, counts, seq = C._block_of(parts)
+        assert words.to_pylist() == whole[0].to_pylist() == ["a", "b", "c", "d", "e", "é", "f", "g", "h"]
+        assert counts.tolist() == [1] * 9 and seq.tolist() == whole[2].tolist() == [0, 1, -1, 2, -1, 3, 4, -1, 5, 6, -1, 7, -1, 8]
