@@ -189,7 +189,7 @@ def _page_cols(table_class: str, opr_header: str | None = None, tree: str = "imp
     folded = tagtree.table_rows(F.regexp_extract(F.col("_html"), f"{start}.*", 0), tree, cells)
     s2 = ["source_page_url", "_kind", "_found", "_html", "_table", (F.col("_closed") & _regular(F.col("_table"))).alias("_plain")]
     s3 = ["source_page_url", "_kind", "_found",
-          F.when(~F.col("_found"), F.lit(None)).when(F.col("_plain"), _regular_rows(F.col("_table"))).otherwise(folded).alias("_rows")]
+          F.when(F.col("_found"), F.when(F.col("_plain"), _regular_rows(F.col("_table"))).otherwise(folded)).alias("_rows")]  # a null page has none
     header = _header_index(F.try_element_at("_rows", F.lit(1))["heads"], opr_header) if opr_header else F.lit(None)
     errs = F.transform("_rows", lambda r, i: F.when(i == 0, F.lit(None).cast("string"))
                        .otherwise(_row_error(F.col("_kind"), r))).alias("_errs")
